@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .langid import fit, identify_languages
+from .ordermin import neighbour_fingerprints
 from .packing import pack_documents
 from .preference import format_preferences, swapped_replies
 from .sharding import assign_shards
@@ -32,12 +33,16 @@ def op4_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"chosen_spans": spans("chosen_spans"), "rejected_spans": spans("rejected_spans")})
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = assign_shards(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op4_preference_formatting, op9_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op4_preference_formatting, op7_order_minhash, op9_sharding)}
 
 _OP4 = """
 WITH turns AS (SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
