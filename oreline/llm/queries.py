@@ -14,6 +14,7 @@ from .ordermin import neighbour_fingerprints
 from .packing import pack_documents
 from .preference import format_preferences, swapped_replies
 from .sharding import assign_shards
+from .spans import dedup_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +28,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_spans(table(spark, sf_dir, "documents"))
+
+
 def op4_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     out = format_preferences(*swapped_replies(table(spark, sf_dir, "conversations")))
@@ -42,7 +47,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op4_preference_formatting, op7_order_minhash, op9_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op7_order_minhash, op9_sharding)}
 
 _OP4 = """
 WITH turns AS (SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
