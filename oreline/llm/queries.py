@@ -15,6 +15,7 @@ from .packing import pack_documents
 from .preference import format_preferences, swapped_replies
 from .sharding import assign_shards
 from .spans import dedup_spans
+from .topk import search
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,10 @@ def op4_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"chosen_spans": spans("chosen_spans"), "rejected_spans": spans("rejected_spans")})
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "embeddings"))
+
+
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -47,7 +52,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op7_order_minhash, op9_sharding)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op6_exact_topk, op7_order_minhash, op9_sharding)}
 
 _OP4 = """
 WITH turns AS (SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
@@ -74,6 +79,17 @@ SELECT pair_id, n::INT AS n_common,
 FROM sides
 """
 
+_OP6 = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum([q.v[i] * c.v[i] FOR i IN range(1, len(q.v) + 1)])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
 _OP9 = """
 WITH RECURSIVE bits(i, k, c) AS (
   SELECT i, 0, i FROM range(256) t(i)
@@ -90,4 +106,4 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTI
 FROM q
 """
 
-ORACLE: dict[str, str] = {"op4_preference_formatting": _OP4, "op9_sharding": _OP9}
+ORACLE: dict[str, str] = {"op4_preference_formatting": _OP4, "op6_exact_topk": _OP6, "op9_sharding": _OP9}
