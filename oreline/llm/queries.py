@@ -13,6 +13,7 @@ from .langid import fit, identify_languages
 from .ordermin import neighbour_fingerprints
 from .packing import pack_documents
 from .preference import format_preferences, swapped_replies
+from .sentencepiece_backend import encode_documents
 from .sharding import assign_shards
 from .spans import dedup_spans
 from .topk import search
@@ -52,7 +53,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op6_exact_topk, op7_order_minhash, op9_sharding)}
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op6_exact_topk, op7_order_minhash, op9_sharding, op10_sentencepiece)}
 
 _OP4 = """
 WITH turns AS (SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
