@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .langid import fit, identify_languages
+from .neardup import near_duplicates
 from .ordermin import neighbour_fingerprints
 from .packing import pack_documents
 from .preference import format_preferences, swapped_replies
@@ -40,6 +41,10 @@ def op4_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"chosen_spans": spans("chosen_spans"), "rejected_spans": spans("rejected_spans")})
 
 
+def op5_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2)
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(table(spark, sf_dir, "embeddings"))
 
@@ -57,7 +62,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op6_exact_topk, op7_order_minhash, op9_sharding, op10_sentencepiece)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op5_odd_sketches, op6_exact_topk, op7_order_minhash, op9_sharding, op10_sentencepiece)}
 
 _OP4 = """
 WITH turns AS (SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
