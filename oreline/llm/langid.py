@@ -285,7 +285,7 @@ class Tagger:
         return labels, share, sizes, switches
 
 
-_TAGGERS: dict[int, Tagger] = {}
+_TAGGER: list[Tagger] = []  # of this Python worker
 
 
 def in_held_out(doc_id: Column) -> Column:
@@ -317,10 +317,9 @@ def identify_languages(docs: DataFrame, model: Model | None, id_col: str = "doc_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = None
         if shared.value:
-            tagger = _TAGGERS.get(shared.id)
-            if tagger is None:
-                _TAGGERS.clear()
-                tagger = _TAGGERS[shared.id] = Tagger(shared.value)
+            if not _TAGGER or _TAGGER[0].model is not shared.value:
+                _TAGGER[:] = [Tagger(shared.value)]
+            tagger = _TAGGER[0]
         for batch in blocks(batches, "text"):
             n = batch.num_rows
             texts = [t or "" for t in batch["text"].to_pylist()]
