@@ -14,14 +14,14 @@ MIXED = re.compile(r"[^\S ](?:  | *$)|[\x1c-\x1f\x85](?: |$)")
 
 
 class ChunkEncoder:
-    """ids of a text as little-endian unsigned 32-bit bytes. Memory is bounded: the table of chunks restarts when it is full."""
+    """ids of a text as little-endian unsigned 32-bit bytes. Memory is bounded: two tables of chunks take turns."""
 
-    def __init__(self, path: str, most_chunks: int = 1_000_000):
+    def __init__(self, path: str, most_chunks: int = 700_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.most, self.known = most_chunks, {}
+        self.most, self.known, self.old = most_chunks, {}, {}
         vocabulary = self.tok.get_vocab(with_added_tokens=True)
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each id: its string has a character for each
         self.width[list(vocabulary.values())] = [len(x) for x in vocabulary]
@@ -43,9 +43,11 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > self.most:
-            self.known = {}
-        known, cut = self.known, [None if MIXED.search(t) else CHUNK.findall(t) for t in texts]
+            self.known, self.old = {}, self.known  # what is still in use comes back from the old table
+        known, old, cut = self.known, self.old, [None if MIXED.search(t) else CHUNK.findall(t) for t in texts]
         new = list({c for chunks in cut if chunks for c in chunks if c not in known and len(c) <= 200})
+        known.update((c, old[c]) for c in new if c in old)
+        new = [c for c in new if c not in old]
         self._learn([c for c in new if c[0] == " " and not c[-1].isspace()])
         apart = [c for c in new if c not in known]
         known.update(zip(apart, self._raw(apart)))

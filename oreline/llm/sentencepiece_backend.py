@@ -90,7 +90,7 @@ def _merges(spec: Spec) -> list[tuple[str, str]]:
 class Backend:
     """A tokenizers pipeline that gives sentencepiece's ids; ``core`` encodes words that are normalised and marked already."""
 
-    def __init__(self, data: bytes, most_words: int = 600_000):
+    def __init__(self, data: bytes, most_words: int = 300_000):
         from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
         self.spec = spec = parse_model(data)
@@ -122,17 +122,19 @@ class Backend:
             self.tok.add_tokens([AddedToken(p, normalized=True) for p in own])
         tail = [decoders.Strip(" ", left=1)] if spec.add_dummy_prefix else []
         self.tok.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *tail])
-        self.most, self.known, self.word = most_words, {}, re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        self.most, self.known, self.old, self.word = most_words, {}, {}, re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of whole texts; one multithreaded call for all words that are new, or for all texts where words can't be told apart."""
         if not self.plain:
             return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
         if len(self.known) > self.most:
-            self.known = {}
-        known, head = self.known, MARK if self.spec.add_dummy_prefix else ""
+            self.known, self.old = {}, self.known  # what is still in use comes back from the old table
+        known, old, head = self.known, self.old, MARK if self.spec.add_dummy_prefix else ""
         cut = [self.word.findall(head + t.replace(" ", MARK)) if t else [] for t in texts]
         new = list({w for ws in cut for w in ws if w not in known and len(w) <= 200})
+        known.update((w, old[w]) for w in new if w in old)
+        new = [w for w in new if w not in old]
         known.update(zip(new, [e.ids for e in self.core.encode_batch_fast(new, add_special_tokens=False)]))
         out = []
         for ws in cut:
