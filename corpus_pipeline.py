@@ -1,12 +1,57 @@
-"""The corpus pipeline: language ID, near-duplicate removal, repeated-passage removal, packing."""
+"""The corpus pipeline: language ID, near-duplicate removal, repeated-passage removal, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; all but the last return the columns of
+``documents``. No stage is expressible in SQL (a trained model, MinHash buckets with exact components, sentence hashes, a
+linear program), so ``ORACLE_SQL`` is None and the tests compare each stage with a brute-force version.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from oreline.llm.common import materialize
+from oreline.llm.langid import fit, identify_languages
+from oreline.llm.neardup import near_duplicates
+from oreline.llm.packing import pack_documents
+from oreline.llm.spans import dedup_spans
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that have a language; those without a letter are rejected."""
+    named = identify_languages(docs, fit(docs), whole_rows=True)
+    return named.filter("lang_pred <> 'und'").select("doc.*")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the least id of each group of near duplicates, once; documents without an id stay."""
+    dropped = near_duplicates(docs).filter("NOT kept").select("doc_id").distinct()
+    left = docs.join(dropped, "doc_id", "left_anti")
+    return left.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(left.filter("doc_id IS NULL"))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes repeated passages out of the texts; a document that has no other words left goes with them."""
+    cut = dedup_spans(docs, whole_rows=True).filter("n_removed = 0 OR trim(text) <> ''")
+    changed = F.col("n_removed") > 0
+    new = {"text": F.when(changed, F.col("text")).otherwise(F.col("doc.text")), "n_chars": F.when(changed, F.length("text").cast("long")).otherwise(F.col("doc.n_chars"))}
+    return cut.select(*(new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col("doc")[c].alias(c) for c in docs.columns))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("substring_dedup", substring_dedup), ("packing", packing)]
 
-STAGES: list = []
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for i, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = materialize(docs, f"stage-{name}")
+    return docs

@@ -17,6 +17,7 @@ from .preference import format_preferences, swapped_replies
 from .sentencepiece_backend import encode_documents
 from .sharding import assign_shards
 from .spans import dedup_spans
+from .suffixes import dedup_bytes
 from .topk import search
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +54,10 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_bytes(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = assign_shards(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -62,7 +67,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op5_odd_sketches, op6_exact_topk, op7_order_minhash, op9_sharding, op10_sentencepiece)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op5_odd_sketches, op6_exact_topk, op7_order_minhash, op8_suffix_array, op9_sharding, op10_sentencepiece)}
 
 _OP4 = """
 WITH turns AS (SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
