@@ -1,5 +1,6 @@
 """All registered queries outside the training-data subpackage, with their DuckDB equivalents."""
 
-FLAGSHIP = ""
-QUERIES: dict = {}
-ORACLE: dict = {}
+from . import curves, ledger  # noqa: F401
+from .base import ORACLE, QUERIES  # noqa: F401
+
+FLAGSHIP = "pr_curve"
