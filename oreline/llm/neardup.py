@@ -2,10 +2,10 @@
 
 An odd sketch folds a document's MinHash samples into a bitmap of parities: each sample flips the bit that it hashes to. The
 XOR of two sketches has a bit for each place that differs, and its population count estimates how many samples differ,
-most precisely where few do. Documents of equal shingle sets are one node from the start. In a bucket each node meets the
-bucket's least and greatest node only; after these links are joined to components, a second pass compares just those nodes of a
-bucket that lie in different components, so groups of copies of any size cost a few rows a node, and no link between
-different components is passed over.
+most precisely where few do. Documents of equal shingle sets are one node from the start. In a bucket each node first meets
+the bucket's least and greatest node only; these links are joined to components. A few more rounds take a random pivot of each
+bucket that still holds several components. What is left in the end, pairs of one bucket in different components, is compared
+in full: groups of copies cost a few rows a node, and no link between different components is passed over.
 """
 
 from __future__ import annotations
@@ -68,11 +68,11 @@ def shingle_sets(texts: list[bytes | None], k: int) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray], bands: int, rows: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys (a row a set) and odd sketches (64-bit words) of sets that aren't empty."""
+def signatures(sets: list[np.ndarray], bands: int, rows: int, samples: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys (a row a set) of the first bands * rows MinHash samples, odd sketches (64-bit words) of all; no set is empty."""
     flat, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
     starts = np.cumsum(sizes) - sizes
-    n, samples = len(sets), bands * rows
+    n = len(sets)
     least = np.empty((n, samples), np.uint64)
     multipliers = _mix(np.arange(1, samples + 1, dtype=np.uint64) * _A) | np.uint64(1)
     for i, a in enumerate(multipliers):
@@ -102,7 +102,7 @@ def _close(percent: int, limit: int, words: int) -> Column:
     return sizes & (differ <= limit)
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, bits: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, samples: int = 256, bits: int = 1024, rounds: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Links documents whose shingle sets have 100 * intersection >= percent * union, and names each document's component.
 
     Texts are lower-cased in A-Z and split at ASCII white space; a shingle is ``shingle_words`` words in a row, of shorter texts the
@@ -127,7 +127,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
             keys, odd = np.zeros((n, bands), np.uint64), np.zeros((n, sketch), np.uint64)
             digest = np.zeros((n, 2), np.int64)
             if len(some):
-                keys[some], odd[some] = signatures([sets[i] for i in some], bands, rows, bits)
+                keys[some], odd[some] = signatures([sets[i] for i in some], bands, rows, samples, bits)
                 digest[some] = np.frombuffer(b"".join(xxh3_128_digest(sets[i].tobytes()) for i in some), np.int64).reshape(-1, 2)
             offsets = pa.array(np.arange(n + 1) * bands, pa.int32())
             cols = [batch["doc_id"], pa.array(size), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel().view(np.int64)))]
@@ -142,11 +142,11 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     classes = materialize(all_rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("lo", "hi").agg(F.min("doc_id").alias("node")), "neardup-classes")
     nodes = all_rows.filter("n > 0").join(classes.withColumnRenamed("node", "doc_id"), ["lo", "hi", "doc_id"]).dropDuplicates(["lo", "hi", "doc_id"])
     nodes = materialize(nodes.select(F.col("doc_id").alias("node"), "n", "keys", *odds), "neardup-nodes")
-    buckets = nodes.select("node", F.explode("keys").alias("key"))
+    buckets = nodes.select("node", F.posexplode("keys").alias("band", "key"))
     shared = buckets.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("greatest")).filter("least < greatest")
     members = materialize(buckets.join(shared, "key"), "neardup-members")
 
-    limit, info = most_different_bits(percent / 100, bands * rows, bits), nodes.select("node", "n", *odds)
+    limit, info = most_different_bits(percent / 100, samples, bits), nodes.select("node", "n", *odds)
     side = lambda x: info.select(F.col("node").alias(x), F.struct("n", *odds).alias(f"{x}_info"))
 
     def sifted(pairs: DataFrame) -> DataFrame:
@@ -174,22 +174,40 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
         held = pairs.select("x", "y").join(a, "x").join(b, "y").withColumn("both", both)
         return held.filter(F.col("both") * 100 >= (F.size("s") + F.size("t") - F.col("both")) * percent).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
-    nearest = stars.groupBy("x").agg(F.min_by("y", "differ").alias("y"))
-    links = materialize(confirmed(nearest), "neardup-links")
-    first = connected_components(links)
-
-    # What is left: candidates between different components, of the stars and of the buckets.
-    placed = members.select("node", "key").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key")
-    open_rows = materialize(placed.join(split, "key").join(info, "node"), "neardup-open")
-    cross = open_rows.alias("a").join(open_rows.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & _close(percent, limit, sketch))
+    def linked(pairs: DataFrame) -> DataFrame:
+        return materialize(confirmed(pairs.groupBy("x").agg(F.min_by("y", "differ").alias("y"))), "neardup-links")
+
+    links = linked(stars)
+    component = connected_components(links)
+
+    def still_open() -> DataFrame:
+        placed = members.select("node", "key", "band").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        split = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key")
+        return materialize(placed.join(split, "key"), "neardup-open")
+
+    open_rows = still_open()
+    for r in range(rounds):
+        pivots = open_rows.withColumn("h", F.xxhash64("node", "key", F.lit(r))).groupBy("key").agg(F.min_by("node", "h").alias("y"), F.min_by("component", "h").alias("other"))
+        pairs = open_rows.join(pivots, "key").filter("component <> other").select(F.col("node").alias("x"), "y").distinct()
+        more = linked(sifted(pairs))
+        if not more.limit(1).count():
+            break
+        links = links.unionByName(more)
+        component = connected_components(links)
+        discard(open_rows)
+        open_rows = still_open()
+
+    # A pair is compared where its first common band is; 32 bits of each key tell.
+    short = nodes.select("node", "n", F.transform("keys", lambda k: F.shiftright(k, 32).cast("int")).alias("short"), *odds)
+    left = materialize(open_rows.join(short, "node"), "neardup-rest")
+    first_band = F.array_position(F.zip_with("a.short", "b.short", lambda x, y: x == y), True) == F.col("a.band") + 1
+    cross = left.alias("a").join(left.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & _close(percent, limit, sketch) & first_band)
     rest = materialize(cross.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct(), "neardup-rest")
-    more = materialize(confirmed(rest), "neardup-links")
-    component = connected_components(links.unionByName(more))
+    component = connected_components(links.unionByName(materialize(confirmed(rest), "neardup-links")))
 
     named = classes.join(component, "node", "left").select("lo", "hi", F.coalesce("component", "node").alias("component_id"))
     out = all_rows.select("doc_id", "n", "lo", "hi").join(named, ["lo", "hi"], "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).cast("long")
     out = out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
-    discard(stars, full, first, rest, open_rows, members, nodes, links, more)
+    discard(stars, full, left, rest, open_rows, members, nodes)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))).withColumnRenamed("doc_id", id_col)
