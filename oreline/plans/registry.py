@@ -1,6 +1,6 @@
 """All registered queries outside the training-data subpackage, with their DuckDB equivalents."""
 
-from . import curves, grids, ledger, records, sequence, stats, text  # noqa: F401
+from . import curves, grids, ledger, records, sequence, stats, streams, text  # noqa: F401
 from .base import ORACLE, QUERIES  # noqa: F401
 
 FLAGSHIP = "pr_curve"
