@@ -156,7 +156,7 @@ def density_of(text: str) -> float:
     return round(maths / total, 6) if total else 0.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def equation_density(text: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else density_of(t) for t in text])
 
@@ -174,7 +174,7 @@ def repeated_tail_of(text: str, least: int = 3) -> int:
     return best
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def repeated_tail(text: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else repeated_tail_of(t) for t in text])
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Characters that show nothing: controls but line breaks and tabs, soft hyphen, joiners, direction marks, fillers, tags.
 INVISIBLE = r"[\x{0}-\x{8}\x{B}\x{C}\x{E}-\x{1F}\x{7F}-\x{9F}\x{AD}\x{600}-\x{605}\x{61C}\x{6DD}\x{70F}\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{2066}-\x{206F}\x{FEFF}\x{FFF9}-\x{FFFB}\x{E0001}\x{E0020}-\x{E007F}]"
@@ -108,7 +109,7 @@ def sniff(head: Column | str) -> Column:
     return out.otherwise(F.lit("unknown"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ratio_udf(a: pd.Series, b: pd.Series) -> pd.Series:
     """Matching-block ratio of two strings (2 * matches / lengths), not an edit distance."""
     from difflib import SequenceMatcher

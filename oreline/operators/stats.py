@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def stratified_mean(sample: DataFrame, strata: DataFrame, stratum: str, value: str, size: str) -> DataFrame:
@@ -64,7 +65,7 @@ def block_bootstrap(blocks: DataFrame, block: str, n_blocks: int, columns: list[
     return drawn.join(blocks, block).groupBy("rep").agg(*(F.sum(c).alias(c) for c in columns))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def clopper_pearson_upper(k: pd.Series, n: pd.Series) -> pd.Series:
     """Exact 95 % upper bound of a binomial share, by bisection on its distribution function."""
 
