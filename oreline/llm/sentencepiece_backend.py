@@ -122,30 +122,52 @@ class Backend:
             self.tok.add_tokens([AddedToken(p, normalized=True) for p in own])
         tail = [decoders.Strip(" ", left=1)] if spec.add_dummy_prefix else []
         self.tok.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *tail])
+        self.core.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
         self.most, self.known, self.old, self.word = most_words, {}, {}, re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of whole texts; one multithreaded call for all words that are new, or for all texts where words can't be told apart."""
+        return [ids for ids, _, _ in self.verified(texts, None)]
+
+    def decode(self, ids: list[list[int]]) -> list[str]:
+        return self.tok.decode_batch(ids, skip_special_tokens=False)
+
+    def verified(self, texts: list[str], other) -> list[tuple[list[int], str, bool]]:
+        """(ids, decoded ids, whether the ids are those of ``other``, a sentencepiece processor) of whole texts.
+
+        Where words can be told apart, no merge reaches over a word's end: a text's ids, its decoded text and its parity are those
+        of its words, and each distinct word is encoded, decoded and compared once while it is remembered."""
         if not self.plain:
-            return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+            same = [True] * len(ids) if other is None else [a == b for a, b in zip(ids, other.encode(texts, num_threads=1))]
+            return list(zip(ids, self.decode(ids), same))
         if len(self.known) > self.most:
             self.known, self.old = {}, self.known  # what is still in use comes back from the old table
         known, old, head = self.known, self.old, MARK if self.spec.add_dummy_prefix else ""
         cut = [self.word.findall(head + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = list({w for ws in cut for w in ws if w not in known and len(w) <= 200})
+        new = list({w for ws in cut for w in ws if w not in known})
         known.update((w, old[w]) for w in new if w in old)
-        new = [w for w in new if w not in old]
-        known.update(zip(new, [e.ids for e in self.core.encode_batch_fast(new, add_special_tokens=False)]))
+        self._learn([w for w in new if w not in old], other)
         out = []
         for ws in cut:
             ids: list[int] = []
-            for w in ws:
-                ids += known[w] if w in known else self.core.encode(w, add_special_tokens=False).ids
-            out.append(ids)
+            found = list(map(known.__getitem__, ws))
+            for x in found:
+                ids += x[0]
+            text = "".join([x[1] for x in found])
+            out.append((ids, text[len(head) :], all([x[2] for x in found])))
         return out
 
-    def decode(self, ids: list[list[int]]) -> list[str]:
-        return self.tok.decode_batch(ids, skip_special_tokens=False)
+    def _learn(self, words: list[str], other) -> None:
+        if words:
+            ids = [e.ids for e in self.core.encode_batch_fast(words, add_special_tokens=False)]
+            back = self.core.decode_batch(ids, skip_special_tokens=False)
+            same = [True] * len(ids)
+            if other is not None:
+                skip = int(self.spec.add_dummy_prefix)  # sentencepiece puts the first marker itself
+                theirs = other.encode([w[skip:].replace(MARK, " ") for w in words], num_threads=1)
+                same = [a == (b or [other.piece_to_id(w)]) for w, a, b in zip(words, ids, theirs)]  # the empty text has no marker: a lone one is its piece
+            self.known.update(zip(words, zip(ids, back, same)))
 
 
 _BACKENDS: dict[str, tuple] = {}
@@ -169,7 +191,7 @@ def encode_documents(docs: DataFrame, model: str, keep_ids: bool = False, id_col
     """Encodes every whole text and decodes the ids again.
 
     Returns id_col, n_ids, ids_crc32 (unsigned, of little-endian unsigned 32-bit ids), parity (the ids are those of the
-    sentencepiece library), round_trip (the decoded text is the text), and with ``keep_ids`` the ids.
+    sentencepiece library, by its distinct words), round_trip (the decoded text is the text), and with ``keep_ids`` the ids.
 
     Null texts have null ids, null n_ids, ids_crc32, parity and round_trip; empty texts have no ids. Null ids of rows and
     repeated rows are kept. An empty table gives no rows; other columns take no part.
@@ -180,10 +202,7 @@ def encode_documents(docs: DataFrame, model: str, keep_ids: bool = False, id_col
         for batch in blocks(batches, "text"):
             texts = batch["text"].to_pylist()
             there = [t for t in texts if t is not None]
-            ids = own.encode(there)
-            same = [a == b for a, b in zip(ids, other.encode(there, num_threads=1))]
-            back = [a == b for a, b in zip(own.decode(ids), there)]
-            done = iter(zip(ids, same, back))
+            done = iter([(ids, same, back == text) for (ids, back, same), text in zip(own.verified(there, other), there)])
             rows = [(len(x[0]), zlib.crc32(np.asarray(x[0], "<u4").tobytes()), x[1], x[2], x[0] if keep_ids else None) if (x := next(done) if t is not None else None) else (None,) * 5 for t in texts]
             cols = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int32())))]
             yield pa.RecordBatch.from_arrays([batch["id"], *cols[: 4 + keep_ids]], ["id", "n_ids", "ids_crc32", "parity", "round_trip", "ids"][: 5 + keep_ids])
