@@ -36,23 +36,19 @@ def sessions(events: DataFrame, ts: str, keys: list[str], gap: str, late: str =
 def cool_downs(events: DataFrame, key: str, ts: str, kind: str, blocked: str, base_s: int, most_s: int) -> DataFrame:
     """The wait of each key after each batch: doubled by an event of kind ``blocked`` (from base_s to most_s), reset by any other.
 
-    State is two numbers a key and expires a day after its last batch."""
+    State is two numbers a key and stays: keys are hosts, not users."""
 
     def fold(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         wait, seen = state.get if state.exists else (0, 0)
         for pdf in batches:
             for x in pdf.sort_values(ts)[kind]:
                 wait = min(most_s, max(base_s, 2 * wait)) if x == blocked else 0
                 seen += 1
         state.update((wait, seen))
-        state.setTimeoutDuration(86_400_000)
         yield pd.DataFrame({key: [k[0]], "wait_s": [wait], "seen": [seen]})
 
     rows = events.select(key, ts, kind)
-    return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {dict(rows.dtypes)[key]}, wait_s long, seen long", "wait_s long, seen long", "update", GroupStateTimeout.ProcessingTimeTimeout)
+    return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {dict(rows.dtypes)[key]}, wait_s long, seen long", "wait_s long, seen long", "update", GroupStateTimeout.NoTimeout)
 
 
 def drain(stream: DataFrame, name: str, mode: str, checkpoint: str | None = None) -> DataFrame:
