@@ -233,7 +233,7 @@ def train(texts: list[str], langs: list[str], bits: int = 18, rounds: int = 40,
 class Tagger:
     """A model with a bounded memory of word scores."""
 
-    def __init__(self, model: Model, most: int = 600_000):
+    def __init__(self, model: Model, most: int = 350_000):
         self.model, self.most = model, most
         self._restart()
 
