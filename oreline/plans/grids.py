@@ -67,7 +67,7 @@ def cover_matrix(t: Tables) -> DataFrame:
 
 
 @query(f"WITH {_PX} SELECT a.row, a.col, round((a.v - b.v)::DOUBLE / nullif(a.v + b.v, 0), 6) AS nd FROM px a JOIN px b ON a.grid = 0 AND b.grid = 1 AND a.row = b.row AND a.col = b.col WHERE a.v <> 255 AND b.v <> 255")
-def canopy_index(t: Tables) -> DataFrame:
+def normalized_difference(t: Tables) -> DataFrame:
     p = pixels(t).filter("v <> 255")
     a, b = p.filter("grid = 0").select("row", "col", F.col("v").alias("a")), p.filter("grid = 1").select("row", "col", F.col("v").alias("b"))
     return a.join(b, ["row", "col"]).select("row", "col", G.normalized_difference(F.col("a"), F.col("b")).alias("nd"))
