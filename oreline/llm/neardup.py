@@ -2,7 +2,9 @@
 
 An odd sketch folds a document's MinHash samples into a bitmap of parities: each sample flips the bit that it hashes to. The
 XOR of two sketches has a bit for each place that differs, and its population count estimates how many samples differ,
-most precisely where few do. Documents of equal shingle sets are one node from the start. In a bucket each node first meets
+most precisely where few do. A second bitmap holds the parities of the shingles themselves: its XOR never has more bits than the
+sets have different shingles, so it rules pairs out without an error, which tells apart short texts just below the threshold.
+Documents of equal shingle sets are one node from the start. In a bucket each node first meets
 the bucket's least and greatest node only; these links are joined to components. A few more rounds take a random pivot of each
 bucket that still holds several components. What is left in the end, pairs of one bucket in different components, is compared
 in full: groups of copies cost a few rows a node, and no link between different components is passed over.
@@ -88,6 +90,14 @@ def signatures(sets: list[np.ndarray], bands: int, rows: int, samples: int, bits
     return keys, np.packbits(parity.astype(np.uint8), axis=1).view(np.uint64)
 
 
+def set_parities(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """Parity bitmaps (64-bit words, a row a set) of the sets' shingles."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    place = (_mix(np.concatenate(sets) * _B) >> np.uint64(64 - int(math.log2(bits)))).astype(np.int64)
+    parity = np.bincount(row * bits + place, minlength=len(sets) * bits).reshape(-1, bits) & 1
+    return np.packbits(parity.astype(np.uint8), axis=1).view(np.uint64)
+
+
 def most_different_bits(threshold: float, samples: int, bits: int) -> int:
     """Population counts up to this pass: at the threshold a pair exceeds it with a probability under 1e-8."""
     lowest = threshold - 6 * math.sqrt(threshold * (1 - threshold) / samples)
@@ -95,11 +105,19 @@ def most_different_bits(threshold: float, samples: int, bits: int) -> int:
     return math.ceil(bits * share + 2 * math.sqrt(bits * share * (1 - share)))
 
 
-def _close(percent: int, limit: int, words: int) -> Column:
-    """Sizes and sketches of a and b allow a link."""
-    differ = sum((F.bit_count(F.col(f"a.odd{i}").bitwiseXOR(F.col(f"b.odd{i}"))) for i in range(words)), F.lit(0))
-    sizes = (F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * percent)
-    return sizes & (differ <= limit)
+def _apart(a: str, b: str, kind: str, words: int) -> Column:
+    """Bits in which the bitmaps of a and b differ."""
+    return sum((F.bit_count(F.col(f"{a}.{kind}{i}").bitwiseXOR(F.col(f"{b}.{kind}{i}"))) for i in range(words)), F.lit(0))
+
+
+def _close(a: str, b: str, percent: int, limit: int, words: int) -> Column:
+    """Sizes, sketches and set parities of a and b allow a link.
+
+    percent * union <= 100 * intersection means (100 + percent) * different <= (100 - percent) * (size of a + size of b).
+    """
+    sizes = F.least(f"{a}.n", f"{b}.n") * 100 >= F.greatest(f"{a}.n", f"{b}.n") * percent
+    different = _apart(a, b, "par", words) * (100 + percent) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - percent)
+    return sizes & (_apart(a, b, "odd", words) <= limit) & different
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, samples: int = 256, bits: int = 1024, rounds: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -124,17 +142,19 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
             n = len(sets)
             size = np.array([len(s) for s in sets], np.int64)
             some = np.flatnonzero(size)
-            keys, odd = np.zeros((n, bands), np.uint64), np.zeros((n, sketch), np.uint64)
+            keys, maps = np.zeros((n, bands), np.uint64), np.zeros((n, 2 * sketch), np.uint64)
             digest = np.zeros((n, 2), np.int64)
             if len(some):
-                keys[some], odd[some] = signatures([sets[i] for i in some], bands, rows, samples, bits)
+                full = [sets[i] for i in some]
+                keys[some], maps[some, :sketch] = signatures(full, bands, rows, samples, bits)
+                maps[some, sketch:] = set_parities(full, bits)
                 digest[some] = np.frombuffer(b"".join(xxh3_128_digest(sets[i].tobytes()) for i in some), np.int64).reshape(-1, 2)
             offsets = pa.array(np.arange(n + 1) * bands, pa.int32())
             cols = [batch["doc_id"], pa.array(size), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel().view(np.int64)))]
-            cols += [pa.array(np.ascontiguousarray(odd[:, i]).view(np.int64)) for i in range(sketch)]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "lo", "hi", "keys", *(f"odd{i}" for i in range(sketch))])
+            cols += [pa.array(np.ascontiguousarray(maps[:, i]).view(np.int64)) for i in range(2 * sketch)]
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "lo", "hi", "keys", *odds])
 
-    odds = [f"odd{i}" for i in range(sketch)]
+    odds = [f"{kind}{i}" for kind in ("odd", "par") for i in range(sketch)]
     signed_schema = "doc_id long, n long, lo long, hi long, keys array<long>, " + ", ".join(f"{x} long" for x in odds)
     all_rows = materialize(source.mapInArrow(signed, signed_schema), "neardup-signed")
 
@@ -150,9 +170,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     side = lambda x: info.select(F.col("node").alias(x), F.struct("n", *odds).alias(f"{x}_info"))
 
     def sifted(pairs: DataFrame) -> DataFrame:
-        differ = sum((F.bit_count(F.col(f"x_info.{o}").bitwiseXOR(F.col(f"y_info.{o}"))) for o in odds), F.lit(0))
-        sizes = F.least("x_info.n", "y_info.n") * 100 >= F.greatest("x_info.n", "y_info.n") * percent
-        return pairs.join(side("x"), "x").join(side("y"), "y").filter(sizes).withColumn("differ", differ).filter(F.col("differ") <= limit).select("x", "y", "differ")
+        near = pairs.join(side("x"), "x").join(side("y"), "y").filter(_close("x_info", "y_info", percent, limit, sketch))
+        return near.select("x", "y", _apart("x_info", "y_info", "odd", sketch).alias("differ"))
 
     stars = members.select(F.col("node").alias("x"), F.explode(F.array("least", "greatest")).alias("y")).filter("x <> y").distinct()
     stars = materialize(sifted(stars), "neardup-stars")
@@ -202,7 +221,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     short = nodes.select("node", "n", F.transform("keys", lambda k: F.shiftright(k, 32).cast("int")).alias("short"), *odds)
     left = materialize(open_rows.join(short, "node"), "neardup-rest")
     first_band = F.array_position(F.zip_with("a.short", "b.short", lambda x, y: x == y), True) == F.col("a.band") + 1
-    cross = left.alias("a").join(left.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & _close(percent, limit, sketch) & first_band)
+    cross = left.alias("a").join(left.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & _close("a", "b", percent, limit, sketch) & first_band)
     rest = materialize(cross.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct(), "neardup-rest")
     component = connected_components(links.unionByName(materialize(confirmed(rest), "neardup-links")))
 

@@ -212,6 +212,16 @@ def test_near_duplicates(docs, rows, k):
     assert {d: (r["n_shingles"], r["component_id"]) for d, r in got.items()} == brute_components(rows, k)
 
 
+def test_set_parities_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 3000, np.uint64)
+    sets = [np.unique(np.concatenate([base[i : i + n], rng.integers(0, 1 << 63, extra, np.uint64)])) for n in (1, 40, 150, 2000) for i in (0, 5, 30) for extra in (0, 3, 30)]
+    maps = neardup.set_parities(sets, 1024)
+    for a, x in zip(sets, maps, strict=True):
+        for b, y in zip(sets, maps, strict=True):
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+
+
 def test_near_duplicates_in_a_chain(spark, edges):
     base = [f"w{i}" for i in range(100)]
     chain = [" ".join([*(f"x{j}_{i}" for j in range(3 * i)), *base[3 * i :]]) for i in range(12)]  # neighbours are near, the ends are far
