@@ -13,33 +13,62 @@ from xxhash import xxh3_64_intdigest
 
 from .common import blocks, materialize
 
-#: A sentence ends with its full stops and the white space after them, or with a line.
-BOUNDARY = re.compile(r"[.!?]+\s+|\n\s*")
+#: A sentence ends with its full stops and the white space after them, or with a line; the full stops of Han text need no space.
+BOUNDARY = re.compile(r"[.!?]+\s+|[。！？｡]+\s*|\n\s*")
+#: Letters of scripts that put no spaces between words: Thai, Lao, Burmese, Khmer, Han, kana.
+_JOINED = "\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3041-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+JOINED = re.compile(f"[{_JOINED}]")
 WORDS = re.compile(r"\S+\s*")
+#: Words of texts with such letters; each of them is one.
+PARTS = re.compile(rf"[{_JOINED}]\s*|[^\s{_JOINED}]+\s*")
+WINDOW = 8
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def _hash(words: list[str]) -> int:
+    return xxh3_64_intdigest(" ".join(words).lower().encode("utf-8", "surrogatepass"))
+
+
+def cut_points(hashes: list[int], window: int = WINDOW) -> list[int]:
+    """The places of the least hash, the last of equal ones, of each ``window`` hashes side by side.
+
+    They are at most ``window`` apart, and what lies ``window`` or more from the ends of a repeated stretch is cut alike wherever
+    the stretch stands."""
+    out, at = [], -1
+    for i in range(len(hashes) - window + 1):
+        if at < i:
+            part = hashes[i : i + window]
+            at = i + window - 1 - part[::-1].index(min(part))
+            out.append(at)
+        elif hashes[i + window - 1] <= hashes[at]:
+            at = i + window - 1
+            out.append(at)
+    return out
+
+
 def units(text: str, most_words: int = 16) -> tuple[list[int], list[int], list[int]]:
-    """Ends, hashes and words of the sentences that have a word. Sentences of more than ``most_words`` words count as several, cut from their start.
+    """Ends, hashes and words of the sentences that have a word. Sentences of more than ``most_words`` words count as several, cut
+    at the words of least hash in their surroundings, so that a passage is cut alike wherever it stands in a sentence.
 
-    Case and white space don't matter to the hash. Each unit reaches to the start of the next, so the units cover the text."""
+    Case and white space don't matter to the hash. Letters of scripts without spaces are cut as words are, and two count as a word.
+    Each unit reaches to the start of the next, so the units cover the text."""
     ends, hashes, words = [], [], []
     start = 0
+    joined = not text.isascii() and JOINED.search(text) is not None
     for end in [m.end() for m in BOUNDARY.finditer(text)] + [len(text)]:
-        found = text[start:end].split()
+        found = [m.group().rstrip() for m in PARTS.finditer(text, start, end)] if joined else text[start:end].split()
         if not found:
             continue
         if len(found) <= most_words:
-            ends.append(end)
-            hashes.append(xxh3_64_intdigest(" ".join(found).lower().encode("utf-8", "surrogatepass")))
-            words.append(len(found))
+            bounds, stops = [0, len(found)], None
         else:
-            stops = [m.end() for m in WORDS.finditer(text, start, end)]
-            for i in range(0, len(found), most_words):
-                some = found[i : i + most_words]
-                ends.append(stops[i + len(some) - 1])
-                hashes.append(xxh3_64_intdigest(" ".join(some).lower().encode("utf-8", "surrogatepass")))
-                words.append(len(some))
+            bounds = [0, *(x for x in cut_points([_hash([w]) for w in found]) if x), len(found)]
+            stops = [m.end() for m in (PARTS if joined else WORDS).finditer(text, start, end)]
+        for a, b in zip(bounds, bounds[1:]):
+            ends.append(stops[b - 1] if stops else end)
+            hashes.append(_hash(found[a:b]))
+            letters = sum(JOINED.match(w) is not None for w in found[a:b]) if joined else 0
+            words.append(b - a - letters // 2)
         start = end
     if ends:
         ends[-1] = len(text)
@@ -106,7 +135,8 @@ def dedup_spans(docs: DataFrame, sentences: int = 3, min_words: int = 12, id_col
     """Removes sentences that lie in a repeated run of consecutive sentences other than its first occurrence.
 
     A run starts at every sentence and takes ``sentences`` sentences, and more until it has ``min_words`` words; sentences of over
-    16 words count as several, so a passage of a few long sentences has runs too. Runs are equal if 96 bits of their hashes are.
+    16 words count as several, cut where their words say and not where they start, so a passage of one or two long sentences, or
+    of a text without full stops or spaces, has runs wherever it stands; up to 16 words at either end of it can stay. Runs are equal if 96 bits of their hashes are.
     The first occurrence is the one of the least id, in it the first place. Each document sends each run once; the runs are
     reduced to the least and greatest id by partial aggregation, and only runs with two ids are joined back, so a run that a
     third of the documents share costs each a row and no pairs.

@@ -170,6 +170,39 @@ def test_spans_keep_the_first_occurrence(spark):
     assert got == {1: f"{passage} Tail.", 2: "", 3: "Intro here. ", 4: "One small step was made there. Clean."}
 
 
+def windows(words, n):
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+
+@pytest.mark.parametrize("kind", ["long sentences", "no full stops", "no spaces"])
+def test_spans_find_passages_inside_sentences(spark, kind):
+    """Against word windows, without units(): no repeated passage of 51 words stays, and all that goes is repeated."""
+    rng = np.random.default_rng(5)
+    glue, vocabulary = ("", [chr(0x4E00 + i) for i in range(3000)]) if kind == "no spaces" else (" ", [f"w{i}x" for i in range(3000)])
+    some = lambda n: rng.choice(vocabulary, n).tolist()
+    passages, docs = [some(n) for n in rng.integers(51, 82, 80)], {}
+    heads, tails = [], []
+    for i, p in enumerate(passages):
+        if kind == "long sentences" and i % 2:
+            p[len(p) // 2] += "."
+        docs[2 * i] = [*some(rng.integers(0, 40)), *p, *some(rng.integers(0, 40))]
+        heads.append(some(rng.integers(0, 40)))
+        tails.append(some(rng.integers(0, 40)))
+        docs[2 * i + 1] = [*heads[i], *p, *tails[i]]
+    got = by_id(spans.dedup_spans(spark.createDataFrame([(d, glue.join(w)) for d, w in docs.items()], "doc_id long, text string")))
+    for i, p in enumerate(passages):
+        first, later = docs[2 * i], docs[2 * i + 1]
+        assert got[2 * i]["text"] == glue.join(first)
+        r = got[2 * i + 1]
+        kept = list(r["text"]) if not glue else r["text"].split()
+        assert 0 <= len(kept) - len(heads[i]) - len(tails[i]) <= 32
+        assert kept[: len(heads[i])] == heads[i] and kept[len(kept) - len(tails[i]) :] == tails[i]
+        assert not windows(first, 33) & windows(kept, 33)
+        for a, b in r["spans"]:
+            gone = glue.join(later)[a:b]
+            assert windows(list(gone) if not glue else gone.split(), 12) <= windows(first, 12)
+
+
 def test_preferences(spark):
     turn = "pair_id long, turn long, role string, text string, c string"
     common = [(1, 0, "system", "s", ""), (1, 1, "user", "hi", "")]
