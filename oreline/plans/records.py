@@ -94,6 +94,13 @@ def covered_share(t: Tables) -> DataFrame:
 _TOK = "tok AS (SELECT doc_id, unnest([w FOR w IN string_split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') IF w <> '']) AS token FROM documents), tf AS (SELECT token, doc_id, count(*) AS tf FROM tok GROUP BY ALL), q AS (SELECT item_id, unnest(list_distinct([w FOR w IN string_split(trim(regexp_replace(lower(array_to_string(string_split(text, ' ')[1:6], ' ')), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') IF w <> ''])) AS token FROM benchmark WHERE item_id < 10)"
 
 
+_TOK_WHOLE = _TOK[: _TOK.index(", q AS")] + ", q AS (SELECT item_id, unnest(list_distinct([w FOR w IN string_split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') IF w <> ''])) AS token FROM benchmark WHERE item_id % 20 = 0)"
+
+
+def _asked_whole(t: Tables) -> DataFrame:
+    return t.benchmark.filter("item_id % 20 = 0").select("item_id", "text")
+
+
 def _asked(t: Tables) -> DataFrame:
     return t.benchmark.filter("item_id < 10").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 6), " ").alias("text"))
 
@@ -108,10 +115,22 @@ def search_all(t: Tables) -> DataFrame:
     return R.any_term_leg(_asked(t), R.token_index(t.documents, "doc_id", "text"), "item_id", "doc_id", "text", all_terms=True)
 
 
+@query(f"WITH {_TOK_WHOLE}, h AS (SELECT item_id, doc_id, round(sum(1 - 1 / (1 + tf)::DOUBLE), 6) AS score FROM q JOIN tf USING (token) GROUP BY ALL) SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM h QUALIFY rank <= 20")
+def search_any_whole(t: Tables) -> DataFrame:
+    """``search_any`` for every item_id divisible by 20, whole text."""
+    return R.ranked(R.any_term_leg(_asked_whole(t), R.token_index(t.documents, "doc_id", "text"), "item_id", "doc_id", "text"), "item_id", "doc_id", 20)
+
+
+@query(f"WITH {_TOK_WHOLE}, h AS (SELECT item_id, doc_id, round(sum(1 - 1 / (1 + tf)::DOUBLE), 6) AS score, count(*) AS n FROM q JOIN tf USING (token) GROUP BY ALL), m AS (SELECT item_id, count(*) AS m FROM q GROUP BY 1) SELECT item_id, doc_id, score FROM h JOIN m USING (item_id) WHERE n = m")
+def search_all_whole(t: Tables) -> DataFrame:
+    """``search_all`` for every item_id divisible by 20, whole text."""
+    return R.any_term_leg(_asked_whole(t), R.token_index(t.documents, "doc_id", "text"), "item_id", "doc_id", "text", all_terms=True)
+
+
 @query()
 def search_rrf(t: Tables) -> DataFrame:
     """Hybrid search: an all-terms, an any-term and a trigram leg, fused by reciprocal rank."""
-    asked, index = _asked(t), R.token_index(t.documents, "doc_id", "text")
+    asked, index = _asked_whole(t), R.token_index(t.documents, "doc_id", "text")
     heads = t.documents.select("doc_id", F.substring("text", 1, 200).alias("text"))
     legs = [R.any_term_leg(asked, index, "item_id", "doc_id", "text", all_terms=True), R.any_term_leg(asked, index, "item_id", "doc_id", "text"), R.trigram_leg(asked, heads, "item_id", "doc_id", "text", 0.2)]
     return R.fuse([R.ranked(leg, "item_id", "doc_id", 50) for leg in legs], "item_id", "doc_id")

@@ -11,6 +11,7 @@ from oreline.functions import identifiers as I
 from oreline.functions import markup as M
 from oreline.functions import text as X
 from oreline.operators import curves, ledger, linkage, raster, sampling, sequence, stats, verdicts, versioning
+from oreline.plans import registry
 from oreline.sources import files
 from oreline.streaming import streams
 
@@ -226,3 +227,14 @@ def test_streams(spark, tmp_path):
     assert values(win, "k", "n", "total") == values(streams.windowed(rows, "ts", ["k"], "10 minutes"), "k", "n", "total") == [("a", 2, 3.0), ("b", 1, 3.0), ("b", 1, 4.0)]
     cool = streams.drain(streams.cool_downs(stream, "k", "ts", "kind", "bad", 60, 300), "cool", "update")
     assert values(cool, "k", "wait_s", "seen") == [("a", 120, 2), ("b", 60, 2)]
+
+
+def test_searches_ask_every_twentieth_text(spark, sf_dir, tmp_path):
+    tail = "the whole text counts here to the very last term omega"
+    spark.createDataFrame([(i, tail if i % 20 == 0 else "alpha") for i in range(45)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, "filler " * 100 + tail), (2, "the whole text counts here to"), (3, "alpha")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: registry.QUERIES[name](spark, str(tmp_path))
+    assert values(run("search_all_whole"), "item_id", "doc_id") == [(i, 1) for i in (0, 20, 40)]
+    assert values(run("search_any_whole"), "item_id", "doc_id") == [(i, d) for i in (0, 20, 40) for d in (1, 2)]
+    got = {(r["item_id"], r["doc_id"]): r["n_legs"] for r in run("search_rrf").collect()}
+    assert {i for i, _ in got} == {0, 20, 40}
