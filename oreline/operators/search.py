@@ -33,6 +33,23 @@ def trigram_leg(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str,
     return both.select(query_id, doc_id, F.round(F.col("_n") / (F.col("_a") + F.col("_b") - F.col("_n")), 6).alias("score")).filter(F.col("score") >= floor)
 
 
+def passage_leg(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, text: str, floor: float = 0.3, least: int = 200) -> DataFrame:
+    """(query, doc, score): documents with a passage whose trigram set is similar to the query's by ``floor`` or more; the best counts.
+
+    Documents are cut to passages of the query's length, ``least`` characters doubled as often as need be, that overlap by half
+    and cover the document; only the lengths that queries have are cut."""
+    n = F.length(text)
+    size = lambda: (F.lit(least) * F.pow(F.lit(2), F.ceil(F.log2(F.greatest(n, F.lit(least)) / F.lit(least))))).cast("int")
+    left = queries.select(query_id, size().alias("_size"), trigrams(text).alias("g")).select(query_id, "_size", F.size("g").alias("_a"), F.explode("g").alias("gram"))
+    cut = docs.crossJoin(F.broadcast(queries.select(size().alias("_size")).filter("_size IS NOT NULL").distinct())).withColumn("_half", (F.col("_size") / 2).cast("int"))
+    cut = cut.select(doc_id, text, "_size", "_half", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(n / F.col("_half")).cast("int") - 2))).alias("_no"))
+    right = cut.select(doc_id, "_size", "_no", trigrams(F.col(text).substr(F.col("_no") * F.col("_half") + 1, F.col("_size"))).alias("g"))
+    right = right.select(doc_id, "_size", "_no", F.size("g").alias("_b"), F.explode("g").alias("gram"))
+    both = left.join(right, ["_size", "gram"]).groupBy(query_id, doc_id, "_no").agg(F.count(F.lit(1)).alias("_n"), F.min("_a").alias("_a"), F.min("_b").alias("_b"))
+    best = both.groupBy(query_id, doc_id).agg(F.max(F.col("_n") / (F.col("_a") + F.col("_b") - F.col("_n"))).alias("score"))
+    return best.select(query_id, doc_id, F.round("score", 6).alias("score")).filter(F.col("score") >= floor)
+
+
 def ranked(leg: DataFrame, query_id: str, doc_id: str, limit: int) -> DataFrame:
     """The first ``limit`` documents of each query with their rank."""
     w = Window.partitionBy(query_id).orderBy(F.desc("score"), doc_id)

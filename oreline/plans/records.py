@@ -129,10 +129,9 @@ def search_all_whole(t: Tables) -> DataFrame:
 
 @query()
 def search_rrf(t: Tables) -> DataFrame:
-    """Hybrid search: an all-terms, an any-term and a trigram leg, fused by reciprocal rank."""
+    """Hybrid search: an all-terms, an any-term and a trigram leg over passages of whole texts, fused by reciprocal rank."""
     asked, index = _asked_whole(t), R.token_index(t.documents, "doc_id", "text")
-    heads = t.documents.select("doc_id", F.substring("text", 1, 200).alias("text"))
-    legs = [R.any_term_leg(asked, index, "item_id", "doc_id", "text", all_terms=True), R.any_term_leg(asked, index, "item_id", "doc_id", "text"), R.trigram_leg(asked, heads, "item_id", "doc_id", "text", 0.2)]
+    legs = [R.any_term_leg(asked, index, "item_id", "doc_id", "text", all_terms=True), R.any_term_leg(asked, index, "item_id", "doc_id", "text"), R.passage_leg(asked, t.documents, "item_id", "doc_id", "text", 0.2)]
     return R.fuse([R.ranked(leg, "item_id", "doc_id", 50) for leg in legs], "item_id", "doc_id")
 
 

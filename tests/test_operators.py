@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from oreline.functions import identifiers as I
 from oreline.functions import markup as M
 from oreline.functions import text as X
-from oreline.operators import curves, ledger, linkage, raster, sampling, sequence, stats, verdicts, versioning
+from oreline.operators import curves, ledger, linkage, raster, sampling, search, sequence, stats, verdicts, versioning
 from oreline.plans import registry
 from oreline.sources import files
 from oreline.streaming import streams
@@ -229,6 +229,15 @@ def test_streams(spark, tmp_path):
     assert values(cool, "k", "wait_s", "seen") == [("a", 120, 2), ("b", 60, 2)]
 
 
+def test_passage_leg_sees_whole_documents(spark):
+    passage = " ".join(f"word{i}q" for i in range(40))
+    filler = " ".join(chr(97 + i % 26) * 3 for i in range(300))
+    docs = spark.createDataFrame([(1, f"{filler} {passage} {filler}"), (2, filler), (3, None), (4, passage), (5, "")], "d long, t string")
+    asked = spark.createDataFrame([(7, passage), (8, "word1q word2q word3q"), (9, None)], "q long, t string")
+    got = values(search.passage_leg(asked, docs, "q", "d", "t", 0.2), "q", "d")
+    assert {(7, 1), (7, 4)} <= set(got) and not {d for _, d in got} & {2, 3, 5}
+
+
 def test_searches_ask_every_twentieth_text(spark, sf_dir, tmp_path):
     tail = "the whole text counts here to the very last term omega"
     spark.createDataFrame([(i, tail if i % 20 == 0 else "alpha") for i in range(45)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
@@ -237,4 +246,4 @@ def test_searches_ask_every_twentieth_text(spark, sf_dir, tmp_path):
     assert values(run("search_all_whole"), "item_id", "doc_id") == [(i, 1) for i in (0, 20, 40)]
     assert values(run("search_any_whole"), "item_id", "doc_id") == [(i, d) for i in (0, 20, 40) for d in (1, 2)]
     got = {(r["item_id"], r["doc_id"]): r["n_legs"] for r in run("search_rrf").collect()}
-    assert {i for i, _ in got} == {0, 20, 40}
+    assert {i for i, _ in got} == {0, 20, 40} and all(got[i, 1] == 3 for i in (0, 20, 40))
