@@ -51,22 +51,35 @@ _PAIRS = _BOX + """, p AS (SELECT a.page, a.box AS a_box, b.box AS b_box, greate
   greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) / least(a.h, b.h) AS band, a.w * a.h AS aa, b.w * b.h AS ba FROM b a JOIN b ON a.page = b.page AND a.box % 2 = 0 AND b.box % 2 = 1)"""
 
 
-def _boxes(t: Tables) -> DataFrame:
-    b = t.lineitem.filter("l_orderkey % 5 = 0").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("box"), (F.col("l_partkey") % 50).cast("double").alias("x"), (F.col("l_suppkey") % 40).cast("double").alias("y"), (10.0 + F.col("l_quantity") % 20).alias("w"), (8.0 + F.col("l_linenumber")).alias("h"))
+def _boxes(lines: DataFrame) -> DataFrame:
+    b = lines.select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("box"), (F.col("l_partkey") % 50).cast("double").alias("x"), (F.col("l_suppkey") % 40).cast("double").alias("y"), (10.0 + F.col("l_quantity") % 20).alias("w"), (8.0 + F.col("l_linenumber")).alias("h"))
     b = b.select("page", "box", F.array("x", "y", F.col("x") + F.col("w"), F.col("y") + F.col("h")).alias("bb"))
     a = b.filter("box % 2 = 0").select("page", F.col("box").alias("a_box"), F.col("bb").alias("a"))
     return a.join(b.filter("box % 2 = 1").select("page", F.col("box").alias("b_box"), F.col("bb").alias("b")), "page")
 
 
-@query(f"WITH {_PAIRS} SELECT page, a_box, b_box, round(i / (aa + ba - i), 6) AS iou, round(i / least(aa, ba), 6) AS inside, round(band, 6) AS band FROM p")
-def box_overlap(t: Tables) -> DataFrame:
+def _overlaps(lines: DataFrame) -> DataFrame:
     r = lambda f: F.round(f(F.col("a"), F.col("b")), 6)
-    return _boxes(t).select("page", "a_box", "b_box", r(K.iou).alias("iou"), r(K.containment).alias("inside"), r(K.band_containment).alias("band"))
+    return _boxes(lines).select("page", "a_box", "b_box", r(K.iou).alias("iou"), r(K.containment).alias("inside"), r(K.band_containment).alias("band"))
+
+
+_OVERLAPS = f"WITH {_PAIRS} SELECT page, a_box, b_box, round(i / (aa + ba - i), 6) AS iou, round(i / least(aa, ba), 6) AS inside, round(band, 6) AS band FROM p"
+
+
+@query(_OVERLAPS)
+def box_overlap(t: Tables) -> DataFrame:
+    return _overlaps(t.lineitem.filter("l_orderkey % 5 = 0"))
+
+
+@query(_OVERLAPS.replace(" WHERE l_orderkey % 5 = 0", ""))
+def box_overlap_whole(t: Tables) -> DataFrame:
+    """``box_overlap`` of all orders."""
+    return _overlaps(t.lineitem)
 
 
 @query()
 def box_match(t: Tables) -> DataFrame:
-    return K.greedy_match(box_overlap(t), "page", "a_box", "b_box", "iou", 0.1)
+    return K.greedy_match(box_overlap_whole(t), "page", "a_box", "b_box", "iou", 0.1)
 
 
 @query("""WITH a AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS k FROM orders WHERE o_orderstatus = 'F'),

@@ -247,3 +247,10 @@ def test_searches_ask_every_twentieth_text(spark, sf_dir, tmp_path):
     assert values(run("search_any_whole"), "item_id", "doc_id") == [(i, d) for i in (0, 20, 40) for d in (1, 2)]
     got = {(r["item_id"], r["doc_id"]): r["n_legs"] for r in run("search_rrf").collect()}
     assert {i for i, _ in got} == {0, 20, 40} and all(got[i, 1] == 3 for i in (0, 20, 40))
+
+
+def test_boxes_of_every_order_take_part(spark, tmp_path):
+    rows = [(o, n, 3, 4, 5.0) for o in range(1, 12) for n in (1, 2)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("box_overlap_whole", "box_match"):
+        assert values(registry.QUERIES[name](spark, str(tmp_path)), "page", "a_box", "b_box") == [(o, 2, 1) for o in range(1, 12)]
