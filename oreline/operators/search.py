@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,3 +92,51 @@ def verify_quotes(body: str, quote: str, start: Column | str, stop: Column | str
     part = F.substring(F.col(body), col(start).cast("int") + 1, (col(stop) - col(start)).cast("int"))
     q = canonical_newlines(quote)
     return (canonical_newlines(part) == q) & ~q.startswith("\n") & ~q.endswith("\n")
+
+
+def cosine_leg(vectors: DataFrame, every: int, k: int, vec_id: str, vector: str, queries_at_once: int = 4096, chunk: int = 4096) -> DataFrame:
+    """(query_id, vec_id, score): candidates of the ``k`` highest cosines, to 6 places, of each query: rows whose id is divisible by ``every``.
+
+    Queries go out in blocks of about ``queries_at_once``, the only thing that is broadcast; the rows never move, and each chunk of
+    them sends on ``k`` rows a query at the most, ties to the smaller id. Vectors that are null, empty, zero or not finite take no
+    part, nor do null ids; vectors of different lengths don't meet."""
+    spark = vectors.sparkSession
+    e = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).filter("vec_id IS NOT NULL AND size(v) > 0")
+    asked = e.filter(F.col("vec_id") % every == 0)
+    n_blocks = max(1, -(-asked.count() // queries_at_once))
+
+    def by_length(ids: list, vecs: list) -> dict:
+        out = {}
+        for i, v in zip(ids, vecs):
+            x = np.array(v, float)
+            if np.isfinite(x).all() and (norm := np.sqrt((x * x).sum())) > 0:
+                held = out.setdefault(len(x), ([], [], []))
+                held[0].append(i)
+                held[1].append(x)
+                held[2].append(norm)
+        return {d: (np.array(i), np.stack(v), np.array(m)) for d, (i, v, m) in out.items()}
+
+    found = spark.createDataFrame([], "query_id long, vec_id long, score double")
+    for b in range(n_blocks):
+        got = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == b).toArrow()  # about queries_at_once rows
+        shared = spark.sparkContext.broadcast(by_length(got["vec_id"].to_pylist(), got["v"].to_pylist()))
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, chunk):
+                    part = batch.slice(at, chunk)
+                    mine = by_length(part["vec_id"].to_pylist(), part["v"].to_pylist())
+                    for d in mine.keys() & shared.value.keys():
+                        (q_ids, q, q_norm), (ids, v, norm) = shared.value[d], mine[d]
+                        rows = ([], [], [])
+                        for i, row in enumerate(q):
+                            other = np.flatnonzero(ids != q_ids[i])
+                            score = np.round((v[other] @ row) / (norm[other] * q_norm[i]), 6)
+                            top = np.lexsort((ids[other], -score))[:k]
+                            rows[0].extend([q_ids[i]] * len(top))
+                            rows[1].extend(ids[other][top])
+                            rows[2].extend(score[top])
+                        yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.float64())], ["query_id", "vec_id", "score"])
+
+        found = found.unionByName(e.mapInArrow(run, "query_id long, vec_id long, score double"))
+    return found

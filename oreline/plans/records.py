@@ -158,6 +158,13 @@ def embedding_cosine(t: Tables) -> DataFrame:
     return R.ranked(s.select("query_id", "vec_id", "score"), "query_id", "vec_id", 5)
 
 
+@query("""WITH v AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS score FROM embeddings q JOIN embeddings c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM v QUALIFY rank <= 5""")
+def embedding_cosine_whole(t: Tables) -> DataFrame:
+    """``embedding_cosine`` for every vec_id divisible by 20, in blocks of queries."""
+    return R.ranked(R.cosine_leg(t.embeddings, 20, 5, "vec_id", "embedding"), "query_id", "vec_id", 5)
+
+
 _VER = "ver AS (SELECT o_orderkey AS vid, o_custkey AS cid, o_totalprice AS price, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS base, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS no FROM orders), ident AS (SELECT cid, arg_max(vid, CASE WHEN no % 3 = 1 THEN no ELSE -no END) AS pointer FROM ver GROUP BY cid), heads AS (SELECT 'ws' || (cid % 2) AS ws, cid, max(vid) AS head FROM ver WHERE cid % 5 = 0 GROUP BY ALL)"
 
 

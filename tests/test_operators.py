@@ -254,3 +254,12 @@ def test_boxes_of_every_order_take_part(spark, tmp_path):
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
     for name in ("box_overlap_whole", "box_match"):
         assert values(registry.QUERIES[name](spark, str(tmp_path)), "page", "a_box", "b_box") == [(o, 2, 1) for o in range(1, 12)]
+
+
+def test_cosines_of_every_twentieth_vector(spark):
+    rows = [(i, [float(i % 7 + 1), float(i % 5), 1.0]) for i in range(61)] + [(100, [0.0, 0.0, 0.0]), (120, None), (None, [1.0, 1.0, 1.0]), (140, [1.0]), (160, [1.0, float("nan"), 0.0])]
+    vectors = spark.createDataFrame(rows, "i long, v array<double>")
+    cos = lambda a, b: round(sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a)) / math.sqrt(sum(x * x for x in b)), 6)
+    want = [(q, i) for q in (0, 20, 40, 60) for _, i in sorted((-cos(rows[q][1], rows[i][1]), i) for i in range(61) if i != q)[:3]]
+    leg = search.cosine_leg(vectors, 20, 3, "i", "v", queries_at_once=2, chunk=9)
+    assert values(search.ranked(leg, "query_id", "vec_id", 3), "query_id", "vec_id") == sorted(want)
