@@ -19,8 +19,11 @@ from oreline.llm.spans import dedup_spans
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents that have a language; those without a letter are rejected."""
-    named = identify_languages(docs, fit(docs), whole_rows=True)
+    """Keeps documents that have a language; those without a letter are rejected, and only those where no row has a label to learn from."""
+    model = fit(docs)
+    if model is None:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    named = identify_languages(docs, model, whole_rows=True)
     return named.filter("lang_pred <> 'und'").select("doc.*")
 
 

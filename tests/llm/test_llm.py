@@ -395,6 +395,16 @@ def test_pipeline(spark, sf_dir, edges, docs):
             assert stage(spark, table, sf_dir).columns == full.columns
 
 
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_pipeline_keeps_texts_without_labels(spark, sf_dir, edges, lang):
+    import corpus_pipeline
+
+    full = edges.withColumns({"lang": F.lit(lang).cast("string"), "source": F.lit("s"), "n_chars": F.length("text").cast("long")})
+    out = corpus_pipeline.language_id(spark, full, sf_dir)
+    assert out.columns == full.columns
+    assert sorted(r["doc_id"] or 0 for r in out.collect()) == sorted(e[0] or 0 for e in EDGES if re.search("[A-Za-z]", e[1] or ""))
+
+
 def test_queries_match_their_sql(spark, sf_dir):
     import duckdb
 
