@@ -6,8 +6,11 @@ most precisely where few do. A second bitmap holds the parities of the shingles
 sets have different shingles, so it rules pairs out without an error, which tells apart short texts just below the threshold.
 Documents of equal shingle sets are one node from the start. In a bucket each node first meets
 the bucket's least and greatest node only; these links are joined to components. A few more rounds take a random pivot of each
-bucket that still holds several components. What is left in the end, pairs of one bucket in different components, is compared
-in full: groups of copies cost a few rows a node, and no link between different components is passed over.
+bucket that still holds several components; a bucket whose members are of one component is done and drops out for good. What
+is left in the end, pairs of one bucket in different components, is compared in full: groups of copies cost a few rows a node,
+and no link between different components is passed over. That last join sees the pairs of different components in a bucket;
+a bucket's components that are not linked agree in ``rows`` MinHash values by accident, which two documents of similarity s
+do with a probability of s ** rows, so there are few of them: at a similarity of 0.1 one in a million.
 """
 
 from __future__ import annotations
@@ -33,22 +36,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-class _Words(dict):
-    """Hashes of words; restarts when it is full."""
+class Words(dict):
+    """Hashes of words; restarts when it is full (about ``most`` bytes)."""
+
+    def __init__(self, most: int = 24 << 20):
+        self.most = self.room = most
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        self.room -= 170 + len(word)
+        if self.room < 0:
             self.clear()
+            self.room = self.most
         h = self[word] = xxh3_64_intdigest(word)
         return h
 
 
-_WORDS = _Words()
-
-
-def shingle_sets(texts: list[bytes | None], k: int) -> list[np.ndarray]:
+def shingle_sets(texts: list[bytes | None], k: int, words: Words) -> list[np.ndarray]:
     """Sorted distinct hashes of the ``k``-word shingles of each text; of fewer words, one of the whole sequence."""
-    hashes = [np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words)) for words in ((t or b"").translate(LOWER).split() for t in texts)]
+    hashes = [np.fromiter(map(words.__getitem__, found), np.uint64, len(found)) for found in ((t or b"").translate(LOWER).split() for t in texts)]
     flat = np.concatenate([*hashes, np.zeros(k, np.uint64)])
     n = len(flat) - k + 1
     x = np.full(n, k, np.uint64)
@@ -71,12 +76,12 @@ def shingle_sets(texts: list[bytes | None], k: int) -> list[np.ndarray]:
 
 
 def signatures(sets: list[np.ndarray], bands: int, rows: int, samples: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Band keys (a row a set) of the first bands * rows MinHash samples, odd sketches (64-bit words) of all; no set is empty."""
+    """Band keys (a row a set) of bands * rows MinHash samples, odd sketches (64-bit words) of the first ``samples``; no set is empty."""
     flat, sizes = np.concatenate(sets), np.array([len(s) for s in sets])
     starts = np.cumsum(sizes) - sizes
-    n = len(sets)
-    least = np.empty((n, samples), np.uint64)
-    multipliers = _mix(np.arange(1, samples + 1, dtype=np.uint64) * _A) | np.uint64(1)
+    n, total = len(sets), max(samples, bands * rows)
+    least = np.empty((n, total), np.uint64)
+    multipliers = _mix(np.arange(1, total + 1, dtype=np.uint64) * _A) | np.uint64(1)
     for i, a in enumerate(multipliers):
         least[:, i] = np.minimum.reduceat(flat * a, starts)
     keys = np.empty((n, bands), np.uint64)
@@ -85,7 +90,7 @@ def signatures(sets: list[np.ndarray], bands: int, rows: int, samples: int, bits
         for r in range(rows):
             key = _mix(key * _A + least[:, b * rows + r])
         keys[:, b] = key
-    place = (_mix(_mix(least + np.arange(samples, dtype=np.uint64) * _B) * _A) >> np.uint64(64 - int(math.log2(bits)))).astype(np.int64)
+    place = (_mix(_mix(least[:, :samples] + np.arange(samples, dtype=np.uint64) * _B) * _A) >> np.uint64(64 - int(math.log2(bits)))).astype(np.int64)
     parity = np.bincount((np.arange(n)[:, None] * bits + place).ravel(), minlength=n * bits).reshape(n, bits) & 1
     return keys, np.packbits(parity.astype(np.uint8), axis=1).view(np.uint64)
 
@@ -120,25 +125,29 @@ def _close(a: str, b: str, percent: int, limit: int, words: int) -> Column:
     return sizes & (_apart(a, b, "odd", words) <= limit) & different
 
 
-def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, samples: int = 256, bits: int = 1024, rounds: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80, bands: int = 56, rows: int = 6, samples: int = 256, bits: int = 1024, rounds: int = 4, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Links documents whose shingle sets have 100 * intersection >= percent * union, and names each document's component.
 
     Texts are lower-cased in A-Z and split at ASCII white space; a shingle is ``shingle_words`` words in a row, of shorter texts the
     whole. Candidates agree in one of ``bands`` bands of ``rows`` MinHash values: at a similarity of 0.8 all bands miss a pair
     with a probability of 5e-8. A link counts only if the full sets confirm it.
 
-    Returns id_col, n_shingles, component_id (least id reachable), kept (the id is its component's).
+    Returns id_col, n_shingles, component_id (least id reachable), kept (the id is its component's). With ``carry`` (long
+    columns of ``docs``) these columns and set_lo, set_hi, the 128 bits that name the row's shingle set, follow.
 
     Null texts and texts without words have no shingles and are linked with nothing. Rows with null ids have a null
     component, are kept and link nothing. Repeated rows are linked and share an id, so all of them have the same kept; rows
     of equal ids and different texts each follow their own text. An empty table gives no rows; other columns take no part.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    extra = {f"extra{i}": c for i, c in enumerate(carry or [])}
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *(F.col(c).cast("long").alias(x) for x, c in extra.items()))
     sketch = bits // 64
+    odds = [f"{kind}{i}" for kind in ("odd", "par") for i in range(sketch)]
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
         for batch in blocks(batches, "text", 2 << 20):
-            sets = shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), shingle_words)
+            sets = shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), shingle_words, words)
             n = len(sets)
             size = np.array([len(s) for s in sets], np.int64)
             some = np.flatnonzero(size)
@@ -150,18 +159,19 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
                 maps[some, sketch:] = set_parities(full, bits)
                 digest[some] = np.frombuffer(b"".join(xxh3_128_digest(sets[i].tobytes()) for i in some), np.int64).reshape(-1, 2)
             offsets = pa.array(np.arange(n + 1) * bands, pa.int32())
-            cols = [batch["doc_id"], pa.array(size), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel().view(np.int64)))]
+            cols = [batch["doc_id"], *(batch[x] for x in extra), pa.array(size), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel().view(np.int64)))]
             cols += [pa.array(np.ascontiguousarray(maps[:, i]).view(np.int64)) for i in range(2 * sketch)]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "lo", "hi", "keys", *odds])
+            yield pa.RecordBatch.from_arrays(cols, ["doc_id", *extra, "n", "lo", "hi", "keys", *odds])
 
-    odds = [f"{kind}{i}" for kind in ("odd", "par") for i in range(sketch)]
-    signed_schema = "doc_id long, n long, lo long, hi long, keys array<long>, " + ", ".join(f"{x} long" for x in odds)
+    signed_schema = ", ".join(f"{x} long" for x in ("doc_id", *extra, "n", "lo", "hi")) + ", keys array<long>, " + ", ".join(f"{x} long" for x in odds)
     all_rows = materialize(source.mapInArrow(signed, signed_schema), "neardup-signed")
 
-    # A node is the least id among the documents of a shingle set.
-    classes = materialize(all_rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("lo", "hi").agg(F.min("doc_id").alias("node")), "neardup-classes")
-    nodes = all_rows.filter("n > 0").join(classes.withColumnRenamed("node", "doc_id"), ["lo", "hi", "doc_id"]).dropDuplicates(["lo", "hi", "doc_id"])
-    nodes = materialize(nodes.select(F.col("doc_id").alias("node"), "n", "keys", *odds), "neardup-nodes")
+    # A node is a shingle set. Its number is fixed by being written; ids come in again at the end, as one id may have several sets.
+    classes = all_rows.filter("n > 0 AND doc_id IS NOT NULL").groupBy("lo", "hi").agg(F.min("doc_id").alias("least_id"))
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "neardup-classes")
+    chosen = classes.withColumnRenamed("least_id", "doc_id")
+    nodes = all_rows.filter("n > 0").join(chosen, ["lo", "hi", "doc_id"]).dropDuplicates(["lo", "hi", "doc_id"])
+    nodes = materialize(nodes.select("node", "lo", "hi", "doc_id", "n", "keys", *odds), "neardup-nodes")
     buckets = nodes.select("node", F.posexplode("keys").alias("band", "key"))
     shared = buckets.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("greatest")).filter("least < greatest")
     members = materialize(buckets.join(shared, "key"), "neardup-members")
@@ -176,16 +186,27 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     stars = members.select(F.col("node").alias("x"), F.explode(F.array("least", "greatest")).alias("y")).filter("x <> y").distinct()
     stars = materialize(sifted(stars), "neardup-stars")
 
-    # Full sets of the nodes that any candidate pair can hold, made again from their texts.
-    involved = members.select(F.col("node").alias("doc_id")).distinct()
+    # Full sets of the nodes that any candidate pair can hold, made again from their texts: of one row a node, found by its own digest.
+    involved = members.select("node").distinct().join(nodes.select("node", "doc_id", "lo"), "node").groupBy("doc_id").agg(F.collect_set(F.struct("lo", "node")).alias("wanted"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
         for batch in blocks(batches, "text", 2 << 20):
-            some = [s.view(np.int64) for s in shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), shingle_words)]
-            offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in some])]), pa.int32())
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(some)))], ["node", "shingles"])
-
-    full = materialize(source.filter("text IS NOT NULL").join(involved, "doc_id", "left_semi").select("doc_id", "text").mapInArrow(sets, "node long, shingles array<long>"), "neardup-sets")
+            found, nodes_of = [], []
+            for s, wanted in zip(shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), shingle_words, words), batch["wanted"].to_pylist()):
+                lo = int(np.frombuffer(xxh3_128_digest(s.tobytes()), np.int64)[0])
+                if own := [w["node"] for w in wanted if w["lo"] == lo]:
+                    found.append(s.view(np.int64))
+                    nodes_of.append(own[0])
+            if found:
+                offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in found])]), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(nodes_of, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found)))], ["node", "shingles"])
+
+    texts = source.filter("text IS NOT NULL").join(involved, "doc_id").select("text", "wanted")
+    full = materialize(texts.mapInArrow(sets, "node long, shingles array<long>"), "neardup-sets")
+    if full.count() > full.select("node").distinct().count():  # rows repeat: one of each set is enough
+        repeated, full = full, materialize(full.dropDuplicates(["node"]), "neardup-sets")
+        discard(repeated)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         a, b = full.select(F.col("node").alias("x"), F.col("shingles").alias("s")), full.select(F.col("node").alias("y"), F.col("shingles").alias("t"))
@@ -196,38 +217,50 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     def linked(pairs: DataFrame) -> DataFrame:
         return materialize(confirmed(pairs.groupBy("x").agg(F.min_by("y", "differ").alias("y"))), "neardup-links")
 
-    links = linked(stars)
+    written = [linked(stars)]
+    links = written[0]
     component = connected_components(links)
 
-    def still_open() -> DataFrame:
-        placed = members.select("node", "key", "band").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    def still_open(rows_left: DataFrame) -> DataFrame:
+        placed = rows_left.select("node", "key", "band").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
         split = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key")
         return materialize(placed.join(split, "key"), "neardup-open")
 
-    open_rows = still_open()
-    for r in range(rounds):
+    open_rows = still_open(members)
+    unsettled = lambda: open_rows.limit(1).count() > 0
+    for r in range(rounds if unsettled() else 0):
         some = open_rows.filter(F.col("band") % 8 == r % 8)  # an eighth of the bands a round: a few pivots a node
         pivots = some.withColumn("h", F.xxhash64("node", "key", F.lit(r))).groupBy("key").agg(F.min_by("node", "h").alias("y"), F.min_by("component", "h").alias("other"))
         pairs = some.join(pivots, "key").filter("component <> other").select(F.col("node").alias("x"), "y").distinct()
         more = linked(sifted(pairs))
+        written.append(more)
         if not more.limit(1).count():
             break
         links = links.unionByName(more)
+        discard(component)
         component = connected_components(links)
-        discard(open_rows)
-        open_rows = still_open()
-
-    # A pair is compared where its first common band is; 32 bits of each key tell.
-    short = nodes.select("node", "n", F.transform("keys", lambda k: F.shiftright(k, 32).cast("int")).alias("short"), *odds)
-    left = materialize(open_rows.join(short, "node"), "neardup-rest")
-    first_band = F.array_position(F.zip_with("a.short", "b.short", lambda x, y: x == y), True) == F.col("a.band") + 1
-    cross = left.alias("a").join(left.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & _close("a", "b", percent, limit, sketch) & first_band)
-    rest = materialize(cross.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct(), "neardup-rest")
-    component = connected_components(links.unionByName(materialize(confirmed(rest), "neardup-links")))
-
-    named = classes.join(component, "node", "left").select("lo", "hi", F.coalesce("component", "node").alias("component_id"))
-    out = all_rows.select("doc_id", "n", "lo", "hi").join(named, ["lo", "hi"], "left")
+        before, open_rows = open_rows, still_open(open_rows)
+        discard(before)
+        if not unsettled():
+            break
+
+    if unsettled():
+        left = materialize(open_rows.drop("band").join(info, "node"), "neardup-left")
+        cross = left.alias("a").join(left.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & _close("a", "b", percent, limit, sketch))
+        rest = materialize(cross.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct(), "neardup-rest")
+        written += [left, rest, materialize(confirmed(rest), "neardup-links")]
+        discard(component)
+        component = connected_components(links.unionByName(written[-1]))
+
+    # A component is named by the least id of its documents.
+    placed = classes.select("node", "least_id").join(component, "node")
+    names = placed.groupBy("component").agg(F.min("least_id").alias("name"))
+    named = component.join(names, "component").select("node", "name")
+    named = materialize(classes.join(named, "node", "left").select("lo", "hi", F.coalesce("name", "least_id").alias("component_id")), "neardup-names")
+    discard(stars, full, open_rows, members, nodes, classes, component, *written)
+    out = all_rows.select("doc_id", *extra, "n", "lo", "hi").join(named, ["lo", "hi"], "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).cast("long")
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
-    discard(stars, full, left, rest, open_rows, members, nodes)
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))).withColumnRenamed("doc_id", id_col)
+    out = out.select("doc_id", *extra, F.col("n").alias("n_shingles"), own.alias("component_id"), "lo", "hi")
+    out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    followed = [*(F.col(x).alias(c) for x, c in extra.items()), F.col("lo").alias("set_lo"), F.col("hi").alias("set_hi")] if extra else []
+    return out.select(F.col("doc_id").alias(id_col), "n_shingles", "component_id", "kept", *followed)
