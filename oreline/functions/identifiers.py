@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ def doi(x: Column | str) -> Column:
 
 def find_doi(text: Column | str) -> Column:
     """The first DOI in running text; a closing bracket without its opening one is not part of it. Null if there is none."""
-    raw = F.regexp_extract(strip_invisible(text), r"(?i)\b10\.\d{4,9}/[^\s\"'<>]+", 0)
+    raw = F.regexp_extract(F.regexp_replace(_col(text), r"\p{Cf}", ""), r"(?i)\b10\.\d{4,9}/[^\s\"'<>]+", 0)
     balanced = F.regexp_replace(raw, r"[.,;:]+$", "")
     opened = lambda c, b: F.length(c) - F.length(F.translate(c, b, ""))
     balanced = F.when(balanced.endswith(")") & (opened(balanced, ")") > opened(balanced, "(")), F.regexp_replace(balanced, r"\)+$", "")).otherwise(balanced)
@@ -32,25 +34,31 @@ def arxiv(x: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(F.trim(_col(x))), "^arxiv:", ""), "v[0-9]+$", "")
 
 
-def _digit(c: Column, i: Column | int) -> Column:
-    at = F.substring(c, i, F.lit(1)) if not isinstance(i, int) else F.substring(c, i, 1)
-    return F.when(at == "X", F.lit(10)).otherwise(at.try_cast("int"))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def weighted(c: Column, weights: list[int]) -> Column:
+    """Sum of the weighted digits of ``c``; X is 10."""
+    digit = lambda i: F.instr(F.lit("0123456789X"), F.substring(c, i, F.lit(1))) - 1
+    return F.aggregate(F.zip_with(F.sequence(F.lit(1), F.lit(len(weights))), F.array(*map(F.lit, weights)), lambda i, w: w * digit(i)), F.lit(0), lambda a, x: a + x)
+
+
+TENS, NINES, EAN = list(range(10, 0, -1)), list(range(10, 1, -1)), [1, 3] * 6
 
 
 def isbn10_valid(c: Column) -> Column:
     """Nine digits and a check digit: weights 10 to 1 give a multiple of 11; the all-zero forms are not numbers."""
-    total = sum(((11 - i) * _digit(c, i) for i in range(1, 11)), F.lit(0))
-    return F.when(c.rlike("^[0-9]{9}[0-9X]$") & ~c.isin("0000000000", "000000000X"), total % 11 == 0).otherwise(F.lit(False))
+    return F.when(c.rlike("^[0-9]{9}[0-9X]$") & ~c.isin("0000000000", "000000000X"), weighted(c, TENS) % 11 == 0).otherwise(F.lit(False))
 
 
 def ean13_check(first12: Column) -> Column:
-    total = sum(((1 if i % 2 else 3) * _digit(first12, i) for i in range(1, 13)), F.lit(0))
-    return ((10 - total % 10) % 10).cast("string")
+    return ((10 - weighted(first12, EAN) % 10) % 10).cast("string")
 
 
 def isbn10_check(first9: Column) -> Column:
-    total = sum(((11 - i) * _digit(first9, i) for i in range(1, 10)), F.lit(0))
-    rest = (11 - total % 11) % 11
+    rest = (11 - weighted(first9, NINES) % 11) % 11
     return F.when(rest == 10, F.lit("X")).otherwise(rest.cast("string"))
 
 
@@ -73,40 +81,44 @@ def to_isbn10(c: Column) -> Column:
 
 
 def isbn(x: Column | str) -> Column:
-    c = isbn_clean(x)
-    return F.when(isbn10_valid(c), to_isbn13(c)).otherwise(c)
+    return let(isbn_clean(x), lambda c: F.when(isbn10_valid(c), let(F.concat(F.lit("978"), F.substring(c, 1, 9)), lambda d: F.concat(d, ean13_check(d)))).otherwise(c))
 
 
 def issn(x: Column | str) -> Column:
-    c = F.regexp_replace(F.upper(F.trim(_col(x))), r"[\s-]", "")
-    return F.when(c.rlike("^[0-9]{7}[0-9X]$"), F.concat_ws("-", F.substring(c, 1, 4), F.substring(c, 5, 4))).otherwise(c)
+    return F.regexp_replace(F.regexp_replace(F.upper(F.trim(_col(x))), r"[\s-]", ""), "^([0-9]{4})([0-9]{3}[0-9X])$", "$1-$2")
 
 
 def issn_valid(c: Column) -> Column:
-    bare = F.regexp_replace(c, "-", "")
-    total = sum(((9 - i) * _digit(bare, i) for i in range(1, 9)), F.lit(0))
-    return F.when(bare.rlike("^[0-9]{7}[0-9X]$"), total % 11 == 0).otherwise(F.lit(False))
+    return let(F.regexp_replace(c, "-", ""), lambda d: F.when(d.rlike("^[0-9]{7}[0-9X]$"), weighted(d, TENS[2:]) % 11 == 0).otherwise(F.lit(False)))
+
+
+#: The schemes that only drop a pattern and change case. (case, patterns that go, whether the last path segment alone counts)
+PLAIN = {
+    "arxiv": ("lower", ["^arxiv:", "v[0-9]+$"], False), "pmid": ("", [r"(?i)^pmid:\s*"], False), "pii": ("upper", ["[^0-9A-Z]"], False),
+    "handle": ("", [r"(?i)^(hdl:\s*|(https?://)?hdl\.handle\.net/)"], False), "oclc": ("lower", [r"^(\(ocolc\)|ocm|ocn|on)"], False),
+    "lccn": ("lower", [r"\s"], False), "hal": ("lower", ["v[0-9]+$"], False), "md5": ("lower", [], False), "sha1": ("lower", [], False),
+    "sha256": ("lower", [], False), "s2": ("lower", [], False), "olid": ("upper", [], False), "openalex": ("upper", [], True), "wikidata": ("upper", [], True),
+}
 
 
-def _simple(x: Column) -> dict[str, Column]:
+def _plain(x: Column, case: str, gone: list[str], last: bool) -> Column:
     t = F.trim(x)
-    last_part = F.upper(F.regexp_replace(F.regexp_replace(t, "/+$", ""), "^.*/", ""))
-    return {
-        "doi": doi(x), "arxiv": arxiv(x), "isbn": isbn(x), "issn": issn(x),
-        "pmcid": F.when(t.rlike(r"(?i)^(pmc)?\s*[0-9]+$"), F.concat(F.lit("PMC"), F.regexp_extract(t, "[0-9]+$", 0))).otherwise(t),
-        "pmid": F.regexp_replace(t, r"(?i)^pmid:\s*", ""), "pii": F.regexp_replace(F.upper(t), "[^0-9A-Z]", ""),
-        "handle": F.regexp_replace(t, r"(?i)^(hdl:\s*|(https?://)?hdl\.handle\.net/)", ""), "oclc": F.regexp_replace(F.lower(t), r"^(\(ocolc\)|ocm|ocn|on)", ""),
-        "lccn": F.regexp_replace(F.lower(x), r"\s", ""), "hal": F.regexp_replace(F.lower(t), "v[0-9]+$", ""), "md5": F.lower(t), "sha1": F.lower(t),
-        "sha256": F.lower(t), "s2": F.lower(t), "olid": F.upper(t), "openalex": last_part, "wikidata": last_part,
-    }
+    t = F.regexp_replace(F.regexp_replace(t, "/+$", ""), "^.*/", "") if last else t
+    t = {"lower": F.lower, "upper": F.upper, "": lambda c: c}[case](t)
+    for pattern in gone:
+        t = F.regexp_replace(t, pattern, "")
+    return t
 
 
 def canonical(scheme: Column | str, value: Column | str) -> Column:
     """The canonical form of a value in its scheme; trimmed only in schemes that have none."""
-    value, out = _col(value), None
-    for name, form in _simple(value).items():
+    value, t = _col(value), F.trim(_col(value))
+    forms = {"doi": doi(value), "isbn": isbn(value), "issn": issn(value), "pmcid": F.when(t.rlike(r"(?i)^(pmc)?\s*[0-9]+$"), F.concat(F.lit("PMC"), F.regexp_extract(t, "[0-9]+$", 0))).otherwise(t)}
+    forms |= {name: _plain(value, *rule) for name, rule in PLAIN.items()}
+    out = None
+    for name, form in forms.items():
         out = F.when(_col(scheme) == name, form) if out is None else out.when(_col(scheme) == name, form)
-    return out.otherwise(F.trim(value))
+    return out.otherwise(t)
 
 
 #: What a value of a scheme looks like, in the order in which schemes are tried.
@@ -139,7 +151,29 @@ def doi_to_arxiv(c: Column | str) -> Column:
     return F.nullif(F.regexp_extract(_col(c), r"^10\.48550/arxiv\.(.+)$", 1), F.lit(""))
 
 
-def isbn_to_doi(c: Column | str) -> Column:
-    """ISBN-A: the prefix 10., the EAN prefix, and the rest with the registrant cut at seven digits."""
-    x = _col(c)
-    return F.concat(F.lit("10."), F.substring(x, 1, 3), F.lit("."), F.substring(x, 4, 7), F.lit("/"), F.substring(x, 11, 3))
+def isbn_to_doi(x: Column | str) -> Column:
+    """ISBN-A of a hyphenated valid ISBN-13: 10.prefix.group+registrant/publication+check. Null for any other, as only the hyphens tell
+    where the registrant ends."""
+    t = F.trim(_col(x))
+    parts = F.split(t, r"[-\s]")
+    bare = F.regexp_replace(t, r"[-\s]", "")
+    ok = t.rlike(r"^97[89]([-\s][0-9]+){4}$") & isbn13_valid(bare)
+    return F.when(ok, F.concat(F.lit("10."), parts[0], F.lit("."), parts[1], parts[2], F.lit("/"), parts[3], parts[4]))
+
+
+def reference_kind(x: Column | str) -> Column:
+    """What the shape of a reference says that it is: doi, arxiv or url; null where no shape fits (a title is never inferred)."""
+    t = F.trim(_col(x))
+    web, canon = F.lower(t).rlike("^https?://"), doi(t)
+    is_doi = canon.rlike(SHAPES["doi"])
+    at_doi = F.lower(t).contains("doi.org/")
+    url = F.when(at_doi & is_doi, F.lit("doi")).when(~at_doi & t.rlike(r"(?i)^https?://[^/?#]"), F.lit("url"))
+    bare_doi = F.lower(t).rlike(r"^(urn:)?(doi:)?\s*10\.") & is_doi
+    return F.when(web, url).when(bare_doi, F.lit("doi")).when(arxiv(t).rlike(SHAPES["arxiv"]), F.lit("arxiv"))
+
+
+def short_doi_alias(answer: Column | str) -> Column:
+    """The full DOI in a handle service's JSON answer for a short one; null unless it was found (response code 1) and has an alias."""
+    body = F.from_json(_col(answer), "responseCode int, values array<struct<type:string,data:struct<value:string>>>")
+    alias = F.transform(F.filter(body["values"], lambda v: v["type"] == "HS_ALIAS"), lambda v: doi(v["data"]["value"]))
+    return F.when(body["responseCode"] == 1, F.try_element_at(F.filter(alias, lambda d: d != ""), F.lit(1)))

@@ -161,22 +161,22 @@ def equation_density(text: pd.Series) -> pd.Series:
     return pd.Series([None if t is None else density_of(t) for t in text])
 
 
-def repeated_tail_of(text: str, least: int = 3) -> int:
-    """Times that the text's end repeats its last unit (of any length), 1 at least; under ``least`` counts as 1."""
-    best = 1
-    tail = text[-2000:]
-    for n in range(1, len(tail) // least + 1):
-        unit, k = tail[-n:], 1
-        while tail[-n * (k + 1) : -n * k] == unit:
-            k += 1
-        if k >= least and k * n > best:
-            best = k
-    return best
-
-
-@F.pandas_udf(T.LongType())
-def repeated_tail(text: pd.Series) -> pd.Series:
-    return pd.Series([None if t is None else repeated_tail_of(t) for t in text])
+def repeated_tail_of(text: str, least: int = 4, longest: int = 60) -> tuple[int, int, str] | None:
+    """(repeats, length, unit) of the shortest unit of up to ``longest`` characters that stands ``least`` times or more at the
+    text's end; None if there is none. The repeats are counted over the whole text."""
+    for n in range(1, min(longest, len(text) // least) + 1):
+        unit = text[-n:]
+        if text.endswith(unit * least):
+            at = len(text) - n * least
+            while at >= n and text.startswith(unit, at - n):
+                at -= n
+            return (len(text) - at) // n, n, unit
+    return None
+
+
+@F.pandas_udf(T.StructType([T.StructField("repeats", _I), T.StructField("length", _I), T.StructField("unit", _S)]))
+def repeated_tail(text: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([(None, None, None) if t is None else repeated_tail_of(t) or (None, None, None) for t in text], columns=["repeats", "length", "unit"])
 
 
 def references_of(xml: str) -> list[dict]:

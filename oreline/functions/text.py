@@ -7,8 +7,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Characters that show nothing: controls but line breaks and tabs, soft hyphen, joiners, direction marks, fillers, tags.
-INVISIBLE = r"[\x{0}-\x{8}\x{B}\x{C}\x{E}-\x{1F}\x{7F}-\x{9F}\x{AD}\x{600}-\x{605}\x{61C}\x{6DD}\x{70F}\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{2066}-\x{206F}\x{FEFF}\x{FFF9}-\x{FFFB}\x{E0001}\x{E0020}-\x{E007F}]"
+#: What no label or identifier holds: separators, format characters, white controls, and format characters that older Unicode
+#: tables don't know yet.
+INVISIBLE = r"[\p{Z}\p{Cf}\x{9}-\x{D}\x{1C}-\x{1F}\x{85}\x{890}\x{891}\x{13430}-\x{1343F}]"
 
 
 def _col(x: Column | str) -> Column:
@@ -93,9 +94,30 @@ def page_range(x: Column | str) -> Column:
 
 
 def family_name(x: Column | str) -> Column:
-    """Surname of ``Family, Given``, ``Given Family`` or one name."""
-    name = collapse_space(x)
-    return F.when(F.instr(name, ",") > 0, F.trim(F.element_at(F.split(name, ","), 1))).otherwise(F.element_at(F.split(name, " "), -1))
+    """Surname of the first author of ``Family, Given``, ``Given Family`` or one name; authors are parted by ``;`` or `` and ``.
+
+    Diacritics go, letters become lower case, anything but letters and digits goes; a full stop parts given names. Empty if
+    nothing is left."""
+    first = F.trim(F.split(F.split(fold(x), ";")[0], " and ")[0])
+    last = F.try_element_at(F.filter(F.split(F.regexp_replace(first, r"[.]", " "), r"\s+"), lambda w: w != ""), F.lit(-1))
+    name = F.when(F.instr(first, ",") > 0, F.split(first, ",")[0]).otherwise(F.coalesce(last, F.lit("")))
+    return F.regexp_replace(F.lower(name), r"[^\p{L}\p{N}]", "")
+
+
+def family_matches(candidate: Column | str, requested: Column | str) -> Column:
+    """The surnames are equal, or the requested one ends with the candidate's, which has three letters at least; not the other way."""
+    a, b = family_name(candidate), family_name(requested)
+    return (a != "") & (b != "") & ((a == b) | ((F.length(a) >= 3) & b.endswith(a)))
+
+
+#: Letters with marks and what they are without; of letters that have no decomposition, what they are written as.
+MARKED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿĀāĂăĄąĆćČčĎďĒēĘęĚěĞğĪīİĹĺĽľŃńŇňŌōŐőŔŕŘřŚśŞşŠšŢţŤťŪūŮůŰűŲųŹźŻżŽž"
+PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyyAaAaAaCcCcDdEeEeEeGgIiILlLlNnNnOoOoRrRrSsSsSsTtTtUuUuUuUuZzZzZz"
+
+
+def fold(x: Column | str) -> Column:
+    """Letters with diacritics as plain ones, whether composed or not."""
+    return F.regexp_replace(F.translate(_col(x), MARKED, PLAIN), r"\p{M}", "")
 
 
 def sniff(head: Column | str) -> Column:

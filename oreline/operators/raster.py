@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .storage import drop, written
+
 NODATA = 255
 RING = [(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)]
 
@@ -56,10 +58,10 @@ def block_sum(px: DataFrame, value: str, k: int) -> DataFrame:
 
 
 def fuse_max(a: DataFrame, b: DataFrame, value: str) -> DataFrame:
-    """The greater value where both are valid, the valid one where one is, else nodata."""
+    """The greater value where both are valid, else nodata."""
     j = a.select("grid", "row", "col", F.col(value).alias("_a")).join(b.select("grid", "row", "col", F.col(value).alias("_b")), ["grid", "row", "col"], "full")
     x, y = F.when(valid(F.col("_a")), F.col("_a")), F.when(valid(F.col("_b")), F.col("_b"))
-    return j.select("grid", "row", "col", F.coalesce(F.greatest(x, y), F.lit(NODATA)).alias(value))
+    return j.select("grid", "row", "col", F.when(x.isNotNull() & y.isNotNull(), F.greatest(x, y)).otherwise(F.lit(NODATA)).alias(value))
 
 
 def combine(arms: DataFrame, value: str) -> DataFrame:
@@ -78,21 +80,22 @@ def components(px: DataFrame, value: str, least: int = 1, rounds: int = 10_000)
     """8-neighbour components of 1s of at least ``least`` cells: (grid, row, col, component, cells). The component is named by its least cell.
 
     Least labels spread to neighbours and jump to their label's label until none changes."""
-    from .versioning import _kept
-
     cell = F.struct("row", "col")
     on = px.filter(F.col(value) == 1).select("grid", cell.alias("c"))
     other = on.select("grid", "c", F.explode(F.array(*(F.struct((F.col("c.row") + i).alias("row"), (F.col("c.col") + j).alias("col")) for i, j in RING if (i, j) != (0, 0)))).alias("d"))
-    edges = _kept(other.join(on.withColumnRenamed("c", "d"), ["grid", "d"]).select("grid", "c", "d"))
-    label = _kept(on.withColumn("l", F.col("c")))
+    edges = written(other.join(on.withColumnRenamed("c", "d"), ["grid", "d"]).select("grid", "c", "d"), "cell-edges")
+    label = written(on.withColumn("l", F.col("c")), "cell-labels")
     for _ in range(rounds):
         near = edges.join(label.withColumnRenamed("c", "d"), ["grid", "d"]).groupBy("grid", "c").agg(F.min("l").alias("m"))
         low = label.join(near, ["grid", "c"], "left").select("grid", "c", F.col("l").alias("was"), F.least("l", F.coalesce("m", "l")).alias("n"))
-        new = _kept(low.join(label.select("grid", F.col("c").alias("n"), F.col("l").alias("root")), ["grid", "n"], "left").select("grid", "c", "was", F.least("n", F.coalesce("root", "n")).alias("l")))
+        new = written(low.join(label.select("grid", F.col("c").alias("n"), F.col("l").alias("root")), ["grid", "n"], "left").select("grid", "c", "was", F.least("n", F.coalesce("root", "n")).alias("l")), "cell-labels")
         done = not new.filter("l <> was").limit(1).count()
-        label = new.select("grid", "c", "l")
+        drop(label)
+        label = new
         if done:
             break
+    label = label.select("grid", "c", "l")
+    drop(edges)
     size = label.groupBy("grid", "l").agg(F.count(F.lit(1)).alias("cells")).filter(F.col("cells") >= least)
     return label.join(size, ["grid", "l"]).select("grid", F.col("c.row").alias("row"), F.col("c.col").alias("col"), F.concat_ws(":", "l.row", "l.col").alias("component"), "cells")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .storage import written
+
 
 def hashed(salt: str, key: str) -> Column:
     return F.sha2(F.concat(F.lit(salt), F.col(key).cast("string")), 256)
@@ -51,8 +53,8 @@ def stability_sample(rows: DataFrame, key: str, salt: str, share: float) -> Data
 
 def global_rank(rows: DataFrame, order: list[Column]) -> DataFrame:
     """Adds ``rank`` from 0 over all rows in a total order without one task for all: range partitions, their sizes, local ranks."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a stated number isn't changed at run time, so both uses see the same partitions
-    ranged = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id() % (1 << 33))
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id() % (1 << 33))
+    ranged = written(ranged, "ranked")  # range bounds come from a sample: only what is written has one set of them
     sizes = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     base = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))  # a row a partition
     return ranged.join(F.broadcast(base), "_p").withColumn("rank", F.col("_b") + F.col("_i")).drop("_p", "_i", "_b")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,16 +73,17 @@ def close_gaps(rows: DataFrame, keys: list[str], order: str, value: str, most: i
     return near.withColumn("closed", filled).drop("_i", "_l", "_r")
 
 
-def heal_tier(left_gap: Column, right_gap: Column, near: int, far: int) -> Column:
-    """HEAL where both flanks lie within ``near``, REVIEW within ``far``, else BLIND."""
-    widest = F.greatest(left_gap, right_gap)
-    return F.when(left_gap.isNull() | right_gap.isNull(), F.lit("BLIND")).when(widest <= near, F.lit("HEAL")).when(widest <= far, F.lit("REVIEW")).otherwise(F.lit("BLIND"))
+def heal_tier(before: Column, at: Column, after: Column, last_survey: int, blind: int = 3) -> Column:
+    """BLIND where either flank is ``blind`` years away or more, whatever else holds; else HEAL if the bracket ends by the last survey, else REVIEW.
+
+    Null at a series' ends, which have no bracket."""
+    return F.when(before.isNull() | after.isNull(), F.lit(None)).when(F.greatest(at - before, after - at) >= blind, F.lit("BLIND")).when(after <= last_survey, F.lit("HEAL")).otherwise(F.lit("REVIEW"))
 
 
-def heal(rows: DataFrame, keys: list[str], epoch: str, value: str, near: int, far: int) -> DataFrame:
+def heal(rows: DataFrame, keys: list[str], epoch: str, value: str, last_survey: int, blind: int = 3) -> DataFrame:
     """An absent epoch between two present ones: 0 becomes 1 in tier HEAL and 255 (unknown) in the others; nothing else changes."""
     w = Window.partitionBy(*keys).orderBy(epoch)
-    tier = heal_tier(F.col(epoch) - F.lag(epoch).over(w), F.lead(epoch).over(w) - F.col(epoch), near, far)
+    tier = heal_tier(F.lag(epoch).over(w), F.col(epoch), F.lead(epoch).over(w), last_survey, blind)
     bracketed = (F.col(value) == 0) & (F.lag(value).over(w) == 1) & (F.lead(value).over(w) == 1)
     return rows.withColumn("tier", tier).withColumn("healed", F.when(bracketed & (F.col("tier") == "HEAL"), 1).when(bracketed, 255).otherwise(F.col(value)))
 
@@ -106,30 +109,45 @@ def terminal_absence(rows: DataFrame, key: str, epoch: str, state: str) -> DataF
 def hmm(rows: DataFrame, key: str, epoch: str, symbol: str, start: list[float], move: list[list[float]], emit: dict[str, list[float]]) -> DataFrame:
     """Posterior of each hidden state and the most likely path of each entity's symbols; a symbol without emissions says nothing.
 
-    Entities are grouped whole (their epochs are few); a task smooths many at a time, in log space, ties to the lower state."""
+    Entities are grouped whole (their epochs are few) into one array each; a task smooths all entities of a batch that have the same
+    number of epochs at once, in log space, ties to the lower state."""
     n = len(start)
     s, m = np.log(np.array(start)), np.log(np.array(move))
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(epoch)
-        e = np.log(np.array([emit.get(x, [1.0] * n) for x in pdf[symbol]]))
-        t, lse = len(e), np.logaddexp.reduce
-        a, b, v, back = np.empty((t, n)), np.zeros((t, n)), np.empty((t, n)), np.zeros((t, n), int)
-        a[0] = v[0] = s + e[0]
+    lse = np.logaddexp.reduce
+
+    def smooth(symbols: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """(posteriors, paths) of series of one length: entity, epoch, state."""
+        e = np.log(np.array([[emit.get(x, [1.0] * n) for x in row] for row in symbols]))
+        k, t, _ = e.shape
+        a, b, v, back = np.empty((k, t, n)), np.zeros((k, t, n)), np.empty((k, t, n)), np.zeros((k, t, n), int)
+        a[:, 0] = v[:, 0] = s + e[:, 0]
         for i in range(1, t):
-            a[i] = lse(a[i - 1][:, None] + m, axis=0) + e[i]
-            step = v[i - 1][:, None] + m
-            back[i] = step.argmax(axis=0)
-            v[i] = step.max(axis=0) + e[i]
+            a[:, i] = lse(a[:, i - 1, :, None] + m, axis=1) + e[:, i]
+            step = v[:, i - 1, :, None] + m
+            back[:, i] = step.argmax(axis=1)
+            v[:, i] = step.max(axis=1) + e[:, i]
         for i in range(t - 2, -1, -1):
-            b[i] = lse(m + (e[i + 1] + b[i + 1])[None, :], axis=1)
-        post = np.exp(a + b - lse(a + b, axis=1)[:, None])
-        path = np.empty(t, int)
-        path[-1] = v[-1].argmax()
+            b[:, i] = lse(m + (e[:, i + 1] + b[:, i + 1])[:, None, :], axis=2)
+        post = np.exp(a + b - lse(a + b, axis=2)[:, :, None])
+        path = np.empty((k, t), int)
+        path[:, -1] = v[:, -1].argmax(axis=1)
         for i in range(t - 1, 0, -1):
-            path[i - 1] = back[i][path[i]]
-        return pd.DataFrame({key: pdf[key].to_numpy(), epoch: pdf[epoch].to_numpy(), "path": path, **{f"p{k}": post[:, k].round(6) for k in range(n)}})
+            path[:, i - 1] = back[np.arange(k), i, path[:, i]]
+        return post, path
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            series = batch["q"].to_pylist()
+            sizes = np.array([len(q) for q in series])
+            for t in np.unique(sizes):
+                at = np.flatnonzero(sizes == t)
+                post, path = smooth([[x["s"] for x in series[i]] for i in at])
+                entity = batch["k"].take(pa.array(np.repeat(at, t)))
+                epochs = pa.array([x["e"] for i in at for x in series[i]], batch.schema.field("q").type.value_type.field("e").type)
+                flat = post.reshape(-1, n).round(6)
+                yield pa.RecordBatch.from_arrays([entity, epochs, pa.array(path.ravel()), *(pa.array(flat[:, j].copy()) for j in range(n))], [key, epoch, "path", *(f"p{j}" for j in range(n))])
 
     kinds = dict(rows.dtypes)
-    schema = f"{key} {kinds[key]}, {epoch} {kinds[epoch]}, path long, " + ", ".join(f"p{k} double" for k in range(n))
-    return rows.select(key, epoch, symbol).groupBy(key).applyInPandas(one, schema)
+    schema = f"`{key}` {kinds[key]}, `{epoch}` {kinds[epoch]}, path long, " + ", ".join(f"p{k} double" for k in range(n))
+    whole = rows.groupBy(F.col(key).alias("k")).agg(F.array_sort(F.collect_list(F.struct(F.col(epoch).alias("e"), F.col(symbol).alias("s")))).alias("q"))
+    return whole.mapInArrow(run, schema)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import drop, written
+
 
 def current(identities: DataFrame, versions: DataFrame, pointer: str, version_id: str) -> DataFrame:
     """Identities joined to the version that their pointer names (never the greatest number)."""
@@ -13,45 +15,60 @@ def current(identities: DataFrame, versions: DataFrame, pointer: str, version_id
 
 def overlay(identities: DataFrame, heads: DataFrame, versions: DataFrame, key: str, workstream: str, head: str, pointer: str, version_id: str) -> DataFrame:
     """A row for each workstream and identity: the workstream's head if it has one, else the main pointer."""
-    streams = heads.select(workstream).distinct()
-    grid = identities.join(streams)  # workstreams are few: every identity is seen from each
-    picked = grid.join(heads, [workstream, key], "left").withColumn("_v", F.coalesce(head, pointer))
+    streams = heads.select(workstream).distinct().withColumn("_all", F.lit(1))
+    seen = identities.withColumn("_ids", F.struct(*identities.columns))  # the result has a row each: its size is what was asked for
+    rows = seen.select(key, pointer).join(streams.groupBy("_all").agg(F.collect_set(workstream).alias("_w")).drop("_all")).select(key, pointer, F.explode("_w").alias(workstream))
+    picked = rows.join(heads, [workstream, key], "left").withColumn("_v", F.coalesce(head, pointer))
     return picked.join(versions.withColumnRenamed(version_id, "_v"), "_v").withColumnRenamed("_v", version_id)
 
 
-def chains(versions: DataFrame, heads: DataFrame, version_id: str, based_on: str, head: str, most: int = 1000) -> DataFrame:
-    """(head, version, depth) from each head back to its root: each round doubles the jump, so a chain of n needs log2(n) joins."""
+def chains(versions: DataFrame, heads: DataFrame, version_id: str, based_on: str, head: str) -> DataFrame:
+    """(head, version, depth) from each head back to its root, however long: each round doubles the jump, so a chain of n needs
+    log2(n) joins. Versions that are based on themselves through others are an error."""
     out = heads.select(F.col(head).alias("head"), F.col(head).alias("version"), F.lit(0).alias("depth"))
     jump = versions.select(F.col(version_id).alias("version"), F.col(based_on).alias("to"), F.lit(1).alias("by")).filter("to IS NOT NULL")
-    steps = 1
-    while steps <= most:
+    steps, n = 1, versions.count()
+    while True:
         more = out.join(jump, "version").select("head", F.col("to").alias("version"), (F.col("depth") + F.col("by")).alias("depth"))
         out = out.unionByName(more).distinct()
         nxt = jump.alias("a").join(jump.alias("b"), F.col("a.to") == F.col("b.version")).select(F.col("a.version").alias("version"), F.col("b.to").alias("to"), (F.col("a.by") + F.col("b.by")).alias("by"))
-        jump = _kept(nxt)
-        out = _kept(out)
+        before, jump, out = (jump, out), written(nxt, "chain-jumps"), written(out, "chains")
+        drop(*before)
         if not jump.limit(1).count():
-            break
+            return out
         steps *= 2
-    return out
-
-
-def _kept(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through the shared checkpoint folder; where none is set (tests) the plan goes on as it is."""
-    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df.cache()
+        if steps > n:
+            raise ValueError("versions are based on one another in a circle")
 
 
 def hold_fixpoint(items: DataFrame, deps: DataFrame, key: str, held: str, needs: str) -> DataFrame:
     """Marks hold on items that are held themselves or need a held item, directly or through others; the rest is prepared.
 
-    deps: (key, needs). Rounds run until no item changes."""
-    state = items.select(key, F.col(held).cast("boolean").alias("hold"))
-    while True:
-        blocked = deps.join(state.filter("hold").select(F.col(key).alias(needs)), needs).select(key).distinct().withColumn("_b", F.lit(True))
-        new = _kept(state.join(blocked, key, "left").select(key, (F.col("hold") | F.coalesce("_b", F.lit(False))).alias("hold")))
-        if new.filter("hold").count() == state.filter("hold").count():
-            return new.select(key, F.when(F.col("hold"), F.lit("hold")).otherwise(F.lit("prepare")).alias("mark"))
-        state = new
+    deps: (key, needs), in any shape, circles included. Where each item needs one at the most, each round doubles the reach
+    (pointer jumping); else a round walks from what it held last, so nothing is visited twice."""
+    start = items.filter(F.col(held).cast("boolean")).select(F.col(key).alias("k")).distinct()
+    edges = written(deps.select(F.col(key).alias("k"), F.col(needs).alias("to")).distinct(), "hold-edges")
+    found = written(start, "held")
+    if not edges.groupBy("k").count().filter("count > 1").limit(1).count():
+        jump, reach, most = edges, 1, 2 * edges.count()
+        while True:
+            more = jump.join(found.withColumnRenamed("k", "to"), "to").select("k")
+            before, found = found, written(found.unionByName(more).distinct(), "held")
+            nxt = jump.alias("a").join(jump.alias("b"), F.col("a.to") == F.col("b.k")).select(F.col("a.k").alias("k"), F.col("b.to").alias("to"))
+            old, jump = jump, written(nxt, "hold-jumps")
+            drop(before, old)
+            reach *= 2
+            if reach > most or not jump.limit(1).count():  # a circle is walked round once
+                break
+    else:
+        last = found
+        while True:
+            last = written(edges.join(last.withColumnRenamed("k", "to"), "to").select("k").distinct().join(found, "k", "left_anti"), "held-last")
+            if not last.limit(1).count():
+                break
+            found = written(found.unionByName(last), "held")
+    out = items.select(key).join(found.select(F.col("k").alias(key), F.lit(True).alias("_h")), key, "left")
+    return out.select(key, F.when(F.col("_h"), F.lit("hold")).otherwise(F.lit("prepare")).alias("mark"))
 
 
 def set_hash(rows: DataFrame, keys: list[str], member: str) -> DataFrame:

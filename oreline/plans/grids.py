@@ -37,7 +37,7 @@ def block_sums(t: Tables) -> DataFrame:
     return G.block_sum(pixels(t), "v", 5)
 
 
-@query(f"WITH {_PX}, a AS (SELECT * FROM px WHERE grid = 0), b AS (SELECT 0 AS grid, row, col, v FROM px WHERE grid = 1 AND row <> 3) SELECT coalesce(a.grid, b.grid) AS grid, coalesce(a.row, b.row) AS row, coalesce(a.col, b.col) AS col, coalesce(greatest(nullif(a.v, 255), nullif(b.v, 255)), 255) AS v FROM a FULL JOIN b USING (grid, row, col)")
+@query(f"WITH {_PX}, a AS (SELECT * FROM px WHERE grid = 0), b AS (SELECT 0 AS grid, row, col, v FROM px WHERE grid = 1 AND row <> 3) SELECT coalesce(a.grid, b.grid) AS grid, coalesce(a.row, b.row) AS row, coalesce(a.col, b.col) AS col, CASE WHEN a.v <> 255 AND b.v <> 255 THEN greatest(a.v, b.v) ELSE 255 END AS v FROM a FULL JOIN b USING (grid, row, col)")
 def fuse_max(t: Tables) -> DataFrame:
     p = pixels(t)
     return G.fuse_max(p.filter("grid = 0"), p.filter("grid = 1 AND row <> 3").withColumn("grid", F.lit(0)), "v")

@@ -64,11 +64,11 @@ def closing(t: Tables) -> DataFrame:
     return S.close_gaps(_bits(t), ["user_id"], "epoch", "v", 2)
 
 
-@query(f"""WITH {_BITS}, g AS (SELECT * FROM b WHERE (user_id + epoch) % 4 <> 0), c AS (SELECT *, epoch - lag(epoch) OVER w AS lg, lead(epoch) OVER w - epoch AS rg, lag(v) OVER w AS lv, lead(v) OVER w AS rv FROM g WINDOW w AS (PARTITION BY user_id ORDER BY epoch)),
-t AS (SELECT *, CASE WHEN lg IS NULL OR rg IS NULL THEN 'BLIND' WHEN greatest(lg, rg) <= 1 THEN 'HEAL' WHEN greatest(lg, rg) <= 2 THEN 'REVIEW' ELSE 'BLIND' END AS tier FROM c)
+@query(f"""WITH {_BITS}, g AS (SELECT * FROM b WHERE (user_id + epoch) % 4 <> 0 AND epoch NOT IN (7, 8)), c AS (SELECT *, epoch - lag(epoch) OVER w AS lg, lead(epoch) OVER w - epoch AS rg, lag(v) OVER w AS lv, lead(v) OVER w AS rv FROM g WINDOW w AS (PARTITION BY user_id ORDER BY epoch)),
+t AS (SELECT *, CASE WHEN lg IS NULL OR rg IS NULL THEN NULL WHEN greatest(lg, rg) >= 3 THEN 'BLIND' WHEN epoch + rg <= 20 THEN 'HEAL' ELSE 'REVIEW' END AS tier FROM c)
 SELECT user_id, epoch, v, tier, CASE WHEN v = 0 AND lv = 1 AND rv = 1 THEN CASE WHEN tier = 'HEAL' THEN 1 ELSE 255 END ELSE v END AS healed FROM t""")
 def gap_healing(t: Tables) -> DataFrame:
-    return S.heal(_bits(t).filter("(user_id + epoch) % 4 <> 0"), ["user_id"], "epoch", "v", 1, 2)
+    return S.heal(_bits(t).filter("(user_id + epoch) % 4 <> 0 AND epoch NOT IN (7, 8)"), ["user_id"], "epoch", "v", 20)
 
 
 @query(f"WITH {_DAYS} SELECT user_id, epoch, cover, round(avg(cover) OVER (PARTITION BY user_id ORDER BY epoch ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING), 6) AS smooth FROM d")

@@ -27,7 +27,7 @@ def text_facts(t: Tables) -> DataFrame:
 
 
 _RAW = """raw AS (
-  SELECT p_partkey AS k, 'doi' AS scheme, ' https://DOI.org/10.' || (1000 + p_partkey % 50) || '/ABC.' || p_size || '.;' AS value FROM part
+  SELECT p_partkey AS k, 'doi' AS scheme, ' https://DOI.org/10.' || (1000 + p_partkey % 50) || '/A' || ['', ' ', chr(160), chr(8203), chr(173), chr(8288), chr(9), chr(65279)][p_partkey % 8 + 1] || 'BC.' || p_size || '.;' AS value FROM part
   UNION ALL SELECT p_partkey, 'arxiv', 'arXiv:2' || lpad((p_partkey % 400)::VARCHAR, 3, '0') || '.0' || lpad(p_size::VARCHAR, 4, '0') || 'v' || (p_partkey % 3 + 1) FROM part
   UNION ALL SELECT p_partkey, 'isbn', 'ISBN-10: ' || lpad((p_partkey * 7919)::VARCHAR, 9, '0') || (p_partkey % 10) FROM part
   UNION ALL SELECT p_partkey, 'issn', lpad((p_partkey * 31)::VARCHAR, 7, '0') || 'x' FROM part
@@ -38,7 +38,7 @@ _D = "CASE WHEN substr(c, {0}, 1) = 'X' THEN 10 ELSE try_cast(substr(c, {0}, 1)
 _OK10 = "(regexp_full_match(c, '[0-9]{9}[0-9X]') AND c NOT IN ('0000000000', '000000000X') AND (" + " + ".join(f"{11 - i} * ({_D.format(i)})" for i in range(1, 11)) + ") % 11 = 0)"
 _TO13 = "'978' || substr(c, 1, 9) || ((10 - (9 + 3 * 7 + 8 + " + " + ".join(f"{3 if i % 2 else 1} * ({_D.format(i)})" for i in range(1, 10)) + ") % 10) % 10)"
 _CANON = f"""canon AS (SELECT k, scheme, value, CASE scheme
-  WHEN 'doi' THEN regexp_replace(regexp_extract(lower(value), '10\\..*$'), '[/.,;:]+$', '')
+  WHEN 'doi' THEN regexp_replace(regexp_extract(lower(regexp_replace(value, '[\\p{{Z}}\\p{{Cf}}\\x09-\\x0D\\x1C-\\x1F\\x{{85}}]', '', 'g')), '10\\..*$'), '[/.,;:]+$', '')
   WHEN 'arxiv' THEN regexp_replace(regexp_replace(lower(trim(value)), '^arxiv:', ''), 'v[0-9]+$', '')
   WHEN 'isbn' THEN CASE WHEN {_OK10} THEN {_TO13} ELSE c END
   WHEN 'issn' THEN substr(c2, 1, 4) || '-' || substr(c2, 5)
@@ -51,7 +51,7 @@ _CANON = f"""canon AS (SELECT k, scheme, value, CASE scheme
 def _identifiers(t: Tables) -> DataFrame:
     k, size = F.col("p_partkey"), F.col("p_size")
     forms = {
-        "doi": F.concat(F.lit(" https://DOI.org/10."), 1000 + k % 50, F.lit("/ABC."), size, F.lit(".;")),
+        "doi": F.concat(F.lit(" https://DOI.org/10."), 1000 + k % 50, F.lit("/A"), F.element_at(F.lit(["", " ", "\u00a0", "\u200b", "\u00ad", "\u2060", "\t", "\ufeff"]), (k % 8 + 1).cast("int")), F.lit("BC."), size, F.lit(".;")),
         "arxiv": F.concat(F.lit("arXiv:2"), F.lpad((k % 400).cast("string"), 3, "0"), F.lit(".0"), F.lpad(size.cast("string"), 4, "0"), F.lit("v"), k % 3 + 1),
         "isbn": F.concat(F.lit("ISBN-10: "), F.lpad((k * 7919).cast("string"), 9, "0"), k % 10),
         "issn": F.concat(F.lpad((k * 31).cast("string"), 7, "0"), F.lit("x")),
@@ -113,10 +113,21 @@ def quote_verify(t: Tables) -> DataFrame:
     return found.select("item_id", "doc_id", verify_quotes("body", "quote", "start", "stop").alias("verified"), verify_quotes("body", "quote", F.col("start") + 1, F.col("stop") + 1).alias("verified_shifted"))
 
 
-@query("""SELECT s_suppkey, CASE WHEN contains(n, ',') THEN trim(string_split(n, ',')[1]) ELSE string_split(n, ' ')[-1] END AS family FROM (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_name || ', ' || s_nationkey ELSE replace(s_name, '#', ' ') END AS n FROM supplier)""")
+_NAMES = "n AS (SELECT s_suppkey, CASE s_suppkey % 6 WHEN 0 THEN 'Müller, J.; Smith, A.' WHEN 1 THEN 'Ana María López-Ruiz' WHEN 2 THEN 'A.B.Çelik and D. Low' WHEN 3 THEN 'Van Den Hout' WHEN 4 THEN s_name ELSE '' END AS name, CASE WHEN s_suppkey % 2 = 0 THEN 'vandenhout' ELSE 'Hout, J.' END AS other FROM supplier)"
+_FAMILY = "regexp_replace(lower(CASE WHEN contains({0}, ',') THEN string_split({0}, ',')[1] ELSE coalesce(list_filter(regexp_split_to_array(replace({0}, '.', ' '), '\\s+'), lambda w: w <> '')[-1], '') END), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
+_FIRST = "trim(string_split(string_split(strip_accents({0}), ';')[1], ' and ')[1])"
+
+
+def _names(t: Tables) -> DataFrame:
+    kinds = F.lit(["Müller, J.; Smith, A.", "Ana María López-Ruiz", "A.B.Çelik and D. Low", "Van Den Hout"])
+    n = F.col("s_suppkey") % 6
+    name = F.when(n < 4, F.try_element_at(kinds, (n + 1).cast("int"))).when(n == 4, F.col("s_name")).otherwise(F.lit(""))
+    return t.supplier.select("s_suppkey", name.alias("name"), F.when(F.col("s_suppkey") % 2 == 0, F.lit("vandenhout")).otherwise(F.lit("Hout, J.")).alias("other"))
+
+
+@query(f"WITH {_NAMES}, f AS (SELECT s_suppkey, {_FIRST.format('name')} AS n, {_FIRST.format('other')} AS o FROM n), g AS (SELECT s_suppkey, {_FAMILY.format('n')} AS family, {_FAMILY.format('o')} AS b FROM f) SELECT s_suppkey, family, family <> '' AND (family = b OR (length(family) >= 3 AND ends_with(b, family))) AS matches FROM g")
 def family_names(t: Tables) -> DataFrame:
-    name = F.when(F.col("s_suppkey") % 2 == 0, F.concat_ws(", ", "s_name", "s_nationkey")).otherwise(F.regexp_replace("s_name", "#", " "))
-    return t.supplier.select("s_suppkey", X.family_name(name).alias("family"))
+    return _names(t).select("s_suppkey", X.family_name("name").alias("family"), X.family_matches("name", "other").alias("matches"))
 
 
 @query("""SELECT doc_id, length(regexp_replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10), 'g')) AS n, substr(regexp_extract(text, '^\\s*([^.!?\\n]*[.!?]?)', 1), 1, 200) AS sentence, regexp_replace(source || '/' || lang, '[^A-Za-z0-9._-]+', '_', 'g') AS tag FROM documents""")

@@ -48,9 +48,14 @@ def test_identifier_conversions(spark):
 def test_text_functions(spark):
     assert one(spark, X.norm_title("t"), t="<i>Été</i>: a  Study!") == "été a study"
     assert one(spark, X.canonical_newlines("t"), t="a\r\nb\rc\n\nd") == "a\nb\nc\n\nd"
-    assert one(spark, X.strip_invisible("t"), t="a​b­c") == "abc"
+    assert one(spark, X.strip_invisible("t"), t="a​b­c d\u00a0e\tf\u3000g\U00013430") == "abcdefg"
+    assert one(spark, I.doi("t"), t="doi: 10.1000/ab c.") == "10.1000/abc"
     assert one(spark, X.url_host("t"), t="HTTPS://u@Example.org:80/x?y") == "example.org"
-    assert one(spark, X.family_name("t"), t="Ada  Lovelace") == "Lovelace" and one(spark, X.family_name("t"), t="Lovelace, Ada") == "Lovelace"
+    assert one(spark, X.family_name("t"), t="Ada  Lovelace") == "lovelace" and one(spark, X.family_name("t"), t="Lovelace, Ada") == "lovelace"
+    for name, want in (("Efron, B.", "efron"), ("Bradley Efron", "efron"), ("Efron, B.; Tibshirani, R.", "efron"), ("J.O'Neil-Dunne and X", "oneildunne"), ("Mu\u0308ller", "muller"), ("", "")):
+        assert one(spark, X.family_name("t"), t=name) == want
+    assert one(spark, X.family_matches("a", "b"), a="Van Den Hout", b="vandenhout") is True and one(spark, X.family_matches("a", "b"), a="Hwang", b="Wang") is False
+    assert len(X.MARKED) == len(X.PLAIN)
     assert sorted(one(spark, X.trigrams("t"), t="Cat")) == ["  c", " ca", "at ", "cat"]
     assert one(spark, X.trigram_similarity(X.trigrams("a"), X.trigrams("b")), a="word", b="words") == pytest.approx(4 / 7)
     assert one(spark, X.sniff("t"), t="%PDF-1.7") == "pdf" and one(spark, X.sniff("t"), t="<!DOCTYPE html>") == "html"
@@ -64,7 +69,10 @@ def test_markup():
     assert M.units_of("# A\ntext\nmore\n\n- b\n```\n# no\n```\n| x | y |\n|--|--|\n") == [("A", "paragraph", "text more"), ("A", "bullet", "b"), ("A", "row", "x | y")]
     assert M.sentences_of('He said "Go. Now." Then [see p. 3. x] left. End') == ['He said "Go. Now." Then [see p. 3. x] left.', "End"]
     assert M.density_of("plain words here that go on and on for a while\nx = y (1)") > 0 and M.density_of("") == 0.0
-    assert M.repeated_tail_of("start ab ab ab ab") == 4 and M.repeated_tail_of("abc") == 1
+    assert M.repeated_tail_of("start ab ab ab ab") == (4, 3, " ab") and M.repeated_tail_of("abc") is None
+    assert M.repeated_tail_of("x" + "ab" * 5000) == (5000, 2, "ab") and M.repeated_tail_of("aaaa") == (4, 1, "a")
+    unit = "".join(map(chr, range(48, 108)))
+    assert M.repeated_tail_of("tail " + unit[:59] * 4) == (4, 59, unit[:59]) and M.repeated_tail_of("q" * 3) is None
     tei = "<TEI xmlns='http://www.tei-c.org/ns/1.0'><biblStruct><title>T</title><idno type='DOI'>10.1/X</idno><date when='2001-05'/><surname>Doe</surname></biblStruct></TEI>"
     assert M.references_of(tei) == [{"title": "T", "doi": "10.1/x", "year": 2001, "families": ["Doe"]}] and M.references_of("<") == []
 
@@ -127,7 +135,63 @@ def test_closing_and_healing(spark):
     rows = spark.createDataFrame([("e", i, v) for i, v in enumerate([0, 1, 0, 0, 1, 0, 0, 0, 1, 0])], "e string, t int, v int")
     assert [r["closed"] for r in sequence.close_gaps(rows, ["e"], "t", "v", 2).orderBy("t").collect()] == [0, 1, 1, 1, 1, 0, 0, 0, 1, 0]
     gaps = spark.createDataFrame([("a", 1, 1), ("a", 2, 0), ("a", 3, 1), ("b", 1, 1), ("b", 4, 0), ("b", 5, 1)], "e string, t int, v int")
-    assert values(sequence.heal(gaps, ["e"], "t", "v", 1, 2).filter("v = 0"), "e", "tier", "healed") == [("a", "HEAL", 1), ("b", "BLIND", 255)]
+    assert values(sequence.heal(gaps, ["e"], "t", "v", 3).filter("v = 0"), "e", "tier", "healed") == [("a", "HEAL", 1), ("b", "BLIND", 255)]
+    assert values(sequence.heal(gaps, ["e"], "t", "v", 2).filter("v = 0"), "e", "tier", "healed") == [("a", "REVIEW", 255), ("b", "BLIND", 255)]
+
+
+def test_chains_of_any_length_and_circles(spark):
+    n = 1300
+    versions = spark.createDataFrame([(i, i - 1 if i else None) for i in range(n)], "v long, base long")
+    heads = spark.createDataFrame([(n - 1,)], "head long")
+    out = versioning.chains(versions, heads, "v", "base", "head")
+    assert out.count() == n and out.agg(F.max("depth")).first()[0] == n - 1
+    with pytest.raises(ValueError, match="circle"):
+        versioning.chains(spark.createDataFrame([(0, 1), (1, 0)], "v long, base long"), spark.createDataFrame([(0,)], "head long"), "v", "base", "head")
+
+
+def test_hold_reaches_through_trees_and_circles(spark):
+    items = spark.createDataFrame([(i, i == 0) for i in range(40)], "k long, held boolean")
+    for pairs in ([(i + 1, i) for i in range(30)], [(i + 1, i) for i in range(30)] + [(5, 33), (33, 34)], [(1, 0), (2, 1), (10, 11), (11, 10)], [(i, i // 2) for i in range(1, 40)]):
+        held = {0}
+        for _ in range(40):
+            held |= {a for a, b in pairs if b in held}
+        out = versioning.hold_fixpoint(items, spark.createDataFrame(pairs, "k long, needs long"), "k", "held", "needs")
+        assert {r["k"] for r in out.filter("mark = 'hold'").collect()} == held and out.count() == 40
+
+
+def test_nearest_dim_of_any_size(spark):
+    import random
+
+    random.seed(3)
+    dims = [random.randrange(-1000, 1000) for _ in range(300)]
+    facts = [*range(-1100, 1100, 7), None]
+    out = linkage.nearest_dim(spark.createDataFrame([(v,) for v in facts], "v long"), spark.createDataFrame([(d,) for d in dims], "d long").repartition(7), "v", "d").collect()
+    assert len(out) == len(facts) and all(r["d"] == (None if r["v"] is None else min(dims, key=lambda d: (abs(d - r["v"]), d))) for r in out)
+    assert {r["d"] for r in linkage.nearest_dim(spark.createDataFrame([(1,)], "v long"), spark.createDataFrame([], "d long"), "v", "d").collect()} == {None}
+
+
+def test_greedy_match_against_a_loop(spark):
+    import random
+
+    random.seed(5)
+    rows = [(g, a, b, random.randrange(1, 12) / 10) for g in range(6) for a in range(7) for b in range(7) if random.random() < 0.6]
+    want = []
+    for g in range(6):
+        left, right = set(), set()
+        for _, a, b, s in sorted((r for r in rows if r[0] == g and r[3] >= 0.3), key=lambda r: (-r[3], r[1], r[2])):
+            if a not in left and b not in right:
+                left.add(a), right.add(b)
+                want.append((g, a, b))
+    got = linkage.greedy_match(spark.createDataFrame(rows, "p long, a long, b long, s double"), "p", "a", "b", "s", 0.3)
+    assert values(got, "p", "a", "b") == sorted(want)
+
+
+def test_identifier_shapes(spark):
+    for ref, want in (("10.1000/abc", "doi"), ("doi:10.1000/abc", "doi"), ("https://doi.org/10.1000/x", "doi"), ("https://doi.org/x", None), ("https://example.org/a", "url"), ("http://", None), ("arXiv:2101.00001v2", "arxiv"), ("A title of 10 words", None), ("", None)):
+        assert one(spark, I.reference_kind("t"), t=ref) == want, ref
+    assert one(spark, I.isbn_to_doi("t"), t="978-3-16-148410-0") == "10.978.316/1484100" and one(spark, I.isbn_to_doi("t"), t="9783161484100") is None
+    found = '{"responseCode": 1, "values": [{"type": "URL", "data": {"value": "x"}}, {"type": "HS_ALIAS", "data": {"value": "10.1000/ABC"}}]}'
+    assert one(spark, I.short_doi_alias("t"), t=found) == "10.1000/abc" and one(spark, I.short_doi_alias("t"), t=found.replace("1,", "100,", 1)) is None
 
 
 def test_hmm_against_enumeration(spark):
