@@ -7,6 +7,10 @@ of all strings that they own. A task then sorts the suffixes of its neighbourhoo
 (sort the triples at sampled places, recurse on their names, merge in the remaining suffixes), compares adjacent prefixes
 of ``length`` bytes, and of each run of equal ones keeps the earliest. Equal texts are settled before: every later copy is
 covered whole.
+
+An anchor with many neighbourhoods is dealt out to several tasks by document. Each sorts its part and keeps the earliest of each
+string; what the parts keep is merged by the strings' 128-bit names, whose least place is found by partial aggregation. So no
+task holds more than ``hot_pieces`` neighbourhoods of an anchor, however many documents share it.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from xxhash import xxh3_64_intdigest, xxh3_128_digest
 from .common import blocks, discard, materialize
 
 K = 32
+SORTED = ["doc_id", "start", "end", "lo", "hi"]
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -125,7 +130,7 @@ def anchored(texts: list[bytes], length: int) -> Iterator[tuple[int, np.ndarray,
             yield i, h[own[first]].view(np.int64), first, np.concatenate([cut, [len(own) - 1]])
 
 
-def dedup_bytes(docs: DataFrame, length: int = 100, block: int = 1 << 20, keep_bytes: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_bytes(docs: DataFrame, length: int = 100, block: int = 1 << 20, hot_pieces: int = 20_000, keep_bytes: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Removes each byte that lies in a string of ``length`` bytes which also starts earlier: in a smaller id, or before in its own text.
 
     Strings are judged on the input. Returns id_col, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, and with
@@ -154,9 +159,10 @@ def dedup_bytes(docs: DataFrame, length: int = 100, block: int = 1 << 20, keep_b
 
     # Anchors of two different texts; copies of one text count as one.
     each = scanned.select("doc_id", "lo", F.explode("anchors").alias("anchor"))
-    shared = each.groupBy("anchor").agg(F.min("lo").alias("a"), F.max("lo").alias("b")).filter("a <> b").select("anchor")
-    live = each.select("doc_id", "anchor").join(shared, "anchor").unionByName(scanned.select("doc_id", F.explode("twice").alias("anchor")))
-    live = live.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))  # at most a document's own
+    shared = each.groupBy("anchor").agg(F.min("lo").alias("a"), F.max("lo").alias("b"), F.count(F.lit(1)).alias("n")).filter("a <> b")
+    shared = shared.select("anchor", F.ceil(F.col("n") / hot_pieces).cast("int").alias("parts"))
+    live = each.select("doc_id", "anchor").join(shared, "anchor").unionByName(scanned.select("doc_id", F.explode("twice").alias("anchor"), F.lit(1).alias("parts")))
+    live = live.groupBy("doc_id").agg(F.collect_set(F.struct("anchor", "parts")).alias("anchors"))  # at most a document's own
     originals = texts.filter("NOT copy").select("doc_id", "lo").distinct()
     live = materialize(live.join(originals.select("doc_id").distinct(), "doc_id", "left_semi"), "suffix-live")
 
@@ -166,56 +172,73 @@ def dedup_bytes(docs: DataFrame, length: int = 100, block: int = 1 << 20, keep_b
             out = []
             ids, data, flagged = (batch[c].to_pylist() for c in ("doc_id", "data", "anchors"))
             for i, h, a, b in anchored(data, length):
-                want, text, doc_id = np.array(flagged[i], np.int64), data[i], ids[i]
+                parts: dict[int, int] = {}
+                for x in flagged[i]:
+                    parts[x["anchor"]] = max(x["parts"], parts.get(x["anchor"], 1))
+                want, text, doc_id = np.array(list(parts), np.int64), data[i], ids[i]
                 for j in np.flatnonzero(np.isin(h, want)).tolist():
                     start, end = int(a[j]), int(b[j]) + length
                     piece, anchor = text[start:end], int(h[j])
                     known = seen.get(key := (anchor, xxh3_64_intdigest(piece)))
                     if known is not None and known < (doc_id, start):
-                        out.append((None, doc_id, start, end, None))  # an equal one stands earlier: covered whole, and it need not be sent
+                        out.append((None, None, doc_id, start, end, None))  # an equal one stands earlier: covered whole, and it need not be sent
                     else:
                         if len(seen) > 400_000:
                             seen.clear()
                         seen[key] = (doc_id, start)
-                        out.append((anchor, doc_id, start, end, piece))
+                        n = parts[anchor]  # 0 stands for an anchor in one place, parts count from 1
+                        out.append((anchor, 0 if n == 1 else 1 + xxh3_64_intdigest(str(doc_id)) % n, doc_id, start, end, piece))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["anchor", "doc_id", "start", "end", "piece"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["anchor", "part", "doc_id", "start", "end", "piece"])
 
     shipped = rows.join(live, "doc_id").join(texts.filter("copy").select("doc_id"), "doc_id", "left_anti").sortWithinPartitions("doc_id")
-    shipped = materialize(shipped.mapInArrow(neighbourhoods, "anchor long, doc_id long, start long, end long, piece binary"), "suffix-pieces")
+    shipped = materialize(shipped.mapInArrow(neighbourhoods, "anchor long, part int, doc_id long, start long, end long, piece binary"), "suffix-pieces")
 
     def sort_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-            n = np.array([len(x[3]) for x in held], np.int64)
+            n = np.array([len(x[4]) for x in held], np.int64)
             base = np.cumsum(n) - n
             counts = n - length + 1
             piece = np.repeat(np.arange(len(held)), counts)
             inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            doc, at = np.array([x[1] for x in held], np.int64)[piece], np.array([x[2] for x in held], np.int64)[piece] + inside
+            doc, at = np.array([x[2] for x in held], np.int64)[piece], np.array([x[3] for x in held], np.int64)[piece] + inside
             by = np.lexsort((at, doc))
             priority = np.empty(len(by), np.int64)
             priority[by] = np.concatenate([[0], np.cumsum((doc[by][1:] != doc[by][:-1]) | (at[by][1:] != at[by][:-1]))]) if len(by) else []
-            gone = np.flatnonzero(later_strings(b"".join(x[3] for x in held), base[piece] + inside, priority, length))
+            later = later_strings(b"".join(x[4] for x in held), base[piece] + inside, priority, length)
+            gone = np.flatnonzero(later)
+            none = lambda k: pa.nulls(k, pa.int64())
             if len(gone):
                 new = np.concatenate([[True], (np.diff(gone) != 1) | (np.diff(piece[gone]) != 0)])
                 lo, hi = gone[new], gone[np.concatenate([new[1:], [True]])]
-                yield pa.RecordBatch.from_arrays([pa.array(doc[lo]), pa.array(at[lo]), pa.array(at[hi] + length)], ["doc_id", "start", "end"])
+                yield pa.RecordBatch.from_arrays([pa.array(doc[lo]), pa.array(at[lo]), pa.array(at[hi] + length), none(len(lo)), none(len(lo))], SORTED)
+            kept = np.flatnonzero(~later & (np.array([x[1] for x in held]) > 0)[piece])
+            for i in range(0, len(kept), 1 << 16):
+                some = kept[i : i + (1 << 16)]
+                names = np.frombuffer(b"".join(xxh3_128_digest(held[p][4][j : j + length]) for p, j in zip(piece[some].tolist(), inside[some].tolist())), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(at[some]), none(len(some)), pa.array(names[:, 0].copy()), pa.array(names[:, 1].copy())], SORTED)
 
         for batch in batches:
-            for row in zip(*(batch[c].to_pylist() for c in ("anchor", "doc_id", "start", "piece"))):
-                if size >= block and row[0] != held[-1][0]:
+            for row in zip(*(batch[c].to_pylist() for c in ("anchor", "part", "doc_id", "start", "piece"))):
+                if size >= block and row[:2] != held[-1][:2]:
                     yield from settle(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[3])
+                size += len(row[4])
         if held:
             yield from settle(held)
 
-    sent = shipped.filter("anchor IS NOT NULL").select("anchor", "doc_id", "start", "piece")
-    sent = sent.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "start")
-    removed = sent.mapInArrow(sort_pieces, "doc_id long, start long, end long").unionByName(shipped.filter("anchor IS NULL").select("doc_id", "start", "end"))
+    sent = shipped.filter("anchor IS NOT NULL").select("anchor", "part", "doc_id", "start", "piece")
+    sent = sent.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "doc_id", "start")
+    done = materialize(sent.mapInArrow(sort_pieces, "doc_id long, start long, end long, lo long, hi long"), "suffix-sorted")
+    removed = done.filter("end IS NOT NULL").select("doc_id", "start", "end").unionByName(shipped.filter("anchor IS NULL").select("doc_id", "start", "end"))
+    kept = done.filter("end IS NULL")  # the strings that the parts of hot anchors keep
+    if kept.limit(1).count():
+        place = F.struct("doc_id", "start")
+        first = kept.groupBy("lo", "hi").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last").select("lo", "hi", "first")
+        removed = removed.unionByName(kept.join(first, ["lo", "hi"]).filter(place > F.col("first")).select("doc_id", "start", (F.col("start") + length).alias("end")))
     removed = removed.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("removed"))  # of one document
     copies = texts.filter("copy").select("doc_id", "lo").distinct().groupBy("doc_id").agg(F.collect_set("lo").alias("copies"))
     removed = materialize(removed.join(copies, "doc_id", "full"), "suffix-removed")
@@ -238,6 +261,8 @@ def dedup_bytes(docs: DataFrame, length: int = 100, block: int = 1 << 20, keep_b
                 out.append((doc_id, n, cut, spans, hashlib.sha256(kept).hexdigest(), kept if keep_bytes else None))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))][: 5 + keep_bytes], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + keep_bytes])
 
-    out = rows.join(removed, "doc_id", "left").mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes)
-    discard(scanned, live, shipped, texts)
+    alone = rows.filter("doc_id IS NULL").select("*", *(F.lit(None).cast(removed.schema[c].dataType).alias(c) for c in ("removed", "copies")))
+    joined = rows.filter("doc_id IS NOT NULL").join(removed, "doc_id", "left").unionByName(alone)  # rows without an id never meet in one task
+    out = joined.mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes)
+    discard(scanned, live, shipped, texts, done)
     return out.withColumnRenamed("doc_id", id_col)
