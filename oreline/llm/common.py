@@ -1,4 +1,4 @@
-"""What the operators share: the shared work folder, written intermediate tables, bounded Arrow batches."""
+"""What the operators share: the shared work folder, written intermediate tables, bounded Arrow batches, a worker's memory."""
 
 from __future__ import annotations
 
@@ -6,28 +6,51 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
+_LEFT: dict[str, DataFrame] = {}
+_HELD: dict[tuple, Any] = {}
+
+
+def of_worker(key: tuple, make: Callable[[], Any]) -> Any:
+    """The one object that a Python worker keeps from task to task: a model with its memory of words.
+
+    Asking for another one frees it first, so a worker that serves several operators holds the memory of one of them."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder takes its place.
-    """
+    Only where the setting is absent and driver and executors are one process (tests) a temporary folder takes its place."""
     if found := spark.conf.get("spark.checkpoint.dir", None):
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not _OWN:
         _OWN.append(tempfile.mkdtemp(prefix="oreline-"))
         atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
     return f"file://{_OWN[0]}"
 
 
+def _sweep() -> None:
+    """At the driver's end: tables that results were read from, which no operator could delete."""
+    for df in list(_LEFT.values()):
+        try:
+            discard(df)
+        except Exception:  # the session is gone already
+            return
+
+
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back: later stages start from files, not from lineage.
 
@@ -39,6 +62,9 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._oreline_path = path
+    if not _LEFT:
+        atexit.register(_sweep)
+    _LEFT[path] = out
     return out
 
 
@@ -48,6 +74,7 @@ def discard(*tables: DataFrame) -> None:
         if path := getattr(df, "_oreline_path", None):
             jvm = df.sparkSession._jvm
             p = jvm.org.apache.hadoop.fs.Path(path)
+            _LEFT.pop(path, None)
             p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks
+from .common import blocks, of_worker
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -88,9 +91,14 @@ def _merges(spec: Spec) -> list[tuple[str, str]]:
 
 
 class Backend:
-    """A tokenizers pipeline that gives sentencepiece's ids; ``core`` encodes words that are normalised and marked already."""
+    """A tokenizers pipeline that gives sentencepiece's ids.
 
-    def __init__(self, data: bytes, most_words: int = 300_000):
+    ``tok`` is the whole pipeline: normaliser, metaspace pre-tokeniser, model, decoder. Where no piece has the marker behind
+    another character, no merge or path reaches over a word's end; where besides the normaliser works on single characters (no
+    character map, no white space taken out), a text is cut at its spaces and each distinct word goes through the pipeline once
+    while it is remembered (two tables of about ``most`` bytes take turns). All other models encode whole texts."""
+
+    def __init__(self, data: bytes, most: int = 128 << 20):
         from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
         self.spec = spec = parse_model(data)
@@ -113,7 +121,7 @@ class Backend:
             steps.append(normalizers.Replace(" ", MARK))
         #: No piece has the marker behind another character: words can be encoded apart.
         self.apart = spec.escape_whitespaces and not any(re.search(f"[^{MARK}]{MARK}", p) for p, _, kind in spec.pieces if kind in (NORMAL, USER_DEFINED))
-        self.plain = self.apart and not spec.charsmap and not spec.remove_extra_whitespaces and not any(kind == USER_DEFINED for *_, kind in spec.pieces)
+        self.apart &= not spec.charsmap and not spec.remove_extra_whitespaces and not any(kind == USER_DEFINED for *_, kind in spec.pieces)
         self.tok, self.core = Tokenizer(model()), Tokenizer(model())
         self.tok.normalizer = normalizers.Sequence(steps)
         if self.apart:
@@ -123,59 +131,58 @@ class Backend:
         tail = [decoders.Strip(" ", left=1)] if spec.add_dummy_prefix else []
         self.tok.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *tail])
         self.core.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()])
-        self.most, self.known, self.old, self.word = most_words, {}, {}, re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        #: Words of a text whose first marker is a space: the spaces before a word belong to it.
+        self.word, self.lead = re.compile(" +[^ ]*|[^ ]+"), " " if spec.add_dummy_prefix else ""
+        self.core.normalizer = normalizers.Replace(" ", mark)
+        self.most, self.room, self.known, self.old, self.odd = most, most, {}, {}, {}
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of whole texts; one multithreaded call for all words that are new, or for all texts where words can't be told apart."""
-        return [ids for ids, _, _ in self.verified(texts, None)]
+        """Ids of whole texts."""
+        return [np.frombuffer(raw, "<u4").tolist() for raw, _ in self.encode_raw(texts)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tok.decode_batch(ids, skip_special_tokens=False)
 
-    def verified(self, texts: list[str], other) -> list[tuple[list[int], str, bool]]:
-        """(ids, decoded ids, whether the ids are those of ``other``, a sentencepiece processor) of whole texts.
+    def encode_raw(self, texts: list[str]) -> list[tuple[bytes, bool]]:
+        """(ids as little-endian unsigned 32-bit bytes, whether they decode to the text) of whole texts.
 
-        Where words can be told apart, no merge reaches over a word's end: a text's ids, its decoded text and its parity are those
-        of its words, and each distinct word is encoded, decoded and compared once while it is remembered."""
-        if not self.plain:
+        A text's decoded form is that of its words, one after another, without the marker that the normaliser puts first."""
+        if not self.apart:
             ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-            same = [True] * len(ids) if other is None else [a == b for a, b in zip(ids, other.encode(texts, num_threads=1))]
-            return list(zip(ids, self.decode(ids), same))
-        if len(self.known) > self.most:
-            self.known, self.old = {}, self.known  # what is still in use comes back from the old table
-        known, old, head = self.known, self.old, MARK if self.spec.add_dummy_prefix else ""
-        cut = [self.word.findall(head + t.replace(" ", MARK)) if t else [] for t in texts]
-        new = list({w for ws in cut for w in ws if w not in known})
+            return [(np.asarray(x, "<u4").tobytes(), back == t) for x, back, t in zip(ids, self.decode(ids), texts)]
+        if self.room < 0:
+            self.known, self.old, self.room = {}, self.known, self.most  # what is still in use comes back from the old table
+            self.odd = {w: back for w, back in self.odd.items() if w in self.old}
+        known, old = self.known, self.old
+        cut = [self.word.findall(self.lead + t) if t else [] for t in texts]
+        new = set().union(*cut).difference(known)
+        self.room -= 3 * sum(map(len, new)) + 190 * len(new)
         known.update((w, old[w]) for w in new if w in old)
-        self._learn([w for w in new if w not in old], other)
+        self._learn([w for w in new if w not in old])
         out = []
-        for ws in cut:
-            ids: list[int] = []
-            found = list(map(known.__getitem__, ws))
-            for x in found:
-                ids += x[0]
-            text = "".join([x[1] for x in found])
-            out.append((ids, text[len(head) :], all([x[2] for x in found])))
+        for text, ws in zip(texts, cut):
+            same = True
+            if self.odd and not self.odd.keys().isdisjoint(ws):
+                same = "".join([self.odd.get(w, w) for w in ws])[len(self.lead) :] == text
+            out.append((b"".join(map(known.__getitem__, ws)), same))
         return out
 
-    def _learn(self, words: list[str], other) -> None:
-        if words:
-            ids = [e.ids for e in self.core.encode_batch_fast(words, add_special_tokens=False)]
-            back = self.core.decode_batch(ids, skip_special_tokens=False)
-            same = [True] * len(ids)
-            if other is not None:
-                skip = int(self.spec.add_dummy_prefix)  # sentencepiece puts the first marker itself
-                theirs = other.encode([w[skip:].replace(MARK, " ") for w in words], num_threads=1)
-                same = [a == (b or [other.piece_to_id(w)]) for w, a, b in zip(words, ids, theirs)]  # the empty text has no marker: a lone one is its piece
-            self.known.update(zip(words, zip(ids, back, same)))
-
-
-_BACKENDS: dict[str, tuple] = {}
+    def _learn(self, words: list[str]) -> None:
+        """Remembers each word's ids, and what they decode to where that isn't the word itself."""
+        for i in range(0, len(words), 4096):
+            some = words[i : i + 4096]
+            ids = [e.ids for e in self.core.encode_batch_fast(some, add_special_tokens=False)]
+            self.known.update(zip(some, (array("I", x).tobytes() for x in ids)))
+            whole = self.core.decode(list(chain.from_iterable(ids)), skip_special_tokens=False)
+            if whole != "".join(some):  # a word that doesn't come back: which?
+                back = self.core.decode_batch(ids, skip_special_tokens=False)
+                self.odd.update((w, b) for w, b in zip(some, back) if b != w)
 
 
 def backend(path: str):
     """(Backend, sentencepiece's own processor) of a model file, once a Python worker."""
-    if path not in _BACKENDS:
+
+    def load():
         import os
 
         import sentencepiece
@@ -183,15 +190,16 @@ def backend(path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         with open(path, "rb") as f:
             data = f.read()
-        _BACKENDS[path] = Backend(data), sentencepiece.SentencePieceProcessor(model_proto=data)
-    return _BACKENDS[path]
+        return Backend(data), sentencepiece.SentencePieceProcessor(model_proto=data)
+
+    return of_worker(("sentencepiece", path), load)
 
 
 def encode_documents(docs: DataFrame, model: str, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encodes every whole text and decodes the ids again.
 
-    Returns id_col, n_ids, ids_crc32 (unsigned, of little-endian unsigned 32-bit ids), parity (the ids are those of the
-    sentencepiece library, by its distinct words), round_trip (the decoded text is the text), and with ``keep_ids`` the ids.
+    Returns id_col, n_ids, ids_crc32 (unsigned, of little-endian unsigned 32-bit ids), parity (the ids are those that the
+    sentencepiece library gives for the whole text), round_trip (the decoded text is the text), and with ``keep_ids`` the ids.
 
     Null texts have null ids, null n_ids, ids_crc32, parity and round_trip; empty texts have no ids. Null ids of rows and
     repeated rows are kept. An empty table gives no rows; other columns take no part.
@@ -202,8 +210,9 @@ def encode_documents(docs: DataFrame, model: str, keep_ids: bool = False, id_col
         for batch in blocks(batches, "text"):
             texts = batch["text"].to_pylist()
             there = [t for t in texts if t is not None]
-            done = iter([(ids, same, back == text) for (ids, back, same), text in zip(own.verified(there, other), there)])
-            rows = [(len(x[0]), zlib.crc32(np.asarray(x[0], "<u4").tobytes()), x[1], x[2], x[0] if keep_ids else None) if (x := next(done) if t is not None else None) else (None,) * 5 for t in texts]
+            theirs = other.encode(there, num_threads=1) if there else []
+            done = iter([(raw, raw == array("I", x).tobytes(), back) for (raw, back), x in zip(own.encode_raw(there), theirs)])
+            rows = [(len(x[0]) // 4, zlib.crc32(x[0]), x[1], x[2], np.frombuffer(x[0], "<u4").tolist() if keep_ids else None) if (x := next(done) if t is not None else None) else (None,) * 5 for t in texts]
             cols = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.list_(pa.int32())))]
             yield pa.RecordBatch.from_arrays([batch["id"], *cols[: 4 + keep_ids]], ["id", "n_ids", "ids_crc32", "parity", "round_trip", "ids"][: 5 + keep_ids])
 
@@ -213,14 +222,21 @@ def encode_documents(docs: DataFrame, model: str, keep_ids: bool = False, id_col
 
 
 def decode_documents(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """Texts of the ids: id_col, text. Null ids give null texts."""
+    """Texts of the ids: id_col, text.
+
+    Null ids give null texts, empty ones the empty text. Rows with null id_col and repeated rows are kept; an empty table gives no
+    rows. Batches are decoded a few million ids at a time, a longer row by itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, _ = backend(model)
         for batch in batches:
-            ids = batch["ids"].to_pylist()
-            texts = iter(own.decode([x for x in ids if x is not None]))
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array([None if x is None else next(texts) for x in ids], pa.string())], ["id", "text"])
+            sizes = pc.fill_null(pc.list_value_length(batch["ids"]), 0).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // (2 << 20))) + 1
+            for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+                part = batch.slice(a, b - a)
+                ids = part["ids"].to_pylist()
+                texts = iter(own.decode([x for x in ids if x is not None]))
+                yield pa.RecordBatch.from_arrays([part["id"], pa.array([None if x is None else next(texts) for x in ids], pa.string())], ["id", "text"])
 
     rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, text string").withColumnRenamed("id", id_col)
