@@ -69,3 +69,38 @@ def plan_shards(rows: DataFrame, done: DataFrame, key: str, size: int) -> DataFr
 def deal(rows: DataFrame, order: list[Column], n: int) -> DataFrame:
     """Deals rows in a total order to ``n`` batches in turn."""
     return global_rank(rows, order).withColumn("batch", (F.col("rank") % n).cast("int")).drop("rank")
+
+
+def _filled(pool: DataFrame, key: str, bin_: str, room: Column, bins: Column, salt: str) -> DataFrame:
+    """Rows of a pool up to ``room``: an equal quota a bin by least hash, then what is left over by hash.
+
+    ``room`` and ``bins`` are columns that are the same in all rows. Quotas are cut by bin first; then each is at most ``room``."""
+    h = F.md5(F.concat(F.lit(salt), F.col(key).cast("string")))
+    per = F.greatest(F.lit(1), F.floor(room / F.greatest(F.lit(1), bins)))
+    k = pool.withColumn("_h", h).withColumn("_k", F.row_number().over(Window.partitionBy(bin_).orderBy("_h", key))).withColumn("_q", F.col("_k") <= per)
+    order = [(~F.col("_q")).asc(), F.when(F.col("_q"), F.col(bin_)).otherwise(0).asc(), F.when(F.col("_q"), F.col("_k")).otherwise(0).asc(), F.col("_h").asc(), F.col(key).asc()]
+    return global_rank(k, order).filter(F.col("rank") < room).drop("_h", "_k", "_q", "rank")
+
+
+def quota_sample(rows: DataFrame, key: str, bin_: str, forced: str, budget: int, salt: str) -> DataFrame:
+    """(key, bin, forced): forced rows, and of the others equal quotas a bin up to the budget, filled up from what is left. All if they fit."""
+    n = rows.agg(F.greatest(F.lit(0), F.lit(budget) - F.count_if(F.col(forced))).alias("_room"), F.count_distinct(F.when(~F.col(forced), F.col(bin_))).alias("_bins"), F.count(F.lit(1)).alias("_n"))  # one row
+    tagged = rows.join(F.broadcast(n)).withColumn("_room", F.when(F.col("_n") <= budget, F.col("_n")).otherwise(F.col("_room")))
+    chosen = _filled(tagged.filter(~F.col(forced)), key, bin_, F.col("_room"), F.col("_bins"), salt)
+    return rows.filter(forced).select(key, bin_, forced).unionByName(chosen.select(key, bin_, forced))
+
+
+def citywide_tiles(rows: DataFrame, key: str, bin_: str, forced: str, green: str, budget: int, salt: str, background: float = 0.22, hard: float = 0.15) -> DataFrame:
+    """(key, kind): forced rows; of the room left a ``background`` share from bin 0, in it a ``hard`` share of green ones (more if plain
+    ones run out); the rest from the other bins in equal quotas, filled up from what is left."""
+    pool = ~F.col(forced)
+    n = rows.agg(F.greatest(F.lit(0), F.lit(budget) - F.count_if(F.col(forced))).alias("_room"), F.count_if(pool & (F.col(bin_) == 0)).alias("_bg"), F.count_if(pool & (F.col(bin_) == 0) & F.col(green)).alias("_gr"), F.count_distinct(F.when(pool & (F.col(bin_) != 0), F.col(bin_))).alias("_bins"))
+    n = n.withColumn("_nbg", F.least("_bg", F.round(background * F.col("_room")).cast("long"))).withColumn("_ng", F.least("_gr", F.round(hard * F.col("_nbg")).cast("long"))).withColumn("_nc", F.col("_room") - F.col("_nbg"))
+    tagged = rows.filter(pool).join(F.broadcast(n)).withColumn("_h", F.md5(F.concat(F.lit(salt), F.col(key).cast("string"))))
+    ground = tagged.filter(F.col(bin_) == 0).withColumn("_g", F.row_number().over(Window.partitionBy(green).orderBy("_h", key)))
+    kept = F.col(green) & (F.col("_g") <= F.col("_ng"))
+    spare = F.col(green) & ~kept
+    low = global_rank(ground, [spare.asc(), kept.desc(), F.col("_h").asc(), F.col(key).asc()]).filter(F.col("rank") < F.col("_nbg"))
+    low = low.select(key, F.when(F.col(green), F.lit("green")).otherwise(F.lit("background")).alias("kind"))
+    high = _filled(tagged.filter(F.col(bin_) != 0), key, bin_, F.col("_nc"), F.col("_bins"), salt).select(key, F.lit("canopy").alias("kind"))
+    return rows.filter(forced).select(key, F.lit("forced").alias("kind")).unionByName(low).unionByName(high)

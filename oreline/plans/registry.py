@@ -1,6 +1,6 @@
 """All registered queries outside the training-data subpackage, with their DuckDB equivalents."""
 
-from . import citations, curves, grids, jobs, ledger, records, routing, sequence, stats, streams, text  # noqa: F401
+from . import citations, curves, grids, inference, jobs, ledger, records, routing, sequence, stats, streams, text  # noqa: F401
 from .base import ORACLE, QUERIES  # noqa: F401
 
 FLAGSHIP = "pr_curve"
