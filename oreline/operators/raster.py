@@ -111,3 +111,43 @@ def cover_matrix(px: DataFrame, entity: str, arm: str, value: str, arms: list, l
     """An entity's mean over valid cells in each arm, null below ``least`` valid cells: a column an arm."""
     cell = F.when(valid(F.col(value)), F.col(value))
     return px.groupBy(entity).agg(*(F.round(F.when(F.count(F.when(F.col(arm) == a, cell)) >= least, F.avg(F.when(F.col(arm) == a, cell))), 6).alias(f"arm_{a}") for a in arms))
+
+
+def persistent_loss(px: DataFrame, grids: list[int], value: str, cut: float) -> DataFrame:
+    """(row, col, lost) of cells that are valid in all ``grids`` (epochs): 1 where the first is at ``cut`` or more and all later are below."""
+    on = F.when(valid(F.col(value)), (F.col(value) >= cut).cast("int"))
+    wide = px.filter(F.col("grid").isin(grids)).groupBy("row", "col").agg(*(F.max(F.when(F.col("grid") == g, on)).alias(f"_e{i}") for i, g in enumerate(grids)))
+    cells = [F.col(f"_e{i}") for i in range(len(grids))]
+    known, gone = F.lit(True), cells[0] == 1
+    for i, c in enumerate(cells):
+        known = known & c.isNotNull()
+        gone = gone & (c == 0) if i else gone
+    return wide.filter(known).select("row", "col", gone.cast("int").alias("lost"))
+
+
+def with_additions(label: Column, code: Column) -> Column:
+    """Codes laid over labels: 1 makes canopy, 2 unknown unless it is canopy, 3 unknown; canopy never becomes background."""
+    return F.when(code == 1, 1).when((code == 2) & (label != 1), NODATA).when(code == 3, NODATA).otherwise(label)
+
+
+def call_rates(px: DataFrame, certified: DataFrame, product: str, value: str, cut: float) -> DataFrame:
+    """Calls at ``cut`` or more of each product on its valid cells among certified ones, where every call is false."""
+    j = px.filter(valid(F.col(value))).join(certified, ["row", "col"]).groupBy(product).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(value) >= cut).alias("false_positives"))
+    return j.withColumn("rate", F.round(F.col("false_positives") / F.col("n"), 6))
+
+
+def change_laundering(cells: DataFrame, population: str, base: str, arm: str, floor: float) -> DataFrame:
+    """Call rates of two arms on each certified population and on all cells, and whether the arm's rise where cover was gained exceeds
+    its rise everywhere by more than ``floor``."""
+    each = cells.select(F.explode(F.array(F.col(population), F.lit("all"))).alias("population"), base, arm).filter("population <> 'rest'")
+    r = each.groupBy("population").agg(F.count(F.lit(1)).alias("n"), F.avg(base).alias("b"), F.avg(arm).alias("a"))
+    rise = F.col("a") - F.col("b")
+    rows = r.select("population", "n", F.round("b", 6).alias("base_rate"), F.round("a", 6).alias("arm_rate"), F.round(rise, 6).alias("rise"), F.lit("").alias("flag"))
+    k = r.agg((F.max(F.when(F.col("population") == "gain", rise)) - F.max(F.when(F.col("population") == "all", rise))).alias("k")).filter("k IS NOT NULL")
+    null = lambda t: F.lit(None).cast(t)
+    return rows.unionByName(k.select(F.lit("gain_minus_all").alias("population"), null("long").alias("n"), null("double").alias("base_rate"), null("double").alias("arm_rate"), F.round("k", 6).alias("rise"), F.when(F.col("k") > floor, "CHANGE LAUNDERING").otherwise("PASSES").alias("flag")))
+
+
+def least_cells(cell_area: Column, least_area: float) -> Column:
+    """Cells of the least patch: its area over a cell's, rounded up."""
+    return F.ceil(F.lit(least_area) / cell_area)

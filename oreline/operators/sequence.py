@@ -151,3 +151,24 @@ def hmm(rows: DataFrame, key: str, epoch: str, symbol: str, start: list[float],
     schema = f"`{key}` {kinds[key]}, `{epoch}` {kinds[epoch]}, path long, " + ", ".join(f"p{k} double" for k in range(n))
     whole = rows.groupBy(F.col(key).alias("k")).agg(F.array_sort(F.collect_list(F.struct(F.col(epoch).alias("e"), F.col(symbol).alias("s")))).alias("q"))
     return whole.mapInArrow(run, schema)
+
+
+def trajectories(rows: DataFrame, key: str, epoch: str, state: str) -> DataFrame:
+    """NEVER_SEEN, LOST (absent after the last P), GAINED (absent before the first P), FLICKERING (absent between), else PERSISTENT; U is unknown."""
+    q = rows.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(epoch).alias("e"), F.col(state).alias("s")))), lambda x: x["s"]).alias("h"))
+    first = F.array_position("h", "P").cast("int")
+    last = F.size("h") + 1 - F.array_position(F.reverse("h"), "P").cast("int")
+    part = lambda a, n: F.array_contains(F.slice("h", a, F.greatest(n, F.lit(0))), "A")
+    kind = F.when(first == 0, "NEVER_SEEN").when(part(last + 1, F.size("h") - last), "LOST").when(part(F.lit(1), first - 1), "GAINED").when(part(F.greatest(first, F.lit(1)), last - first), "FLICKERING").otherwise("PERSISTENT")
+    return q.select(key, kind.alias("trajectory"))
+
+
+def presence_intervals(rows: DataFrame, key: str, epoch: str, value: str, epochs: int, present: float = 0.5, absent: float = 0.15) -> DataFrame:
+    """First and last epoch (from 0) with a posterior of ``present`` or more, and the nearest ones outside that are surely absent; -1 where
+    none was ever seen, and ``epochs`` where none comes after."""
+    seen, gone = F.col(value) >= present, F.col(value) <= absent
+    ends = rows.groupBy(key).agg(F.min(F.when(seen, F.col(epoch))).alias("_f"), F.max(F.when(seen, F.col(epoch))).alias("_l"))
+    w = rows.join(ends, key).groupBy(key, "_f", "_l").agg(F.max(F.when(gone & (F.col(epoch) < F.col("_f")), F.col(epoch))).alias("_lo"), F.min(F.when(gone & (F.col(epoch) > F.col("_l")), F.col(epoch))).alias("_hi"))
+    lo, hi, ever = F.coalesce("_lo", F.lit(-1)), F.coalesce("_hi", F.lit(epochs)), F.col("_f").isNotNull()
+    or_not = lambda c: F.when(ever, c).otherwise(-1)
+    return w.select(key, or_not(F.col("_f")).alias("first_seen"), or_not(F.col("_l")).alias("last_seen"), or_not(lo).alias("first_lo"), or_not(hi).alias("last_hi"), or_not(F.col("_f") - lo).alias("first_width"), or_not(hi - F.col("_l")).alias("last_width"))
