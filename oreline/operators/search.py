@@ -12,15 +12,60 @@ from pyspark.sql import functions as F
 from ..functions.text import canonical_newlines, tokens, trigrams
 
 
-def token_index(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(token, doc_id, tf): the postings of every document."""
-    return docs.select(doc_id, F.explode(tokens(text)).alias("token")).groupBy("token", doc_id).agg(F.count(F.lit(1)).alias("tf"))
+#: What kinds of blocks a search looks into unless asked otherwise, and all there are.
+DEFAULT_KINDS = ["title", "author", "affiliation", "abstract", "heading", "paragraph", "list_item", "footnote", "caption", "table", "figure", "equation", "sidebar"]
+ALL_KINDS = [*DEFAULT_KINDS, "reference", "page_header", "page_footer", "page_number", "other"]
 
 
-def any_term_leg(queries: DataFrame, index: DataFrame, query_id: str, doc_id: str, text: str, all_terms: bool = False) -> DataFrame:
+def stem(w: Column) -> Column:
+    """A word without its inflection: plural s, then ed or ing where a vowel is left, then y as i. Suffixes only, no word list."""
+    w = F.regexp_replace(F.regexp_replace(w, "(ss|i)es$", "$1"), "([^su])s$", "$1")
+    bare = F.regexp_replace(w, "(ed|ing)$", "")
+    w = F.when(w.rlike("(ed|ing)$") & bare.rlike("[aeiouy]"), bare).otherwise(w)
+    return F.regexp_replace(w, "([^aeiou])y$", "$1i")
+
+
+def kinds_of(spec: str) -> list[str]:
+    """Block kinds that a search looks into: the default ones for an empty spec, every one for ``all``, else the named ones; an unknown
+    name is an error, never a silently smaller search."""
+    spec = spec.strip().lower()
+    asked = DEFAULT_KINDS if not spec else ALL_KINDS if spec == "all" else [k.strip() for k in spec.split(",") if k.strip()]
+    if bad := sorted(set(asked) - set(ALL_KINDS)):
+        raise ValueError(f"not a block kind: {', '.join(bad)}")
+    return list(asked)
+
+
+def visible(blocks: DataFrame, files: DataFrame, file: str, run: str, current: str, kind: str | None = None, spec: str = "", workstreams: list[str] | None = None, workstream: str | None = None) -> DataFrame:
+    """Blocks that a search may see: of each file's current run, of the kinds asked for, and of no workstream or one of those named."""
+    out = blocks.join(files.select(file, current), file).filter(F.col(run) == F.col(current)).drop(current)
+    if kind:
+        out = out.filter(F.col(kind).isin(kinds_of(spec)))
+    return out if workstream is None else out.filter(F.col(workstream).isNull() | F.col(workstream).isin(workstreams or []))
+
+
+def query_terms(queries: DataFrame, query_id: str, text: str, stemmed: bool = False) -> DataFrame:
+    """(query, token): the distinct tokens of each query."""
+    words = F.transform(tokens(text), stem) if stemmed else tokens(text)
+    return queries.select(query_id, F.explode(F.array_distinct(words)).alias("token"))
+
+
+def token_index(docs: DataFrame, doc_id: str, text: str, terms: DataFrame | None = None, stemmed: bool = False, most_broadcast: int = 200_000) -> DataFrame:
+    """(token, doc_id, tf): the postings of every document; with ``terms`` only those of its tokens.
+
+    Up to ``most_broadcast`` distinct terms are broadcast, so other tokens never leave the scan; more are joined."""
+    words = F.transform(tokens(text), stem) if stemmed else tokens(text)
+    each = docs.select(doc_id, F.explode(words).alias("token"))
+    if terms is not None:
+        wanted = terms.select("token").distinct()
+        small = wanted.limit(most_broadcast + 1).count() <= most_broadcast
+        each = each.join(F.broadcast(wanted) if small else wanted, "token", "left_semi")
+    return each.groupBy("token", doc_id).agg(F.count(F.lit(1)).alias("tf"))
+
+
+def any_term_leg(queries: DataFrame, index: DataFrame, query_id: str, doc_id: str, text: str, all_terms: bool = False, stemmed: bool = False) -> DataFrame:
     """(query, doc, score): documents that hold any (or all) of a query's distinct tokens, scored by the sum over them of
     1 - 1 / (1 + tf). Postings meet queries in an equi-join on the token."""
-    terms = queries.select(query_id, F.explode(F.array_distinct(tokens(text))).alias("token"))
+    terms = query_terms(queries, query_id, text, stemmed)
     hits = terms.join(index, "token").groupBy(query_id, doc_id).agg(F.round(F.sum(1 - 1 / (1 + F.col("tf"))), 6).alias("score"), F.count(F.lit(1)).alias("_n"))
     if all_terms:
         hits = hits.join(terms.groupBy(query_id).agg(F.count(F.lit(1)).alias("_all")), query_id).filter("_n = _all")
@@ -68,20 +113,38 @@ def fuse(legs: list[DataFrame], query_id: str, doc_id: str, k: int = 60) -> Data
     return rows.groupBy(query_id, doc_id).agg(F.round(F.sum(1 / (k + F.col("rank"))), 8).alias("score"), F.count(F.lit(1)).alias("n_legs"))
 
 
-def containing(passages: DataFrame, docs: DataFrame, passage_id: str, doc_id: str, text: str, words: int = 5) -> DataFrame:
+def containing(passages: DataFrame, docs: DataFrame, passage_id: str, doc_id: str, text: str, words: int = 5, most_broadcast: int = 200_000) -> DataFrame:
     """(passage, doc, start, stop) of each passage that a document holds, at its first place, in characters from 0.
 
     A passage of ``words`` + 2 words or more is looked up by the ``words`` words from its second on, which any document that holds
-    it has side by side; only the shorter passages are tested against every document."""
+    it has side by side; a shorter one of three words or more by its second word. Only what is left (two words at the most, whose own
+    words may be parts of others) is tested against every document, as one broadcast table whose size is checked.
+
+    Keys of up to ``most_broadcast`` passages are broadcast, so other word runs never leave the scan; more are joined."""
     split = lambda c: F.split(c, r"[ \t\n\r]+")
     p = passages.select(passage_id, F.col(text).alias("_p")).withColumn("_w", split(F.col("_p")))
     keyed = p.filter(F.size("_w") >= words + 2).withColumn("_key", F.xxhash64(F.slice("_w", 2, words)))
     grams = docs.select(doc_id, split(F.col(text)).alias("_w")).filter(F.size("_w") >= words)
     grams = grams.select(doc_id, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("_w") - words + 1), lambda i: F.xxhash64(F.slice("_w", i, F.lit(words)))))).alias("_key"))
-    pairs = keyed.select(passage_id, "_p", "_key").join(grams, "_key").select(passage_id, "_p", doc_id).distinct()
+    some = p.filter((F.size("_w") < words + 2) & (F.size("_w") >= 3)).withColumn("_key", F.xxhash64(F.col("_w")[1]))
+    single = docs.select(doc_id, F.explode(F.array_distinct(F.transform(split(F.col(text)), lambda w: F.xxhash64(w)))).alias("_key"))
+
+    def met(asked: DataFrame, held: DataFrame) -> DataFrame:
+        keys = asked.select("_key").distinct()
+        small = keys.limit(most_broadcast + 1).count() <= most_broadcast
+        held = held.join(F.broadcast(keys) if small else keys, "_key", "left_semi")
+        return asked.select(passage_id, "_p", "_key").join(held, "_key").select(passage_id, "_p", doc_id).distinct()
+
     body = docs.select(doc_id, F.col(text).alias("_d"))
+    pairs = met(keyed, grams)
+    if some.limit(1).count():
+        pairs = pairs.unionByName(met(some, single))
     long_hits = pairs.join(body, doc_id)
-    short_hits = p.filter(F.size("_w") < words + 2).select(passage_id, "_p").join(body, F.col("_d").contains(F.col("_p")))
+    tiny = p.filter(F.size("_w") < 3).select(passage_id, "_p")
+    few = tiny.limit(most_broadcast + 1).count()
+    if few > most_broadcast:
+        raise ValueError(f"more than {most_broadcast} passages of one or two words")
+    short_hits = (F.broadcast(tiny) if few else tiny.limit(0)).join(body, F.col("_d").contains(F.col("_p")))
     hits = long_hits.select(passage_id, doc_id, "_p", "_d").unionByName(short_hits.select(passage_id, doc_id, "_p", "_d")).withColumn("_at", F.expr("instr(_d, _p)")).filter("_at > 0")
     return hits.select(passage_id, doc_id, (F.col("_at") - 1).cast("long").alias("start"), (F.col("_at") - 1 + F.length("_p")).cast("long").alias("stop"))
 

@@ -11,12 +11,13 @@ from ..operators import search as R
 from ..operators import versioning as V
 from .base import Tables, query
 
-_NT = "trim(regexp_replace(lower(substr(text, 1, 100)), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
+_NT = "trim(regexp_replace(lower(regexp_extract(text, '^[^\\n]*')), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
 _GRAMS = f"g AS (SELECT doc_id, doc_id % 3 + 2000 AS yr, list_distinct(flatten([[substr('  ' || w || ' ', i::BIGINT, 3) FOR i IN range(1, length(w) + 2)] FOR w IN string_split({_NT}, ' ') IF w <> ''])) AS g FROM documents)"
 
 
 def _titles(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.substring("text", 1, 100).alias("title"), (F.col("doc_id") % 3 + 2000).alias("yr"))
+    """The whole first line stands for the title that documents have no column for."""
+    return t.documents.select("doc_id", F.regexp_extract("text", r"^[^\n]*", 0).alias("title"), (F.col("doc_id") % 3 + 2000).alias("yr"))
 
 
 @query(f"""WITH {_GRAMS}, p AS (SELECT a.doc_id, b.doc_id AS other, len(list_intersect(a.g, b.g)) AS n, len(a.g) + len(b.g) AS m FROM g a JOIN g b ON a.doc_id <> b.doc_id AND abs(a.yr - b.yr) <= 1 AND len(a.g) > 0 AND least(len(a.g), len(b.g)) >= 0.7 * greatest(len(a.g), len(b.g)))
@@ -46,7 +47,7 @@ def mutual_nearest(t: Tables) -> DataFrame:
     return K.mutual_nearest(a, b, ["g"], "x", "y", "a_id", "b_id", 8.0, 1.5)
 
 
-_BOX = "b AS (SELECT l_orderkey AS page, l_linenumber AS box, (l_partkey % 50)::DOUBLE AS x, (l_suppkey % 40)::DOUBLE AS y, 10.0 + l_quantity % 20 AS w, 8.0 + l_linenumber AS h FROM lineitem WHERE l_orderkey % 5 = 0)"
+_BOX = "b AS (SELECT l_orderkey AS page, l_linenumber AS box, (l_partkey % 50)::DOUBLE AS x, (l_suppkey % 40)::DOUBLE AS y, 10.0 + l_quantity % 20 AS w, 8.0 + l_linenumber AS h FROM lineitem)"
 _PAIRS = _BOX + """, p AS (SELECT a.page, a.box AS a_box, b.box AS b_box, greatest(0, least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x)) * greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) AS i,
   greatest(0, least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y)) / least(a.h, b.h) AS band, a.w * a.h AS aa, b.w * b.h AS ba FROM b a JOIN b ON a.page = b.page AND a.box % 2 = 0 AND b.box % 2 = 1)"""
 
@@ -68,18 +69,16 @@ _OVERLAPS = f"WITH {_PAIRS} SELECT page, a_box, b_box, round(i / (aa + ba - i),
 
 @query(_OVERLAPS)
 def box_overlap(t: Tables) -> DataFrame:
-    return _overlaps(t.lineitem.filter("l_orderkey % 5 = 0"))
-
-
-@query(_OVERLAPS.replace(" WHERE l_orderkey % 5 = 0", ""))
-def box_overlap_whole(t: Tables) -> DataFrame:
-    """``box_overlap`` of all orders."""
     return _overlaps(t.lineitem)
 
 
-@query()
+@query(f"""WITH RECURSIVE o AS ({_OVERLAPS.replace("WITH", "WITH", 1)}), k AS (SELECT page, a_box, b_box, iou, row_number() OVER (PARTITION BY page ORDER BY iou DESC, a_box, b_box) AS i FROM o WHERE iou >= 0.1),
+g(page, i, taken, a, b) AS (SELECT DISTINCT page, 0::BIGINT, false, []::BIGINT[], []::BIGINT[] FROM k UNION ALL
+  SELECT k.page, k.i, NOT list_contains(a, k.a_box) AND NOT list_contains(b, k.b_box), CASE WHEN list_contains(a, k.a_box) OR list_contains(b, k.b_box) THEN a ELSE list_append(a, k.a_box::BIGINT) END, CASE WHEN list_contains(a, k.a_box) OR list_contains(b, k.b_box) THEN b ELSE list_append(b, k.b_box::BIGINT) END FROM g JOIN k ON k.page = g.page AND k.i = g.i + 1)
+SELECT k.page, a_box, b_box, iou FROM k JOIN g ON g.page = k.page AND g.i = k.i AND g.taken""")
 def box_match(t: Tables) -> DataFrame:
-    return K.greedy_match(box_overlap_whole(t), "page", "a_box", "b_box", "iou", 0.1)
+    pairs = box_overlap(t).groupBy("page", "a_box", "b_box").agg(F.max("iou").alias("iou"))
+    return K.greedy_match(pairs, "page", "a_box", "b_box", "iou", 0.1)
 
 
 @query("""WITH a AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS k FROM orders WHERE o_orderstatus = 'F'),
@@ -104,64 +103,76 @@ def covered_share(t: Tables) -> DataFrame:
     return K.interval_cover(s, "l_orderkey", "a", "b", "size")
 
 
-_TOK = "tok AS (SELECT doc_id, unnest([w FOR w IN string_split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') IF w <> '']) AS token FROM documents), tf AS (SELECT token, doc_id, count(*) AS tf FROM tok GROUP BY ALL), q AS (SELECT item_id, unnest(list_distinct([w FOR w IN string_split(trim(regexp_replace(lower(array_to_string(string_split(text, ' ')[1:6], ' ')), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') IF w <> ''])) AS token FROM benchmark WHERE item_id < 10)"
+_WORDS = "[w FOR w IN string_split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') IF w <> '']"
+_TOK = f"tok AS (SELECT doc_id, unnest({_WORDS}) AS token FROM documents), tf AS (SELECT token, doc_id, count(*) AS tf FROM tok GROUP BY ALL), q AS (SELECT item_id, unnest(list_distinct({_WORDS})) AS token FROM benchmark WHERE item_id % 20 = 0)"
+_ANY = "round(sum(1 - 1 / (1 + tf)::DOUBLE), 6) AS score"
 
 
-_TOK_WHOLE = _TOK[: _TOK.index(", q AS")] + ", q AS (SELECT item_id, unnest(list_distinct([w FOR w IN string_split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') IF w <> ''])) AS token FROM benchmark WHERE item_id % 20 = 0)"
-
-
-def _asked_whole(t: Tables) -> DataFrame:
+def _asked(t: Tables) -> DataFrame:
+    """The queries of a search: every item_id divisible by 20, with its whole text."""
     return t.benchmark.filter("item_id % 20 = 0").select("item_id", "text")
 
 
-def _asked(t: Tables) -> DataFrame:
-    return t.benchmark.filter("item_id < 10").select("item_id", F.array_join(F.slice(F.split("text", " "), 1, 6), " ").alias("text"))
+def _index(t: Tables, stemmed: bool = False) -> DataFrame:
+    return R.token_index(t.documents, "doc_id", "text", R.query_terms(_asked(t), "item_id", "text", stemmed), stemmed)
 
 
-@query(f"WITH {_TOK}, h AS (SELECT item_id, doc_id, round(sum(1 - 1 / (1 + tf)::DOUBLE), 6) AS score FROM q JOIN tf USING (token) GROUP BY ALL) SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM h QUALIFY rank <= 20")
+@query(f"WITH {_TOK}, h AS (SELECT item_id, doc_id, {_ANY} FROM q JOIN tf USING (token) GROUP BY ALL) SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM h QUALIFY rank <= 20")
 def search_any(t: Tables) -> DataFrame:
-    return R.ranked(R.any_term_leg(_asked(t), R.token_index(t.documents, "doc_id", "text"), "item_id", "doc_id", "text"), "item_id", "doc_id", 20)
+    return R.ranked(R.any_term_leg(_asked(t), _index(t), "item_id", "doc_id", "text"), "item_id", "doc_id", 20)
+
+
+_ALL = f"h AS (SELECT item_id, doc_id, {_ANY}, count(*) AS n FROM q JOIN tf USING (token) GROUP BY ALL), m AS (SELECT item_id, count(*) AS m FROM q GROUP BY 1)"
 
 
-@query(f"WITH {_TOK}, h AS (SELECT item_id, doc_id, round(sum(1 - 1 / (1 + tf)::DOUBLE), 6) AS score, count(*) AS n FROM q JOIN tf USING (token) GROUP BY ALL), m AS (SELECT item_id, count(*) AS m FROM q GROUP BY 1) SELECT item_id, doc_id, score FROM h JOIN m USING (item_id) WHERE n = m")
+@query(f"WITH {_TOK}, {_ALL} SELECT item_id, doc_id, score FROM h JOIN m USING (item_id) WHERE n = m")
 def search_all(t: Tables) -> DataFrame:
-    return R.any_term_leg(_asked(t), R.token_index(t.documents, "doc_id", "text"), "item_id", "doc_id", "text", all_terms=True)
+    return R.any_term_leg(_asked(t), _index(t), "item_id", "doc_id", "text", all_terms=True)
 
 
-@query(f"WITH {_TOK_WHOLE}, h AS (SELECT item_id, doc_id, round(sum(1 - 1 / (1 + tf)::DOUBLE), 6) AS score FROM q JOIN tf USING (token) GROUP BY ALL) SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM h QUALIFY rank <= 20")
-def search_any_whole(t: Tables) -> DataFrame:
-    """``search_any`` for every item_id divisible by 20, whole text."""
-    return R.ranked(R.any_term_leg(_asked_whole(t), R.token_index(t.documents, "doc_id", "text"), "item_id", "doc_id", "text"), "item_id", "doc_id", 20)
+_STEM = "regexp_replace(CASE WHEN regexp_matches({0}, '(ed|ing)$') AND regexp_matches(regexp_replace({0}, '(ed|ing)$', ''), '[aeiouy]') THEN regexp_replace({0}, '(ed|ing)$', '') ELSE {0} END, '([^aeiou])y$', '\\1i')".format("regexp_replace(regexp_replace(token, '(ss|i)es$', '\\1'), '([^su])s$', '\\1')")
 
 
-@query(f"WITH {_TOK_WHOLE}, h AS (SELECT item_id, doc_id, round(sum(1 - 1 / (1 + tf)::DOUBLE), 6) AS score, count(*) AS n FROM q JOIN tf USING (token) GROUP BY ALL), m AS (SELECT item_id, count(*) AS m FROM q GROUP BY 1) SELECT item_id, doc_id, score FROM h JOIN m USING (item_id) WHERE n = m")
-def search_all_whole(t: Tables) -> DataFrame:
-    """``search_all`` for every item_id divisible by 20, whole text."""
-    return R.any_term_leg(_asked_whole(t), R.token_index(t.documents, "doc_id", "text"), "item_id", "doc_id", "text", all_terms=True)
+@query(f"WITH {_TOK.replace('tf AS (SELECT token,', 'tf AS (SELECT ' + _STEM + ' AS token,')}, qs AS (SELECT DISTINCT item_id, {_STEM} AS token FROM q), h AS (SELECT item_id, doc_id, {_ANY} FROM qs JOIN tf USING (token) GROUP BY ALL) SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM h QUALIFY rank <= 20")
+def search_stemmed(t: Tables) -> DataFrame:
+    """``search_any`` over stems."""
+    return R.ranked(R.any_term_leg(_asked(t), _index(t, True), "item_id", "doc_id", "text", stemmed=True), "item_id", "doc_id", 20)
 
 
-@query()
+_KIND = "['paragraph', 'heading', 'page_header', 'reference', 'table'][doc_id % 5 + 1]"
+_SEEN = f"seen AS (SELECT doc_id, text FROM documents WHERE doc_id % 3 = CASE WHEN (doc_id % 40) % 6 = 0 THEN NULL ELSE (doc_id % 40) % 3 END AND {_KIND} NOT IN ('page_header', 'reference') AND (doc_id % 4 <> 0 OR 'w' || (doc_id % 8) = 'w4'))"
+
+
+@query(f"WITH {_SEEN}, {_TOK.replace('FROM documents', 'FROM seen')}, h AS (SELECT item_id, doc_id, {_ANY} FROM q JOIN tf USING (token) GROUP BY ALL) SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank FROM h QUALIFY rank <= 20")
+def search_visible(t: Tables) -> DataFrame:
+    """A search of the blocks that a workstream may see: of current runs, of the default kinds, its own or nobody's."""
+    k = F.col("doc_id")
+    kind = F.element_at(F.lit(["paragraph", "heading", "page_header", "reference", "table"]), (k % 5 + 1).cast("int"))
+    blocks = t.documents.select("doc_id", "text", (k % 40).alias("file"), (k % 3).alias("run"), kind.alias("kind"), F.when(k % 4 == 0, F.concat(F.lit("w"), k % 8)).alias("ws"))
+    files = t.documents.sparkSession.range(40).select(F.col("id").alias("file"), F.when(F.col("id") % 6 != 0, F.col("id") % 3).alias("current"))
+    seen = R.visible(blocks, files, "file", "run", "current", "kind", "", ["w4"], "ws")
+    index = R.token_index(seen, "doc_id", "text", R.query_terms(_asked(t), "item_id", "text"))
+    return R.ranked(R.any_term_leg(_asked(t), index, "item_id", "doc_id", "text"), "item_id", "doc_id", 20)
+
+
+_GRAM = "list_distinct(flatten([[substr('  ' || w || ' ', i::BIGINT, 3) FOR i IN range(1, length(w) + 2)] FOR w IN string_split(trim(regexp_replace(lower({0}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')), ' ') IF w <> '']))"
+_TRGM = f"""qg AS (SELECT item_id, (200 * pow(2, ceil(log2(greatest(length(text), 200) / 200))))::INT AS size, {_GRAM.format('text')} AS g FROM benchmark WHERE item_id % 20 = 0), cut AS (SELECT doc_id, s.size, i, substr(text, (i * (s.size // 2) + 1)::BIGINT, s.size::BIGINT) AS part FROM documents, (SELECT DISTINCT size FROM qg) s, LATERAL range(0, greatest(0, ceil(length(text) / (s.size // 2))::INT - 2) + 1) r(i)),
+pg AS (SELECT doc_id, size, {_GRAM.format('part')} AS g FROM cut), tg AS (SELECT item_id, doc_id, round(max(n / (a + b - n)), 6) AS score FROM (SELECT item_id, doc_id, len(list_intersect(qg.g, pg.g))::DOUBLE AS n, len(qg.g) AS a, len(pg.g) AS b FROM qg JOIN pg USING (size)) WHERE n > 0 GROUP BY ALL)"""
+
+
+@query(f"""WITH {_TOK}, {_ALL}, {_TRGM}, l AS (SELECT item_id, doc_id, score, 1 AS leg FROM h JOIN m USING (item_id) WHERE n = m UNION ALL SELECT item_id, doc_id, score, 2 FROM h UNION ALL SELECT item_id, doc_id, score, 3 FROM tg WHERE score >= 0.2),
+r AS (SELECT *, row_number() OVER (PARTITION BY leg, item_id ORDER BY score DESC, doc_id) AS k FROM l QUALIFY k <= 50) SELECT item_id, doc_id, round(sum(1 / (60 + k)), 8) AS score, count(*) AS n_legs FROM r GROUP BY ALL""")
 def search_rrf(t: Tables) -> DataFrame:
     """Hybrid search: an all-terms, an any-term and a trigram leg over passages of whole texts, fused by reciprocal rank."""
-    asked, index = _asked_whole(t), R.token_index(t.documents, "doc_id", "text")
+    asked, index = _asked(t), _index(t)
     legs = [R.any_term_leg(asked, index, "item_id", "doc_id", "text", all_terms=True), R.any_term_leg(asked, index, "item_id", "doc_id", "text"), R.passage_leg(asked, t.documents, "item_id", "doc_id", "text", 0.2)]
     return R.fuse([R.ranked(leg, "item_id", "doc_id", 50) for leg in legs], "item_id", "doc_id")
 
 
-@query("""WITH v AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS score FROM embeddings q JOIN embeddings c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
-SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM v QUALIFY rank <= 5""")
-def embedding_cosine(t: Tables) -> DataFrame:
-    e = t.embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
-    norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
-    q = e.filter("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    s = q.join(e, F.col("query_id") != F.col("vec_id")).withColumn("score", F.round(F.aggregate(F.zip_with("q", "v", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x) / (norm("q") * norm("v")), 6))
-    return R.ranked(s.select("query_id", "vec_id", "score"), "query_id", "vec_id", 5)
-
-
 @query("""WITH v AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS score FROM embeddings q JOIN embeddings c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM v QUALIFY rank <= 5""")
-def embedding_cosine_whole(t: Tables) -> DataFrame:
-    """``embedding_cosine`` for every vec_id divisible by 20, in blocks of queries."""
+def embedding_cosine(t: Tables) -> DataFrame:
+    """The five nearest by cosine of every vec_id divisible by 20, in blocks of queries."""
     return R.ranked(R.cosine_leg(t.embeddings, 20, 5, "vec_id", "embedding"), "query_id", "vec_id", 5)
 
 

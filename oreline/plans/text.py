@@ -10,12 +10,12 @@ from ..functions import text as X
 from .base import Tables, query
 
 _TITLE = "trim(regexp_replace(lower(regexp_replace({0}, '<[^>]*>', ' ', 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
-_HEAD = "substr(text, 1, 60)"
+_HEAD = "regexp_extract(text, '^[^\\n]*')"
 
 
 @query(f"WITH t AS (SELECT doc_id, {_TITLE.format(_HEAD)} AS title FROM documents) SELECT title, count(*) AS n, min(doc_id) AS first_id FROM t GROUP BY title HAVING count(*) > 1")
 def norm_title_dupes(t: Tables) -> DataFrame:
-    title = t.documents.select("doc_id", X.norm_title(F.substring("text", 1, 60)).alias("title"))
+    title = t.documents.select("doc_id", X.norm_title(F.regexp_extract("text", r"^[^\n]*", 0)).alias("title"))
     return title.groupBy("title").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id")).filter("n > 1")
 
 
