@@ -106,12 +106,12 @@ def field_correlation(t: Tables) -> DataFrame:
     return a.join(b, ["k", "cell"]).groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.round(F.corr("v", "u"), 6).alias("r")).filter("n > 2")
 
 
-_ARMS = "ar AS (SELECT o_orderkey AS arm, year(o_orderdate) AS yr, o_orderstatus AS ref, o_orderpriority AS policy, CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE round((o_totalprice % 1000) / 1000, 3) END AS recall, o_custkey FROM orders)"
+_ARMS = "ar AS (SELECT o_orderkey AS arm, year(o_orderdate) AS yr, o_orderstatus AS ref, o_orderpriority AS policy, CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE floor(o_totalprice % 1000) / 1000 END AS recall, o_custkey FROM orders)"
 
 
 def _arms(t: Tables) -> DataFrame:
     k = F.col("o_orderkey")
-    return t.orders.select(k.alias("arm"), F.year("o_orderdate").alias("yr"), F.col("o_orderstatus").alias("ref"), F.col("o_orderpriority").alias("policy"), F.when(k % 19 != 0, F.round(F.col("o_totalprice") % 1000 / 1000, 3)).alias("recall"), "o_custkey")
+    return t.orders.select(k.alias("arm"), F.year("o_orderdate").alias("yr"), F.col("o_orderstatus").alias("ref"), F.col("o_orderpriority").alias("policy"), F.when(k % 19 != 0, F.floor(F.col("o_totalprice") % 1000) / 1000).alias("recall"), "o_custkey")
 
 
 @query(f"WITH {_ARMS} SELECT yr, ref, arm, recall, row_number() OVER (PARTITION BY yr, ref ORDER BY recall DESC NULLS LAST, arm)::INT AS place FROM ar WHERE policy = '2-HIGH'")

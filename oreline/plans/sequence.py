@@ -86,7 +86,18 @@ def terminal_absence(t: Tables) -> DataFrame:
     return S.terminal_absence(series(t).filter("s <> '-'"), "user_id", "epoch", "s")
 
 
-@query()
+_EMIT = "(VALUES ('A', 0.8::DOUBLE, 0.3::DOUBLE, 0.1::DOUBLE), ('U', 0.15, 0.4, 0.2), ('P', 0.05, 0.3, 0.7), ('-', 1.0, 1.0, 1.0)) m(s, e0, e1, e2)"
+_MOVE = "[[0.8, 0.15, 0.05], [0.3, 0.4, 0.3], [0.05, 0.15, 0.8]]::DOUBLE[][]"
+
+
+@query(f"""WITH RECURSIVE {_DAYS}, o AS (SELECT user_id, epoch, [e0, e1, e2] AS e FROM st JOIN {_EMIT} USING (s)), mv AS (SELECT {_MOVE} AS m),
+f(user_id, epoch, a, v, back) AS (SELECT user_id, epoch, [0.4 * e[1], 0.2 * e[2], 0.4 * e[3]]::DOUBLE[], [ln(0.4) + ln(e[1]), ln(0.2) + ln(e[2]), ln(0.4) + ln(e[3])]::DOUBLE[], [1, 1, 1]::BIGINT[] FROM o WHERE epoch = 1 UNION ALL
+  SELECT o.user_id, o.epoch, [(f.a[1] * m[1][j] + f.a[2] * m[2][j] + f.a[3] * m[3][j]) * o.e[j] / (f.a[1] + f.a[2] + f.a[3]) FOR j IN [1, 2, 3]], [greatest(f.v[1] + ln(m[1][j]), f.v[2] + ln(m[2][j]), f.v[3] + ln(m[3][j])) + ln(o.e[j]) FOR j IN [1, 2, 3]],
+  [list_position([f.v[1] + ln(m[1][j]), f.v[2] + ln(m[2][j]), f.v[3] + ln(m[3][j])], greatest(f.v[1] + ln(m[1][j]), f.v[2] + ln(m[2][j]), f.v[3] + ln(m[3][j])))::BIGINT FOR j IN [1, 2, 3]] FROM f JOIN o ON o.user_id = f.user_id AND o.epoch = f.epoch + 1, mv),
+b(user_id, epoch, b, path) AS (SELECT f.user_id, 30, [1.0, 1.0, 1.0]::DOUBLE[], list_position(v, list_max(v))::BIGINT FROM f WHERE epoch = 30 UNION ALL
+  SELECT b.user_id, b.epoch - 1, [(m[i][1] * o.e[1] * b.b[1] + m[i][2] * o.e[2] * b.b[2] + m[i][3] * o.e[3] * b.b[3]) / (b.b[1] + b.b[2] + b.b[3]) FOR i IN [1, 2, 3]], f.back[b.path] FROM b JOIN o ON o.user_id = b.user_id AND o.epoch = b.epoch JOIN f ON f.user_id = b.user_id AND f.epoch = b.epoch, mv WHERE b.epoch > 1),
+p AS (SELECT f.user_id, f.epoch, path - 1 AS path, [f.a[i] * b.b[i] FOR i IN [1, 2, 3]] AS q FROM f JOIN b USING (user_id, epoch))
+SELECT user_id, epoch::INT AS epoch, path, round(q[1] / list_sum(q), 6) AS p0, round(q[2] / list_sum(q), 6) AS p1, round(q[3] / list_sum(q), 6) AS p2 FROM p""")
 def hmm_smoothing(t: Tables) -> DataFrame:
     """Three hidden states (absent, turning, present) under the symbols of the series; unseen epochs say nothing."""
     emit = {"A": [0.8, 0.3, 0.1], "U": [0.15, 0.4, 0.2], "P": [0.05, 0.3, 0.7]}

@@ -79,7 +79,10 @@ def paired_bootstrap(t: Tables) -> DataFrame:
     return s.agg(F.round(lo, 6).alias("lo"), F.round(hi, 6).alias("hi"), ((lo > 0) | (hi < 0)).alias("significant"))
 
 
-@query()
+@query("""WITH RECURSIVE c AS (SELECT source, count(*) FILTER (toxic = 1) AS k, count(*) AS n FROM labels JOIN documents USING (doc_id) GROUP BY 1),
+b(source, k, n, i, lo, hi) AS (SELECT source, k, n, 0, (k / n)::DOUBLE, 1.0::DOUBLE FROM c WHERE k < n UNION ALL
+  SELECT source, k, n, i + 1, CASE WHEN d > 0.05 THEN mid ELSE lo END, CASE WHEN d > 0.05 THEN hi ELSE mid END FROM (SELECT *, (lo + hi) / 2 AS mid, list_sum([exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + x * ln((lo + hi) / 2) + (n - x) * ln(1 - (lo + hi) / 2)) FOR x IN range(0, k + 1)]) AS d FROM b WHERE i < 50))
+SELECT c.source, c.k, c.n, CASE WHEN c.k = c.n THEN 1.0 ELSE round(hi, 6) END AS upper FROM c LEFT JOIN b ON b.source = c.source AND b.i = 50""")
 def clopper_pearson(t: Tables) -> DataFrame:
     c = t.labels.join(t.documents.select("doc_id", "source"), "doc_id").groupBy("source").agg(F.count_if(F.col("toxic") == 1).alias("k"), F.count(F.lit(1)).alias("n"))
     return c.withColumn("upper", S.clopper_pearson_upper("k", "n"))

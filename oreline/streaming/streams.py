@@ -51,6 +51,60 @@ def cool_downs(events: DataFrame, key: str, ts: str, kind: str, blocked: str, ba
     return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {dict(rows.dtypes)[key]}, wait_s long, seen long", "wait_s long, seen long", "update", GroupStateTimeout.NoTimeout)
 
 
+def previous_values(events: DataFrame, key: str, ts: str, value: str) -> DataFrame:
+    """Each beacon with the value of the one before it of its key, over batch ends: the state is a key's last value.
+
+    Beacons of one batch are put in the order of their time; one that comes in a later batch follows what came before."""
+
+    def fold(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last = state.get[0] if state.exists else None
+        pdf = pd.concat(list(batches)).sort_values(ts)
+        before = [last, *pdf[value].tolist()[:-1]]
+        state.update((float(pdf[value].iloc[-1]),))
+        yield pd.DataFrame({key: k[0], ts: pdf[ts].tolist(), value: pdf[value].tolist(), "previous": pd.Series(before, dtype="float64")})
+
+    rows = events.select(key, ts, F.col(value).cast("double").alias(value))
+    kinds = dict(rows.dtypes)
+    return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {kinds[key]}, {ts} timestamp, {value} double, previous double", "last double", "append", GroupStateTimeout.NoTimeout)
+
+
+def paced(events: DataFrame, key: str, ts: str, kind: str, decay: float = 1.0, times: float = 2.0, ceiling: float = 300.0) -> DataFrame:
+    """The pacing delay of each key after each batch: a ``transient`` answer multiplies it, a ``success`` takes ``decay`` off; the batch
+    form is ``operators.routing.pacing``."""
+
+    def fold(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        delay, seen = state.get if state.exists else (0.0, 0)
+        for x in pd.concat(list(batches)).sort_values(ts)[kind]:
+            delay = min(ceiling, max(delay, decay) * times) if x == "transient" else max(0.0, delay - decay) if x == "success" else delay
+            seen += 1
+        state.update((delay, seen))
+        yield pd.DataFrame({key: [k[0]], "answers": [seen], "delay_s": [delay]})
+
+    rows = events.select(key, ts, kind)
+    return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {dict(rows.dtypes)[key]}, answers long, delay_s double", "delay double, seen long", "update", GroupStateTimeout.NoTimeout)
+
+
+def published(samples: DataFrame, session: str, ts: str, folder: str, checkpoint: str, every: str = "1 minute"):
+    """A sampler's rows as they come, published to a folder a session by the minute; each row once, whatever is started again."""
+    out = samples.withColumn("minute", F.date_format(F.date_trunc("minute", ts), "yyyyMMddHHmm"))
+    return out.writeStream.partitionBy(session).format("parquet").option("path", folder).option("checkpointLocation", checkpoint).trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
+
+
+def changes(ledger: DataFrame, key: str, seq: str, state: str) -> DataFrame:
+    """Rows of a ledger whose state differs from the one before of their key, over batch ends: what a watcher prints."""
+
+    def fold(k: tuple, batches: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        last = held.get[0] if held.exists else None
+        pdf = pd.concat(list(batches)).sort_values(seq)
+        before = pd.Series([last, *pdf[state].tolist()[:-1]], index=pdf.index, dtype="object")
+        held.update((pdf[state].iloc[-1],))
+        moved = pdf[pdf[state] != before]
+        yield pd.DataFrame({key: k[0], seq: moved[seq].tolist(), state: moved[state].tolist()})
+
+    rows = ledger.select(key, F.col(seq).cast("long").alias(seq), F.col(state).cast("string").alias(state))
+    return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {dict(rows.dtypes)[key]}, {seq} long, {state} string", "last string", "append", GroupStateTimeout.NoTimeout)
+
+
 def drain(stream: DataFrame, name: str, mode: str, checkpoint: str | None = None) -> DataFrame:
     """Runs a stream over what is there to the end, into the in-memory table ``name`` (for small results and tests)."""
     writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)

@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 
 from oreline.functions import identifiers as I
 from oreline.functions import markup as M
+from oreline.functions import names as N
 from oreline.functions import text as X
-from oreline.operators import curves, ledger, linkage, raster, sampling, search, sequence, stats, verdicts, versioning
+from oreline.operators import curves, inference, ledger, linkage, raster, sampling, search, sequence, stats, verdicts, versioning
 from oreline.plans import registry
 from oreline.sources import files
 from oreline.streaming import streams
@@ -293,6 +294,60 @@ def test_streams(spark, tmp_path):
     assert values(cool, "k", "wait_s", "seen") == [("a", 120, 2), ("b", 60, 2)]
 
 
+def test_streams_keep_state_over_batches(spark, tmp_path):
+    import datetime as dt
+
+    at = lambda m: dt.datetime(2024, 1, 1, 0, m)
+    batches = [[("a", at(1), "transient", 1.0), ("a", at(0), "transient", 0.5), ("b", at(0), "success", 7.0)], [("a", at(2), "success", 2.0), ("b", at(3), "neutral", 8.0), ("a", at(3), "success", 2.5)]]
+    folder = str(tmp_path / "in")
+    for rows in batches:
+        spark.createDataFrame(rows, "k string, ts timestamp, kind string, value double").coalesce(1).write.mode("append").parquet(folder)
+    stream = lambda: streams.read_stream(spark, folder, "k string, ts timestamp, kind string, value double", files_a_batch=1)
+    prev = streams.drain(streams.previous_values(stream(), "k", "ts", "value"), "prev", "append").collect()
+    assert len(prev) == 6 and {(r["k"], r["value"]) for r in prev if r["previous"] is None or r["previous"] != r["previous"]} <= {("a", 0.5), ("a", 2.0), ("b", 7.0), ("b", 8.0)}
+    assert {(r["value"], r["previous"]) for r in prev if r["k"] == "a"} >= {(1.0, 0.5), (2.5, 2.0)}
+    got = [tuple(r) for r in streams.drain(streams.paced(stream(), "k", "ts", "kind"), "paced", "update").collect()]
+    assert ("b", 2, 0.0) in got and max(n for k, n, _ in got if k == "a") == 4
+    moved = streams.drain(streams.changes(stream().withColumn("n", F.unix_seconds("ts")), "k", "n", "kind"), "moved", "append").collect()
+    assert 3 <= len(moved) <= 4 and {r["kind"] for r in moved} == {"transient", "success", "neutral"}
+    q = streams.published(stream(), "k", "ts", str(tmp_path / "out"), str(tmp_path / "cp"), every="")
+    q.awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 6 and set(out.columns) == {"k", "ts", "kind", "value", "minute"}
+
+
+def test_names(spark):
+    assert one(spark, N.fold_tokens("t"), t="Wang1,2 and O'Neil-Dunne, K\ufffdpcke <b>É</b>") == ["wang", "and", "oneildunne", "kpcke", "e"]
+    for page, family, want in (("by De La Cruz", "De la Cruz", True), ("by DelaCruz", "De la Cruz", True), ("Hwang", "Wang", False), ("Hansena", "Hansen", True), ("", "X", False)):
+        assert one(spark, N.tokens_contain(N.fold_tokens("a"), N.fold_tokens("b")), a=page, b=family) is want, page
+    key = lambda a, y, t: one(spark, N.citation_key("a", F.col("y"), "t"), a=a, y=y, t=t)
+    assert key("PAGE", 1999, "The state of the art in a field") == "Page_1999_state-art-field" and key("van der Berg", 2001, "On") == "VanDerBerg_2001_on-work"
+    assert key("Müller", 7, "Ein Titel") == "Muller_0007_ein-titel" and key("A" + "b" * 20, 2000, "internationalization considerations regarding something") == "A" + "b" * 20 + "_2000_internationaliza-considerations"
+    r = one(spark, N.best_window("a", "b"), a="A long title here", b="noise\nA long\ntitle here\nmore")
+    assert r["ratio"] == 1.0 and r["window"] == "A long title here"
+    assert one(spark, N.decoded("d", "c"), d="é".encode("latin-1"), c="text/html; charset=ISO-8859-1") == "é" and one(spark, N.decoded("d", "c"), d="é".encode(), c="") == "é"
+    blocks = F.array(F.struct(F.lit("heading").alias("kind"), F.lit("H").alias("text"), F.lit(2).alias("level")), F.struct(F.lit("paragraph").alias("kind"), F.lit("p").alias("text"), F.lit(0).alias("level")))
+    assert one(spark, N.rendered(blocks)) == "## H\n\np"
+    tail = F.struct(F.lit(None).cast("int").alias("repeats"))
+    assert one(spark, N.degeneracy(F.lit("x"), tail, F.lit(9), 9)) == "cut" and one(spark, N.degeneracy(F.lit(" "), tail, F.lit(1), 9)) == "empty" and one(spark, N.degeneracy(F.lit("x"), tail, F.lit(1), 9)) is None
+
+
+def test_kinds_and_stems(spark):
+    assert search.kinds_of("") == search.DEFAULT_KINDS and search.kinds_of("all") == search.ALL_KINDS and search.kinds_of("table, other") == ["table", "other"]
+    with pytest.raises(ValueError, match="page-header"):
+        search.kinds_of("page-header")
+    for word, want in (("classes", "class"), ("studies", "studi"), ("study", "studi"), ("walked", "walk"), ("walking", "walk"), ("sing", "sing"), ("trees", "tree"), ("glass", "glass")):
+        assert one(spark, search.stem(F.col("t")), t=word) == want, word
+
+
+def test_clusters_and_quotas(spark):
+    assert inference.complete_linkage({(0, 1): 1.0, (0, 2): 9.0, (1, 2): 8.0, (0, 3): 9.5, (1, 3): 9.0, (2, 3): 2.0}, 4, 2) == [[0, 1], [2, 3]]
+    rows = spark.createDataFrame([(i, i % 4, i % 25 == 0) for i in range(200)], "k long, b int, f boolean")
+    got = sampling.quota_sample(rows, "k", "b", "f", 60, "s").collect()
+    assert len(got) == 60 and {r["k"] for r in got if r["f"]} == {i for i in range(0, 200, 25)} and all(12 <= sum(r["b"] == b and not r["f"] for r in got) <= 14 for b in range(4))
+    assert sampling.quota_sample(rows, "k", "b", "f", 500, "s").count() == 200
+
+
 def test_passage_leg_sees_whole_documents(spark):
     passage = " ".join(f"word{i}q" for i in range(40))
     filler = " ".join(chr(97 + i % 26) * 3 for i in range(300))
