@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks
@@ -85,32 +86,52 @@ def edited(text: str, following: str, share: int = 4) -> str:
     return text[: len(text) - n] + following[:n]
 
 
-def neighbour_fingerprints(docs: DataFrame, k: int = 8, width: int = 2, sketches: int = 32, bytes_a_range: int = 24 << 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _range_of(x: Column, cuts: list[int]) -> tuple[Column, Column]:
+    """(how many cuts are at most ``x``, whether ``x`` is a cut): looked up in two steps of about the root of their number."""
+    if not cuts:
+        return F.lit(0), F.lit(False)
+    step = math.isqrt(len(cuts) - 1) + 1
+    groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    at_most = lambda c: F.size(F.filter(c, lambda y: y <= x))
+    group = at_most(F.lit([g[0] for g in groups]).cast("array<bigint>"))
+    inside = F.element_at(F.array(*(F.lit(g).cast("array<bigint>") for g in groups)), F.greatest(group, F.lit(1)))
+    own = F.when(group == 0, F.lit(0)).otherwise((group - 1) * step + at_most(inside))
+    return own.cast("int"), F.array_contains(inside, x)
+
+
+def neighbour_fingerprints(docs: DataFrame, k: int = 8, width: int = 2, sketches: int = 32, bytes_a_range: int = 24 << 20, most_ranges: int = 16_384, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints every whole text, and the text edited with the start of its next document, in ascending id order.
 
-    The rows are cut at sampled id quantiles to ranges of about ``bytes_a_range`` bytes of text, and each range's first id is also
+    The rows are cut at sampled id quantiles to ranges of about ``bytes_a_range`` bytes of text, at most ``most_ranges``: beyond that
+    ranges grow, and as a range is sorted on disk and read as a stream, no memory grows with it. Each range's first id is also
     sent to the range before it (the least id to the last range), so one pass over each sorted range sees every pair of
-    neighbours. Ranges follow from ids and sizes alone, so a lost task is recomputed alike.
+    neighbours. Ranges follow from ids and sizes alone, so a lost task is recomputed alike. What goes through the driver is
+    ``most_ranges`` ids.
 
     Returns id_col, n_chars, edited_sha256, fingerprint, edited_fingerprint (hexadecimal), near_edited, near_next.
 
     Null texts are empty. Of two empty texts the likeness is 1, of an empty and another 0 but by chance. Rows with null ids
-    come first; equal ids and repeated rows keep a row each, ordered by text. The last row's next document is the first, its
-    own if it is alone. An empty table gives no rows; other columns take no part.
+    have no place in the order and are their own next document; equal ids and repeated rows keep a row each, ordered by text.
+    The last row's next document is the first, its own if it is alone. An empty table gives no rows; other columns take no part.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    known = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("ids")).first()
-    ranges = max(1, -(-(known["bytes"] or 0) // bytes_a_range))
+    known = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.min("doc_id").alias("least"), F.count("doc_id").alias("ids")).first()
+    ranges = min(most_ranges, max(1, -(-(known["bytes"] or 0) // bytes_a_range)))
     cuts = []
     if ranges > 1 and known["ids"]:
         cuts = sorted(set(rows.select(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 20 * ranges)).first()[0]) - {known["least"]})
-    cut = F.lit(cuts).cast("array<bigint>")
-    own = F.coalesce(F.size(F.filter(cut, lambda c: c <= F.col("doc_id"))), F.lit(0)) if cuts else F.lit(0)
-    first = F.col("doc_id").isNull() if known["n"] > known["ids"] else F.col("doc_id") == F.lit(known["least"])
-    guest = F.when(F.coalesce(first, F.lit(False)), F.lit(len(cuts))).when(F.array_contains(cut, F.col("doc_id")), own - 1) if cuts else F.when(F.coalesce(first, F.lit(False)), F.lit(0))
-    sent = rows.withColumn("to", F.filter(F.array(F.struct(own.cast("int").alias("range"), F.lit(0).alias("guest")), F.struct(guest.cast("int").alias("range"), F.lit(1).alias("guest"))), lambda s: s["range"].isNotNull()))
+    own, starts = _range_of(F.col("doc_id"), cuts)
+    guest = F.when(F.col("doc_id") == F.lit(known["least"]), F.lit(len(cuts))).when(starts, own - 1)
+    to = F.array(F.struct(own.alias("range"), F.lit(0).alias("guest")), F.struct(guest.cast("int").alias("range"), F.lit(1).alias("guest")))
+    alone = F.array(F.struct(F.pmod(F.xxhash64("text"), F.lit(len(cuts) + 1)).cast("int").alias("range"), F.lit(2).alias("guest")))
+    sent = rows.withColumn("to", F.when(F.col("doc_id").isNull(), alone).otherwise(F.filter(to, lambda s: s["range"].isNotNull())))
     sent = sent.select("doc_id", "text", F.explode("to").alias("to")).select("to.range", "to.guest", "doc_id", "text")
 
+    def compared(doc_id: int | None, text: str, own_f: np.ndarray, following: str, f: np.ndarray) -> tuple:
+        e = edited(text, following)
+        ef = own_f if e == text else fingerprint(e, k, width, sketches)
+        return doc_id, len(text), hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest(), _hex(own_f), _hex(ef), likeness(own_f, ef), likeness(own_f, f)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # (range, id, text, fingerprint) of a row whose next document is still to come
         for batch in blocks(batches, "text"):
@@ -118,14 +139,14 @@ def neighbour_fingerprints(docs: DataFrame, k: int = 8, width: int = 2, sketches
             for r, g, doc_id, text in zip(*(batch[c].to_pylist() for c in ("range", "guest", "doc_id", "text"))):
                 if held and (held[0] != r or held[4]):
                     held = None if held[0] != r else held
-                if held and held[4]:
+                if held and held[4] and g < 2:
                     continue  # a range needs one guest only
                 f = fingerprint(text, k, width, sketches)
+                if g == 2:
+                    out.append(compared(doc_id, text, f, text, f))
+                    continue
                 if held:
-                    _, d, t, own_f, _ = held
-                    e = edited(t, text)
-                    ef = own_f if e == t else fingerprint(e, k, width, sketches)
-                    out.append((d, len(t), hashlib.sha256(e.encode("utf-8", "surrogatepass")).hexdigest(), _hex(own_f), _hex(ef), likeness(own_f, ef), likeness(own_f, f)))
+                    out.append(compared(*held[1:4], text, f))
                 held = (r, doc_id, text, f, g)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), TYPES)], NAMES)
