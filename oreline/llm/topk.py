@@ -15,21 +15,25 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 EXACT = 2**53
 
 
 def integer_vectors(column: pa.Array, scale: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Rows that take part and their vectors floor(scale * x): not null, not empty, all components finite."""
+    """Rows that take part and their vectors floor(scale * x): not null, not empty, all components finite.
+
+    Components of 2**62 or more are an error: their products would not be whole numbers of 64 bits."""
     values = pc.list_flatten(column) if len(column) else pa.array([], pa.float64())
     sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     flat = values.cast(pa.float64()).to_numpy(zero_copy_only=False)
     flat = np.floor(scale * flat)
-    good, ends, rows, out = np.isfinite(flat) & (np.abs(flat) < 2.0**62), np.cumsum(sizes), [], []
+    good, ends, rows, out = np.isfinite(flat), np.cumsum(sizes), [], []
     for i in np.flatnonzero(sizes > 0):
         at = slice(ends[i] - sizes[i], ends[i])
         if good[at].all():
+            if np.abs(flat[at]).max() >= 2.0**62:
+                raise OverflowError("a scaled component does not fit in 64 bits")
             rows.append(i)
             out.append(flat[at].astype(np.int64))
     return np.array(rows, np.int64), out
@@ -45,9 +49,11 @@ def best_of_chunk(q_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, verti
     """(query, vector, score) of the k best of a chunk for each query, all ties of the k-th included before the cut by id.
 
     queries: a row each; vertical: a row a dimension, a column a candidate. All arithmetic is in whole numbers: in doubles
-    where no sum can pass 2**53, else in Python's own integers of 64 bits."""
+    where no sum can pass 2**53, else in 64-bit integers; scores that could pass those are an error."""
     dims = vertical.shape[0]
     most = float(np.abs(queries).max(initial=0)) * float(np.abs(vertical).max(initial=0)) * dims
+    if most >= 2.0**62:
+        raise OverflowError("scores may not fit in 64 bits")
     kind = np.float64 if most < EXACT else np.int64
     q, v = queries.astype(kind), vertical.astype(kind)
     cuts = [*range(block, dims, block), dims]
@@ -79,7 +85,9 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, bl
 
     Components are floor(scale * x). Queries go out in blocks of ``queries_at_once``, the only thing that is broadcast; each
     block is one pass over the candidates, which never move: a task cuts its rows to vertical chunks and sends on k rows a
-    query and chunk at the most, and a window keeps the k best. Ties go to the smaller id.
+    query and chunk at the most, and a window keeps the k best. Where there are several blocks they run one after another, each
+    writes its k rows a query and frees its broadcast, so the driver holds one block and the plan doesn't grow with their number.
+    Ties go to the smaller id.
 
     Returns query_id, rank (from 1), vec_id, score. Vectors that are null, empty or hold null or non-finite components take
     no part, nor do rows with null ids. Vectors of different lengths don't meet. Rows of equal ids are candidates each; for a
@@ -93,7 +101,12 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, bl
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)))
     if n_blocks > 1:
         asked = materialize(asked, "topk-queries", partition_by="block")
-    found = None
+
+    def best(found: DataFrame) -> DataFrame:
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    done = []
     for b in range(n_blocks):
         got = asked.filter(F.col("block") == b).select("vec_id", "v").toArrow().combine_chunks()  # about queries_at_once rows
         if not got.num_rows:
@@ -119,9 +132,11 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256, bl
                             cols = best_of_chunk(q_ids, queries, ids[mine], np.ascontiguousarray(np.stack([vecs[i] for i in mine]).T), k, block)
                             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["query_id", "vec_id", "score"])
 
-        one = rows.mapInArrow(run, "query_id long, vec_id long, score long")
-        found = one if found is None else found.unionByName(one)
-    if found is None:
-        found = spark.createDataFrame([], "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+        one = best(rows.mapInArrow(run, "query_id long, vec_id long, score long"))
+        if n_blocks == 1:
+            return one
+        done.append(materialize(one, "topk-block")._oreline_path)
+        shared.destroy()
+    discard(asked)
+    schema = "query_id long, rank int, vec_id long, score long"
+    return spark.read.schema(schema).parquet(*done) if done else spark.createDataFrame([], schema)
