@@ -6,6 +6,8 @@ import re
 
 import numpy as np
 
+from .common import of_worker
+
 #: A run of spaces and the run of other characters after it. Where a space follows a character that is not white space, the
 #: tokenizer's own pattern always starts a new word, so chunks can be encoded apart.
 CHUNK = re.compile(r" *[^ ]+| +")
@@ -14,14 +16,14 @@ MIXED = re.compile(r"[^\S ](?:  | *$)|[\x1c-\x1f\x85](?: |$)")
 
 
 class ChunkEncoder:
-    """ids of a text as little-endian unsigned 32-bit bytes. Memory is bounded: two tables of chunks take turns."""
+    """ids of a text as little-endian unsigned 32-bit bytes. Memory is bounded: two tables of chunks of about ``most`` bytes take turns."""
 
-    def __init__(self, path: str, most_chunks: int = 700_000):
+    def __init__(self, path: str, most: int = 40 << 20):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.most, self.known, self.old = most_chunks, {}, {}
+        self.most, self.room, self.known, self.old = most, most, {}, {}
         vocabulary = self.tok.get_vocab(with_added_tokens=True)
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)  # bytes of each id: its string has a character for each
         self.width[list(vocabulary.values())] = [len(x) for x in vocabulary]
@@ -42,10 +44,11 @@ class ChunkEncoder:
                 start = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.most:
-            self.known, self.old = {}, self.known  # what is still in use comes back from the old table
+        if self.room < 0:
+            self.known, self.old, self.room = {}, self.known, self.most  # what is still in use comes back from the old table
         known, old, cut = self.known, self.old, [None if MIXED.search(t) else CHUNK.findall(t) for t in texts]
         new = list({c for chunks in cut if chunks for c in chunks if c not in known and len(c) <= 200})
+        self.room -= sum(map(len, new)) * 3 + 190 * len(new)  # a string, its ids and a place in the table
         known.update((c, old[c]) for c in new if c in old)
         new = [c for c in new if c not in old]
         self._learn([c for c in new if c[0] == " " and not c[-1].isspace()])
@@ -63,11 +66,6 @@ class ChunkEncoder:
         return out
 
 
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
 def encoder(path: str) -> ChunkEncoder:
     """One encoder for each vocabulary file and Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+    return of_worker(("bpe", path), lambda: ChunkEncoder(path))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -23,11 +25,21 @@ def of_worker(key: tuple, make: Callable[[], Any]) -> Any:
 
     Asking for another one frees it first, so a worker that serves several operators holds the memory of one of them."""
     if key not in _HELD:
-        _HELD.clear()
+        if _HELD:
+            _HELD.clear()
+            _release()
         _HELD[key] = make()
     return _HELD[key]
 
 
+def _release() -> None:
+    """Gives freed memory back to the system, where the C library can: a worker lives on for other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
@@ -82,7 +94,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def with_text(batches: Iterator[pa.RecordBatch], row: str, field: str) -> Iterator[pa.RecordBatch]:
+    """Batches with a further column ``text`` that is a field of their struct column ``row``: the text crosses to Python once."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([*batch.columns, pc.struct_field(batch[row], field)], [*batch.schema.names, "text"])
+
+
+def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts record batches into runs of rows whose ``column`` (strings or binaries) holds about ``most`` bytes at the most.
 
     A row is never split: a single longer value makes a batch of its own.

@@ -9,18 +9,36 @@ exact and still vectorised. Emissions depend on the word alone, so each distinct
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks
+from .common import blocks, of_worker, with_text
 
-WORD = re.compile(r"[^\W\d_]+")
+
+def _letters_and_marks() -> str:
+    """The ranges of a character class of all letters and combining marks: vowel signs belong to the word they stand in."""
+    inside, out, start = False, [], 0
+    for i in range(sys.maxunicode + 2):
+        now = i <= sys.maxunicode and unicodedata.category(chr(i))[0] in "LM"
+        if now and not inside:
+            start = i
+        elif inside and not now:
+            out.append(f"\\U{start:08x}-\\U{i - 1:08x}")
+        inside = now
+    return "".join(out)
+
+
+WORD = re.compile(f"[{_letters_and_marks()}]+")
 SEGMENT = 128
 #: Namespaces of the hashed features: (seed, kind, characters).
 AFFIXES = [(101 + n, side, n) for side in ("prefix", "suffix") for n in (1, 2, 3, 4)]
@@ -144,14 +162,15 @@ def forward_backward(scores: np.ndarray, sizes: np.ndarray, transitions: np.ndar
     return out / out.sum(axis=1, keepdims=True)
 
 
-def _sequences(texts: list[list[str]], labels: list[int], n_labels: int, length: int, seed: int) -> tuple[list[list[str]], np.ndarray]:
-    """Code-switched training sequences: runs of words of one text, then of another, of random lengths."""
+def _sequences(texts: list[list[str]], labels: list[int], n_labels: int, length: int, seed: int, most: int) -> tuple[list[list[str]], np.ndarray]:
+    """Code-switched training sequences of as many words as the texts have, ``most`` at the most: runs of words from anywhere in
+    one whole text, then in another, of random lengths."""
     rng = np.random.default_rng(seed)
     by_label = [[t for t, y in zip(texts, labels) if y == k and t] for k in range(n_labels)]
     usable = [k for k in range(n_labels) if by_label[k]]
     total = sum(len(t) for group in by_label for t in group)
     words, tags = [], []
-    for _ in range(max(1, total // length)):
+    for _ in range(max(1, min(total, most) // length)):
         seq, tag, k = [], [], int(rng.choice(usable))
         while len(seq) < length:
             source = by_label[k][int(rng.integers(len(by_label[k])))]
@@ -166,17 +185,20 @@ def _sequences(texts: list[list[str]], labels: list[int], n_labels: int, length:
     return words, np.array(tags)
 
 
-def train(texts: list[str], langs: list[str], bits: int = 18, rounds: int = 40, length: int = 64, l2: float = 1e-4, seed: int = 7) -> Model:
-    """Fits the field by full-batch Adam on the conditional log-likelihood of code-switched sequences made of the texts."""
+def train(texts: list[str], langs: list[str], bits: int = 18, rounds: int = 40, length: int = 64, l2: float = 1e-4, seed: int = 7, most_words: int = 400_000) -> Model:
+    """Fits the field by full-batch Adam on the conditional log-likelihood of code-switched sequences made of the texts.
+
+    ``most_words`` bounds the sequences' words and so the driver's memory; lexicons are counted over the whole texts."""
     labels = sorted(set(langs))
-    tokens = [WORD.findall(t.lower()) for t in texts]
+    once: dict[str, str] = {}  # a word is one object however often it stands
+    tokens = [[once.setdefault(w, w) for w in WORD.findall(t.lower())] for t in texts]
     y = [labels.index(x) for x in langs]
     n = len(labels)
-    per = Counter((w, k) for ws, k in zip(tokens, y) for w in ws)
-    whole = Counter()
-    for (w, _), c in per.items():
-        whole[w] += c
-    lexicon = sorted((w, k) for (w, k), c in per.items() if c >= 3 and c >= 0.8 * whole[w])
+    per = [Counter() for _ in labels]
+    for ws, k in zip(tokens, y):
+        per[k].update(ws)
+    lexicon = sorted((w, k) for k, held in enumerate(per) for w, c in held.items() if c >= 3 and c >= 0.8 * sum(other[w] for other in per))
+    del per
     keys = word_keys([w for w, _ in lexicon])
     order = np.argsort(keys)
     keys, key_labels = keys[order], np.array([k for _, k in lexicon], np.int64)[order]
@@ -185,7 +207,8 @@ def train(texts: list[str], langs: list[str], bits: int = 18, rounds: int = 40,
         model.weights = model.weights.astype(np.float32)
         return model
 
-    seqs, tags = _sequences(tokens, y, n, length, seed)
+    seqs, tags = _sequences(tokens, y, n, length, seed, most_words)
+    del tokens, once
     index: dict[str, int] = {}
     ids = np.array([[index.setdefault(w, len(index)) for w in s] for s in seqs]).ravel()
     who, which = features(list(index), bits, keys, key_labels)
@@ -196,6 +219,7 @@ def train(texts: list[str], langs: list[str], bits: int = 18, rounds: int = 40,
     gold_trans = np.array([[np.sum((tags[:, :-1] == a) & (tags[:, 1:] == b)) for b in range(n)] for a in range(n)], float)
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(trans), np.zeros_like(trans)]
     batch, n_words = len(seqs), ids.size
+    del seqs
     for it in range(1, rounds + 1):
         word_scores = np.stack([np.bincount(who, w[column, k], len(index)) for k in range(n)], axis=1) + w[-1]
         e = word_scores[ids].reshape(batch, length, n)
@@ -211,8 +235,10 @@ def train(texts: list[str], langs: list[str], bits: int = 18, rounds: int = 40,
             beta[:, t] = b / b.sum(axis=1, keepdims=True)
         post = alpha * beta
         post /= post.sum(axis=2, keepdims=True)
-        pair = alpha[:, :-1, :, None] * step * (local[:, 1:] * beta[:, 1:])[:, :, None, :]
-        pair /= pair.sum(axis=(2, 3), keepdims=True)
+        pairs = np.zeros((n, n))
+        for t in range(length - 1):
+            pair = alpha[:, t, :, None] * step * (local[:, t + 1] * beta[:, t + 1])[:, None, :]
+            pairs += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
         missing = gold - post.reshape(-1, n)
         by_word = np.stack([np.bincount(ids, missing[:, k], len(index)) for k in range(n)], axis=1)
         gw = np.empty_like(w)
@@ -220,7 +246,7 @@ def train(texts: list[str], langs: list[str], bits: int = 18, rounds: int = 40,
             gw[:-1, k] = np.bincount(column, by_word[who, k], len(used))
         gw[-1] = by_word.sum(axis=0)
         gw = gw / n_words - l2 * w / len(used) ** 0.5
-        gt = (gold_trans - pair.sum(axis=(0, 1))) / n_words - l2 * trans
+        gt = (gold_trans - pairs) / n_words - l2 * trans
         for p, g, i in ((w, gw, 0), (trans, gt, 2)):
             state[i] = 0.9 * state[i] + 0.1 * g
             state[i + 1] = 0.99 * state[i + 1] + 0.01 * g * g
@@ -231,19 +257,19 @@ def train(texts: list[str], langs: list[str], bits: int = 18, rounds: int = 40,
 
 
 class Tagger:
-    """A model with a bounded memory of word scores."""
+    """A model with a memory of word scores of about ``most`` bytes."""
 
-    def __init__(self, model: Model, most: int = 350_000):
+    def __init__(self, model: Model, most: int = 40 << 20):
         self.model, self.most = model, most
         self._restart()
 
     def _restart(self) -> None:
         self.index: dict[str, int] = {}
-        self.scores, self.n = np.empty((65_536, len(self.model.labels))), 0
+        self.scores, self.n, self.room = np.empty((16_384, len(self.model.labels))), 0, self.most
 
     def tag(self, texts: list[str]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
         """Words with a letter of each text, label probabilities of all words in a row, words of each text."""
-        if self.n > self.most:
+        if self.room < 0:
             self._restart()
         found = [WORD.findall(t.lower()) for t in texts]
         index = self.index
@@ -254,6 +280,7 @@ class Tagger:
             self.scores[self.n : self.n + len(new)] = emissions(self.model, new)
             index.update(zip(new, range(self.n, self.n + len(new))))
             self.n += len(new)
+            self.room -= (150 + 16 * self.scores.shape[1]) * len(new) + 2 * sum(map(len, new))
         sizes = np.array([len(ws) for ws in found], np.int64)
         ids = np.fromiter((i for ws in found for i in map(index.__getitem__, ws)), np.int64, int(sizes.sum()))
         scores = self.scores[ids]
@@ -285,21 +312,23 @@ class Tagger:
         return labels, share, sizes, switches
 
 
-_TAGGER: list[Tagger] = []  # of this Python worker
-
-
 def in_held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def fit(docs: DataFrame, docs_a_label: int = 400, chars_a_doc: int = 2_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """Trains on a bounded sample of the labelled rows that are not held out: of each label the ``docs_a_label`` documents of the
-    least hash, of each a stretch of ``chars_a_doc`` characters from a hashed place. None if there is no such row."""
+def fit(docs: DataFrame, docs_a_label: int = 400, most_docs: int = 20_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
+    """Trains on a bounded sample of the labelled rows that are not held out: of each label the ``docs_a_label`` whole documents of
+    the least hash, fewer if all labels together would pass ``most_docs``. Labels beyond ``most_docs`` are an error. None if there
+    is no labelled row. Null texts, null labels and ``und`` teach nothing; repeated rows may each be in the sample."""
     rows = docs.filter(~in_held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.col(lang_col) != "und"))
-    place = F.pmod(F.xxhash64(F.col(id_col), F.lit(11)), F.greatest(F.length(text_col) - chars_a_doc, F.lit(0)) + 1).cast("int") + 1
-    rows = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit(5)).alias("h"), F.substring(F.col(text_col), place, F.lit(chars_a_doc)).alias("text"))
+    rows = rows.select(F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit(5)).alias("h"), F.col(text_col).alias("text"))
+    n_labels = rows.select("lang").distinct().count()
+    if n_labels > most_docs:
+        raise ValueError(f"{n_labels} labels, more than the sample's {most_docs} documents")
+    if not n_labels:
+        return None
     w = Window.partitionBy("lang").orderBy("h", "text")
-    sample = rows.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= docs_a_label).orderBy("lang", "n").collect()
+    sample = rows.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= min(docs_a_label, most_docs // n_labels)).orderBy("lang", "n").collect()
     sample = [r for r in sample if WORD.search(r["text"])]
     return train([r["text"] for r in sample], [r["lang"] for r in sample]) if sample else None
 
@@ -307,30 +336,27 @@ def fit(docs: DataFrame, docs_a_label: int = 400, chars_a_doc: int = 2_000, id_c
 def identify_languages(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", whole_rows: bool = False) -> DataFrame:
     """Labels every whole text: id_col, held_out, lang_pred, score, n_words, n_switches (label changes between neighbouring words).
 
-    Null texts, texts without a letter, and all texts if there is no model are ``und`` with score 0. A null id counts as the
+    A word is a run of letters and combining marks. Null texts, texts without a letter, and all texts if there is no model are ``und`` with score 0. A null id counts as the
     empty text for held_out. Repeated rows give repeated results, ties go to the label that sorts first, an empty table gives
     no rows. Other columns take no part; with ``whole_rows`` the input's row comes along as the struct ``doc``.
     Language, source and id are never read for a prediction.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by 2**bits and the number of labels
+    run_id = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tagger = None
-        if shared.value:
-            if not _TAGGER or _TAGGER[0].model is not shared.value:
-                _TAGGER[:] = [Tagger(shared.value)]
-            tagger = _TAGGER[0]
-        for batch in blocks(batches, "text"):
+        tagger = of_worker(("tagger", run_id), lambda: Tagger(shared.value)) if shared.value else None
+        for batch in blocks(with_text(batches, "doc", text_col), "text"):
             n = batch.num_rows
             texts = [t or "" for t in batch["text"].to_pylist()]
             labels, score, words, switches = tagger.label_texts(texts) if tagger else (["und"] * n, np.zeros(n), np.zeros(n, int), np.zeros(n, int))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc"], batch["held_out"], pa.array(labels, pa.string()), pa.array(score, pa.float64()), pa.array(words, pa.int64()), pa.array(switches, pa.int64())],
+                [batch["doc"] if whole_rows else pa.StructArray.from_arrays([pc.struct_field(batch["doc"], id_col)], [id_col]), batch["held_out"], pa.array(labels, pa.string()), pa.array(score, pa.float64()), pa.array(words, pa.int64()), pa.array(switches, pa.int64())],
                 ["doc", "held_out", "lang_pred", "score", "n_words", "n_switches"],
             )
 
-    carried = F.struct("*") if whole_rows else F.struct(F.col(id_col))
-    rows = docs.select(carried.alias("doc"), in_held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
-    schema = rows.select("doc", "held_out").schema.add("lang_pred", "string").add("score", "double").add("n_words", "long").add("n_switches", "long")
+    carried = F.struct("*") if whole_rows else F.struct(F.col(id_col), F.col(text_col))
+    rows = docs.select(carried.alias("doc"), in_held_out(F.col(id_col)).alias("held_out"))
+    schema = (rows.select("doc", "held_out") if whole_rows else rows.select(F.struct(F.col("doc")[id_col].alias(id_col)).alias("doc"), "held_out")).schema.add("lang_pred", "string").add("score", "double").add("n_words", "long").add("n_switches", "long")
     out = rows.mapInArrow(run, schema)
     return out if whole_rows else out.select(F.col("doc")[id_col].alias(id_col), "held_out", "lang_pred", "score", "n_words", "n_switches")

@@ -8,6 +8,7 @@ then handed out to the pieces by their rank in their class, as joins and window
 
 from __future__ import annotations
 
+import logging
 import zlib
 from collections.abc import Iterator
 
@@ -17,8 +18,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .common import blocks, discard, materialize
+from .common import blocks, materialize
 
+LOG = logging.getLogger(__name__)
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -78,6 +80,7 @@ def solve_cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, ga
         order.append(at[gone])
     assert (patterns[range(m), order] > 0).all() and not np.tril(patterns[:, order], -1).any()
     inverse = np.linalg.inv(patterns.T)  # of the basis whose columns are the patterns
+    value, k = np.inf, -1
     for k in range(rounds):
         duals = inverse.sum(axis=0)  # every pattern costs one sequence
         value, counts = knapsack(sizes, np.maximum(duals, 0), capacity)
@@ -98,6 +101,8 @@ def solve_cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, ga
         if k % 64 == 63:  # rounding errors don't build up
             inverse = np.linalg.inv(patterns.T)
             amounts = np.maximum(inverse @ demand, 0)
+    shown = max(0.0, 1 - 1 / value)
+    LOG.info("%s after %d rounds: within %.5f of the optimum", "proven" if shown <= gap else "rounds spent", k + 1, shown)
     return patterns.astype(np.int64), np.maximum(amounts, 0)
 
 

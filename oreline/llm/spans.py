@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from .common import blocks, materialize
+from .common import blocks, materialize, with_text
 
 #: A sentence ends with its full stops and the white space after them, or with a line; the full stops of Han text need no space.
 BOUNDARY = re.compile(r"[.!?]+\s+|[。！？｡]+\s*|\n\s*")
@@ -148,12 +149,12 @@ def dedup_spans(docs: DataFrame, sentences: int = 3, min_words: int = 12, id_col
     with nothing. Rows with equal ids are one document that stands in several rows: they aren't repeats of each other, and
     each loses what repeats a smaller id or itself. An empty table gives no rows; other columns take no part.
     """
-    rows = docs.select((F.struct("*") if whole_rows else F.struct(F.col(id_col))).alias("doc"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select((F.struct("*") if whole_rows else F.struct(F.col(id_col), F.col(text_col))).alias("doc"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text"):
-            hs, cs, local = [], [], []
+            hs, cs, local, ns = [], [], [], []
             for text in batch["text"].to_pylist():
                 _, hashes, words = units(text or "")
                 _, h, c = runs(hashes, words, sentences, min_words)
@@ -161,39 +162,43 @@ def dedup_spans(docs: DataFrame, sentences: int = 3, min_words: int = 12, id_col
                 hs.append(h[first])
                 cs.append(c[first])
                 local.append(not first.all())
+                ns.append(len(hashes))
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(h) for h in hs])]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(hs), pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(cs), pa.int32())), pa.array(local)],
-                ["doc_id", "h", "c", "local"],
+                [batch["doc_id"], pa.array(ns, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(hs), pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(cs), pa.int32())), pa.array(local)],
+                ["doc_id", "n", "h", "c", "local"],
             )
 
-    found = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInArrow(hashed, f"doc_id {id_type}, h array<long>, c array<int>, local boolean")
+    found = rows.filter("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text").mapInArrow(hashed, f"doc_id {id_type}, n long, h array<long>, c array<int>, local boolean")
     found = materialize(found, "span-hashes")
     each = found.select("doc_id", F.explode(F.arrays_zip("h", "c")).alias("x")).select("doc_id", "x.h", "x.c")
     repeated = each.groupBy("h", "c").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("greatest")).filter("least < greatest").select("h", "c", "least")
-    later = each.join(repeated, ["h", "c"]).filter("doc_id > least").select("doc_id", "h")
-    marks = later.unionByName(found.filter("local").select("doc_id", F.lit(None).cast("long").alias("h")))
-    flagged = marks.groupBy("doc_id").agg(F.collect_set("h").alias("flagged"))  # at most a document's own runs
+    later = each.join(repeated, ["h", "c"]).filter("doc_id > least").select("doc_id", "h", F.lit(None).cast("long").alias("n"), F.lit(True).alias("marked"))
+    marks = later.unionByName(found.select("doc_id", F.lit(None).cast("long").alias("h"), "n", F.col("local").alias("marked")))
+    known = marks.groupBy("doc_id").agg(F.collect_set("h").alias("flagged"), F.max("marked").alias("marked"), F.min("n").alias("n"), F.max("n").alias("most"))  # at most a document's own runs
+    known = known.select("doc_id", F.when(F.col("marked"), F.col("flagged")).alias("flagged"), F.when(F.col("n") == F.col("most"), F.col("n")).alias("n"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "text"):
+        for batch in blocks(with_text(batches, "doc", text_col), "text"):
             out = []
-            for text, bad in zip(batch["text"].to_pylist(), batch["flagged"].to_pylist()):
+            for text, bad, n in zip(*(batch[c].to_pylist() for c in ("text", "flagged", "n"))):
                 if text is None:
                     out.append((None, 0, 0, []))
                 elif bad is None:
-                    out.append((text, -1, 0, []))
+                    out.append((text, len(units(text)[0]) if n is None else n, 0, []))
                 else:
                     out.append(remove(text, set(bad), sentences, min_words))
-                if out[-1][1] == -1:
-                    out[-1] = (text, len(units(text)[0]), 0, [])
             kept, n, gone, spans = zip(*out)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc"], pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
+                [batch["doc"] if whole_rows else pa.StructArray.from_arrays([pc.struct_field(batch["doc"], id_col)], [id_col]), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))],
                 ["doc", "text", "n_sentences", "n_removed", "spans"],
             )
 
-    joined = rows.join(flagged, "doc_id", "left").select("doc", "text", "flagged")
-    schema = joined.select("doc", "text").schema.add("n_sentences", "long").add("n_removed", "long")
+    moved = rows.select("doc", "doc_id")  # the text is in the row: it is shuffled and sent to Python once
+    joined = moved.filter("doc_id IS NOT NULL").join(known, "doc_id", "left").select("doc", "flagged", "n")
+    alone = moved.filter("doc_id IS NULL").select("doc", F.lit(None).cast("array<long>").alias("flagged"), F.lit(None).cast("long").alias("n"))
+    joined = joined.unionByName(alone)  # rows without an id never meet in one task
+    kept = joined.select("doc") if whole_rows else joined.select(F.struct(F.col("doc")[id_col].alias(id_col)).alias("doc"))
+    schema = kept.schema.add("text", "string").add("n_sentences", "long").add("n_removed", "long")
     out = joined.mapInArrow(cut, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + f", spans {SPAN}")
     return out if whole_rows else out.select(F.col("doc")[id_col].alias(id_col), "text", "n_sentences", "n_removed", "spans")
