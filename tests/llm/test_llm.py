@@ -71,6 +71,9 @@ def test_language_id(spark, docs, edges):
     assert langid.identify_languages(edges.limit(0), model).count() == 0
     assert {r["lang_pred"] for r in langid.identify_languages(edges, None).collect()} == {"und"}
     assert langid.fit(docs.limit(0)) is None
+    assert langid.WORD.findall("हिन्दी, q7 ไม่ใช่!") == ["हिन्दी", "q", "ไม่ใช่"]
+    with pytest.raises(ValueError, match="labels"):
+        langid.fit(docs, most_docs=1)
 
 
 def check_packing(out, texts, capacity):
@@ -104,6 +107,9 @@ def test_packing(spark, docs, rows, edges):
     assert tokens / (n * 2048) > 0.95
     unique = edges.dropDuplicates(["doc_id"])
     check_packing(packing.pack_documents(unique, public_tokenizers.path("byte_bpe_50k.json")).collect(), [(r["doc_id"], r["text"]) for r in unique.collect()], 2048)
+    twice = spark.createDataFrame([(1, "some words here"), (1, "other words"), (1, "some words here"), (None, "null id")], "doc_id long, text string")
+    out = packing.pack_documents(twice, public_tokenizers.path("byte_bpe_50k.json")).collect()
+    assert sorted((r["doc_id"] or 0, r["start"], r["length"]) for r in out) == [(0, 0, 3), (1, 0, 3), (1, 0, 4), (1, 0, 4)]
     assert packing.pack_documents(edges, public_tokenizers.path("byte_bpe_50k.json")).count() == len(EDGES)
     assert packing.pack_documents(edges.limit(0), public_tokenizers.path("byte_bpe_50k.json")).count() == 0
 
@@ -133,7 +139,7 @@ def test_chunk_encoder_parity():
     from oreline.llm.bpe import ChunkEncoder
 
     random.seed(2)
-    enc = ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"), most_chunks=50)
+    enc = ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"), most=10_000)
     parts = [" ", "  ", "\n", "\t", "a", "b!", "é", "1", "\x1c", "\x85", "\xa0", " ", "'s", "<|endoftext|>", "²", "日", "\r", "😀", " x", "\x00"]
     texts = ["".join(random.choice(parts) for _ in range(random.randint(0, 14))) for _ in range(3000)]
     assert [x for i in range(0, 3000, 100) for x in enc.encode(texts[i : i + 100])] == enc._raw(texts)
@@ -265,6 +271,21 @@ def test_near_duplicates_in_a_chain(spark, edges):
     assert neardup.near_duplicates(edges.limit(0)).count() == 0
 
 
+def test_near_duplicates_of_one_id_and_two_texts(spark):
+    a, b = "a b c d e f g h i j", "q r s t u v w x y z"
+    rows = [(5, a), (5, b), (3, b + " tail"), (9, a + " tail"), (9, a + " tail")]
+    out = sorted(tuple(r) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2).collect())
+    assert out == [(3, 10, 3, True), (5, 9, 3, False), (5, 9, 5, True), (9, 10, 5, False), (9, 10, 5, False)]
+    out = neardup.near_duplicates(spark.createDataFrame([(5, a), (5, b), (3, b)], "doc_id long, text string"), shingle_words=2).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in out) == [(3, 3, True), (5, 3, False), (5, 5, True)]
+
+
+def test_topk_refuses_what_64_bits_cannot_hold(spark):
+    for rows in ([(50, [1e19, 1.0]), (51, [1.0, 1.0])], [(50, [1e8, 1e8]), (51, [1e8, 1e8])]):
+        with pytest.raises(Exception, match="64 bits"):
+            topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+
+
 def test_topk(spark):
     rng = np.random.default_rng(3)
     vecs = [(int(i), rng.normal(size=8).round(2).tolist()) for i in range(300)]
@@ -281,6 +302,50 @@ def test_topk(spark):
     assert topk.search(df.limit(0)).count() == 0
 
 
+def brute_fingerprint(text, k=8, width=2, sketches=32):
+    """By whole numbers of Python, a loop a sketch: the least (k-mer, occurrence) pairs, put in text order, hashed."""
+    m = (1 << 64) - 1
+
+    def mix(x):
+        x = ((x ^ (x >> 30)) * int(ordermin._B)) & m
+        return x ^ (x >> 31)
+
+    if not text:
+        return [0] * sketches
+    k = min(k, len(text))
+    strings = [text[i : i + k] for i in range(len(text) - k + 1)]
+    mers = [int(x) for x in ordermin._mers(np.array([ord(c) for c in text], np.uint64), k)]
+    assert len(set(zip(strings, mers))) == len(set(strings)) == len(set(mers))
+    seen, numbered = defaultdict(int), []
+    for x in mers:
+        numbered.append(mix((x + seen[x] * int(ordermin._A)) & m))
+        seen[x] += 1
+    out = []
+    for i in range(1, sketches + 1):
+        a = mix(i * int(ordermin._A) & m) | 1
+        least = sorted(range(len(mers)), key=lambda j: (numbered[j] * a & m, j))[:width]
+        h = a
+        for j in sorted(least):
+            h = mix((h ^ mers[j]) * int(ordermin._A) & m)
+        out.append(h >> 32 | 1)
+    return out
+
+
+def test_order_minhash_fingerprints_by_brute_force(rows):
+    rng = np.random.default_rng(4)
+    texts = ["", "a", "abcdefg", "aaaaaaaaaaaaaaaaaaaa", "abcabcabcabcabcabcabcabc", "日本語のテキストです。😀", *("".join(rng.choice(list("ab"), n)) for n in (8, 9, 40, 300)), *(t[:3000] for _, t in rows[:20])]
+    for t in texts:
+        assert ordermin.fingerprint(t).tolist() == brute_fingerprint(t)
+
+
+def test_order_minhash_looks_ranges_up(spark):
+    cuts = sorted({int(x) for x in np.random.default_rng(8).integers(-500, 500, 90)})
+    for some in ([], cuts[:1], cuts[:4], cuts):
+        own, starts = ordermin._range_of(F.col("id") - 600, some)
+        for r in spark.range(1200).select((F.col("id") - 600).alias("x"), own.alias("own"), starts.alias("starts")).collect():
+            assert r["own"] == sum(c <= r["x"] for c in some) and bool(r["starts"]) == (r["x"] in some)
+
+
 def test_order_minhash(spark, docs, rows, edges):
     got = by_id(ordermin.neighbour_fingerprints(docs, bytes_a_range=50_000))
     for i, (d, t) in enumerate(rows):
@@ -293,8 +358,11 @@ def test_order_minhash(spark, docs, rows, edges):
     a = "the quick brown fox jumps over the lazy dog " * 3 + "and then it sleeps under a tall tree by the river"
     swapped = a[len(a) // 2 :] + a[: len(a) // 2]
     assert ordermin.likeness(ordermin.fingerprint(a), ordermin.fingerprint(a + "x")) > ordermin.likeness(ordermin.fingerprint(a), ordermin.fingerprint(swapped))
-    out = ordermin.neighbour_fingerprints(edges).collect()
-    assert len(out) == len(EDGES) and ordermin.neighbour_fingerprints(edges.limit(0)).count() == 0
+    out = ordermin.neighbour_fingerprints(edges, bytes_a_range=3).collect()
+    want = [(1, "a", "a"), (1, "a", ""), (2, "", ""), (5, "", "A"), (7, "A", "123 !!"), (9, "123 !!", "a"), (None, "zz top", "zz top")]
+    assert sorted((r["doc_id"] or 0, r["n_chars"], r["edited_sha256"], round(r["near_next"] * 32)) for r in out) == sorted(
+        (d or 0, len(t), hashlib.sha256(ordermin.edited(t, n).encode()).hexdigest(), sum(a == b for a, b in zip(brute_fingerprint(t), brute_fingerprint(n)))) for d, t, n in want)
+    assert ordermin.neighbour_fingerprints(edges.limit(0)).count() == 0
 
 
 def brute_bytes(rows, n):
@@ -327,6 +395,7 @@ def test_suffix_dedup(spark, docs, rows, edges):
     rng = np.random.default_rng(5)
     hard = [(i, "".join(rng.choice(["a", "b", "é"], rng.integers(0, 400), p=[0.85, 0.1, 0.05]))) for i in range(40)] + [(100, "ab" * 300), (101, "ab" * 200), (102, None), (103, "")]
     got = {d: tuple(r)[1:] for d, r in by_id(suffixes.dedup_bytes(spark.createDataFrame(hard, "doc_id long, text string"), block=2000)).items()}
+    assert got == {d: tuple(r)[1:] for d, r in by_id(suffixes.dedup_bytes(spark.createDataFrame(hard, "doc_id long, text string"), block=500, hot_pieces=2)).items()}
     assert got == brute_bytes([(d, (t or "").encode()) for d, t in hard], 100)
     out = suffixes.dedup_bytes(edges).collect()
     assert len(out) == len(EDGES) and all(r["n_removed"] == 0 for r in out)
@@ -380,6 +449,72 @@ def test_sentencepiece_unigram_and_bpe(spark, docs, edges):
     assert len(e) == len(EDGES) and [r["n_ids"] for r in e if r["doc_id"] == 2] == [None] and [r["n_ids"] for r in e if r["doc_id"] == 5] == [0]
 
 
+def long_texts():
+    """A text of 150,000 words without a full stop, its near copy, one word of 400,000 letters, and a short one."""
+    rng = np.random.default_rng(9)
+    words = [f"w{i}" for i in rng.integers(0, 50_000, 150_000)]
+    return [(0, " ".join(words)), (20, " ".join([*words[:75_000], "changed", *words[75_001:]])), (40, "x" * 400_000), (60, "Some short text. It ends here.")]
+
+
+def test_very_long_texts(spark):
+    """Whole texts in every operator on documents: what stands at the end of a long one counts."""
+    rows = long_texts()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    path, piece = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    model = langid.train(["the and of it was is", "und der die nicht ein ist"], ["en", "de"])
+    assert by_id(langid.identify_languages(df, model))[0]["n_words"] == 150_000
+    check_packing(packing.pack_documents(df, path).collect(), rows, 2048)
+    got = by_id(spans.dedup_spans(df))
+    assert {d: r["text"] for d, r in got.items()} == brute_spans(rows, 3, 12) and len(got[20]["text"].split()) < 60
+    assert [by_id(neardup.near_duplicates(df))[d]["component_id"] for d in (0, 20, 40, 60)] == [0, 0, 40, 60]
+    got = by_id(ordermin.neighbour_fingerprints(df, sketches=4))
+    assert [got[d]["n_chars"] for d in (0, 20, 40, 60)] == [len(t) for _, t in rows] and got[0]["near_next"] > 0
+    got = by_id(suffixes.dedup_bytes(df))
+    assert got[20]["n_bytes"] - got[20]["n_removed"] <= 220 and (got[40]["n_removed"], got[60]["n_removed"]) == (399_999, 0)
+    assert [by_id(sharding.assign_shards(df))[d]["size"] for d in (0, 40)] == [len(rows[0][1]) + 1, 400_001]
+    got = by_id(sentencepiece_backend.encode_documents(df, piece))
+    assert all(r["parity"] and r["round_trip"] for r in got.values())
+    turns = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", rows[0][1])], "pair_id long, turn long, role string, text string")
+    other = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", rows[1][1])], "pair_id long, turn long, role string, text string")
+    r = format_preferences(turns, other).collect()[0]
+    assert r["n_common"] == 1 and rows[0][1] in r["chosen"] and rows[1][1] in r["rejected"]
+    wide = spark.createDataFrame([(i, [float(i)] * 50_000) for i in (0, 1, 2)], "vec_id long, embedding array<double>")
+    assert [r["vec_id"] for r in sorted(topk.search(wide).collect(), key=lambda r: r["rank"])] == [1, 2]
+
+
+def test_pipeline_stages_by_brute_force(spark, sf_dir, docs):
+    """Each stage's rows, on the rows that its predecessor kept."""
+    import corpus_pipeline
+
+    extra = [(1_000_001, "The same words stand in this row of the one id, and they are many enough.", "en", "s", 10), (1_000_001, "Quite another text has the very same id, which must not hurt it at all.", "en", "s", 10), (None, "No id here but words.", None, None, None), (1_000_002, "!!! 123", "en", "s", 7)]
+    given = docs.unionByName(spark.createDataFrame(extra + extra[:1], docs.schema))
+    kept = corpus_pipeline.language_id(spark, given, sf_dir)
+    rows = given.collect()
+    assert sorted(map(str, kept.collect())) == sorted(str(r) for r in rows if re.search(r"[^\W\d_]", r["text"] or ""))
+
+    rows = kept.collect()
+    left = corpus_pipeline.near_dedup(spark, kept, sf_dir)
+    texts = {(r["doc_id"], r["text"]) for r in rows if r["doc_id"] is not None}
+    number = {x: i for i, x in enumerate(sorted(texts))}  # by id, then text: one number a text
+    comp = brute_components([(i, t) for (_, t), i in number.items()], 5)
+    least = {}
+    for (d, _), i in number.items():
+        least[comp[i][1]] = min(d, least.get(comp[i][1], d))
+    want = [(d, t) for (d, t), i in number.items() if d == least[comp[i][1]]]
+    assert sorted((r["doc_id"], r["text"]) for r in left.filter("doc_id IS NOT NULL").collect()) == sorted(want)
+    assert left.filter("doc_id IS NULL").count() == 1
+
+    rows = sorted((r["doc_id"], r["text"]) for r in left.filter("doc_id IS NOT NULL").collect())
+    one = [x for x in rows if x[0] != 1_000_001]
+    cut = corpus_pipeline.substring_dedup(spark, left.filter("doc_id <> 1000001"), sf_dir).collect()
+    brute = brute_spans(one, 3, 12)
+    assert sorted((r["doc_id"], r["text"]) for r in cut) == sorted((d, brute[d]) for d, t in one if brute[d] == t or brute[d].strip(" "))
+    assert all(r["n_chars"] == len(r["text"]) for r in cut if brute[r["doc_id"]] != dict(one)[r["doc_id"]])
+
+    done = spark.createDataFrame(cut, docs.schema)
+    check_packing(corpus_pipeline.packing(spark, done, sf_dir).collect(), [(r["doc_id"], r["text"]) for r in cut], 2048)
+
+
 def test_pipeline(spark, sf_dir, edges, docs):
     import corpus_pipeline
 
