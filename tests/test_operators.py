@@ -362,8 +362,8 @@ def test_searches_ask_every_twentieth_text(spark, sf_dir, tmp_path):
     spark.createDataFrame([(i, tail if i % 20 == 0 else "alpha") for i in range(45)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([(1, "filler " * 100 + tail), (2, "the whole text counts here to"), (3, "alpha")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     run = lambda name: registry.QUERIES[name](spark, str(tmp_path))
-    assert values(run("search_all_whole"), "item_id", "doc_id") == [(i, 1) for i in (0, 20, 40)]
-    assert values(run("search_any_whole"), "item_id", "doc_id") == [(i, d) for i in (0, 20, 40) for d in (1, 2)]
+    assert values(run("search_all"), "item_id", "doc_id") == [(i, 1) for i in (0, 20, 40)]
+    assert values(run("search_any"), "item_id", "doc_id") == [(i, d) for i in (0, 20, 40) for d in (1, 2)]
     got = {(r["item_id"], r["doc_id"]): r["n_legs"] for r in run("search_rrf").collect()}
     assert {i for i, _ in got} == {0, 20, 40} and all(got[i, 1] == 3 for i in (0, 20, 40))
 
@@ -371,7 +371,7 @@ def test_searches_ask_every_twentieth_text(spark, sf_dir, tmp_path):
 def test_boxes_of_every_order_take_part(spark, tmp_path):
     rows = [(o, n, 3, 4, 5.0) for o in range(1, 12) for n in (1, 2)]
     spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
-    for name in ("box_overlap_whole", "box_match"):
+    for name in ("box_overlap", "box_match"):
         assert values(registry.QUERIES[name](spark, str(tmp_path)), "page", "a_box", "b_box") == [(o, 2, 1) for o in range(1, 12)]
 
 
