@@ -27,7 +27,8 @@ from xxhash import xxh3_64_intdigest, xxh3_128_digest
 from .common import blocks, discard, materialize
 
 K = 32
-SORTED = ["doc_id", "start", "end", "lo", "hi"]
+SORTED = ["doc_id", "row_key", "start", "end", "lo", "hi"]
+ROW = ["doc_id", "row_key"]
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -80,8 +81,10 @@ def suffix_order(s: np.ndarray, reach: int) -> np.ndarray:
     return out
 
 
-def later_strings(data: bytes, starts: np.ndarray, priority: np.ndarray, length: int) -> np.ndarray:
-    """Of the strings of ``length`` bytes at ``starts``: which have an equal one of a smaller priority."""
+def later_strings(data: bytes, starts: np.ndarray, doc: np.ndarray, row: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """Of the strings of ``length`` bytes at ``starts``: which have an equal one in a smaller ``doc``, or at a smaller ``place`` of their own ``row``.
+
+    ``row`` numbers the rows from 0; a doc may have several, none of which is earlier than another."""
     flat = np.frombuffer(data, np.uint8)
     order = suffix_order(flat.astype(np.int64) + 1, length)
     index = np.full(len(flat), -1, np.int64)
@@ -95,9 +98,12 @@ def later_strings(data: bytes, starts: np.ndarray, priority: np.ndarray, length:
         same[i : i + len(b)] = (windows[a[: len(b)]] == windows[b]).all(axis=1)
     group = np.cumsum(~same)
     first = np.full(len(order) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(first, group, priority[order])
+    np.minimum.at(first, group, doc[order])
+    own = np.unique(group * (int(row.max(initial=0)) + 1) + row[order], return_inverse=True)[1]
+    start = np.full(len(order) + 1, np.iinfo(np.int64).max)
+    np.minimum.at(start, own, place[order])
     out = np.zeros(len(starts), bool)
-    out[order] = priority[order] != first[group]
+    out[order] = (doc[order] != first[group]) | (place[order] != start[own])
     return out
 
 
@@ -136,11 +142,12 @@ def dedup_bytes(docs: DataFrame, length: int = 100, block: int = 1 << 20, hot_pi
     Strings are judged on the input. Returns id_col, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, and with
     ``keep_bytes`` the kept bytes (which may cut a character).
 
-    Null texts are empty; texts shorter than ``length`` lose nothing. Rows with null ids are compared with nothing. Rows of one
-    id are one document: none is earlier than another, each is judged against smaller ids and itself. An empty table gives no
-    rows; other columns take no part.
+    Null texts are empty; texts shorter than ``length`` lose nothing. Rows with null ids are compared with nothing. Of several rows
+    of one id none is earlier than another: each is judged against smaller ids and itself. An empty table gives no rows; other
+    columns take no part.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"))
+    data = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(data).alias("row_key"), data.alias("data"))  # id and key name a row; equal rows fare alike
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "data"):
@@ -151,104 +158,103 @@ def dedup_bytes(docs: DataFrame, length: int = 100, block: int = 1 << 20, hot_pi
                 found[i], n = np.unique(h, return_counts=True)
                 twice[i] = found[i][n > 1]
             lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in xs])]), pa.int32()), pa.array(np.concatenate(xs), pa.int64())) for xs in (found, twice)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), pa.array([len(t) for t in texts], pa.int64()), *lists], ["doc_id", "lo", "hi", "n", "anchors", "twice"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row_key"], pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), pa.array([len(t) for t in texts], pa.int64()), *lists], [*ROW, "lo", "hi", "n", "anchors", "twice"])
 
-    scanned = materialize(rows.filter("doc_id IS NOT NULL").mapInArrow(scan, "doc_id long, lo long, hi long, n long, anchors array<long>, twice array<long>"), "suffix-anchors")
+    scanned = materialize(rows.filter("doc_id IS NOT NULL").mapInArrow(scan, "doc_id long, row_key long, lo long, hi long, n long, anchors array<long>, twice array<long>"), "suffix-anchors")
     first = scanned.groupBy("lo", "hi").agg(F.min("doc_id").alias("first"))
-    texts = materialize(scanned.select("doc_id", "lo", "hi", "n").join(first, ["lo", "hi"]).select("doc_id", "lo", (F.col("doc_id") > F.col("first")).alias("copy")), "suffix-copies")
+    texts = materialize(scanned.select(*ROW, "lo", "hi").join(first, ["lo", "hi"]).select(*ROW, (F.col("doc_id") > F.col("first")).alias("copy")).distinct(), "suffix-copies")
 
     # Anchors of two different texts; copies of one text count as one.
-    each = scanned.select("doc_id", "lo", F.explode("anchors").alias("anchor"))
+    each = scanned.select(*ROW, "lo", F.explode("anchors").alias("anchor"))
     shared = each.groupBy("anchor").agg(F.min("lo").alias("a"), F.max("lo").alias("b"), F.count(F.lit(1)).alias("n")).filter("a <> b")
     shared = shared.select("anchor", F.ceil(F.col("n") / hot_pieces).cast("int").alias("parts"))
-    live = each.select("doc_id", "anchor").join(shared, "anchor").unionByName(scanned.select("doc_id", F.explode("twice").alias("anchor"), F.lit(1).alias("parts")))
-    live = live.groupBy("doc_id").agg(F.collect_set(F.struct("anchor", "parts")).alias("anchors"))  # at most a document's own
-    originals = texts.filter("NOT copy").select("doc_id", "lo").distinct()
-    live = materialize(live.join(originals.select("doc_id").distinct(), "doc_id", "left_semi"), "suffix-live")
+    live = each.select(*ROW, "anchor").join(shared, "anchor").unionByName(scanned.select(*ROW, F.explode("twice").alias("anchor"), F.lit(1).alias("parts")))
+    live = live.groupBy(*ROW).agg(F.collect_set(F.struct("anchor", "parts")).alias("anchors"))  # at most a text's own
+    live = materialize(live.join(texts.filter("NOT copy"), ROW, "left_semi"), "suffix-live")
 
     def neighbourhoods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[int, int], tuple[int, int]] = {}
+        seen: dict[tuple[int, int], tuple[int, int, int]] = {}
         for batch in blocks(batches, "data"):
             out = []
-            ids, data, flagged = (batch[c].to_pylist() for c in ("doc_id", "data", "anchors"))
+            ids, keys, data, flagged = (batch[c].to_pylist() for c in (*ROW, "data", "anchors"))
             for i, h, a, b in anchored(data, length):
                 parts: dict[int, int] = {}
                 for x in flagged[i]:
                     parts[x["anchor"]] = max(x["parts"], parts.get(x["anchor"], 1))
-                want, text, doc_id = np.array(list(parts), np.int64), data[i], ids[i]
+                want, text, doc_id, row_key = np.array(list(parts), np.int64), data[i], ids[i], keys[i]
                 for j in np.flatnonzero(np.isin(h, want)).tolist():
                     start, end = int(a[j]), int(b[j]) + length
                     piece, anchor = text[start:end], int(h[j])
                     known = seen.get(key := (anchor, xxh3_64_intdigest(piece)))
-                    if known is not None and known < (doc_id, start):
-                        out.append((None, None, doc_id, start, end, None))  # an equal one stands earlier: covered whole, and it need not be sent
+                    if known is not None and (known[0] < doc_id or known[:2] == (doc_id, row_key) and known[2] < start):
+                        out.append((None, None, doc_id, row_key, start, end, None))  # an equal one stands earlier: covered whole, and it need not be sent
                     else:
                         if len(seen) > 400_000:
                             seen.clear()
-                        seen[key] = (doc_id, start)
+                        if known is None or doc_id < known[0] or known[:2] == (doc_id, row_key):
+                            seen[key] = (doc_id, row_key, start)
                         n = parts[anchor]  # 0 stands for an anchor in one place, parts count from 1
-                        out.append((anchor, 0 if n == 1 else 1 + xxh3_64_intdigest(str(doc_id)) % n, doc_id, start, end, piece))
+                        out.append((anchor, 0 if n == 1 else 1 + xxh3_64_intdigest(str(doc_id)) % n, doc_id, row_key, start, end, piece))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["anchor", "part", "doc_id", "start", "end", "piece"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))], ["anchor", "part", *ROW, "start", "end", "piece"])
 
-    shipped = rows.join(live, "doc_id").join(texts.filter("copy").select("doc_id"), "doc_id", "left_anti").sortWithinPartitions("doc_id")
-    shipped = materialize(shipped.mapInArrow(neighbourhoods, "anchor long, part int, doc_id long, start long, end long, piece binary"), "suffix-pieces")
+    shipped = rows.join(live, ROW).sortWithinPartitions("doc_id")
+    shipped = materialize(shipped.mapInArrow(neighbourhoods, "anchor long, part int, doc_id long, row_key long, start long, end long, piece binary"), "suffix-pieces")
 
     def sort_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
 
         def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-            n = np.array([len(x[4]) for x in held], np.int64)
+            n = np.array([len(x[5]) for x in held], np.int64)
             base = np.cumsum(n) - n
             counts = n - length + 1
             piece = np.repeat(np.arange(len(held)), counts)
             inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            doc, at = np.array([x[2] for x in held], np.int64)[piece], np.array([x[3] for x in held], np.int64)[piece] + inside
-            by = np.lexsort((at, doc))
-            priority = np.empty(len(by), np.int64)
-            priority[by] = np.concatenate([[0], np.cumsum((doc[by][1:] != doc[by][:-1]) | (at[by][1:] != at[by][:-1]))]) if len(by) else []
-            later = later_strings(b"".join(x[4] for x in held), base[piece] + inside, priority, length)
+            docs, keys, starts = (np.array([x[i] for x in held], np.int64) for i in (2, 3, 4))
+            at = starts[piece] + inside
+            order = np.lexsort((keys, docs))
+            number = np.empty(len(held), np.int64)
+            number[order] = np.cumsum(np.concatenate([[False], (np.diff(docs[order]) != 0) | (np.diff(keys[order]) != 0)]))
+            later = later_strings(b"".join(x[5] for x in held), base[piece] + inside, docs[piece], number[piece], at, length)
             gone = np.flatnonzero(later)
             none = lambda k: pa.nulls(k, pa.int64())
             if len(gone):
                 new = np.concatenate([[True], (np.diff(gone) != 1) | (np.diff(piece[gone]) != 0)])
                 lo, hi = gone[new], gone[np.concatenate([new[1:], [True]])]
-                yield pa.RecordBatch.from_arrays([pa.array(doc[lo]), pa.array(at[lo]), pa.array(at[hi] + length), none(len(lo)), none(len(lo))], SORTED)
+                yield pa.RecordBatch.from_arrays([pa.array(docs[piece[lo]]), pa.array(keys[piece[lo]]), pa.array(at[lo]), pa.array(at[hi] + length), none(len(lo)), none(len(lo))], SORTED)
             kept = np.flatnonzero(~later & (np.array([x[1] for x in held]) > 0)[piece])
             for i in range(0, len(kept), 1 << 16):
                 some = kept[i : i + (1 << 16)]
-                names = np.frombuffer(b"".join(xxh3_128_digest(held[p][4][j : j + length]) for p, j in zip(piece[some].tolist(), inside[some].tolist())), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays([pa.array(doc[some]), pa.array(at[some]), none(len(some)), pa.array(names[:, 0].copy()), pa.array(names[:, 1].copy())], SORTED)
+                names = np.frombuffer(b"".join(xxh3_128_digest(held[p][5][j : j + length]) for p, j in zip(piece[some].tolist(), inside[some].tolist())), np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(docs[piece[some]]), pa.array(keys[piece[some]]), pa.array(at[some]), none(len(some)), pa.array(names[:, 0].copy()), pa.array(names[:, 1].copy())], SORTED)
 
         for batch in batches:
-            for row in zip(*(batch[c].to_pylist() for c in ("anchor", "part", "doc_id", "start", "piece"))):
+            for row in zip(*(batch[c].to_pylist() for c in ("anchor", "part", *ROW, "start", "piece"))):
                 if size >= block and row[:2] != held[-1][:2]:
                     yield from settle(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[5])
         if held:
             yield from settle(held)
 
-    sent = shipped.filter("anchor IS NOT NULL").select("anchor", "part", "doc_id", "start", "piece")
-    sent = sent.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "doc_id", "start")
-    done = materialize(sent.mapInArrow(sort_pieces, "doc_id long, start long, end long, lo long, hi long"), "suffix-sorted")
-    removed = done.filter("end IS NOT NULL").select("doc_id", "start", "end").unionByName(shipped.filter("anchor IS NULL").select("doc_id", "start", "end"))
-    kept = done.filter("end IS NULL")  # the strings that the parts of hot anchors keep
+    sent = shipped.filter("anchor IS NOT NULL").select("anchor", "part", *ROW, "start", "piece")
+    sent = sent.repartition("anchor", "part").sortWithinPartitions("anchor", "part", *ROW, "start")
+    done = materialize(sent.mapInArrow(sort_pieces, "doc_id long, row_key long, start long, end long, lo long, hi long"), "suffix-sorted")
+    removed = done.filter("end IS NOT NULL").select(*ROW, "start", "end").unionByName(shipped.filter("anchor IS NULL").select(*ROW, "start", "end"))
+    kept = done.filter("end IS NULL")  # the strings that the parts of hot anchors keep; a document's are all in one part
     if kept.limit(1).count():
-        place = F.struct("doc_id", "start")
-        first = kept.groupBy("lo", "hi").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first < last").select("lo", "hi", "first")
-        removed = removed.unionByName(kept.join(first, ["lo", "hi"]).filter(place > F.col("first")).select("doc_id", "start", (F.col("start") + length).alias("end")))
-    removed = removed.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("removed"))  # of one document
-    copies = texts.filter("copy").select("doc_id", "lo").distinct().groupBy("doc_id").agg(F.collect_set("lo").alias("copies"))
-    removed = materialize(removed.join(copies, "doc_id", "full"), "suffix-removed")
+        first = kept.groupBy("lo", "hi").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("lo", "hi", "first")
+        removed = removed.unionByName(kept.join(first, ["lo", "hi"]).filter("doc_id > first").select(*ROW, "start", (F.col("start") + length).alias("end")))
+    removed = removed.groupBy(*ROW).agg(F.collect_set(F.struct("start", "end")).alias("removed"))  # of one text
+    removed = materialize(removed.join(texts.filter("copy"), ROW, "full"), "suffix-removed")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "data"):
             out = []
-            for doc_id, data, gone, copies in zip(*(batch[c].to_pylist() for c in ("doc_id", "data", "removed", "copies"))):
+            for doc_id, data, gone, copy in zip(*(batch[c].to_pylist() for c in ("doc_id", "data", "removed", "copy"))):
                 n, kept, cut, spans, at = len(data), [], 0, 0, 0
-                if copies and n >= length and int(np.frombuffer(xxh3_128_digest(data), np.int64)[0]) in copies:
+                if copy and n >= length:
                     gone = [{"start": 0, "end": n}]
                 for x in sorted(gone or [], key=lambda x: x["start"]):
                     start, end = x["start"], min(x["end"], n)
@@ -261,8 +267,8 @@ def dedup_bytes(docs: DataFrame, length: int = 100, block: int = 1 << 20, hot_pi
                 out.append((doc_id, n, cut, spans, hashlib.sha256(kept).hexdigest(), kept if keep_bytes else None))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))][: 5 + keep_bytes], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + keep_bytes])
 
-    alone = rows.filter("doc_id IS NULL").select("*", *(F.lit(None).cast(removed.schema[c].dataType).alias(c) for c in ("removed", "copies")))
-    joined = rows.filter("doc_id IS NOT NULL").join(removed, "doc_id", "left").unionByName(alone)  # rows without an id never meet in one task
+    alone = rows.filter("doc_id IS NULL").select("*", *(F.lit(None).cast(removed.schema[c].dataType).alias(c) for c in ("removed", "copy")))
+    joined = rows.filter("doc_id IS NOT NULL").join(removed, ROW, "left").unionByName(alone)  # rows without an id never meet in one task
     out = joined.mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes)
     discard(scanned, live, shipped, texts, done)
     return out.withColumnRenamed("doc_id", id_col)
