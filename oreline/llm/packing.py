@@ -47,6 +47,23 @@ def knapsack(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[floa
     return float(best[capacity]), counts
 
 
+def inverted(a: np.ndarray) -> np.ndarray:
+    """Inverse by Gauss-Jordan elimination with row pivots, in element-wise steps only.
+
+    A threaded LAPACK call can stall in a driver that also runs a JVM; ``capacity / grain`` rows take a fraction of a second here."""
+    m = len(a)
+    work = np.hstack([a.astype(float), np.eye(m)])
+    for i in range(m):
+        pivot = i + int(np.abs(work[i:, i]).argmax())
+        if pivot != i:
+            work[[i, pivot]] = work[[pivot, i]]
+        work[i] /= work[i, i]
+        rows = np.flatnonzero(work[:, i])
+        rows = rows[rows != i]
+        work[rows] -= work[rows, i, None] * work[i]
+    return work[:, m:]
+
+
 def fullest(left: dict[int, float], units: int) -> dict[int, int]:
     """A pattern around the largest class that is left, filled with the largest that fits, each at most as often as it is left."""
     content, room = {}, units
@@ -79,14 +96,14 @@ def solve_cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, ga
         del left[gone]
         order.append(at[gone])
     assert (patterns[range(m), order] > 0).all() and not np.tril(patterns[:, order], -1).any()
-    inverse = np.linalg.inv(patterns.T)  # of the basis whose columns are the patterns
+    inverse = inverted(patterns.T)  # of the basis whose columns are the patterns
     value, k = np.inf, -1
     for k in range(rounds):
         duals = inverse.sum(axis=0)  # every pattern costs one sequence
         value, counts = knapsack(sizes, np.maximum(duals, 0), capacity)
         if value <= 1 + 1e-9 or 1 - 1 / value <= gap:
             break
-        column = inverse @ counts
+        column = np.einsum("ij,j->i", inverse, counts.astype(float))  # no threaded product either
         usable = np.flatnonzero(column > 1e-5)
         ratios = amounts[usable] / column[usable]
         tied = usable[ratios <= ratios.min() + 1e-7 * (1 + ratios.min())]
@@ -99,8 +116,8 @@ def solve_cutting_stock(sizes: np.ndarray, demand: np.ndarray, capacity: int, ga
         inverse -= np.outer(column, row)
         inverse[leave] = row
         if k % 64 == 63:  # rounding errors don't build up
-            inverse = np.linalg.inv(patterns.T)
-            amounts = np.maximum(inverse @ demand, 0)
+            inverse = inverted(patterns.T)
+            amounts = np.maximum(np.einsum("ij,j->i", inverse, demand), 0)
     shown = max(0.0, 1 - 1 / value)
     LOG.info("%s after %d rounds: within %.5f of the optimum", "proven" if shown <= gap else "rounds spent", k + 1, shown)
     return patterns.astype(np.int64), np.maximum(amounts, 0)
