@@ -47,11 +47,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes repeated passages out of the texts; a document that has no other words left goes with them.
+    """Takes repeated passages out of the texts; a document that has nothing but white space left goes with them.
 
     Null and empty texts, and rows without an id, stay as they are. Rows of one id are one document in several rows: they aren't
     repeats of each other. ``n_chars`` follows a text that changed. An empty table gives no rows; further columns come along."""
-    cut = dedup_spans(docs, whole_rows=True).filter("n_removed = 0 OR trim(text) <> ''")
+    cut = dedup_spans(docs, whole_rows=True).filter(F.expr(r"n_removed = 0 OR text RLIKE '\\S'"))
     changed = F.col("n_removed") > 0
     new = {"text": F.when(changed, F.col("text")).otherwise(F.col("doc.text")), "n_chars": F.when(changed, F.length("text").cast("long")).otherwise(F.col("doc.n_chars"))}
     return cut.select(*(new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col("doc")[c].alias(c) for c in docs.columns))
