@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .langid import fit, identify_languages
+from .merkle import ascii_lowered, dataset_manifest, row_digest
 from .neardup import near_duplicates
 from .ordermin import neighbour_fingerprints
 from .packing import pack_documents
 from .preference import format_preferences, swapped_replies
+from .ranking import rank_documents
 from .sentencepiece_backend import encode_documents
 from .sharding import assign_shards
 from .spans import dedup_spans
@@ -67,7 +69,18 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op5_odd_sketches, op6_exact_topk, op7_order_minhash, op8_suffix_array, op9_sharding, op10_sentencepiece)}
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where 3 divides the id's checksum the text is found lower-cased; a null id has no checksum and isn't tampered with."""
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, row_digest(*fields, ascii_lowered("text")))
+    return dataset_manifest(table(spark, sf_dir, "documents"), [*fields, "text"], tampered=tampered)
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op5_odd_sketches, op6_exact_topk, op7_order_minhash, op8_suffix_array, op9_sharding, op10_sentencepiece, op12_ranked_search, op13_merkle_manifest)}
 
 _OP4 = """
 WITH turns AS (SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
@@ -121,4 +134,64 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTI
 FROM q
 """
 
-ORACLE: dict[str, str] = {"op4_preference_formatting": _OP4, "op6_exact_topk": _OP6, "op9_sharding": _OP9}
+_OP12 = r"""
+WITH words AS (SELECT doc_id, rowid_, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents)),
+lengths AS (SELECT rowid_, count(*) AS n FROM words GROUP BY rowid_),
+totals AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lengths),
+tf AS (SELECT rowid_, doc_id, term, count(*) AS tf FROM words GROUP BY rowid_, doc_id, term),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, totals GROUP BY term),
+asked AS (SELECT DISTINCT item_row, item_id, term FROM (SELECT item_row, item_id,
+  unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS item_row FROM benchmark))),
+scored AS (
+  SELECT item_row, item_id, rowid_, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::BIGINT AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN lengths USING (rowid_), totals GROUP BY item_row, item_id, rowid_, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_row ORDER BY score DESC, doc_id)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
+_OP13 = """
+WITH RECURSIVE bits(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+rows_ AS (
+  SELECT doc_id, lang, coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-') ||
+    coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-') AS head,
+    coalesce(octet_length(encode(text)) || ':' || text, '-') AS body,
+    coalesce(octet_length(encode(text)) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-') AS lowered,
+    xor(4294967295, list_reduce([('0x' || h)::BIGINT FOR h IN regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..')],
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295::BIGINT)) % 3 = 0 AS tampered
+  FROM documents, crc),
+leaves AS (SELECT doc_id, lang, sha256(head || body) AS leaf, CASE WHEN tampered THEN sha256(head || lowered) END AS changed FROM rows_),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, changed NULLS FIRST) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n,
+    row_number() OVER () AS id FROM leaves),
+nodes(lang, level, i, n, h) AS (
+  SELECT lang, 0, i, n, leaf FROM ranked
+  UNION ALL SELECT lang, level + 1, i // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY lang, level, i // 8),
+subroots AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops(level, i, n, h) AS (
+  SELECT 0, g, n, h FROM subroots
+  UNION ALL SELECT level + 1, i // 8, (any_value(n) + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY level, i // 8),
+inner_runs AS (
+  SELECT a.lang, a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM nodes a JOIN nodes b ON a.lang IS NOT DISTINCT FROM b.lang AND a.level = b.level AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY a.lang, a.level, a.i),
+outer_runs AS (
+  SELECT a.level, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS before, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS after
+  FROM tops a JOIN tops b ON a.level = b.level AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY a.level, a.i),
+steps AS (
+  SELECT r.id, s.level, s.before, s.after FROM ranked r JOIN inner_runs s ON r.lang IS NOT DISTINCT FROM s.lang AND s.i = r.i // (8 ** s.level)::BIGINT
+  UNION ALL SELECT r.id, 1000 + o.level, o.before, o.after FROM ranked r JOIN subroots g ON r.lang IS NOT DISTINCT FROM g.lang JOIN outer_runs o ON o.i = g.g // (8 ** o.level)::BIGINT),
+placed AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY level) AS k FROM steps),
+fold(id, k, h) AS (
+  SELECT id, 0, coalesce(changed, leaf) FROM ranked
+  UNION ALL SELECT f.id, f.k + 1, sha256(p.before || f.h || p.after) FROM fold f JOIN placed p ON p.id = f.id AND p.k = f.k + 1),
+folded AS (SELECT id, arg_max(h, k) AS folded_root FROM fold GROUP BY id),
+proofs AS (SELECT id, sha256(coalesce(string_agg(before || after, '' ORDER BY k), '')) AS proof_sha256 FROM ranked LEFT JOIN placed USING (id) GROUP BY id)
+SELECT r.doc_id, r.leaf, g.h AS subroot, t.h AS root, p.proof_sha256, f.folded_root, f.folded_root = t.h AS verified
+FROM ranked r JOIN subroots g ON r.lang IS NOT DISTINCT FROM g.lang JOIN proofs p USING (id) JOIN folded f USING (id) CROSS JOIN (SELECT h FROM tops WHERE n = 1) t
+"""
+
+ORACLE: dict[str, str] = {"op4_preference_formatting": _OP4, "op6_exact_topk": _OP6, "op9_sharding": _OP9, "op12_ranked_search": _OP12, "op13_merkle_manifest": _OP13}
