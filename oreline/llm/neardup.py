@@ -4,12 +4,8 @@ An odd sketch folds a document's MinHash samples into a bitmap of parities: each
 XOR of two sketches has a bit for each place that differs, and its population count estimates how many samples differ,
 most precisely where few do. A second bitmap holds the parities of the shingles themselves: its XOR never has more bits than the
 sets have different shingles, so it rules pairs out without an error, which tells apart short texts just below the threshold.
-Documents of equal shingle sets are one node from the start. In a bucket each node first meets
-the bucket's least and greatest node only; these links are joined to components. A few more rounds take a random pivot of each
-bucket that still holds several components; a bucket whose members are of one component is done and drops out for good. What
-is left in the end, pairs of one bucket in different components, is compared in full: groups of copies cost a few rows a node,
-and no link between different components is passed over. That last join sees the pairs of different components in a bucket;
-a bucket's components that are not linked agree in ``rows`` MinHash values by accident, which two documents of similarity s
+Documents of equal shingle sets are one node from the start. In a bucket each node first meets the bucket's least and greatest
+node only; ``linking`` does the rest. Its last join sees the pairs of different components in a bucket; a bucket's components that are not linked agree in ``rows`` MinHash values by accident, which two documents of similarity s
 do with a probability of s ** rows, so there are few of them: at a similarity of 0.1 one in a million.
 """
 
@@ -25,7 +21,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
 from .common import blocks, discard, materialize
-from .graph import connected_components
+from .linking import bucket_components
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))  # A-Z to a-z
@@ -177,14 +173,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
     members = materialize(buckets.join(shared, "key"), "neardup-members")
 
     limit, info = most_different_bits(percent / 100, samples, bits), nodes.select("node", "n", *odds)
-    side = lambda x: info.select(F.col("node").alias(x), F.struct("n", *odds).alias(f"{x}_info"))
-
-    def sifted(pairs: DataFrame) -> DataFrame:
-        near = pairs.join(side("x"), "x").join(side("y"), "y").filter(_close("x_info", "y_info", percent, limit, sketch))
-        return near.select("x", "y", _apart("x_info", "y_info", "odd", sketch).alias("differ"))
-
     stars = members.select(F.col("node").alias("x"), F.explode(F.array("least", "greatest")).alias("y")).filter("x <> y").distinct()
-    stars = materialize(sifted(stars), "neardup-stars")
 
     # Full sets of the nodes that any candidate pair can hold, made again from their texts: of one row a node, found by its own digest.
     involved = members.select("node").distinct().join(nodes.select("node", "doc_id", "lo"), "node").groupBy("doc_id").agg(F.collect_set(F.struct("lo", "node")).alias("wanted"))
@@ -214,50 +203,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = 5, percent: int = 80,
         held = pairs.select("x", "y").join(a, "x").join(b, "y").withColumn("both", both)
         return held.filter(F.col("both") * 100 >= (F.size("s") + F.size("t") - F.col("both")) * percent).select(F.col("x").alias("a"), F.col("y").alias("b"))
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        return materialize(confirmed(pairs.groupBy("x").agg(F.min_by("y", "differ").alias("y"))), "neardup-links")
-
-    written = [linked(stars)]
-    links = written[0]
-    component = connected_components(links)
-
-    def still_open(rows_left: DataFrame) -> DataFrame:
-        placed = rows_left.select("node", "key", "band").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        split = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key")
-        return materialize(placed.join(split, "key"), "neardup-open")
-
-    open_rows = still_open(members)
-    unsettled = lambda: open_rows.limit(1).count() > 0
-    for r in range(rounds if unsettled() else 0):
-        some = open_rows.filter(F.col("band") % 8 == r % 8)  # an eighth of the bands a round: a few pivots a node
-        pivots = some.withColumn("h", F.xxhash64("node", "key", F.lit(r))).groupBy("key").agg(F.min_by("node", "h").alias("y"), F.min_by("component", "h").alias("other"))
-        pairs = some.join(pivots, "key").filter("component <> other").select(F.col("node").alias("x"), "y").distinct()
-        more = linked(sifted(pairs))
-        written.append(more)
-        if not more.limit(1).count():
-            break
-        links = links.unionByName(more)
-        discard(component)
-        component = connected_components(links)
-        before, open_rows = open_rows, still_open(open_rows)
-        discard(before)
-        if not unsettled():
-            break
-
-    if unsettled():
-        left = materialize(open_rows.drop("band").join(info, "node"), "neardup-left")
-        cross = left.alias("a").join(left.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & _close("a", "b", percent, limit, sketch))
-        rest = materialize(cross.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct(), "neardup-rest")
-        written += [left, rest, materialize(confirmed(rest), "neardup-links")]
-        discard(component)
-        component = connected_components(links.unionByName(written[-1]))
+    component = bucket_components(
+        members, stars, info, lambda a, b: _close(a, b, percent, limit, sketch), lambda a, b: _apart(a, b, "odd", sketch), confirmed, rounds, "neardup"
+    )
 
     # A component is named by the least id of its documents.
     placed = classes.select("node", "least_id").join(component, "node")
     names = placed.groupBy("component").agg(F.min("least_id").alias("name"))
     named = component.join(names, "component").select("node", "name")
     named = materialize(classes.join(named, "node", "left").select("lo", "hi", F.coalesce("name", "least_id").alias("component_id")), "neardup-names")
-    discard(stars, full, open_rows, members, nodes, classes, component, *written)
+    discard(full, members, nodes, classes, component)
     out = all_rows.select("doc_id", *extra, "n", "lo", "hi").join(named, ["lo", "hi"], "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).cast("long")
     out = out.select("doc_id", *extra, F.col("n").alias("n_shingles"), own.alias("component_id"), "lo", "hi")

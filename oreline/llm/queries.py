@@ -14,6 +14,7 @@ from .merkle import ascii_lowered, dataset_manifest, row_digest
 from .neardup import near_duplicates
 from .ordermin import neighbour_fingerprints
 from .packing import pack_documents
+from .partenum import jaccard_components
 from .preference import format_preferences, swapped_replies
 from .ranking import rank_documents
 from .sentencepiece_backend import encode_documents
@@ -69,6 +70,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_partenum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -80,7 +85,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset_manifest(table(spark, sf_dir, "documents"), [*fields, "text"], tampered=tampered)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op5_odd_sketches, op6_exact_topk, op7_order_minhash, op8_suffix_array, op9_sharding, op10_sentencepiece, op12_ranked_search, op13_merkle_manifest)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_language_id, op2_packing, op3_sentence_spans, op4_preference_formatting, op5_odd_sketches, op6_exact_topk, op7_order_minhash, op8_suffix_array, op9_sharding, op10_sentencepiece, op11_partenum, op12_ranked_search, op13_merkle_manifest)}
 
 _OP4 = """
 WITH turns AS (SELECT conv_id AS pair_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
@@ -134,6 +139,29 @@ SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTI
 FROM q
 """
 
+def _jaccard_sql(k: int, percent: int, extra: str) -> str:
+    """Components of documents by exact similarity of their sets of ``k``-word shingles."""
+    return rf"""
+WITH RECURSIVE cut AS (
+  SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM (SELECT doc_id, text FROM documents)),
+listed AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + {k - 1}], ' ') FOR i IN range(1, len(w) - {k - 2})]) END AS s FROM cut),
+d AS (SELECT doc_id, len(s) AS n, s, CASE WHEN len(s) > 0 THEN md5(array_to_string(list_sort(s), chr(1))) END AS node FROM listed),
+nodes AS (SELECT node, any_value(n) AS n, any_value(s) AS s, min(doc_id) AS least FROM d WHERE node IS NOT NULL AND doc_id IS NOT NULL GROUP BY node),
+features AS (SELECT node, n, unnest(s) AS f FROM nodes),
+links AS (
+  SELECT a.node AS a, b.node AS b FROM features a JOIN features b ON a.f = b.f AND a.node < b.node
+  WHERE 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n) GROUP BY a.node, b.node HAVING 100 * count(*) >= {percent} * (any_value(a.n) + any_value(b.n) - count(*))),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(a, b) AS (SELECT node, node FROM nodes UNION SELECT r.a, e.b FROM reached r JOIN edges e ON e.a = r.b),
+components AS (SELECT r.a AS node, min(n.least) AS component FROM reached r JOIN nodes n ON n.node = r.b GROUP BY r.a)
+SELECT doc_id, n::BIGINT AS n_shingles, CASE WHEN doc_id IS NULL THEN NULL WHEN n = 0 THEN doc_id ELSE component END::BIGINT AS component_id{extra}
+FROM d LEFT JOIN components USING (node)
+"""
+
+
 _OP12 = r"""
 WITH words AS (SELECT doc_id, rowid_, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
   FROM (SELECT *, row_number() OVER () AS rowid_ FROM documents)),
@@ -194,4 +222,4 @@ SELECT r.doc_id, r.leaf, g.h AS subroot, t.h AS root, p.proof_sha256, f.folded_r
 FROM ranked r JOIN subroots g ON r.lang IS NOT DISTINCT FROM g.lang JOIN proofs p USING (id) JOIN folded f USING (id) CROSS JOIN (SELECT h FROM tops WHERE n = 1) t
 """
 
-ORACLE: dict[str, str] = {"op4_preference_formatting": _OP4, "op6_exact_topk": _OP6, "op9_sharding": _OP9, "op12_ranked_search": _OP12, "op13_merkle_manifest": _OP13}
+ORACLE: dict[str, str] = {"op4_preference_formatting": _OP4, "op5_odd_sketches": _jaccard_sql(2, 80, ", coalesce(doc_id = CASE WHEN n = 0 THEN doc_id ELSE component END, true) AS kept"), "op6_exact_topk": _OP6, "op9_sharding": _OP9, "op11_partenum": _jaccard_sql(4, 85, ""), "op12_ranked_search": _OP12, "op13_merkle_manifest": _OP13}
