@@ -27,12 +27,12 @@ def of_worker(key: tuple, make: Callable[[], Any]) -> Any:
     if key not in _HELD:
         if _HELD:
             _HELD.clear()
-            _release()
+            release()
         _HELD[key] = make()
     return _HELD[key]
 
 
-def _release() -> None:
+def release() -> None:
     """Gives freed memory back to the system, where the C library can: a worker lives on for other tasks."""
     gc.collect()
     pa.default_memory_pool().release_unused()

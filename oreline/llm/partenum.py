@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from .common import blocks, discard, materialize
+from .common import blocks, discard, materialize, release
 from .linking import bucket_components
 from .neardup import _A, _B, _apart, _mix, Words, set_parities, shingle_sets
 
@@ -147,7 +147,7 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 8
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, seen, known = Words(), set(), []
-        for batch in blocks(batches, "text", 2 << 20):
+        for batch in blocks(batches, "text"):
             ids = batch["doc_id"]
             sets = shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), shingle_words, words)
             size = np.array([len(s) for s in sets], np.int64)
@@ -173,6 +173,8 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 8
             cols = [ids, pa.array(size), pa.array(digest[:, 0].copy()), pa.array(digest[:, 1].copy()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys).view(np.int64)))]
             cols += [pa.array(np.ascontiguousarray(maps[:, i]).view(np.int64)) for i in range(words64)]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n", "lo", "hi", "keys", *pars])
+        del words, seen
+        release()
 
     all_rows = materialize(source.mapInArrow(signed, "doc_id long, n long, lo long, hi long, keys array<long>, " + ", ".join(f"{p} long" for p in pars)), "partenum-signed")
 
@@ -191,7 +193,7 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 8
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
-        for batch in blocks(batches, "text", 2 << 20):
+        for batch in blocks(batches, "text"):
             found, nodes_of = [], []
             for s, wanted in zip(shingle_sets(batch["text"].cast(pa.binary()).to_pylist(), shingle_words, words), batch["wanted"].to_pylist()):
                 lo, hi = np.frombuffer(xxh3_128_digest(s.tobytes()), np.int64).tolist()
@@ -201,6 +203,8 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 8
             if found:
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in found])]), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(nodes_of, pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found)))], ["node", "shingles"])
+        del words
+        release()
 
     written: list[DataFrame] = []
 
