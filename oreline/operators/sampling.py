@@ -44,6 +44,27 @@ def drop_buffered(rows: DataFrame, held: DataFrame, x: str, buffer: int) -> Data
     return rows.withColumn("_b", b(x)).alias("r").join(near.alias("h"), (F.col("r._b") == F.col("h._b")) & (F.abs(F.col(x) - F.col("_x")) <= buffer), "left_anti").drop("_b")
 
 
+def buffered_folds(rows: DataFrame, site: str, key: str, x: str, y: str, n_folds: int, buffer: int, salt: str) -> DataFrame:
+    """(fold, key, part): each site's rows dealt to ``n_folds`` folds by hash; of each fold its own rows are ``val``, and of the site's
+    others those at least ``buffer`` away from all of them, in the larger of both coordinates' distances, are ``train``.
+
+    Cells are as wide as the buffer: of a neighbouring cell only the least and greatest y of each x and fold can matter, so a crowded
+    cell costs its width and not its pairs."""
+    at = lambda c: F.floor(F.col(c) / buffer)
+    ranked = global_rank(rows.select(site, key, x, y, hashed(salt, key).alias("_h")), [F.col(site), F.col("_h"), F.col(key)])
+    first = ranked.groupBy(site).agg(F.min("rank").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    placed = ranked.join(first, site).withColumn("_own", ((F.col("rank") - F.col("_first")) % n_folds).cast("int")).withColumns({"_i": at(x), "_j": at(y)})
+    placed = written(placed.select(site, key, x, y, "_own", "_i", "_j", "_n"), "folds")
+    edge = placed.groupBy(site, F.col("_own").alias("fold"), F.col("_i").alias("_vi"), F.col("_j").alias("_vj"), F.col(x).alias("_x")).agg(F.min(y).alias("_low"), F.max(y).alias("_high"))
+    around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    near = edge.withColumn("_o", F.explode(around)).withColumns({"_i": F.col("_vi") - F.col("_o.i"), "_j": F.col("_vj") - F.col("_o.j")})
+    side = F.col("_o.j")  # where the held rows' cell lies
+    close = F.when(side == 0, True).when(side == 1, F.col("_low") - F.col(y) < buffer).otherwise(F.col(y) - F.col("_high") < buffer)
+    hit = placed.join(near, [site, "_i", "_j"]).filter((F.col("fold") != F.col("_own")) & (F.abs(F.col(x) - F.col("_x")) < buffer) & close).select(key, "fold").distinct()
+    folds = placed.select(key, "_own", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))).alias("fold"))
+    return folds.join(hit, [key, "fold"], "left_anti").select("fold", key, F.when(F.col("fold") == F.col("_own"), "val").otherwise("train").alias("part"))
+
+
 def stability_sample(rows: DataFrame, key: str, salt: str, share: float) -> DataFrame:
     """The round(n * share) distinct keys of the least hash, one at least."""
     ids = rows.select(key).distinct()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -104,12 +105,77 @@ def false_positive_rate(precision: Column, recall: Column, prevalence: Column) -
     return F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw)), 6)
 
 
+def _em(x: np.ndarray, w: np.ndarray, pi: np.ndarray, p: np.ndarray, rounds: int, tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two latent classes by expectation-maximisation, all replicates at once: (share of class 1, rates by class, log-likelihood).
+
+    x: patterns by indicators; w: replicates by patterns; pi: a share a replicate; p: replicates by two classes by indicators. A
+    replicate that has converged stays as it is."""
+    pi, p, moving = pi.copy(), np.clip(p, 1e-6, 1 - 1e-6), np.ones(len(pi), bool)
+
+    def likelihood(pi: np.ndarray, p: np.ndarray) -> np.ndarray:
+        like = np.where(x[None, None] > 0, p[:, :, None], 1 - p[:, :, None]).prod(axis=3)  # replicates, classes, patterns
+        return like * np.stack([1 - pi, pi], axis=1)[:, :, None]
+
+    for _ in range(rounds):
+        if not moving.any():
+            break
+        like = likelihood(pi[moving], p[moving])
+        held = w[moving][:, None] * like / np.maximum(like.sum(axis=1, keepdims=True), 1e-300)
+        size = held.sum(axis=2)
+        new_p = np.clip((held[..., None] * x).sum(axis=2) / np.maximum(size, 1e-12)[..., None], 1e-6, 1 - 1e-6)
+        new_pi = np.clip(size[:, 1] / w[moving].sum(axis=1), 1e-9, 1 - 1e-9)
+        change = np.maximum(np.abs(new_pi - pi[moving]), np.abs(new_p - p[moving]).max(axis=(1, 2)))
+        pi[moving], p[moving] = new_pi, new_p
+        moving[np.flatnonzero(moving)[change < tolerance]] = False
+    return pi, p, (w * np.log(np.maximum(likelihood(pi, p).sum(axis=1), 1e-300))).sum(axis=1)
+
+
+def _fitted(x: np.ndarray, w: np.ndarray, starts: list[tuple[np.ndarray, np.ndarray]], rounds: int, tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(share, sensitivity, specificity) of the best of several starts a replicate; the second class is the one that the indicators find."""
+    best = None
+    for pi0, p0 in starts:
+        pi, p, score = _em(x, w, pi0, p0, rounds, tolerance)
+        if best is None:
+            best = pi, p, score
+        else:
+            better = score > best[2] + 1e-9
+            best = np.where(better, pi, best[0]), np.where(better[:, None, None], p, best[1]), np.where(better, score, best[2])
+    pi, p, _ = best
+    switched = p[:, 1].mean(axis=1) < p[:, 0].mean(axis=1)
+    return np.where(switched, 1 - pi, pi), np.where(switched[:, None], p[:, 0], p[:, 1]), 1 - np.where(switched[:, None], p[:, 1], p[:, 0])
+
+
+def latent_class_bootstrap(blocks: DataFrame, block: str, n_blocks: int, indicators: list[str], count: str = "n", replicates: int = 200, least: int = 10, rounds: int = 1500, tolerance: float = 1e-9) -> DataFrame:
+    """Share, sensitivities and specificities of two latent classes with percentile intervals from resampled whole blocks.
+
+    blocks: block (from 0), indicators (0 or 1), count. Spark sums the patterns of each block and each replicate, which leaves at most
+    ``replicates`` rows of 2 ** indicators counts; all replicates are then fitted at once, from the estimate over all blocks and from
+    two fixed starts. A fit at the boundary takes no part; with fewer than ``least`` others the interval is null."""
+    k = len(indicators)
+    patterns = [[(i >> (k - 1 - j)) & 1 for j in range(k)] for i in range(2**k)]
+    number = sum((F.col(c).cast("int") * 2 ** (k - 1 - j) for j, c in enumerate(indicators)), F.lit(0))
+    columns = [f"p{i}" for i in range(2**k)]
+    wide = blocks.groupBy(block).agg(*(F.coalesce(F.sum(F.when(number == i, F.col(count))), F.lit(0)).cast("double").alias(c) for i, c in enumerate(columns)))
+    every = wide.agg(*(F.sum(c).alias(c) for c in columns)).first()
+    drawn = block_bootstrap(wide, block, n_blocks, columns, replicates).orderBy("rep").collect()  # `replicates` rows
+    x, w = np.array(patterns, float), np.array([[r[c] for c in columns] for r in drawn], float)
+    start = lambda n, pi, low, high: (np.full(n, pi), np.tile(np.array([[low] * k, [high] * k], float), (n, 1, 1)))
+    pi, se, sp = _fitted(x, np.array([[every[c] for c in columns]], float), [start(1, a, 0.2, 0.8) for a in (0.2, 0.35, 0.5)], 4000, 1e-11)
+    point = (np.repeat(pi, len(w)), np.repeat(np.stack([1 - sp, se], axis=1), len(w), axis=0))
+    pis, ses, sps = _fitted(x, w, [point, start(len(w), 0.3, 0.15, 0.75), start(len(w), 0.6, 0.3, 0.9)], rounds, tolerance)
+    rates = np.concatenate([ses, sps], axis=1)
+    inner = ((rates <= 1 - 1e-4) & (rates >= 1e-4)).all(axis=1) & (pis >= 1e-4) & (pis <= 1 - 1e-4)
+    fits, names = np.column_stack([pis, rates])[inner], ["prevalence", *(f"sensitivity_{i}" for i in indicators), *(f"specificity_{i}" for i in indicators)]
+    low, high = (np.percentile(fits, q, axis=0) if len(fits) >= least else [None] * len(names) for q in (2.5, 97.5))
+    r = lambda v: None if v is None else round(float(v), 4)
+    out = [(n, r(v), r(a), r(b), len(fits)) for n, v, a, b in zip(names, np.concatenate([pi, se[0], sp[0]]), low, high)]
+    return blocks.sparkSession.createDataFrame(out, "measure string, estimate double, low double, high double, replicates int")
+
+
 def latent_classes(patterns: DataFrame, indicators: list[str], count: str = "n", rounds: int = 500) -> DataFrame:
     """Two latent classes under conditional independence by expectation-maximisation over the counts of 0/1 patterns.
 
     The data come as at most 2 ** indicators rows. The class of higher mean rates is the second (labels don't switch)."""
-    import numpy as np
-
     rows = patterns.groupBy(*indicators).agg(F.sum(count).alias("_n")).collect()  # 2 ** len(indicators) at most
     x, w = np.array([[r[i] for i in indicators] for r in rows], float), np.array([r["_n"] for r in rows], float)
     best = None

@@ -35,6 +35,18 @@ def attribute_launches(rows: DataFrame, printed: DataFrame, spans: DataFrame, se
     return out.select(session, "n_rows", F.when(ok, F.col("_b.launch")).alias("launch"), F.coalesce(F.when(ok, F.col("_b._m")), F.lit(0)).alias("matches"), F.coalesce("n_candidates", F.lit(0)).alias("n_candidates"), F.coalesce("n_tied", F.lit(0)).alias("n_tied"))
 
 
+def silences(rows: DataFrame, key: str, ts: str, silent_seconds: int, until: Column) -> DataFrame:
+    """(key, action, at): ``up`` at a key's first beacon and at the first after a silence, ``silent`` once when ``silent_seconds`` have
+    passed without one; after a key's last beacon only if that is before ``until``. The streaming form is ``streams.silences``."""
+    w = Window.partitionBy(key).orderBy(ts)
+    gap = F.make_dt_interval(secs=F.lit(silent_seconds))
+    b = rows.select(key, ts).distinct().withColumns({"_before": F.lag(ts).over(w), "_after": F.lead(ts).over(w)})
+    up = b.filter(F.col("_before").isNull() | (F.col(ts) - F.col("_before") > gap)).select(key, F.lit("up").alias("action"), F.col(ts).alias("at"))
+    end = F.col(ts) + gap
+    silent = b.filter(F.when(F.col("_after").isNull(), end < until).otherwise(F.col("_after") - F.col(ts) > gap)).select(key, F.lit("silent").alias("action"), end.alias("at"))
+    return up.unionByName(silent)
+
+
 def step_minutes(rows: DataFrame, keys: list[str], seq: str, state: str, minutes: str, refused: DataFrame) -> DataFrame:
     """Minutes of the last OK row of each key that has minutes, or null and a note: the latest state, or that another launch's rows were
     refused. refused: keys, n."""

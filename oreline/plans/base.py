@@ -16,6 +16,11 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self._spark, self._dir = spark, sf_dir
 
+    def stream(self, name: str) -> DataFrame:
+        """The same table as a stream of its files; as a pattern the path may be one file or a folder of parts."""
+        schema = self._spark.read.parquet(f"{self._dir}/{name}.parquet").schema
+        return self._spark.readStream.schema(schema).parquet(f"{self._dir}/{name}.parque[t]")
+
     def __getattr__(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
 

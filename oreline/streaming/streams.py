@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.storage import shared_dir
+
 
 def read_stream(spark: SparkSession, folder: str, schema: str, name_filter: str | None = None, files_a_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
@@ -51,6 +55,52 @@ def cool_downs(events: DataFrame, key: str, ts: str, kind: str, blocked: str, ba
     return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {dict(rows.dtypes)[key]}, wait_s long, seen long", "wait_s long, seen long", "update", GroupStateTimeout.NoTimeout)
 
 
+def silences(events: DataFrame, key: str, ts: str, silent_seconds: int, late: str = "10 minutes") -> DataFrame:
+    """(key, action, at): ``up`` at a key's first beacon and at the first after a silence, ``silent`` once when ``silent_seconds`` of event
+    time have passed without one.
+
+    A timeout fires when the watermark, ``late`` behind the newest beacon of all keys, has passed the end of the wait; the key's
+    state (its last beacon) goes with it, so only keys that are alive hold state. Beacons behind the watermark are dropped, and one
+    that isn't newer than its key's last changes nothing. The batch form is ``operators.telemetry.silences``."""
+    wait = silent_seconds * 1_000_000
+
+    def rows_of(k: tuple, actions: list[str], at: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({key: pd.Series([k[0]] * len(actions)), "action": pd.Series(actions, dtype="object"), "at": pd.to_datetime(at, unit="us")})
+
+    def fold(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            (last,) = state.get
+            state.remove()
+            yield rows_of(k, ["silent"], np.array([last + wait]))
+            return
+        last = state.get[0] if state.exists else None
+        times = np.unique(np.concatenate([pdf[ts].to_numpy("datetime64[us]").astype(np.int64) for pdf in batches]))
+        known = times[times > last] if last is not None else times
+        if len(known):
+            before = np.concatenate([[known[0] if last is None else last], known[:-1]])
+            gone = np.flatnonzero(known - before > wait)
+            at = np.column_stack([before[gone] + wait, known[gone]]).ravel()
+            actions = ["silent", "up"] * len(gone)
+            if last is None:
+                at, actions = np.concatenate([known[:1], at]), ["up", *actions]
+            last = int(known[-1])
+            if actions:
+                yield rows_of(k, actions, at)
+        state.update((last,))
+        state.setTimeoutTimestamp(max((last + wait) // 1000, state.getCurrentWatermarkMs() + 1))
+
+    rows = events.select(key, F.col(ts).cast("timestamp").alias(ts)).withWatermark(ts, late)
+    return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {dict(rows.dtypes)[key]}, action string, at timestamp", "last long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def settled(stream: DataFrame, name: str) -> DataFrame:
+    """Runs an append stream over what is there to the end, into a table in the shared folder, each row once."""
+    at = f"{shared_dir(stream.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    q = stream.writeStream.format("parquet").option("path", f"{at}/rows").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{at}/rows")
+
+
 def previous_values(events: DataFrame, key: str, ts: str, value: str) -> DataFrame:
     """Each beacon with the value of the one before it of its key, over batch ends: the state is a key's last value.
 
