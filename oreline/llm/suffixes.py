@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from .common import blocks, discard, materialize
+from .common import blocks, discard, materialize, release
 
 K = 32
 SORTED = ["doc_id", "row_key", "start", "end", "lo", "hi"]
@@ -81,29 +81,38 @@ def suffix_order(s: np.ndarray, reach: int) -> np.ndarray:
     return out
 
 
-def later_strings(data: bytes, starts: np.ndarray, doc: np.ndarray, row: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
-    """Of the strings of ``length`` bytes at ``starts``: which have an equal one in a smaller ``doc``, or at a smaller ``place`` of their own ``row``.
+def later_strings(data: bytes, starts: np.ndarray, piece: np.ndarray, doc: np.ndarray, row: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """Of the strings of ``length`` bytes at ``starts``: which have an equal one in a smaller doc, or at a smaller ``place`` of their own row.
 
-    ``row`` numbers the rows from 0; a doc may have several, none of which is earlier than another."""
+    ``piece`` tells which piece each string is from, ``doc`` and ``row`` (numbers from 0) the document and the row of each piece; a
+    document may have several rows, none of which is earlier than another."""
     flat = np.frombuffer(data, np.uint8)
     order = suffix_order(flat.astype(np.int64) + 1, length)
-    index = np.full(len(flat), -1, np.int64)
-    index[starts] = np.arange(len(starts))
+    index = np.full(len(flat), -1, np.int32)
+    index[starts] = np.arange(len(starts), dtype=np.int32)
     order = index[order]
     order = order[order >= 0]
+    out = np.zeros(len(starts), bool)
+    if not len(order):
+        return out
     windows = np.lib.stride_tricks.sliding_window_view(flat, length)
     same = np.zeros(len(order), bool)
     for i in range(1, len(order), 1 << 16):
         a, b = starts[order[i - 1 : i - 1 + (1 << 16)]], starts[order[i : i + (1 << 16)]]
         same[i : i + len(b)] = (windows[a[: len(b)]] == windows[b]).all(axis=1)
-    group = np.cumsum(~same)
-    first = np.full(len(order) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(first, group, doc[order])
-    own = np.unique(group * (int(row.max(initial=0)) + 1) + row[order], return_inverse=True)[1]
-    start = np.full(len(order) + 1, np.iinfo(np.int64).max)
-    np.minimum.at(start, own, place[order])
-    out = np.zeros(len(starts), bool)
-    out[order] = (doc[order] != first[group]) | (place[order] != start[own])
+    heads = np.flatnonzero(~same)
+    size = np.diff(np.concatenate([heads, [len(order)]]))
+    docs = doc[piece[order]]
+    later = docs != np.repeat(np.minimum.reduceat(docs, heads), size)
+    rest = np.flatnonzero(~later & np.repeat(size > 1, size))  # several of the least document: the first of each row stays
+    if len(rest):
+        key = (np.searchsorted(heads, rest, side="right") * (int(row.max()) + 1)) + row[piece[order[rest]]]
+        at = place[order[rest]]
+        by = np.lexsort((at, key))
+        key, at = key[by], at[by]
+        runs = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        later[rest[by]] = at != np.repeat(at[runs], np.diff(np.concatenate([runs, [len(at)]])))
+    out[order] = later
     return out
 
 
@@ -208,14 +217,15 @@ def dedup_bytes(docs: DataFrame, length: int = 100, block: int = 1 << 20, hot_pi
             n = np.array([len(x[5]) for x in held], np.int64)
             base = np.cumsum(n) - n
             counts = n - length + 1
-            piece = np.repeat(np.arange(len(held)), counts)
+            piece = np.repeat(np.arange(len(held), dtype=np.int32), counts)
             inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
             docs, keys, starts = (np.array([x[i] for x in held], np.int64) for i in (2, 3, 4))
             at = starts[piece] + inside
             order = np.lexsort((keys, docs))
-            number = np.empty(len(held), np.int64)
-            number[order] = np.cumsum(np.concatenate([[False], (np.diff(docs[order]) != 0) | (np.diff(keys[order]) != 0)]))
-            later = later_strings(b"".join(x[5] for x in held), base[piece] + inside, docs[piece], number[piece], at, length)
+            new = np.concatenate([[False], np.diff(docs[order]) != 0]), np.concatenate([[False], (np.diff(docs[order]) != 0) | (np.diff(keys[order]) != 0)])
+            doc, row = np.empty((2, len(held)), np.int32)
+            doc[order], row[order] = np.cumsum(new[0]), np.cumsum(new[1])
+            later = later_strings(b"".join(x[5] for x in held), base[piece] + inside, piece, doc, row, at, length)
             gone = np.flatnonzero(later)
             none = lambda k: pa.nulls(k, pa.int64())
             if len(gone):
@@ -237,6 +247,8 @@ def dedup_bytes(docs: DataFrame, length: int = 100, block: int = 1 << 20, hot_pi
                 size += len(row[5])
         if held:
             yield from settle(held)
+        held.clear()
+        release()
 
     sent = shipped.filter("anchor IS NOT NULL").select("anchor", "part", *ROW, "start", "piece")
     sent = sent.repartition("anchor", "part").sortWithinPartitions("anchor", "part", *ROW, "start")
