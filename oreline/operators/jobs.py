@@ -48,8 +48,11 @@ def retirement(runs: DataFrame, current: DataFrame, ever_current: DataFrame, cit
     now = runs.filter("status = 'ok'").select(F.col("run_id").alias("current_run"), F.col("stage").alias("_stage"))
     r = r.join(now, "current_run", "left")
     newer = runs.filter("status = 'ok'").join(keys, ["stage", "key"], "left_semi").select("file_id", "stage", F.col("run_id").alias("_new"), F.col("created_at").alias("_at"), F.col("key").alias("_key"))
-    best = runs.select("run_id", "file_id", "stage", "created_at", "key").join(newer, ["file_id", "stage"]).filter((F.col("_at") > F.col("created_at")) & (F.col("_key") != F.col("key"))).groupBy("run_id").agg(F.max(F.struct("_at", "_new")).alias("_b"))
-    r = r.join(best, "run_id", "left")
+    newest = newer.groupBy("file_id", "stage", "_key").agg(F.max(F.struct("_at", "_new")).alias("_t"))  # of each key; of another key than a run's own it is the first or the second
+    two = newest.groupBy("file_id", "stage").agg(F.max(F.struct("_t", "_key")).alias("_first")).join(newest, ["file_id", "stage"], "left").filter("_key <> _first._key OR _t = _first._t")
+    two = two.groupBy("file_id", "stage").agg(F.any_value("_first").alias("_first"), F.max(F.when(F.col("_key") != F.col("_first._key"), F.col("_t"))).alias("_second"))
+    best = F.when(F.col("_first._key") != F.col("key"), F.col("_first._t")).otherwise(F.col("_second"))
+    r = r.join(two, ["file_id", "stage"], "left").withColumn("_b", F.when(best["_at"] > F.col("created_at"), best))
     by_current = F.when((F.col("current_run") != F.col("run_id")) & (F.col("_stage") == F.col("stage")), F.col("current_run"))
     superseded = F.when(F.col("status") != "ok", F.lit(None)).when(F.col("_was"), by_current).otherwise(F.col("_b._new"))
     refusal = F.when(F.col("current_run") == F.col("run_id"), F.lit("current")).when(F.col("evidence_rows") > 0, F.lit("evidence")).when(F.col("_gone"), F.lit("already-retired")).when(superseded.isNull(), F.lit("not-superseded"))
@@ -59,21 +62,29 @@ def retirement(runs: DataFrame, current: DataFrame, ever_current: DataFrame, cit
 def write_versions(heads: DataFrame, proposals: DataFrame) -> DataFrame:
     """Outcome of each proposal: accepted if its base was the head when its turn came, with the number it got; else conflict.
 
-    heads: id, head, version_no; proposals: id, seq, base, version. A round accepts of each identity the first proposal after the last
-    accepted one that is based on the head, so there are as many rounds as one identity accepts versions."""
-    state = written(heads.select("id", "head", "version_no", F.lit(-1).cast("long").alias("seq")), "heads")
-    done = None
+    heads: id, head, version_no; proposals: id, seq, base, version; (id, seq) is unique. After an accepted version the next one is
+    the first later proposal that is based on it, whatever comes between: one edge a proposal. What is reached from the head is found
+    by doubling those edges, so an identity of a million versions takes twenty rounds."""
+    offers = proposals.select("id", F.col("base").alias("_key"), "seq", F.lit(1).alias("_offer"))
+    asks = proposals.select("id", F.col("version").alias("_key"), "seq", F.lit(0).alias("_offer"))
+    starts = heads.select("id", F.col("head").alias("_key"), F.lit(None).cast("long").alias("seq"), F.lit(0).alias("_offer"))
+    later = Window.partitionBy("id", "_key").orderBy(F.asc_nulls_first("seq"), F.desc("_offer")).rowsBetween(1, Window.unboundedFollowing)
+    edges = asks.unionByName(starts).unionByName(offers).withColumn("_next", F.first(F.when(F.col("_offer") == 1, F.col("seq")), ignorenulls=True).over(later)).filter("_offer = 0 AND _next IS NOT NULL")
+    edges = written(edges.select("id", "seq", F.col("_next").alias("next")), "version-edges")
+    jump = written(edges.filter("seq IS NOT NULL"), "version-jumps")
+    reached = written(edges.filter("seq IS NULL").select("id", F.col("next").alias("seq"), F.lit(1).cast("long").alias("depth")), "version-reached")
+    step = 1
     while True:
-        fits = proposals.alias("p").join(state.alias("s"), (F.col("p.id") == F.col("s.id")) & (F.col("p.base") == F.col("s.head")) & (F.col("p.seq") > F.col("s.seq")))
-        won = fits.groupBy(F.col("p.id").alias("id")).agg(F.min(F.struct(F.col("p.seq").alias("seq"), F.col("p.version").alias("version"))).alias("w"), F.first("s.version_no").alias("no"))
-        won = written(won.select("id", "w.seq", "w.version", (F.col("no") + 1).alias("version_no")), "written-versions")
-        if not won.limit(1).count():
+        more = written(reached.join(jump, ["id", "seq"]).select("id", F.col("next").alias("seq"), (F.col("depth") + step).alias("depth")), "version-more")
+        if not more.limit(1).count():
             break
-        done = won if done is None else done.unionByName(won)
-        moved = won.select("id", F.col("version").alias("head"), "version_no", "seq")
-        before, state = state, written(state.join(moved, "id", "left_anti").unionByName(moved), "heads")
-        drop(before)
-    got = (won if done is None else done).select("id", "seq", "version_no")
+        before, reached = reached, written(reached.unionByName(more), "version-reached")
+        further = jump.alias("a").join(jump.alias("b"), (F.col("a.id") == F.col("b.id")) & (F.col("a.next") == F.col("b.seq"))).select("a.id", "a.seq", F.col("b.next").alias("next"))
+        old, jump = jump, written(further, "version-jumps")
+        drop(before, more, old)
+        step *= 2
+    drop(edges, jump, more)
+    got = reached.join(heads.select("id", "version_no"), "id").select("id", "seq", (F.col("version_no") + F.col("depth")).alias("version_no"))
     return proposals.join(got, ["id", "seq"], "left").select("id", "seq", F.when(F.col("version_no").isNull(), F.lit("conflict")).otherwise(F.lit("accepted")).alias("outcome"), "version_no")
 
 

@@ -19,20 +19,42 @@ def merge_recordings(rows: DataFrame, session: str, file: str, ts: str) -> DataF
     return main.unionByName(kept.filter("_place > 1").dropDuplicates([session, ts]).drop("_place", "_first"))
 
 
-def attribute_launches(rows: DataFrame, printed: DataFrame, spans: DataFrame, session: str, ts: str, print_: str) -> DataFrame:
+def holding(points: DataFrame, spans: DataFrame, at: str, start: str, end: str) -> DataFrame:
+    """``points`` with ``n_holding``, how many spans hold each: the starts up to it less the ends before it.
+
+    Both are counted by day: a running total over days, and of a point's own day the few instants before it."""
+    day = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / 86_400)
+    marks = spans.select(F.col(start).alias("_t"), F.lit(1).alias("_c")).unionByName(spans.select(F.col(end).alias("_t"), F.lit(-1).alias("_c")))
+    marks = marks.groupBy("_t", "_c").agg(F.sum("_c").alias("_n")).withColumn("_day", day("_t"))
+    asked = points.select(at).distinct().withColumn("_day", day(at))
+    days = marks.groupBy("_day").agg(F.sum("_n").alias("_n")).unionByName(asked.select("_day", F.lit(0).cast("long").alias("_n")).distinct()).groupBy("_day").agg(F.sum("_n").alias("_n"))
+    before = days.select("_day", (F.sum("_n").over(Window.orderBy("_day")) - F.col("_n")).alias("_before"))  # a row a day
+    inside = F.when((F.col("_c") > 0) & (F.col("_t") <= F.col(at)), F.col("_n")).when((F.col("_c") < 0) & (F.col("_t") < F.col(at)), F.col("_n")).otherwise(0)
+    own = asked.join(marks, "_day", "left").groupBy(at, "_day").agg(F.sum(F.coalesce(inside, F.lit(0))).alias("_own"))
+    return points.join(own.join(before, "_day").select(at, (F.col("_before") + F.col("_own")).alias("n_holding")), at, "left")
+
+
+def attribute_launches(rows: DataFrame, printed: DataFrame, spans: DataFrame, session: str, ts: str, print_: str, bucket_days: int = 100) -> DataFrame:
     """Each session's launch: of the launches whose span holds its first row, the one whose printed outcomes match most of its rows (ties
     to the later start, then the greater name); none if nothing matches. With the numbers of candidates and of tied ones.
 
-    printed: launch, fingerprint; spans: launch, start, end."""
-    first = rows.groupBy(session).agg(F.min(ts).alias("_first"), F.count(F.lit(1)).alias("n_rows"))
-    near = first.join(spans, (F.col("_first") >= F.col("start")) & (F.col("_first") <= F.col("end")))
-    hits = rows.select(session, F.col(print_).alias("fingerprint")).join(printed.select("launch", "fingerprint").distinct(), "fingerprint").groupBy(session, "launch").agg(F.count(F.lit(1)).alias("_m"))
-    scored = near.join(hits, [session, "launch"], "left").withColumn("_m", F.coalesce("_m", F.lit(0)))
-    best = scored.groupBy(session).agg(F.count(F.lit(1)).alias("n_candidates"), F.max(F.struct("_m", "start", "launch")).alias("_b"), F.max("_m").alias("_top"))
-    tied = scored.join(best.select(session, "_top"), session).filter((F.col("_m") == F.col("_top")) & (F.col("_top") > 0)).groupBy(session).agg(F.count(F.lit(1)).alias("n_tied"))
-    out = first.join(best, session, "left").join(tied, session, "left")
-    ok = F.col("_b._m") > 0
-    return out.select(session, "n_rows", F.when(ok, F.col("_b.launch")).alias("launch"), F.coalesce(F.when(ok, F.col("_b._m")), F.lit(0)).alias("matches"), F.coalesce("n_candidates", F.lit(0)).alias("n_candidates"), F.coalesce("n_tied", F.lit(0)).alias("n_tied"))
+    printed: launch, fingerprint; spans: launch, start, end. Launches of one span and the same prints are one, with their number. A
+    session's distinct prints meet launches by print and by a bucket of time that the span touches, so only launches that may count
+    and match anything make a row."""
+    bucket = lambda c: F.floor(F.unix_seconds(c.cast("timestamp")) / (86_400 * bucket_days))
+    sets = printed.groupBy("launch").agg(F.array_sort(F.collect_set("fingerprint")).alias("_prints"))
+    alike = spans.join(sets, "launch").groupBy("start", "end", "_prints").agg(F.max("launch").alias("launch"), F.count(F.lit(1)).alias("_same"))
+    offered = alike.select("start", "end", "launch", "_same", F.explode("_prints").alias("fingerprint")).withColumn("_b", F.explode(F.sequence(bucket(F.col("start")), bucket(F.col("end")))))
+    each = rows.groupBy(session, F.col(print_).alias("fingerprint")).agg(F.min(ts).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    first = each.groupBy(session).agg(F.min("_first").alias("_first"), F.sum("_n").alias("n_rows"))
+    asked = each.drop("_first").join(first.select(session, "_first"), session).withColumn("_b", bucket(F.col("_first")))
+    held = asked.join(offered, ["fingerprint", "_b"]).filter((F.col("_first") >= F.col("start")) & (F.col("_first") <= F.col("end")))
+    scored = held.groupBy(session, "launch", "start", "_same").agg(F.sum("_n").alias("_m"))
+    best = scored.groupBy(session).agg(F.max(F.struct("_m", "start", "launch")).alias("_b"))
+    tied = scored.join(best.select(session, F.col("_b._m").alias("_m")), [session, "_m"]).groupBy(session).agg(F.sum("_same").alias("n_tied"))
+    out = holding(first, spans, "_first", "start", "end").join(best, session, "left").join(tied, session, "left")
+    none = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    return out.select(session, "n_rows", F.col("_b.launch").alias("launch"), none(F.col("_b._m")).alias("matches"), none(F.col("n_holding")).alias("n_candidates"), none(F.col("n_tied")).alias("n_tied"))
 
 
 def silences(rows: DataFrame, key: str, ts: str, silent_seconds: int, until: Column) -> DataFrame:

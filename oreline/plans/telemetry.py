@@ -166,7 +166,7 @@ def parcel_of_points(t: Tables) -> DataFrame:
     at = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
     polygons = t.part.select(k.alias("id"), F.array(at(x0, y0), at(x0 + w, y0), at(x0, y0 + w)).alias("ring"), "p_size")
     points = t.customer.select(c.alias("k"), (c * 37 % 101 + 0.25).alias("x"), (c * 59 % 97 + 0.25).alias("y"))
-    return P.attach_polygon(points, polygons, "k", "id", "ring", "p_size", 10.0)
+    return P.attach_polygon(points, polygons, "k", "id", "ring", "p_size")
 
 
 @query("""WITH a AS (SELECT s_suppkey AS k, s_nationkey AS g, (s_suppkey * 37 % 101)::DOUBLE AS x, (s_suppkey * 53 % 97)::DOUBLE AS y FROM supplier), b AS (SELECT s_suppkey AS k, s_nationkey AS g, (s_suppkey * 37 % 101) + 1.5 + (s_suppkey % 3) * 0.25 AS x, (s_suppkey * 53 % 97) - 0.5 AS y FROM supplier)
