@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import canonical_newlines, tokens, trigrams
+from ..functions.text import canonical_newlines, norm_title, tokens, trigrams
+from .storage import written
 
 
 #: What kinds of blocks a search looks into unless asked otherwise, and all there are.
@@ -82,21 +83,84 @@ def trigram_leg(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str,
     return both.select(query_id, doc_id, F.round(F.col("_n") / (F.col("_a") + F.col("_b") - F.col("_n")), 6).alias("score")).filter(F.col("score") >= floor)
 
 
-def passage_leg(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, text: str, floor: float = 0.3, least: int = 200) -> DataFrame:
+def _gram_codes(passages: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(code, passage) of the trigrams of normalised passages, each word padded with two blanks before and one behind."""
+    padded = [f"  {p.replace(' ', '   ')} " for p in passages]
+    size = np.array([len(p) for p in padded], np.int64)
+    c = np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    code = c[:-2] | (c[1:-1] << np.uint64(21)) | (c[2:] << np.uint64(42))
+    owner = np.repeat(np.arange(len(passages)), size)
+    keep = (owner[:-2] == owner[2:]) & ~((c[1:-1] == 32) & (c[2:] == 32))  # none over a passage's end or from word to word
+    return code[keep], owner[:-2][keep]
+
+
+def _close_passages(asked: list[tuple], floor: float, at_once: int = 1 << 20):
+    """A function of batches (doc, _size, norm) that gives (query, doc, score) of passages close enough to a query (number, size, trigrams)."""
+    numbers, sizes = np.array([a[0] for a in asked], np.int64), np.array([a[1] for a in asked], np.int64)
+    code_of = lambda g: ord(g[0]) | ord(g[1]) << 21 | ord(g[2]) << 42
+    sets = [np.array([code_of(g) for g in a[2]], np.uint64) for a in asked]
+    vocabulary = np.unique(np.concatenate(sets))
+    holds = np.zeros((len(vocabulary), len(asked)), np.int32)
+    for q, s in enumerate(sets):
+        holds[np.searchsorted(vocabulary, s), q] = 1
+    lengths = holds.sum(axis=0)
+
+    def compare(docs: pa.Array, size: np.ndarray, norm: list[str]) -> pa.RecordBatch:
+        code, owner = _gram_codes(norm)
+        kinds, number = np.unique(code, return_inverse=True)
+        pairs = np.unique(owner * len(kinds) + number)  # each trigram once a passage
+        owner, number = pairs // max(1, len(kinds)), pairs % max(1, len(kinds))
+        total = np.bincount(owner, minlength=len(norm))
+        at = np.minimum(np.searchsorted(vocabulary, kinds), len(vocabulary) - 1)
+        known = (vocabulary[at] == kinds)[number]
+        owner, at = owner[known], at[number[known]]
+        shared = np.zeros((len(norm), len(asked)), np.int64)
+        if len(owner):
+            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            for q in range(0, len(asked), 64):
+                shared[owner[starts], q : q + 64] = np.add.reduceat(holds[at, q : q + 64], starts, axis=0)
+        score = shared / np.maximum(1, lengths[None, :] + total[:, None] - shared)
+        passage, q = np.nonzero((shared > 0) & (size[:, None] == sizes[None, :]) & (score >= floor - 1e-6))
+        return pa.RecordBatch.from_arrays([pa.array(numbers[q]), docs.take(pa.array(passage)), pa.array(score[passage, q])], ["_query", "_doc", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            norm, size = batch["norm"].to_pylist(), batch["_size"].to_numpy()
+            most = max(1, at_once // max(1, sum(map(len, norm)) // max(1, len(norm))))
+            for i in range(0, len(norm), most):
+                yield compare(batch["_doc"].slice(i, most), size[i : i + most], norm[i : i + most])
+
+    return run
+
+
+def passage_leg(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, text: str, floor: float = 0.3, least: int = 200, pairs_at_once: int = 200_000) -> DataFrame:
     """(query, doc, score): documents with a passage whose trigram set is similar to the query's by ``floor`` or more; the best counts.
 
     Documents are cut to passages of the query's length, ``least`` characters doubled as often as need be, that overlap by half
-    and cover the document; only the lengths that queries have are cut."""
+    and cover the document; only the lengths that queries have are cut. Queries are asked in blocks of about ``pairs_at_once`` pairs of
+    query and trigram: a block's trigrams go to the tasks, which compare passages as they read them, so only passages that are close
+    enough leave the scan."""
     n = F.length(text)
-    size = lambda: (F.lit(least) * F.pow(F.lit(2), F.ceil(F.log2(F.greatest(n, F.lit(least)) / F.lit(least))))).cast("int")
-    left = queries.select(query_id, size().alias("_size"), trigrams(text).alias("g")).select(query_id, "_size", F.size("g").alias("_a"), F.explode("g").alias("gram"))
-    cut = docs.crossJoin(F.broadcast(queries.select(size().alias("_size")).filter("_size IS NOT NULL").distinct())).withColumn("_half", (F.col("_size") / 2).cast("int"))
-    cut = cut.select(doc_id, text, "_size", "_half", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(n / F.col("_half")).cast("int") - 2))).alias("_no"))
-    right = cut.select(doc_id, "_size", "_no", trigrams(F.col(text).substr(F.col("_no") * F.col("_half") + 1, F.col("_size"))).alias("g"))
-    right = right.select(doc_id, "_size", "_no", F.size("g").alias("_b"), F.explode("g").alias("gram"))
-    both = left.join(right, ["_size", "gram"]).groupBy(query_id, doc_id, "_no").agg(F.count(F.lit(1)).alias("_n"), F.min("_a").alias("_a"), F.min("_b").alias("_b"))
-    best = both.groupBy(query_id, doc_id).agg(F.max(F.col("_n") / (F.col("_a") + F.col("_b") - F.col("_n"))).alias("score"))
-    return best.select(query_id, doc_id, F.round("score", 6).alias("score")).filter(F.col("score") >= floor)
+    size = (F.lit(least) * F.pow(F.lit(2), F.ceil(F.log2(F.greatest(n, F.lit(least)) / F.lit(least))))).cast("int")
+    left = written(queries.select(query_id, size.alias("_size"), trigrams(text).alias("g")).filter(F.size("g") > 0).withColumn("_query", F.monotonically_increasing_id()), "passage-queries")
+    blocks = -(-(left.agg(F.sum(F.size("g"))).first()[0] or 0) // pairs_at_once)
+    kinds = dict(docs.dtypes)
+    out = None
+    for b in range(blocks):
+        asked = [(r["_query"], r["_size"], r["g"]) for r in left.filter(F.pmod(F.xxhash64("_query"), F.lit(blocks)) == b).collect()]
+        if not asked:
+            continue
+        cut = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("_doc"), text, F.explode(F.array(*(F.lit(int(s)) for s in sorted({a[1] for a in asked})))).alias("_size"))
+        half = (F.col("_size") / 2).cast("int")
+        cut = cut.select("_doc", "_size", text, F.posexplode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(n / half).cast("int") - 2))).alias("_pos", "_no"))
+        parts = cut.select("_doc", "_size", norm_title(F.col(text).substr(F.col("_no") * half + 1, F.col("_size"))).alias("norm"))
+        found = parts.mapInArrow(_close_passages(asked, floor), f"_query long, _doc {kinds[doc_id]}, score double")
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return queries.select(query_id, F.lit(None).cast(kinds[doc_id]).alias(doc_id), F.lit(0.0).alias("score")).limit(0)
+    best = out.groupBy("_query", "_doc").agg(F.round(F.max("score"), 6).alias("score")).filter(F.col("score") >= floor)
+    best = best.join(left.select("_query", query_id), "_query").withColumnRenamed("_doc", doc_id)
+    return best.groupBy(query_id, doc_id).agg(F.max("score").alias("score"))
 
 
 def ranked(leg: DataFrame, query_id: str, doc_id: str, limit: int) -> DataFrame:
