@@ -20,12 +20,13 @@ Pairs = Callable[[DataFrame], DataFrame]
 Compared = Callable[[str, str], Column]
 
 
-def bucket_components(members: DataFrame, stars: DataFrame, info: DataFrame, close: Compared, differ: Compared, confirmed: Pairs, rounds: int, name: str) -> DataFrame:
+def bucket_components(members: DataFrame, stars: DataFrame, info: DataFrame, close: Compared, differ: Compared, confirmed: Pairs, rounds: int, name: str, pairs_a_row: int = 0) -> DataFrame:
     """(node, component) of the nodes that have a link; the component is its least node.
 
     ``members`` (node, key, band) are the buckets, of which a round takes those of an eighth of the bands. ``stars`` (x, y) are the
     first pairs to look at. ``info`` holds what ``close(a, b)``, a condition that every link meets, and ``differ(a, b)``, an order of
-    likely links, read of each node as fields of a and b. ``confirmed`` turns pairs (x, y) into links (a, b).
+    likely links, read of each node as fields of a and b. ``confirmed`` turns pairs (x, y) into links (a, b). Rounds of pivots end
+    early where the full comparison of what is open needs at most ``pairs_a_row`` pairs for each of its rows, so in proportion to it.
     """
     side = lambda x: info.select(F.col("node").alias(x), F.struct(*(c for c in info.columns if c != "node")).alias(f"{x}_info"))
 
@@ -48,7 +49,14 @@ def bucket_components(members: DataFrame, stars: DataFrame, info: DataFrame, clo
 
     open_rows = still_open(members)
     unsettled = lambda: open_rows.limit(1).count() > 0
+
+    def dear() -> bool:
+        sizes = open_rows.groupBy("key").count().agg(F.sum(F.col("count") * F.col("count")).alias("pairs"), F.sum("count").alias("rows")).first()
+        return (sizes["pairs"] or 0) > pairs_a_row * (sizes["rows"] or 0)
+
     for r in range(rounds if unsettled() else 0):
+        if pairs_a_row and not dear():
+            break
         some = open_rows.filter(F.col("band") % 8 == r % 8)  # an eighth of the bands a round: a few pivots a node
         pivots = some.withColumn("h", F.xxhash64("node", "key", F.lit(r))).groupBy("key").agg(F.min_by("node", "h").alias("y"), F.min_by("component", "h").alias("other"))
         pairs = some.join(pivots, "key").filter("component <> other").select(F.col("node").alias("x"), "y").distinct()

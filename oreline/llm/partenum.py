@@ -230,7 +230,7 @@ def jaccard_components(docs: DataFrame, shingle_words: int = 4, percent: int = 8
         return sizes & (_apart(a, b, "par", words64) * (100 + percent) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (100 - percent))
 
     info = nodes.select("node", "n", *pars)
-    component = bucket_components(members, stars, info, close, lambda a, b: _apart(a, b, "par", words64), confirmed, rounds, "partenum")
+    component = bucket_components(members, stars, info, close, lambda a, b: _apart(a, b, "par", words64), confirmed, rounds, "partenum", pairs_a_row=500)
     placed = nodes.select("node", "lo", "hi", "least_id").join(component, "node")
     names = placed.groupBy("component").agg(F.min("least_id").alias("name"))
     named = placed.join(names, "component").select("lo", "hi", F.col("name").alias("component_id"))
