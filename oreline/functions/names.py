@@ -11,7 +11,12 @@ from .identifiers import let
 from .text import fold, norm_title
 
 #: Words that a key's slug leaves out; what joins the parts of one word; what a text layer lost a letter to.
-STOP = ["a", "an", "the", "of", "on", "in", "for", "and", "or", "to", "with", "by", "from", "at", "as", "into"]
+STOP = [
+    "a", "an", "the", "of", "on", "in", "for", "and", "or", "to", "with", "by", "from", "at", "as", "into",
+    "via", "using", "its", "is", "are", "be", "under", "over", "between", "towards", "toward",
+]
+#: Fixed value: the shape of a key.
+KEY = r"^[A-Za-z]+_[0-9]{4}[ab]?_[a-z0-9]+(-[a-z0-9]+){1,4}$"
 JOINERS = r"\-'‐‑’ʼ"
 UNDECODABLE = r"[\x{FFFD}\x{AD}\x{FFFE}]"
 #: Headings of reference lists, numbered and author-year references, citation instructions.
@@ -44,25 +49,30 @@ def tokens_contain(tokens: Column, family: Column, marker: int = 5) -> Column:
 
 
 def citation_key(author: Column | str, year: Column, title: Column | str, most: int = 58) -> Column:
-    """Surname_Year_slug of up to ``most`` characters: the surname's parts joined and capitalised (their initials where it is too long),
-    four digits, two to four title words without stop words. Too long a key loses words, then letters of its longer word."""
+    """Surname_Year_slug of up to ``most`` characters: the surname's parts joined and capitalised, four digits, two to four title words
+    without stop words. Too long a surname of several parts becomes the initials of those in capitals (of all, if fewer than two are).
+    Too long a key loses words, then letters of its longer word; one that still hasn't the shape of a key is refused: null."""
     parts = F.regexp_extract_all(fold(author), F.lit("[A-Za-z]+"), F.lit(0))
     # a part in capitals becomes Capitalised, any other is kept as printed
     big = F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.when((F.length(p) > 1) & (p == F.upper(p)), F.lower(p.substr(F.lit(2), F.length(p)))).otherwise(p.substr(F.lit(2), F.length(p))))), "")
-    initials = F.array_join(F.transform(parts, lambda p: F.upper(F.substring(p, 1, 1))), "")
-    surname = F.when(big == "", F.lit("Anon")).when(F.length(big) > most - 9, F.substring(initials, 1, most - 9)).otherwise(big)
+    capital = F.filter(parts, lambda p: F.substring(p, 1, 1) != F.lower(F.substring(p, 1, 1)))
+    leading = F.when(F.size(capital) >= 2, capital).otherwise(parts)
+    initials = F.array_join(F.transform(leading, lambda p: F.upper(F.substring(p, 1, 1))), "")
+    compact = F.when(F.size(leading) >= 2, initials).otherwise(F.array_join(parts, ""))
+    surname = F.when(big == "", F.lit("Anon")).when(F.length(big) > most - 9, F.substring(compact, 1, most - 9)).otherwise(big)
     words = F.regexp_extract_all(F.lower(fold(title)), F.lit("[a-z0-9]+"), F.lit(0))
     kept = F.filter(words, lambda w: ~w.isin(STOP))
     kept = F.when(F.size(kept) > 0, kept).otherwise(words)
     kept = F.when(F.size(kept) >= 2, kept).otherwise(F.slice(F.concat(kept, F.filter(words, lambda w: ~F.array_contains(kept, w)), F.lit(["work", "record"])), 1, 2))
-    head = F.concat(surname, F.lit("_"), F.lpad(year.cast("string"), 4, "0"), F.lit("_"))
+    head = F.concat(surname, F.lit("_"), F.when(year >= 10_000, year.cast("string")).otherwise(F.lpad(year.cast("string"), 4, "0")), F.lit("_"))
     fits = lambda s: F.filter(F.transform(F.lit([4, 3, 2]), lambda n: F.concat(s["h"], F.array_join(F.slice(s["k"], 1, n), "-"))), lambda k: F.length(k) <= most)
     two = lambda s: F.struct(s["k"][0].alias("a"), s["k"][1].alias("b"))
     over = lambda s: F.length(s["h"]) + F.length(s["k"][0]) + F.length(s["k"][1]) + 1 - most
     less = lambda w: w.substr(F.lit(1), F.length(w) - 1)
     cut = lambda w, _: F.when(F.length(w["a"]) >= F.length(w["b"]), F.struct(less(w["a"]).alias("a"), w["b"].alias("b"))).otherwise(F.struct(w["a"].alias("a"), less(w["b"]).alias("b")))
     short = lambda s: F.aggregate(F.sequence(F.lit(1), F.greatest(over(s), F.lit(1))), two(s), cut, lambda w: F.concat(s["h"], w["a"], F.lit("-"), w["b"]))
-    return let(F.struct(head.alias("h"), kept.alias("k")), lambda s: F.coalesce(F.try_element_at(fits(s), F.lit(1)), short(s)))
+    key = let(F.struct(head.alias("h"), kept.alias("k")), lambda s: F.coalesce(F.try_element_at(fits(s), F.lit(1)), short(s)))
+    return let(key, lambda k: F.when(k.rlike(KEY) & (F.length(k) <= most), k))
 
 
 def title_containment(a: Column | str, b: Column | str, least_words: int = 5, least_share: float = 0.6) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import identifiers as I
 from ..functions.names import citation_tokens
 from ..functions.text import norm_title
+from .storage import drop, written
 
 
 def doi_index(works: DataFrame, work: str, value: str) -> DataFrame:
@@ -23,17 +24,17 @@ def resolve(references: DataFrame, index: DataFrame, doi: str, title: str, held_
     return r.withColumn("state", state)
 
 
-def pair_candidates(references: DataFrame, edges: DataFrame, candidates: DataFrame, paper: str) -> DataFrame:
-    """References without an edge and candidates of each paper, paired by position: ok where the texts agree, mismatch where not, and
-    count where the paper has not as many of one as of the other.
+def pair_candidates(references: DataFrame, edges: DataFrame, candidates: DataFrame, paper: str, most: int = 2000) -> DataFrame:
+    """References without an edge and candidates of each paper, paired by position: ok where the title and the first ``most`` characters
+    of the text agree, mismatch where not, and count where the paper has not as many of one as of the other.
 
-    references: paper, pos, ref_key, raw; edges: paper, ref_key; candidates: paper, pos, raw."""
+    references: paper, pos, ref_key, raw, title; edges: paper, ref_key; candidates: paper, pos, raw (cut already), title."""
     w = Window.partitionBy(paper).orderBy("pos")
     open_refs = references.join(edges.select(paper, "ref_key"), [paper, "ref_key"], "left_anti").withColumn("_k", F.row_number().over(w))
-    cands = candidates.select(paper, F.col("raw").alias("_raw"), F.row_number().over(w).alias("_k"))
+    cands = candidates.select(paper, F.col("raw").alias("_raw"), F.col("title").alias("_title"), F.row_number().over(w).alias("_k"))
     both = open_refs.groupBy(paper).agg(F.count(F.lit(1)).alias("_n")).join(cands.groupBy(paper).agg(F.count(F.lit(1)).alias("_m")), paper, "full")
     j = open_refs.join(cands, [paper, "_k"], "left").join(both, paper)
-    state = F.when(~F.col("_n").eqNullSafe(F.col("_m")), F.lit("count")).when(F.col("raw").eqNullSafe(F.col("_raw")), F.lit("ok")).otherwise(F.lit("mismatch"))
+    state = F.when(~F.col("_n").eqNullSafe(F.col("_m")), F.lit("count")).when(F.substring(F.coalesce("raw", F.lit("")), 1, most).eqNullSafe(F.col("_raw")) & F.col("title").eqNullSafe(F.col("_title")), F.lit("ok")).otherwise(F.lit("mismatch"))
     return j.select(paper, "ref_key", "_k", state.alias("state")).withColumnRenamed("_k", "place")
 
 
@@ -93,3 +94,44 @@ def ranked_rules(items: DataFrame, rules: DataFrame, item: str, host: Column, mo
     met = items.withColumn("suffix", F.explode(suffixes)).join(rules, "suffix")
     urls = met.withColumn("url", F.replace(F.col("template"), F.lit("{id}"), F.col(item).cast("string"))).groupBy(item, "url").agg(F.max("score").alias("score"))
     return urls.withColumn("rank", F.row_number().over(Window.partitionBy(item).orderBy(F.desc("score"), "url"))).filter(F.col("rank") <= most)
+
+
+#: Which end of a relation is the child, and which of its parents the other end is.
+PARENTS = {
+    "is_part_of": ("part_of", "source"), "has_part": ("part_of", "target"), "is_preprint_of": ("version_of", "source"),
+    "is_version_of": ("version_of", "source"), "has_preprint": ("version_of", "target"), "has_version": ("version_of", "target"),
+}
+
+
+def parent_fills(held: DataFrame, edges: DataFrame) -> DataFrame:
+    """(seq, work, kind, parent, outcome) of the edges that name a parent: ``filled`` by the first where none is held, ``held`` where it is
+    the one that stands, else ``kept-existing``.
+
+    held: work, kind, parent; edges: seq, source, relation, target. An edge to itself or without an end names none."""
+    pick = lambda i: F.create_map(*(F.lit(x) for name, of in PARENTS.items() for x in (name, of[i])))[F.col("relation")]
+    named = edges.withColumns({"kind": pick(0), "_child": pick(1)}).filter("kind IS NOT NULL AND source <> target")
+    of_source = F.col("_child") == "source"
+    named = named.select("seq", F.when(of_source, F.col("source")).otherwise(F.col("target")).alias("work"), "kind", F.when(of_source, F.col("target")).otherwise(F.col("source")).alias("parent"))
+    first = named.groupBy("work", "kind").agg(F.min(F.struct("seq", "parent")).alias("_f"))
+    j = named.join(first, ["work", "kind"]).join(held.select("work", "kind", F.col("parent").alias("_held")), ["work", "kind"], "left")
+    outcome = F.when(F.col("_held").isNull() & (F.col("seq") == F.col("_f.seq")), "filled").when(F.col("parent") == F.coalesce("_held", F.col("_f.parent")), "held").otherwise("kept-existing")
+    return j.select("seq", "work", "kind", "parent", outcome.alias("outcome"))
+
+
+def ancestors(parents: DataFrame) -> DataFrame:
+    """(node, top, depth) of each node with a parent: the last of its chain of parents and how many steps away; null on a circle or above one.
+
+    parents: node, parent (one each). Each round doubles the steps that every node has made. Where a round ends no further chain only
+    circles are left: any other chain, however long, has nodes on it that would have ended."""
+    state = written(parents.select("node", F.col("parent").alias("at"), F.lit(1).cast("long").alias("depth")), "ancestors")
+    left = None
+    while True:
+        on = state.select(F.col("node").alias("_n"), F.col("at").alias("_at"), F.col("depth").alias("_d"))
+        step = state.select("node", "at", "depth").join(on, F.col("at") == F.col("_n"), "left")
+        after = written(step.select("node", F.coalesce("_at", "at").alias("at"), (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"), F.col("_n").isNotNull().alias("on")), "ancestors")
+        n = after.filter("on").count()
+        drop(state)
+        state = after
+        if n in (0, left):
+            return state.select("node", F.when(~F.col("on"), F.col("at")).alias("top"), F.when(~F.col("on"), F.col("depth")).alias("depth"))
+        left = n

@@ -53,10 +53,12 @@ def blocked_type(codes: Column, body: Column, challenged: Column, tried: Column,
     )
 
 
-def pacing(rows: DataFrame, key: str, order: list[str], kind: str, decay: float = 1.0, times: float = 2.0, ceiling: float = 300.0) -> DataFrame:
-    """Delay of each key after its last answer: a transient one multiplies it (from ``decay`` up to ``ceiling``), a success takes
-    ``decay`` off, down to 0. The fold runs over a key's answers in order."""
-    answers = rows.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(*order, kind))), lambda x: x[kind]).alias("_q"))
+def pacing(rows: DataFrame, key: str, order: list[str], kind: str, codes: str, decay: float = 1.0, times: float = 2.0, ceiling: float = 300.0) -> DataFrame:
+    """Delay of each key after its last answer: a transient one multiplies it (from ``decay`` up to ``ceiling``), a success, or any
+    other answer with a code of 2xx, takes ``decay`` off, down to 0. The fold runs over a key's answers in order."""
+    fine = F.exists(F.coalesce(F.col(codes), F.array().cast("array<int>")), lambda c: c.between(200, 299))
+    step_of = F.when(F.col(kind) == "transient", F.col(kind)).when((F.col(kind) == "success") | F.coalesce(fine, F.lit(False)), F.lit("success")).otherwise(F.col(kind))
+    answers = rows.withColumn("_step", step_of).groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct(*order, "_step"))), lambda x: x["_step"]).alias("_q"))
     step = lambda d, k: F.when(k == "transient", F.least(F.lit(ceiling), F.greatest(d, F.lit(decay)) * times)).when(k == "success", F.greatest(F.lit(0.0), d - decay)).otherwise(d)
     return answers.select(key, F.size("_q").alias("answers"), F.aggregate("_q", F.lit(0.0), step).alias("delay_s"))
 

@@ -33,18 +33,19 @@ def surname_on_page(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", N.tokens_contain(N.fold_tokens(line), N.fold_tokens(F.element_at(fams, k))).alias("on_page"))
 
 
-_KEYS = "k AS (SELECT doc_id, ['PAGE', 'DelaCruz', 'van der Berg', 'Müller', ''][doc_id % 5 + 1] AS author, 1900 + doc_id % 120 AS yr, regexp_extract(text, '^[^\\n]*') AS title FROM documents WHERE lang IN ('en', 'de', 'es', 'fr'))"
+_KEYS = "k AS (SELECT doc_id, ['PAGE', 'DelaCruz', 'van der Berg', 'Müller', '', 'Land Product Validation Subgroup (Working Group on Calibration and Validation', '王'][doc_id % 7 + 1] AS author, CASE WHEN doc_id % 90 = 0 THEN 12019 ELSE 1900 + doc_id % 120 END AS yr, regexp_extract(text, '^[^\\n]*') AS title FROM documents)"
 _STOPS = ", ".join(f"'{w}'" for w in N.STOP)
 
 
 @query(f"""WITH {_KEYS}, p AS (SELECT doc_id, yr, array_to_string([upper(x[1:1]) || CASE WHEN length(x) > 1 AND x = upper(x) THEN lower(x[2:]) ELSE x[2:] END FOR x IN regexp_extract_all(strip_accents(author), '[A-Za-z]+')], '') AS s, regexp_extract_all(lower(strip_accents(title)), '[a-z0-9]+') AS w FROM k),
 q AS (SELECT *, CASE WHEN len(list_filter(w, lambda x: x NOT IN ({_STOPS}))) > 0 THEN list_filter(w, lambda x: x NOT IN ({_STOPS})) ELSE w END AS k1 FROM p),
-r AS (SELECT *, CASE WHEN len(k1) >= 2 THEN k1 ELSE list_concat(list_concat(k1, list_filter(w, lambda x: NOT list_contains(k1, x))), ['work', 'record'])[1:2] END AS k2, (CASE WHEN s = '' THEN 'Anon' ELSE s END) || '_' || lpad(yr::VARCHAR, 4, '0') || '_' AS h FROM q)
-SELECT doc_id, list_filter([h || array_to_string(k2[1:n], '-') FOR n IN [4, 3, 2]], lambda x: length(x) <= 58)[1] AS key FROM r""")
+r AS (SELECT *, CASE WHEN len(k1) >= 2 THEN k1 ELSE list_concat(list_concat(k1, list_filter(w, lambda x: NOT list_contains(k1, x))), ['work', 'record'])[1:2] END AS k2, (CASE WHEN s = '' THEN 'Anon' WHEN length(s) > 49 THEN 'LPVSWGCV' ELSE s END) || '_' || yr || '_' AS h FROM q)
+SELECT doc_id, CASE WHEN yr < 10000 THEN list_filter([h || array_to_string(k2[1:n], '-') FOR n IN [4, 3, 2]], lambda x: length(x) <= 58)[1] END AS key FROM r""")
 def citation_keys(t: Tables) -> DataFrame:
-    author = F.element_at(F.lit(["PAGE", "DelaCruz", "van der Berg", "Müller", ""]), (F.col("doc_id") % 5 + 1).cast("int"))
-    d = t.documents.filter(F.col("lang").isin("en", "de", "es", "fr"))
-    return d.select("doc_id", N.citation_key(author, 1900 + F.col("doc_id") % 120, F.regexp_extract("text", r"^[^\n]*", 0)).alias("key"))
+    names = ["PAGE", "DelaCruz", "van der Berg", "Müller", "", "Land Product Validation Subgroup (Working Group on Calibration and Validation", "王"]
+    year = F.when(F.col("doc_id") % 90 == 0, 12019).otherwise(1900 + F.col("doc_id") % 120)  # no key has five digits
+    author = F.element_at(F.lit(names), (F.col("doc_id") % 7 + 1).cast("int"))
+    return t.documents.select("doc_id", N.citation_key(author, year, F.regexp_extract("text", r"^[^\n]*", 0)).alias("key"))
 
 
 @query("""WITH r(i, ref) AS (VALUES (0, '10.1000/AB c'), (1, 'doi:10.1000/x'), (2, 'https://doi.org/10.1000/x'), (3, 'https://doi.org/none'), (4, 'http://example.org/a'), (5, 'arXiv:2101.00001v2'), (6, 'Some title'), (7, '978-3-16-148410-0')),
@@ -92,15 +93,16 @@ def reference_resolution(t: Tables) -> DataFrame:
     return C.resolve(refs, held, "ref_doi", "title", "held_title").groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
-_REFS = "rf AS (SELECT o_custkey AS paper, o_orderkey AS pos, 'r' || o_orderkey AS ref_key, o_orderpriority AS raw FROM orders), ed AS (SELECT paper, ref_key FROM rf WHERE pos % 4 = 1), cd AS (SELECT paper, pos, CASE WHEN pos % 11 = 0 THEN 'x' ELSE raw END AS raw FROM rf WHERE pos % 4 <> 1 AND pos % 50 <> 0)"
+_REFS = "rf AS (SELECT o_custkey AS paper, o_orderkey AS pos, 'r' || o_orderkey AS ref_key, CASE WHEN o_orderkey % 6 = 0 THEN repeat(o_orderpriority || ' ', 300) ELSE o_orderpriority END AS raw, CASE WHEN o_orderkey % 9 > 0 THEN o_orderstatus END AS title FROM orders), ed AS (SELECT paper, ref_key FROM rf WHERE pos % 4 = 1), cd AS (SELECT paper, pos, CASE WHEN pos % 11 = 0 THEN 'x' WHEN pos % 12 = 0 THEN raw ELSE raw[1:2000] END AS raw, CASE WHEN pos % 7 = 0 THEN 'F' ELSE title END AS title FROM rf WHERE pos % 4 <> 1 AND pos % 50 <> 0)"
 
 
 @query(f"""WITH {_REFS}, o AS (SELECT *, row_number() OVER (PARTITION BY paper ORDER BY pos) AS k, count(*) OVER (PARTITION BY paper) AS n FROM rf WHERE (paper, ref_key) NOT IN (SELECT (paper, ref_key) FROM ed)), c AS (SELECT *, row_number() OVER (PARTITION BY paper ORDER BY pos) AS k, count(*) OVER (PARTITION BY paper) AS n FROM cd)
-SELECT o.paper, ref_key, o.k::INT AS place, CASE WHEN o.n IS DISTINCT FROM m.n THEN 'count' WHEN o.raw IS NOT DISTINCT FROM c.raw THEN 'ok' ELSE 'mismatch' END AS state FROM o LEFT JOIN c USING (paper, k) LEFT JOIN (SELECT DISTINCT paper, n FROM c) m ON m.paper = o.paper""")
+SELECT o.paper, ref_key, o.k::INT AS place, CASE WHEN o.n IS DISTINCT FROM m.n THEN 'count' WHEN o.raw[1:2000] = c.raw AND o.title IS NOT DISTINCT FROM c.title THEN 'ok' ELSE 'mismatch' END AS state FROM o LEFT JOIN c USING (paper, k) LEFT JOIN (SELECT DISTINCT paper, n FROM c) m ON m.paper = o.paper""")
 def candidate_pairing(t: Tables) -> DataFrame:
     k = F.col("o_orderkey")
-    refs = t.orders.select(F.col("o_custkey").alias("paper"), k.alias("pos"), F.concat(F.lit("r"), k).alias("ref_key"), F.col("o_orderpriority").alias("raw"))
-    cands = refs.filter("pos % 4 <> 1 AND pos % 50 <> 0").select("paper", "pos", F.when(F.col("pos") % 11 == 0, F.lit("x")).otherwise(F.col("raw")).alias("raw"))
+    refs = t.orders.select(F.col("o_custkey").alias("paper"), k.alias("pos"), F.concat(F.lit("r"), k).alias("ref_key"), F.when(k % 6 == 0, F.repeat(F.concat("o_orderpriority", F.lit(" ")), 300)).otherwise(F.col("o_orderpriority")).alias("raw"), F.when(k % 9 > 0, F.col("o_orderstatus")).alias("title"))
+    whole = (F.col("pos") % 12 == 0) | (F.col("pos") % 11 == 0)
+    cands = refs.filter("pos % 4 <> 1 AND pos % 50 <> 0").select("paper", "pos", F.when(F.col("pos") % 11 == 0, F.lit("x")).when(whole, F.col("raw")).otherwise(F.substring("raw", 1, 2000)).alias("raw"), F.when(F.col("pos") % 7 == 0, F.lit("F")).otherwise(F.col("title")).alias("title"))
     return C.pair_candidates(refs, refs.filter("pos % 4 = 1"), cands, "paper")
 
 
@@ -218,3 +220,32 @@ def window_refusals(t: Tables) -> DataFrame:
     told = windows.withColumn("refusal", N.window_refusal(lines, F.col("start"), F.col("n")))
     k = t.part.groupBy((F.col("p_partkey") % 3).alias("k")).agg(F.count(F.lit(1)).alias("pages"), F.lit(1).alias("_j"))
     return k.join(told.withColumn("_j", F.lit(1)), "_j").select("k", "start", "n", "refusal", "pages")
+
+
+_PARENTS = """ed AS (SELECT l_orderkey * 10 + l_linenumber AS seq, l_partkey AS source, ['is_part_of', 'has_version', 'is_version_of', 'cites', 'has_part', 'is_preprint_of', 'has_preprint'][l_linenumber % 7 + 1] AS relation, l_partkey * 7 % (SELECT count(*) FROM part) + l_suppkey % 3 AS target FROM lineitem),
+ch AS (SELECT seq, CASE WHEN relation LIKE 'is%' THEN source ELSE target END AS work, CASE WHEN relation LIKE '%part%' THEN 'part_of' ELSE 'version_of' END AS kind, CASE WHEN relation LIKE 'is%' THEN target ELSE source END AS parent FROM ed WHERE relation <> 'cites' AND source <> target),
+he AS (SELECT p_partkey AS work, 'part_of' AS kind, p_partkey // 2 AS parent FROM part WHERE p_partkey % 9 = 4)"""
+
+
+def _typed_edges(t: Tables) -> tuple[DataFrame, DataFrame]:
+    n = t.part.count()
+    relation = F.element_at(F.lit(["is_part_of", "has_version", "is_version_of", "cites", "has_part", "is_preprint_of", "has_preprint"]), (F.col("l_linenumber") % 7 + 1).cast("int"))
+    edges = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("seq"), F.col("l_partkey").alias("source"), relation.alias("relation"), (F.col("l_partkey") * 7 % n + F.col("l_suppkey") % 3).alias("target"))
+    held = t.part.filter("p_partkey % 9 = 4").select(F.col("p_partkey").alias("work"), F.lit("part_of").alias("kind"), F.expr("p_partkey div 2").alias("parent"))
+    return held, edges
+
+
+@query(f"""WITH {_PARENTS}, f AS (SELECT work, kind, min(struct_pack(seq := seq, parent := parent)) AS f FROM ch GROUP BY ALL)
+SELECT seq, work, kind, ch.parent, CASE WHEN he.parent IS NULL AND seq = f.seq THEN 'filled' WHEN ch.parent = coalesce(he.parent, f.parent) THEN 'held' ELSE 'kept-existing' END AS outcome FROM ch JOIN f USING (work, kind) LEFT JOIN he USING (work, kind)""")
+def parent_fills(t: Tables) -> DataFrame:
+    return C.parent_fills(*_typed_edges(t))
+
+
+@query(f"""WITH RECURSIVE {_PARENTS}, f AS (SELECT work, kind, arg_min(parent, (seq, parent)) AS parent FROM ch GROUP BY ALL), p AS (SELECT coalesce(f.work, he.work) AS node, coalesce(he.parent, f.parent) AS parent FROM (SELECT * FROM f WHERE kind = 'part_of') f FULL JOIN he ON he.work = f.work),
+c(node, cur, depth, path) AS (SELECT node, parent, 1::BIGINT, [node] FROM p UNION ALL SELECT c.node, p.parent, depth + 1, list_append(path, c.cur) FROM c JOIN p ON p.node = c.cur WHERE NOT list_contains(path, c.cur)),
+t AS (SELECT c.node, c.cur AS top, depth FROM c WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.node = c.cur)) SELECT p.node, top, depth FROM p LEFT JOIN t USING (node)""")
+def part_ancestors(t: Tables) -> DataFrame:
+    """The whole that each work is a part of in the end; none where parts go in a circle."""
+    held, edges = _typed_edges(t)
+    first = C.parent_fills(held, edges).filter("outcome = 'filled' AND kind = 'part_of'").select(F.col("work").alias("node"), "parent")
+    return C.ancestors(held.select(F.col("work").alias("node"), "parent").unionByName(first))

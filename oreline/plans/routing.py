@@ -76,12 +76,13 @@ def blocked_types(t: Tables) -> DataFrame:
     return _attempts(t).filter("status = 'blocked'").select(v.alias("v")).groupBy("v.sub_status", "v.basis").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH RECURSIVE {_ATT}, q AS (SELECT l_orderkey, kind, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey, kind) AS i, count(*) OVER (PARTITION BY l_orderkey) AS n FROM ac),
+@query(f"""WITH RECURSIVE {_ATT}, z AS (SELECT * REPLACE (CASE WHEN kind <> 'transient' AND len(list_filter(codes, lambda c: c BETWEEN 200 AND 299)) > 0 THEN 'success' ELSE kind END AS kind) FROM ac),
+q AS (SELECT l_orderkey, kind, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey, kind) AS i, count(*) OVER (PARTITION BY l_orderkey) AS n FROM z),
 f(l_orderkey, i, d) AS (SELECT DISTINCT l_orderkey, 0::BIGINT, 0.0::DOUBLE FROM q UNION ALL
   SELECT f.l_orderkey, f.i + 1, CASE q.kind WHEN 'transient' THEN least(300.0, greatest(d, 1.0) * 2.0) WHEN 'success' THEN greatest(0.0, d - 1.0) ELSE d END FROM f JOIN q ON q.l_orderkey = f.l_orderkey AND q.i = f.i + 1)
 SELECT q.l_orderkey, q.n::INT AS answers, f.d AS delay_s FROM q JOIN f ON f.l_orderkey = q.l_orderkey AND f.i = q.n AND q.i = q.n""")
 def answer_pacing(t: Tables) -> DataFrame:
-    return R.pacing(_attempts(t), "l_orderkey", ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"], "kind")
+    return R.pacing(_attempts(t), "l_orderkey", ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"], "kind", "codes")
 
 
 _VER = """s AS (SELECT o_orderkey, CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE year(o_orderdate) END AS built, (1992 + o_custkey % 8)::BIGINT AS yr, ['present', 'absent', 'uncertain', 'unavailable'][o_orderkey % 4 + 1] AS vp FROM orders),

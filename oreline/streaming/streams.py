@@ -118,19 +118,21 @@ def previous_values(events: DataFrame, key: str, ts: str, value: str) -> DataFra
     return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {kinds[key]}, {ts} timestamp, {value} double, previous double", "last double", "append", GroupStateTimeout.NoTimeout)
 
 
-def paced(events: DataFrame, key: str, ts: str, kind: str, decay: float = 1.0, times: float = 2.0, ceiling: float = 300.0) -> DataFrame:
-    """The pacing delay of each key after each batch: a ``transient`` answer multiplies it, a ``success`` takes ``decay`` off; the batch
-    form is ``operators.routing.pacing``."""
+def paced(events: DataFrame, key: str, ts: str, kind: str, codes: str, decay: float = 1.0, times: float = 2.0, ceiling: float = 300.0) -> DataFrame:
+    """The pacing delay of each key after each batch: a ``transient`` answer multiplies it, a ``success``, or any other
+    answer with a code of 2xx, takes ``decay`` off; the batch form is ``operators.routing.pacing``."""
 
     def fold(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         delay, seen = state.get if state.exists else (0.0, 0)
-        for x in pd.concat(list(batches)).sort_values(ts)[kind]:
-            delay = min(ceiling, max(delay, decay) * times) if x == "transient" else max(0.0, delay - decay) if x == "success" else delay
+        answers = pd.concat(list(batches)).sort_values(ts)
+        for x, fine in zip(answers[kind], answers["_fine"]):
+            delay = min(ceiling, max(delay, decay) * times) if x == "transient" else max(0.0, delay - decay) if x == "success" or fine else delay
             seen += 1
         state.update((delay, seen))
         yield pd.DataFrame({key: [k[0]], "answers": [seen], "delay_s": [delay]})
 
-    rows = events.select(key, ts, kind)
+    fine = F.coalesce(F.exists(codes, lambda c: c.between(200, 299)), F.lit(False))
+    rows = events.select(key, ts, kind, fine.alias("_fine"))
     return rows.groupBy(key).applyInPandasWithState(fold, f"{key} {dict(rows.dtypes)[key]}, answers long, delay_s double", "delay double, seen long", "update", GroupStateTimeout.NoTimeout)
 
 

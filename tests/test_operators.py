@@ -11,7 +11,7 @@ from oreline.functions import identifiers as I
 from oreline.functions import markup as M
 from oreline.functions import names as N
 from oreline.functions import text as X
-from oreline.operators import curves, inference, ledger, linkage, raster, sampling, search, sequence, stats, verdicts, versioning
+from oreline.operators import citations, curves, inference, ledger, linkage, raster, routing, sampling, search, sequence, stats, verdicts, versioning
 from oreline.plans import registry
 from oreline.sources import files
 from oreline.streaming import streams
@@ -306,8 +306,8 @@ def test_streams_keep_state_over_batches(spark, tmp_path):
     prev = streams.drain(streams.previous_values(stream(), "k", "ts", "value"), "prev", "append").collect()
     assert len(prev) == 6 and {(r["k"], r["value"]) for r in prev if r["previous"] is None or r["previous"] != r["previous"]} <= {("a", 0.5), ("a", 2.0), ("b", 7.0), ("b", 8.0)}
     assert {(r["value"], r["previous"]) for r in prev if r["k"] == "a"} >= {(1.0, 0.5), (2.5, 2.0)}
-    got = [tuple(r) for r in streams.drain(streams.paced(stream(), "k", "ts", "kind"), "paced", "update").collect()]
-    assert ("b", 2, 0.0) in got and max(n for k, n, _ in got if k == "a") == 4
+    got = [tuple(r) for r in streams.drain(streams.paced(stream().withColumn("codes", F.array(F.when(F.col("kind") == "neutral", 200).otherwise(404))), "k", "ts", "kind", "codes"), "paced", "update").collect()]
+    assert ("b", 2, 0.0) in got and ("a", 4, 2.0) in got and max(n for k, n, _ in got if k == "a") == 4
     moved = streams.drain(streams.changes(stream().withColumn("n", F.unix_seconds("ts")), "k", "n", "kind"), "moved", "append").collect()
     assert 3 <= len(moved) <= 4 and {r["kind"] for r in moved} == {"transient", "success", "neutral"}
     q = streams.published(stream(), "k", "ts", str(tmp_path / "out"), str(tmp_path / "cp"), every="")
@@ -357,6 +357,30 @@ def test_passage_leg_sees_whole_documents(spark):
     assert {(7, 1), (7, 4)} <= set(got) and not {d for _, d in got} & {2, 3, 5}
 
 
+def test_pacing_takes_any_2xx_for_an_answer(spark):
+    rows = [("a", 1, "transient", [503]), ("a", 2, "transient", [429]), ("a", 3, "no-copy", [404, 200]), ("a", 4, "no-copy", [404]), ("a", 5, "no-copy", None), ("b", 1, "transient", [200]), ("c", 1, "success", [])]
+    df = spark.createDataFrame(rows, "k string, n int, kind string, codes array<int>")
+    assert {tuple(r) for r in routing.pacing(df, "k", ["n"], "kind", "codes").collect()} == {("a", 5, 3.0), ("b", 1, 2.0), ("c", 1, 0.0)}
+
+
+def test_keys_are_built_to_fit_or_refused(spark):
+    key = lambda a, y, t: one(spark, N.citation_key("a", F.col("y"), "t"), a=a, y=y, t=t)
+    assert key("Smith", 2020, "Using its own maps via towards the sea") == "Smith_2020_own-maps-sea"
+    assert key("Land Product Validation Subgroup (Working Group on Calibration and Validation", 2025, "A b c") == "LPVSWGCV_2025_b-c"
+    assert key("x" * 30 + " " + "y" * 30, 1999, "one two") == "XY_1999_one-two" and key("Z" + "z" * 80, 1999, "a") == "Z" + "z" * 48 + "_1999_a-w"
+    assert key("Smith", 12019, "one two") is None
+
+
+def test_ancestors_of_long_chains_and_circles(spark):
+    parent = {i: i + 1 for i in range(37)} | {100: 101, 101: 102, 102: 100, 103: 100, 104: 103, 200: 200, 300: 36} | {i: 7 for i in range(400, 405)}
+    got = {r["node"]: (r["top"], r["depth"]) for r in citations.ancestors(spark.createDataFrame(list(parent.items()), "node long, parent long")).collect()}
+    for node in parent:
+        at, steps = node, 0
+        while at in parent and steps <= len(parent):
+            at, steps = parent[at], steps + 1
+        assert got[node] == ((None, None) if at in parent else (at, steps))
+
+
 def test_searches_ask_every_twentieth_text(spark, sf_dir, tmp_path):
     tail = "the whole text counts here to the very last term omega"
     spark.createDataFrame([(i, tail if i % 20 == 0 else "alpha") for i in range(45)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
