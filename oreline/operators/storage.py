@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN: list[str] = []
+_LEFT: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,9 +25,32 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_OWN[0]}"
 
 
+def place(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the driver ends unless ``drop`` did before."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _LEFT:
+        atexit.register(_sweep)
+    _LEFT[path] = spark
+    return path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _sweep() -> None:
+    """At the driver's end: tables that results were read from."""
+    for path, spark in list(_LEFT.items()):
+        try:
+            _delete(spark, path)
+        except Exception:  # the session is gone already
+            return
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = place(df.sparkSession, name)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._written_to = path
@@ -37,5 +61,5 @@ def drop(*tables: DataFrame) -> None:
     """Deletes tables that ``written`` wrote and that no later plan reads."""
     for df in tables:
         if path := getattr(df, "_written_to", None):
-            p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+            _LEFT.pop(path, None)
+            _delete(df.sparkSession, path)

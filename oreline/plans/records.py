@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_title, ratio_udf
+from ..operators import index as X
 from ..operators import linkage as K
 from ..operators import search as R
 from ..operators import versioning as V
+from ..operators.storage import place
 from .base import Tables, query
 
 _NT = "trim(regexp_replace(lower(regexp_extract(text, '^[^\\n]*')), '[^\\p{L}\\p{N}]+', ' ', 'g'))"
@@ -169,6 +171,26 @@ def search_rrf(t: Tables) -> DataFrame:
     return R.fuse([R.ranked(leg, "item_id", "doc_id", 50) for leg in legs], "item_id", "doc_id")
 
 
+def _scope(name: str, table: str) -> str:
+    """The three legs of one scope, and their fusion with the places that each gave."""
+    legs = f"{_TOK}, {_ALL}, {_TRGM}".replace("FROM documents", f"FROM {table}")
+    return f"""SELECT item_id, '{name}' AS scope, doc_id AS doc, score, rank_all, rank_any, rank_trigram FROM (WITH {legs}, l AS (SELECT item_id, doc_id, score, 1 AS leg FROM h JOIN m USING (item_id) WHERE n = m UNION ALL SELECT item_id, doc_id, score, 2 FROM h UNION ALL SELECT item_id, doc_id, score, 3 FROM tg WHERE score >= 0.2),
+r AS (SELECT *, row_number() OVER (PARTITION BY leg, item_id ORDER BY score DESC, doc_id)::INT AS k FROM l QUALIFY k <= 50), z AS (SELECT item_id, doc_id, round(sum(1 / (60 + k)), 8) AS score, max(k) FILTER (leg = 1) AS rank_all, max(k) FILTER (leg = 2) AS rank_any, max(k) FILTER (leg = 3) AS rank_trigram FROM r GROUP BY ALL)
+SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20)"""
+
+
+@query(f"WITH uses_ AS (SELECT conv_id * 100 + turn AS doc_id, text FROM conversations) {_scope('blocks', 'documents')} UNION ALL {_scope('uses', 'uses_')}")
+def search_everything(t: Tables) -> DataFrame:
+    """Documents and turns of conversations through an index that is written in two appends, the second over what was there: six legs."""
+    spark, docs = t.documents.sparkSession, t.documents.select("doc_id", "text")
+    folder = place(spark, "search-index")
+    stale = docs.filter("doc_id % 5 = 0").withColumn("text", F.lit("an earlier text of this document"))
+    X.add(docs.filter("doc_id % 2 = 1").unionByName(stale), folder, "blocks", "doc_id", "text", 1)
+    X.add(docs.filter("doc_id % 2 = 0 OR doc_id % 5 = 0"), folder, "blocks", "doc_id", "text", 2)
+    X.add(t.conversations.select((F.col("conv_id") * 100 + F.col("turn")).alias("use_id"), "text"), folder, "uses", "use_id", "text", 1)
+    return X.search(_asked(t), "item_id", "text", folder, "blocks").unionByName(X.search(_asked(t), "item_id", "text", folder, "uses"))
+
+
 @query("""WITH v AS (SELECT q.vec_id AS query_id, c.vec_id, round(list_cosine_similarity(q.embedding::DOUBLE[], c.embedding::DOUBLE[]), 6) AS score FROM embeddings q JOIN embeddings c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM v QUALIFY rank <= 5""")
 def embedding_cosine(t: Tables) -> DataFrame:

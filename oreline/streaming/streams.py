@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.storage import shared_dir
+from ..operators.storage import place
 
 
 def read_stream(spark: SparkSession, folder: str, schema: str, name_filter: str | None = None, files_a_batch: int | None = None) -> DataFrame:
@@ -95,7 +94,7 @@ def silences(events: DataFrame, key: str, ts: str, silent_seconds: int, late: st
 
 def settled(stream: DataFrame, name: str) -> DataFrame:
     """Runs an append stream over what is there to the end, into a table in the shared folder, each row once."""
-    at = f"{shared_dir(stream.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    at = place(stream.sparkSession, name)
     q = stream.writeStream.format("parquet").option("path", f"{at}/rows").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{at}/rows")
