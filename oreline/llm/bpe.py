@@ -18,7 +18,7 @@ MIXED = re.compile(r"[^\S ](?:  | *$)|[\x1c-\x1f\x85](?: |$)")
 class ChunkEncoder:
     """ids of a text as little-endian unsigned 32-bit bytes. Memory is bounded: two tables of chunks of about ``most`` bytes take turns."""
 
-    def __init__(self, path: str, most: int = 40 << 20):
+    def __init__(self, path: str, most: int = 140 << 20):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
