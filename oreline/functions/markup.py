@@ -201,3 +201,49 @@ def references_of(xml: str) -> list[dict]:
 @F.pandas_udf(_list(title=_S, doi=_S, year=_I, families=T.ArrayType(_S)))
 def tei_references(xml: pd.Series) -> pd.Series:
     return pd.Series([[] if x is None else references_of(x) for x in xml])
+
+
+def boxes_of(coords: str | None) -> list[tuple[int, list[float]]]:
+    """(page, x0, y0, x1, y1) of "page,x,y,width,height" groups parted by semicolons; a group that isn't five numbers is left out."""
+    out = []
+    for group in (coords or "").split(";"):
+        try:
+            page, x, y, w, h = map(float, group.split(","))
+        except ValueError:
+            continue
+        out.append((int(page), [x, y, x + w, y + h]))
+    return out
+
+
+def mentions_of(xml: str) -> list[dict]:
+    """A row a box of each in-text reference of a TEI body, one without a place if it has none, with the sentence that it stands in."""
+    import xml.etree.ElementTree as ET
+
+    try:
+        root = ET.fromstring(xml)
+    except ET.ParseError:
+        return []
+    local = lambda e: e.tag.rsplit("}", 1)[-1]
+    words = lambda e: " ".join("".join(e.itertext()).split())
+    out = []
+
+    def walk(element: ET.Element, sentence: ET.Element | None) -> None:
+        if local(element) == "s":
+            sentence = element
+        if local(element) == "ref" and element.get("type") == "bibr":
+            said = boxes_of(sentence.get("coords")) if sentence is not None else []
+            for i, (page, box) in enumerate(boxes_of(element.get("coords")) or [(None, None)]):
+                out.append({"target": (element.get("target") or "").lstrip("#"), "marker": words(element), "page": page, "box": box, "box_index": i, "sentence": "" if sentence is None else words(sentence), "sentence_page": said[0][0] if said else None})
+        for child in element:
+            walk(child, sentence)
+
+    for text in (e for e in root.iter() if local(e) == "text"):
+        for body in (e for e in text if local(e) == "body"):
+            walk(body, None)
+            return out
+    return out
+
+
+@F.pandas_udf(_list(target=_S, marker=_S, page=_I, box=T.ArrayType(T.DoubleType()), box_index=_I, sentence=_S, sentence_page=_I))
+def citation_mentions(xml: pd.Series) -> pd.Series:
+    return pd.Series([[] if x is None else mentions_of(x) for x in xml])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import identifiers as I
 from ..functions.names import citation_tokens
-from ..functions.text import norm_title
+from ..functions.text import canonical_newlines, norm_title
 from .storage import drop, written
 
 
@@ -135,3 +135,19 @@ def ancestors(parents: DataFrame) -> DataFrame:
         if n in (0, left):
             return state.select("node", F.when(~F.col("on"), F.col("at")).alias("top"), F.when(~F.col("on"), F.col("depth")).alias("depth"))
         left = n
+
+
+def mention_totals(mentions: DataFrame, keys: list[str]) -> DataFrame:
+    """The numbers that a count of mentions can mean: rows of boxes, elements, elements without a target, and those that can be verified."""
+    first = F.col("box_index") == 0
+    bare = first & (F.coalesce(F.col("target"), F.lit("")) == "")
+    n = lambda c: F.count_if(c)
+    return mentions.groupBy(*keys).agg(F.count(F.lit(1)).alias("box_rows"), n(first).alias("elements"), n(bare).alias("without_target"), (n(first) - n(bare)).alias("verifiable"))
+
+
+def verified_lines(evidence: DataFrame, quote: str, location: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(lines, defects): promotable quotes with their line ends made one; a quote that lacks part of its location is a defect, named by
+    what is missing."""
+    missing = F.array_compact(F.array(*(F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) == "", F.lit(c)) for c in location)))
+    lines = evidence.filter(F.coalesce(F.col("promotable"), F.lit(False))).withColumns({quote: canonical_newlines(quote), "_missing": missing})
+    return lines.filter(F.size("_missing") == 0).drop("_missing"), lines.filter(F.size("_missing") > 0).select(*[c for c in evidence.columns if c != quote], F.array_join("_missing", ",").alias("missing"))

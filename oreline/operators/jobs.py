@@ -21,6 +21,25 @@ def job_states(events: DataFrame, job: str, seq: str, kind: str, ts: str, lease_
     return a.select(job, state.alias("state"), "attempts", F.when(last.isin("claim", "renew"), until).alias("lease_until"))
 
 
+def fenced(events: DataFrame, job: str, seq: str, kind: str, token: str) -> DataFrame:
+    """Events with ``lease``, the number of the claim in force, and ``outcome``: accepted, stale-token (it presents another lease), released
+    (its lease has ended: failed, done or refused before), not-dead (a reopening of a job that isn't), or no-lease.
+
+    Kinds: claim, renew, fail, done, refuse, reopen. A claim starts a lease; a reopening needs none but a job that was refused, or that
+    failed on the lease in force. The lease in force is the number of claims so far, so one ordered pass over a job decides."""
+    w = Window.partitionBy(job).orderBy(seq)
+    numbered = events.withColumn("lease", F.count_if(F.col(kind) == "claim").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ends = F.col(kind).isin("fail", "done", "refuse") & (F.col(token) == F.col("lease"))
+    before = Window.partitionBy(job, "lease").orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.first(F.when(ends, F.col(kind)), ignorenulls=True).over(before)
+    j = numbered.withColumn("_end", first)
+    outcome = (
+        F.when(F.col(kind) == "claim", "accepted").when(F.col(kind) == "reopen", F.when(F.col("_end").isin("fail", "refuse"), "accepted").otherwise("not-dead")).when(F.col("lease") == 0, "no-lease")
+        .when(~F.coalesce(F.col(token) == F.col("lease"), F.lit(False)), "stale-token").when(F.col("_end").isNotNull(), "released").otherwise("accepted")
+    )
+    return j.withColumn("outcome", outcome).drop("_end")
+
+
 def claim(jobs: DataFrame, n: int, most_attempts: int, job: str = "job_id") -> DataFrame:
     """What a claim of ``n`` jobs does, in the queue's order: fewest pages first (unknown last), then enqueued, then first page (null
     first), then id. Books on the way are refused, jobs without an attempt left are dead; neither counts.

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import identifiers as I
+from ..functions import markup as M
 from ..functions import names as N
 from ..functions import text as X
 from ..operators import citations as C
@@ -249,3 +250,26 @@ def part_ancestors(t: Tables) -> DataFrame:
     held, edges = _typed_edges(t)
     first = C.parent_fills(held, edges).filter("outcome = 'filled' AND kind = 'part_of'").select(F.col("work").alias("node"), "parent")
     return C.ancestors(held.select(F.col("work").alias("node"), "parent").unionByName(first))
+
+
+@query("""WITH d AS (SELECT doc_id, doc_id % 4 AS a, doc_id % 3 AS b, n_chars FROM documents) SELECT doc_id % 5 AS paper, sum(a * CASE WHEN b = 0 THEN 1 ELSE b END + 1)::BIGINT AS box_rows, sum(a + 1)::BIGINT AS elements, count(*) AS without_target, sum(a)::BIGINT AS verifiable FROM d GROUP BY 1""")
+def mention_totals(t: Tables) -> DataFrame:
+    """Each document as a TEI body whose sentences cite one work up to three times, in one or two boxes (none counts as one), and once no one."""
+    k = F.col("doc_id")
+    box = F.lit("1,10,20,30,40")
+    coords = F.when(k % 3 == 0, F.lit("broken")).otherwise(F.concat_ws(";", F.array_repeat(box, (k % 3).cast("int"))))
+    ref = F.concat(F.lit('<ref type="bibr" target="#b'), k.cast("string"), F.lit('" coords="'), coords, F.lit('">(A, 2020)</ref> '))
+    head = F.regexp_replace(F.regexp_extract("text", r"^[^\n]*", 0), r"[<>&\x{0}-\x{1F}\x{FFFE}\x{FFFF}]", " ")
+    body = F.concat(F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body><p><s coords="2,0,0,9,9">'), head, F.repeat(ref, (k % 4).cast("int")), F.lit('</s><s><ref type="figure">x</ref><ref type="bibr">[1]</ref></s></p></body><back><ref type="bibr" target="#no"/></back></text></TEI>'))
+    m = t.documents.select((k % 5).alias("paper"), F.explode(M.citation_mentions(body)).alias("m")).select("paper", "m.*")
+    return C.mention_totals(m, ["paper"])
+
+
+@query("""SELECT l_orderkey AS use_id, l_linenumber AS line, 'a' || chr(10) || 'b' || chr(10) || l_partkey AS quote, NULL AS missing FROM lineitem WHERE l_partkey % 3 = 0 AND l_suppkey % 5 > 0 AND l_partkey % 7 > 0
+UNION ALL SELECT l_orderkey, l_linenumber, NULL, CASE WHEN l_suppkey % 5 = 0 AND l_partkey % 7 = 0 THEN 'page,block_id' WHEN l_suppkey % 5 = 0 THEN 'page' ELSE 'block_id' END FROM lineitem WHERE l_partkey % 3 = 0 AND (l_suppkey % 5 = 0 OR l_partkey % 7 = 0)""")
+def verified_lines(t: Tables) -> DataFrame:
+    """Promotable quotes with one kind of line end; those without a page or a block are named."""
+    p = F.col("l_partkey")
+    rows = t.lineitem.select(F.col("l_orderkey").alias("use_id"), F.col("l_linenumber").alias("line"), F.when(p % 4 > 0, p % 3 == 0).otherwise(F.when(p % 3 == 0, True)).alias("promotable"), F.concat(F.lit("a\r\nb\r"), p).alias("quote"), F.lit("w").alias("work_key"), F.when(F.col("l_suppkey") % 5 > 0, F.col("l_suppkey")).alias("page"), F.when(p % 7 > 0, p.cast("string")).otherwise("").alias("block_id"))
+    lines, defects = C.verified_lines(rows, "quote", ["work_key", "page", "block_id"])
+    return lines.select("use_id", "line", "quote", F.lit(None).cast("string").alias("missing")).unionByName(defects.select("use_id", "line", F.lit(None).cast("string").alias("quote"), "missing"))

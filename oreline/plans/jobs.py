@@ -158,3 +158,20 @@ def discrepancy_report(t: Tables) -> DataFrame:
     """Claims that differ from the registry's values, joined to both."""
     j = t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).filter("o_totalprice < c_acctbal * 2")
     return j.select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("claimed"), F.col("c_acctbal").alias("held"))
+
+
+_FENCE = "ev AS (SELECT user_id AS job, event_id AS seq, CASE WHEN event_id % 23 = 0 THEN 'reopen' ELSE CASE event_type WHEN 'view' THEN 'claim' WHEN 'click' THEN 'renew' WHEN 'error' THEN 'fail' WHEN 'purchase' THEN 'done' ELSE 'refuse' END END AS kind, CASE WHEN event_id % 19 > 0 THEN greatest(0, (SELECT count(*) FROM events c WHERE c.user_id = e.user_id AND c.event_id <= e.event_id AND c.event_type = 'view' AND c.event_id % 23 > 0) - (event_id % 3 = 0)::INT) END AS token FROM events e)"
+
+
+@query(f"""WITH {_FENCE}, n AS (SELECT *, count(*) FILTER (kind = 'claim') OVER (PARTITION BY job ORDER BY seq) AS lease FROM ev), x AS (SELECT *, first_value(CASE WHEN kind IN ('fail', 'done', 'refuse') AND token = lease THEN kind END IGNORE NULLS) OVER (PARTITION BY job, lease ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ended FROM n)
+SELECT job, seq, kind, token, lease, CASE WHEN kind = 'claim' THEN 'accepted' WHEN kind = 'reopen' THEN CASE WHEN ended IN ('fail', 'refuse') THEN 'accepted' ELSE 'not-dead' END WHEN lease = 0 THEN 'no-lease' WHEN token IS DISTINCT FROM lease THEN 'stale-token' WHEN ended IS NOT NULL THEN 'released' ELSE 'accepted' END AS outcome FROM x""")
+def fenced_events(t: Tables) -> DataFrame:
+    """Events of queue jobs, a third of which present the lease before; those of another lease, or after its end, count for nothing."""
+    from pyspark.sql import Window
+
+    k = F.col("event_id")
+    kind = F.when(k % 23 == 0, "reopen").when(F.col("event_type") == "view", "claim").when(F.col("event_type") == "click", "renew").when(F.col("event_type") == "error", "fail").when(F.col("event_type") == "purchase", "done").otherwise("refuse")
+    e = t.events.select(F.col("user_id").alias("job"), k.alias("seq"), kind.alias("kind"))
+    so_far = F.count_if(F.col("kind") == "claim").over(Window.partitionBy("job").orderBy("seq"))
+    e = e.withColumn("token", F.when(F.col("seq") % 19 > 0, F.greatest(F.lit(0), so_far - (F.col("seq") % 3 == 0).cast("int"))))
+    return J.fenced(e, "job", "seq", "kind", "token")

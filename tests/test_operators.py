@@ -406,3 +406,11 @@ def test_cosines_of_every_twentieth_vector(spark):
     want = [(q, i) for q in (0, 20, 40, 60) for _, i in sorted((-cos(rows[q][1], rows[i][1]), i) for i in range(61) if i != q)[:3]]
     leg = search.cosine_leg(vectors, 20, 3, "i", "v", queries_at_once=2, chunk=9)
     assert values(search.ranked(leg, "query_id", "vec_id", 3), "query_id", "vec_id") == sorted(want)
+
+
+def test_mentions_of_a_tei_body():
+    xml = """<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body><div><s coords="3,1,2,3,4;4,0,0,1,1">One <ref type="bibr" target="#b1" coords="3,10,20,5,6;bad;4,1,1,2,2"> A  2020 </ref> more.</s>
+    <ref type="bibr">[2]</ref><ref type="figure" target="#f">x</ref></div></body><back><ref type="bibr" target="#b9"/></back></text></TEI>"""
+    got = M.mentions_of(xml)
+    assert [(m["target"], m["marker"], m["page"], m["box"], m["box_index"], m["sentence_page"]) for m in got] == [("b1", "A 2020", 3, [10.0, 20.0, 15.0, 26.0], 0, 3), ("b1", "A 2020", 4, [1.0, 1.0, 3.0, 3.0], 1, 3), ("", "[2]", None, None, 0, None)]
+    assert got[0]["sentence"] == "One A 2020 more." and got[2]["sentence"] == "" and M.mentions_of("<broken") == []
