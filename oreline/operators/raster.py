@@ -94,6 +94,8 @@ def components(px: DataFrame, value: str, least: int = 1, rounds: int = 10_000)
         label = new
         if done:
             break
+    else:
+        raise RuntimeError(f"labels still change after {rounds} rounds")
     label = label.select("grid", "c", "l")
     drop(edges)
     size = label.groupBy("grid", "l").agg(F.count(F.lit(1)).alias("cells")).filter(F.col("cells") >= least)
