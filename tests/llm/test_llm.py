@@ -584,7 +584,7 @@ def test_queries_match_their_sql(spark, sf_dir):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("benchmark", "documents", "embeddings", "conversations"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     for name, sql in queries.ORACLE.items():
         df, other = queries.QUERIES[name](spark, sf_dir), con.sql(sql)
