@@ -40,8 +40,10 @@ _STOPS = ", ".join(f"'{w}'" for w in N.STOP)
 
 @query(f"""WITH {_KEYS}, p AS (SELECT doc_id, yr, array_to_string([upper(x[1:1]) || CASE WHEN length(x) > 1 AND x = upper(x) THEN lower(x[2:]) ELSE x[2:] END FOR x IN regexp_extract_all(strip_accents(author), '[A-Za-z]+')], '') AS s, regexp_extract_all(lower(strip_accents(title)), '[a-z0-9]+') AS w FROM k),
 q AS (SELECT *, CASE WHEN len(list_filter(w, lambda x: x NOT IN ({_STOPS}))) > 0 THEN list_filter(w, lambda x: x NOT IN ({_STOPS})) ELSE w END AS k1 FROM p),
-r AS (SELECT *, CASE WHEN len(k1) >= 2 THEN k1 ELSE list_concat(list_concat(k1, list_filter(w, lambda x: NOT list_contains(k1, x))), ['work', 'record'])[1:2] END AS k2, (CASE WHEN s = '' THEN 'Anon' WHEN length(s) > 49 THEN 'LPVSWGCV' ELSE s END) || '_' || yr || '_' AS h FROM q)
-SELECT doc_id, CASE WHEN yr < 10000 THEN list_filter([h || array_to_string(k2[1:n], '-') FOR n IN [4, 3, 2]], lambda x: length(x) <= 58)[1] END AS key FROM r""")
+r AS (SELECT *, CASE WHEN len(k1) >= 2 THEN k1 ELSE list_concat(list_concat(k1, list_filter(w, lambda x: NOT list_contains(k1, x))), ['work', 'record'])[1:2] END AS k2, (CASE WHEN s = '' THEN 'Anon' WHEN length(s) > 49 THEN 'LPVSWGCV' ELSE s END) || '_' || yr || '_' AS h FROM q),
+x AS (SELECT *, list_filter([h || array_to_string(k2[1:n], '-') FOR n IN [4, 3, 2]], lambda x: length(x) <= 58)[1] AS fit, 57 - length(h) AS room FROM r),
+y AS (SELECT *, least(length(k2[1]), greatest(room - length(k2[2]), room // 2)) AS cut FROM x)
+SELECT doc_id, CASE WHEN yr < 10000 THEN CASE WHEN fit IS NOT NULL THEN fit ELSE h || k2[1][1:cut] || '-' || k2[2][1:(room - cut)] END END AS key FROM y""")
 def citation_keys(t: Tables) -> DataFrame:
     names = ["PAGE", "DelaCruz", "van der Berg", "Müller", "", "Land Product Validation Subgroup (Working Group on Calibration and Validation", "王"]
     year = F.when(F.col("doc_id") % 90 == 0, 12019).otherwise(1900 + F.col("doc_id") % 120)  # no key has five digits
