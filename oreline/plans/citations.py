@@ -250,7 +250,7 @@ t AS (SELECT c.node, c.cur AS top, depth FROM c WHERE NOT EXISTS (SELECT 1 FROM
 def part_ancestors(t: Tables) -> DataFrame:
     """The whole that each work is a part of in the end; none where parts go in a circle."""
     held, edges = _typed_edges(t)
-    first = C.parent_fills(held, edges).filter("outcome = 'filled' AND kind = 'part_of'").select(F.col("work").alias("node"), "parent")
+    first = C.parent_fills(held, edges).filter("outcome = 'filled' AND kind = 'part_of'").groupBy(F.col("work").alias("node")).agg(F.min("parent").alias("parent"))  # an edge may come twice
     return C.ancestors(held.select(F.col("work").alias("node"), "parent").unionByName(first))
 
 
