@@ -19,19 +19,21 @@ def attach_polygon(points: DataFrame, polygons: DataFrame, point_id: str, polygo
     """Each point with the polygons that hold it, collapsed to one row: the least id, their number, and least and greatest value.
 
     An equi-join on grid cells: a polygon is sent to the cells of its bounds, a point has one; the bounds, then the exact test decide.
-    Without ``cell`` it is half the median width of the polygons."""
+    Without ``cell`` it is half the median width of the polygons. Equal outlines are one with the totals of their polygons, and a place
+    is asked once, however many points lie there."""
     ends = lambda axis: (F.array_min(F.transform(ring, lambda p: p[axis])), F.array_max(F.transform(ring, lambda p: p[axis])))
-    bounded = polygons.select(polygon_id, ring, value, *(c.alias(n) for n, c in zip(("_x1", "_x2", "_y1", "_y2"), (*ends("x"), *ends("y")))))
+    alike = polygons.groupBy(ring).agg(F.min(polygon_id).alias(polygon_id), F.count(F.lit(1)).alias("_same"), F.min(value).alias("_least"), F.max(value).alias("_most"))
+    bounded = alike.select("*", *(c.alias(n) for n, c in zip(("_x1", "_x2", "_y1", "_y2"), (*ends("x"), *ends("y")))))
     if cell is None:
         width = bounded.agg(F.percentile_approx(F.greatest(F.col("_x2") - F.col("_x1"), F.col("_y2") - F.col("_y1")), 0.5)).first()[0]
         cell = max((width or 0.0) / 2, 1e-9) or 1.0
     at = lambda c: F.floor(c / cell)
     spread = bounded.withColumn("_cx", F.explode(F.sequence(at(F.col("_x1")), at(F.col("_x2"))))).withColumn("_cy", F.explode(F.sequence(at(F.col("_y1")), at(F.col("_y2")))))
-    placed = points.withColumns({"_cx": at(F.col("x")), "_cy": at(F.col("y"))})
+    placed = points.select("x", "y").distinct().withColumns({"_cx": at(F.col("x")), "_cy": at(F.col("y"))})
     near = F.col("x").between(F.col("_x1"), F.col("_x2")) & F.col("y").between(F.col("_y1"), F.col("_y2"))
     hits = placed.join(spread, ["_cx", "_cy"]).filter(near & inside(F.col("x"), F.col("y"), F.col(ring)))
-    found = hits.groupBy(point_id).agg(F.min(polygon_id).alias(polygon_id), F.count(F.lit(1)).alias("n_matched"), F.min(value).alias(f"{value}_min"), F.max(value).alias(f"{value}_max"))
-    return points.select(point_id).join(found, point_id, "left").withColumn("n_matched", F.coalesce("n_matched", F.lit(0)))
+    found = hits.groupBy("x", "y").agg(F.min(polygon_id).alias(polygon_id), F.sum("_same").alias("n_matched"), F.min("_least").alias(f"{value}_min"), F.max("_most").alias(f"{value}_max"))
+    return points.select(point_id, "x", "y").join(found, ["x", "y"], "left").drop("x", "y").withColumn("n_matched", F.coalesce("n_matched", F.lit(0)))
 
 
 def median_shift(pairs: DataFrame, keys: list[str], least: int) -> DataFrame:
