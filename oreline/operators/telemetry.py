@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .storage import written
+
 
 def merge_recordings(rows: DataFrame, session: str, file: str, ts: str) -> DataFrame:
     """Rows of each session's recording: its longest file passes whole, its own repeats included; other files add only instants that it
@@ -34,27 +36,34 @@ def holding(points: DataFrame, spans: DataFrame, at: str, start: str, end: str)
     return points.join(own.join(before, "_day").select(at, (F.col("_before") + F.col("_own")).alias("n_holding")), at, "left")
 
 
-def attribute_launches(rows: DataFrame, printed: DataFrame, spans: DataFrame, session: str, ts: str, print_: str, bucket_days: int = 100) -> DataFrame:
+def attribute_launches(rows: DataFrame, printed: DataFrame, spans: DataFrame, session: str, ts: str, print_: str, bucket_days: int = 100, rows_a_task: int = 1_000_000, most_broadcast: int = 200_000) -> DataFrame:
     """Each session's launch: of the launches whose span holds its first row, the one whose printed outcomes match most of its rows (ties
     to the later start, then the greater name); none if nothing matches. With the numbers of candidates and of tied ones.
 
     printed: launch, fingerprint; spans: launch, start, end. Launches of one span and the same prints are one, with their number. A
     session's distinct prints meet launches by print and by a bucket of time that the span touches, so only launches that may count
-    and match anything make a row."""
+    and match anything make a row. Sessions are dealt once to tasks of about ``rows_a_task`` rows and stay there: a task's memory
+    doesn't grow with the table."""
     bucket = lambda c: F.floor(F.unix_seconds(c.cast("timestamp")) / (86_400 * bucket_days))
     sets = printed.groupBy("launch").agg(F.array_sort(F.collect_set("fingerprint")).alias("_prints"))
     alike = spans.join(sets, "launch").groupBy("start", "end", "_prints").agg(F.max("launch").alias("launch"), F.count(F.lit(1)).alias("_same"))
     offered = alike.select("start", "end", "launch", "_same", F.explode("_prints").alias("fingerprint")).withColumn("_b", F.explode(F.sequence(bucket(F.col("start")), bucket(F.col("end")))))
-    each = rows.groupBy(session, F.col(print_).alias("fingerprint")).agg(F.min(ts).alias("_first"), F.count(F.lit(1)).alias("_n"))
-    first = each.groupBy(session).agg(F.min("_first").alias("_first"), F.sum("_n").alias("n_rows"))
-    asked = each.drop("_first").join(first.select(session, "_first"), session).withColumn("_b", bucket(F.col("_first")))
-    held = asked.join(offered, ["fingerprint", "_b"]).filter((F.col("_first") >= F.col("start")) & (F.col("_first") <= F.col("end")))
-    scored = held.groupBy(session, "launch", "start", "_same").agg(F.sum("_n").alias("_m"))
-    best = scored.groupBy(session).agg(F.max(F.struct("_m", "start", "launch")).alias("_b"))
-    tied = scored.join(best.select(session, F.col("_b._m").alias("_m")), [session, "_m"]).groupBy(session).agg(F.sum("_same").alias("n_tied"))
-    out = holding(first, spans, "_first", "start", "end").join(best, session, "left").join(tied, session, "left")
+    offered = written(offered.withColumnsRenamed({"fingerprint": "_f", "_b": "_ob"}), "offered-launches")
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // rows_a_task))
+    dealt = lambda d: d.repartition(tasks, session)
+    w = Window.partitionBy(session)
+    each = dealt(rows.select(session, F.col(print_).alias("fingerprint"), ts)).groupBy(session, "fingerprint").agg(F.min(ts).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    each = each.withColumns({"_first": F.min("_first").over(w), "n_rows": F.sum("_n").over(w)}).withColumn("_b", bucket(F.col("_first")))
+    small = offered.count() <= most_broadcast
+    meets = (F.col("fingerprint") == F.col("_f")) & (F.col("_b") == F.col("_ob")) & (F.col("_first") >= F.col("start")) & (F.col("_first") <= F.col("end")) & F.col(session).isNotNull()
+    held = each.join(F.broadcast(offered) if small else offered, meets, "left")
+    held = held if small else dealt(held)
+    of = [session, "_first", "n_rows"]
+    scored = held.groupBy(*of, "launch", "start", "_same").agg(F.sum(F.when(F.col("_same").isNotNull(), F.col("_n"))).alias("_m"))
+    alike = scored.groupBy(*of, "_m").agg(F.sum("_same").alias("_tied"), F.max(F.struct("start", "launch")).alias("_l"))
+    best = alike.groupBy(*of).agg(F.max(F.when(F.col("_m").isNotNull(), F.struct("_m", "_l", "_tied"))).alias("_best"))
     none = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    return out.select(session, "n_rows", F.col("_b.launch").alias("launch"), none(F.col("_b._m")).alias("matches"), none(F.col("n_holding")).alias("n_candidates"), none(F.col("n_tied")).alias("n_tied"))
+    return holding(best, spans, "_first", "start", "end").select(session, "n_rows", F.col("_best._l.launch").alias("launch"), none(F.col("_best._m")).alias("matches"), none(F.col("n_holding")).alias("n_candidates"), none(F.col("_best._tied")).alias("n_tied"))
 
 
 def silences(rows: DataFrame, key: str, ts: str, silent_seconds: int, until: Column) -> DataFrame:
