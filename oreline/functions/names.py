@@ -40,12 +40,15 @@ def fold_tokens(x: Column | str) -> Column:
 def tokens_contain(tokens: Column, family: Column, marker: int = 5) -> Column:
     """The surname's tokens stand side by side in ``tokens``, or join to it; never inside a token. A surname of ``marker`` letters or
     more may have one letter behind it (a footnote mark)."""
-    joined = F.array_join(family, "")
-    run = lambda i, n: F.array_join(F.slice(tokens, i, n), "")
-    fits = lambda s: (s == joined) | ((F.length(joined) >= marker) & (F.length(s) == F.length(joined) + 1) & s.startswith(joined))
-    size = F.size(tokens)
-    found = F.exists(F.sequence(F.lit(1), size), lambda i: F.exists(F.sequence(F.lit(1), F.least(size - i + 1, F.length(joined))), lambda n: fits(run(i, n))))
-    return F.when((joined == "") | (size == 0), F.lit(False)).otherwise(found)
+    def of(tokens: Column, joined: Column) -> Column:
+        run = lambda i, n: F.array_join(F.slice(tokens, i, n), "")
+        fits = lambda s: (s == joined) | ((F.length(joined) >= marker) & (F.length(s) == F.length(joined) + 1) & s.startswith(joined))
+        size = F.size(tokens)
+        found = F.exists(F.sequence(F.lit(1), size), lambda i: F.exists(F.sequence(F.lit(1), F.least(size - i + 1, F.length(joined))), lambda n: let(run(i, n), fits)))
+        return F.when((joined == "") | (size == 0), F.lit(False)).otherwise(found)
+
+    # folded once a row, not once a run
+    return let(F.struct(tokens.alias("t"), F.array_join(family, "").alias("j")), lambda s: of(s["t"], s["j"]))
 
 
 def citation_key(author: Column | str, year: Column, title: Column | str, most: int = 58) -> Column:
@@ -77,10 +80,13 @@ def citation_key(author: Column | str, year: Column, title: Column | str, most:
 
 def title_containment(a: Column | str, b: Column | str, least_words: int = 5, least_share: float = 0.6) -> Column:
     """struct(words, share) where one normalised title contains the other, which has words and length enough; else null."""
-    x, y = norm_title(a), norm_title(b)
-    short, long = F.when(F.length(x) <= F.length(y), x).otherwise(y), F.when(F.length(x) <= F.length(y), y).otherwise(x)
-    words, share = F.size(F.split(short, " ")), F.try_divide(F.length(short).cast("double"), F.length(long).cast("double"))
-    return F.when((short != "") & long.contains(short) & (words >= least_words) & (share >= least_share), F.struct(words.alias("words"), share.alias("share")))
+    def of(x: Column, y: Column) -> Column:
+        short, long = F.when(F.length(x) <= F.length(y), x).otherwise(y), F.when(F.length(x) <= F.length(y), y).otherwise(x)
+        words, share = F.size(F.split(short, " ")), F.try_divide(F.length(short).cast("double"), F.length(long).cast("double"))
+        return F.when((short != "") & long.contains(short) & (words >= least_words) & (share >= least_share), F.struct(words.alias("words"), share.alias("share")))
+
+    # both are normalised once a row
+    return let(F.struct(norm_title(a).alias("x"), norm_title(b).alias("y")), lambda s: of(s["x"], s["y"]))
 
 
 def window_refusal(lines: Column, start: Column, n: Column, region: int = 45, around: int = 2, carry: int = 3) -> Column:
