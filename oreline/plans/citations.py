@@ -65,11 +65,12 @@ _TN = "trim(regexp_replace(lower(regexp_replace({0}, '<[^>]*>', ' ', 'g')), '[^\
 q AS (SELECT doc_id, CASE WHEN length(x) <= length(y) THEN x ELSE y END AS a, CASE WHEN length(x) <= length(y) THEN y ELSE x END AS b FROM p)
 SELECT doc_id, len(string_split(a, ' '))::INT AS words, round(length(a) / length(b), 6) AS share FROM q WHERE a <> '' AND contains(b, a) AND len(string_split(a, ' ')) >= 5 AND length(a) / length(b) >= 0.6""")
 def title_containments(t: Tables) -> DataFrame:
-    s = t.documents.select("doc_id", F.split(F.regexp_replace("text", r"\s+", " "), " ").alias("w"))
-    part = lambda a, b: F.array_join(F.slice("w", a, F.greatest(b - a + 1, F.lit(0))), " ")
+    words = F.split(F.regexp_replace("text", r"\s+", " "), " ")
+    part = lambda w, a, b: F.array_join(F.slice(w, a, F.greatest(b - a + 1, F.lit(0))), " ")
     k = F.col("doc_id")
-    c = s.select("doc_id", N.title_containment(part(F.lit(1), F.lit(12)), part((k % 3 + 1).cast("int"), (k % 9 + 4).cast("int"))).alias("c"))
-    return c.filter("c IS NOT NULL").select("doc_id", "c.words", F.round("c.share", 6).alias("share"))
+    c = I.let(words, lambda w: N.title_containment(part(w, F.lit(1), F.lit(12)), part(w, (k % 3 + 1).cast("int"), (k % 9 + 4).cast("int"))))
+    found = t.documents.select("doc_id", F.explode(F.array_compact(F.array(c))).alias("c"))  # a filter on c would work it out again
+    return found.select("doc_id", "c.words", F.round("c.share", 6).alias("share"))
 
 
 _WORKS = "w AS (SELECT p_partkey AS work, ' DOI:10.' || (1000 + p_partkey % 90) || '/X' || (p_partkey % 60) || '.' AS value, p_name AS title FROM part), ix AS (SELECT regexp_replace(regexp_extract(lower(regexp_replace(value, '\\s', '', 'g')), '10\\..*$'), '[/.,;:]+$', '') AS doi, min(work) AS work FROM w GROUP BY 1)"
