@@ -70,7 +70,10 @@ def norm_identifier(t: Tables) -> DataFrame:
 
 @query(f"WITH {_RAW}, {_CANON} SELECT scheme, canon, count(DISTINCT k) AS works, min(k) AS first_k FROM canon GROUP BY scheme, canon HAVING count(DISTINCT k) > 1")
 def identifier_collisions(t: Tables) -> DataFrame:
-    return norm_identifier(t).groupBy("scheme", "canon").agg(F.countDistinct("k").alias("works"), F.min("k").alias("first_k")).filter("works > 1")
+    named = norm_identifier(t)
+    tasks = max(int(t.part.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-7 * t.part.count() // 1_000_000))  # a million rows a task, however large the table
+    once = named.repartition(tasks, "scheme", "canon", "k").distinct()
+    return once.repartition(tasks, "scheme", "canon").groupBy("scheme", "canon").agg(F.count("k").alias("works"), F.min("k").alias("first_k")).filter("works > 1")
 
 
 @query(f"""WITH {_RAW}, {_CANON}, x AS (SELECT k, canon AS c FROM canon WHERE scheme = 'isbn')
