@@ -20,37 +20,60 @@ def edges(rings: Rings) -> np.ndarray:
     return np.where((e[:, 0] > e[:, 2])[:, None], e[:, [2, 3, 0, 1]], e)
 
 
-def _heights(e: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Where the sides cross each upright line at ``x`` (a row a line), infinity where they don't."""
-    y = e[:, 1] + (x[:, None] - e[:, 0]) * (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
-    return np.where((e[:, 0] < x[:, None]) & (x[:, None] < e[:, 2]), y, np.inf)
+def _stacked(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sides of many polygons, one behind the other, as (polygon, side, 4); where a polygon has fewer than most NaN stands."""
+    out = np.full((len(sizes), max(1, int(sizes.max(initial=0))), 4), np.nan)
+    out[np.arange(out.shape[1]) < sizes[:, None]] = flat
+    return out
+
+
+def _spans(e: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """(polygon, line, span, 2): where upright lines at ``x`` are inside, by parity; spans that aren't there are infinite."""
+    x1, y1, x2, y2 = (e[:, None, :, i] for i in range(4))
+    at = x[:, :, None]
+    y = np.sort(np.where((x1 < at) & (at < x2), y1 + (at - x1) * ((y2 - y1) / (x2 - x1)), np.inf), axis=2)
+    most = int(np.isfinite(y).sum(axis=2).max(initial=0))
+    return y[:, :, : most - most % 2].reshape(*x.shape, -1, 2)
+
+
+def overlap_areas(ea: np.ndarray, eb: np.ndarray) -> np.ndarray:
+    """Area that lies in both polygons of each pair, holes left out; sides as ``_stacked`` gives them.
+
+    Between two neighbouring corners or crossings the shared length of an upright line is linear, so its middle value times the width is
+    exact."""
+    out = np.zeros(len(ea))
+    with np.errstate(all="ignore"):
+        ends = [np.fmin.reduce(e[:, :, 0], axis=1, initial=np.inf) for e in (ea, eb)], [np.fmax.reduce(e[:, :, 2], axis=1, initial=-np.inf) for e in (ea, eb)]
+        low, high = np.maximum(*ends[0]), np.minimum(*ends[1])
+        meet = np.flatnonzero(low < high)
+        if not len(meet):
+            return out
+        ea, eb, low, high = ea[meet], eb[meet], low[meet, None], high[meet, None]
+        both = np.concatenate([ea, eb], axis=1)
+        slope = (both[:, :, 3] - both[:, :, 1]) / (both[:, :, 2] - both[:, :, 0])
+        shift = both[:, :, 1] - slope * both[:, :, 0]
+        i, j = np.triu_indices(both.shape[1], 1)
+        cross = (shift[:, j] - shift[:, i]) / (slope[:, i] - slope[:, j])
+        on = (cross > np.maximum(both[:, i, 0], both[:, j, 0])) & (cross < np.minimum(both[:, i, 2], both[:, j, 2]))
+        x = np.concatenate([both[:, :, 0], both[:, :, 2], np.where(on, cross, np.nan)], axis=1)
+        x = np.sort(np.where((x >= low) & (x <= high), x, np.inf), axis=1)
+        x = x[:, : int(np.isfinite(x).sum(axis=1).max())]
+        width = np.diff(x, axis=1)
+        width[~np.isfinite(width)] = 0.0
+        middle = np.where(width > 0, (x[:, 1:] + x[:, :-1]) / 2, np.nan)
+        a, b = _spans(ea, middle), _spans(eb, middle)
+        length = np.zeros(middle.shape)
+        for k in range(a.shape[2]):
+            for m in range(b.shape[2]):
+                shared = np.minimum(a[:, :, k, 1], b[:, :, m, 1]) - np.maximum(a[:, :, k, 0], b[:, :, m, 0])
+                length += np.where(shared > 0, shared, 0.0)
+        out[meet] = (length * width).sum(axis=1)
+    return out
 
 
 def overlap_area(a: Rings, b: Rings) -> float:
-    """Area that lies in both, holes left out: between two neighbouring corners or crossings the shared length of an upright line is
-    linear, so its middle value times the width is exact."""
-    ea, eb = edges(a), edges(b)
-    if not len(ea) or not len(eb):
-        return 0.0
-    both = np.concatenate([ea, eb])
-    low, high = max(ea[:, 0].min(), eb[:, 0].min()), min(ea[:, 2].max(), eb[:, 2].max())
-    slope = (both[:, 3] - both[:, 1]) / (both[:, 2] - both[:, 0])
-    shift = both[:, 1] - slope * both[:, 0]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        cross = (shift[None, :] - shift[:, None]) / (slope[:, None] - slope[None, :])
-    at = (cross > np.maximum(both[:, None, 0], both[None, :, 0])) & (cross < np.minimum(both[:, None, 2], both[None, :, 2]))
-    x = np.unique(np.concatenate([both[:, 0], both[:, 2], cross[at]]))
-    x = x[(x >= low) & (x <= high)]
-    if len(x) < 2:
-        return 0.0
-    middle, width = (x[1:] + x[:-1]) / 2, np.diff(x)
-    y = np.hstack([_heights(ea, middle), _heights(eb, middle)])
-    order = np.argsort(y, axis=1, kind="stable")
-    y, of_a = np.take_along_axis(y, order, axis=1), order < len(ea)
-    inside = (np.cumsum(of_a, axis=1) % 2 == 1) & (np.cumsum(~of_a, axis=1) % 2 == 1)
-    with np.errstate(invalid="ignore"):
-        length = np.diff(y, axis=1)
-    return float((np.where(inside[:, :-1] & np.isfinite(y[:, 1:]), length, 0.0).sum(axis=1) * width).sum())
+    """Area that lies in both polygons, holes left out."""
+    return float(overlap_areas(edges(a)[None], edges(b)[None])[0])
 
 
 def bounds(rings: Column) -> Column:
@@ -59,31 +82,64 @@ def bounds(rings: Column) -> Column:
     return F.struct(of(F.array_min, 0).alias("x1"), of(F.array_min, 1).alias("y1"), of(F.array_max, 0).alias("x2"), of(F.array_max, 1).alias("y2"))
 
 
-def overlaps(a: DataFrame, b: DataFrame, group: str, a_id: str, b_id: str, rings: str, cell: float) -> DataFrame:
-    """(group, a_id, b_id, shared, iou) of the polygons of a and b of one group that share some area.
+def _sides(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Sides of all polygons of a column of flat lists, and how many each has."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, 4), np.diff(column.offsets.to_numpy()) // 4
+
+
+def _flat(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The sides of a column of rings as flat lists, and the areas."""
+    sides = [edges(r) for r in column.to_pylist()]
+    sizes = np.array([len(e) for e in sides], np.int64)
+    flat = np.concatenate([*sides, np.zeros((0, 4))])
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes * 4)]).astype(np.int32))
+    stacked = _stacked(flat, sizes)
+    return pa.ListArray.from_arrays(offsets, pa.array(flat.ravel())), overlap_areas(stacked, stacked)
+
+
+def overlaps(a: DataFrame, b: DataFrame, group: str, a_id: str, b_id: str, rings: str, cell: float, floor: float = 0.0, at_once: int = 2000) -> DataFrame:
+    """(group, a_id, b_id, shared, iou) of the polygons of a and b of one group that share some area, and ``floor`` of their union.
 
     Candidates share a cell of their bounds; of the cells that a pair shares only the lowest left one counts, so none comes twice.
-    Rows with a null group, id or outline match nothing."""
+    Sides and areas are worked out once a polygon; the shared area is at most that of the bounds and of the smaller polygon, so pairs
+    that can't reach ``floor`` aren't measured, and those that are go ``at_once`` through whole arrays. Rows with a null group, id or
+    outline match nothing."""
+
+    def flattened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, at_once):
+                part = batch.slice(i, at_once)
+                sides, area = _flat(part["_rings"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], sides, pa.array(area)], [*part.schema.names[:-1], "s", "area"])
 
     def celled(d: DataFrame, key: str, x: str) -> DataFrame:
-        at = lambda c: F.floor(F.col(f"{x}_box.{c}") / cell)
-        d = d.filter(F.col(rings).isNotNull() & F.col(key).isNotNull()).select(group, key, F.col(rings).alias(x)).withColumn(f"{x}_box", bounds(F.col(x)))
+        at = lambda c: F.floor(F.col(f"{x}_{c}") / cell)
+        d = d.filter(F.col(rings).isNotNull() & F.col(key).isNotNull()).withColumn("_box", bounds(F.col(rings)))
+        d = d.select(group, key, *(F.col(f"_box.{c}").alias(c) for c in ("x1", "y1", "x2", "y2")), F.col(rings).alias("_rings"))
+        kinds = dict(d.dtypes)
+        d = d.mapInArrow(flattened, f"`{group}` {kinds[group]}, `{key}` {kinds[key]}, x1 double, y1 double, x2 double, y2 double, s array<double>, area double")
+        d = d.withColumnsRenamed({c: f"{x}_{c}" for c in ("x1", "y1", "x2", "y2", "s", "area")})
         return d.withColumn("_i", F.explode(F.sequence(at("x1"), at("x2")))).withColumn("_j", F.explode(F.sequence(at("y1"), at("y2"))))
 
-    box = lambda x, c: F.col(f"{x}_box.{c}")
-    low = lambda c: F.greatest(box("a", c), box("b", c))
-    meets = (low("x1") < F.least(box("a", "x2"), box("b", "x2"))) & (low("y1") < F.least(box("a", "y2"), box("b", "y2")))
+    low, high = (lambda c: F.greatest(f"a_{c}", f"b_{c}")), (lambda c: F.least(f"a_{c}", f"b_{c}"))
+    wide, tall = high("x2") - low("x1"), high("y2") - low("y1")
     first = (F.col("_i") == F.floor(low("x1") / cell)) & (F.col("_j") == F.floor(low("y1") / cell))
-    pairs = celled(a, a_id, "a").join(celled(b, b_id, "b"), [group, "_i", "_j"]).filter(meets & first).select(group, a_id, b_id, "a", "b")
+    most = F.least(wide * tall, F.col("a_area"), F.col("b_area")) * (1 + 1e-9)
+    reaches = most * (1 + floor) >= floor * (F.col("a_area") + F.col("b_area"))
+    tasks = max(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), a.sparkSession.sparkContext.defaultParallelism)  # small rows, long work: none are joined up
+    dealt = lambda d: d.repartition(tasks, group, "_i", "_j")
+    pairs = dealt(celled(a, a_id, "a")).join(dealt(celled(b, b_id, "b")), [group, "_i", "_j"]).filter((wide > 0) & (tall > 0) & first & reaches)
+    pairs = pairs.select(group, a_id, b_id, "a_s", "a_area", "b_s", "b_area")
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch["a"].to_pylist(), batch["b"].to_pylist()
-            shared = np.array([overlap_area(x, y) for x, y in zip(left, right)])
-            whole = np.array([overlap_area(x, x) + overlap_area(y, y) for x, y in zip(left, right)]) - shared
-            iou = np.divide(shared, whole, out=np.zeros(len(shared)), where=whole > 0)
-            out = pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(shared), pa.array(iou)], [group, a_id, b_id, "shared", "iou"])
-            yield out.filter(pa.array(shared > 0))
+            for i in range(0, batch.num_rows, at_once):
+                part = batch.slice(i, at_once)
+                shared = overlap_areas(_stacked(*_sides(part["a_s"])), _stacked(*_sides(part["b_s"])))
+                whole = part["a_area"].to_numpy() + part["b_area"].to_numpy() - shared
+                iou = np.divide(shared, whole, out=np.zeros(len(shared)), where=whole > 0)
+                out = pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(shared), pa.array(iou)], [group, a_id, b_id, "shared", "iou"])
+                yield out.filter(pa.array((shared > 0) & (iou >= floor * (1 - 1e-9))))
 
     kinds = dict(pairs.dtypes)
     return pairs.mapInArrow(measured, ", ".join(f"`{c}` {kinds[c]}" for c in (group, a_id, b_id)) + ", shared double, iou double")

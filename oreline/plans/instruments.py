@@ -152,7 +152,7 @@ def crown_matches(t: Tables) -> DataFrame:
     """Odd crowns matched in order to even ones of their sheet."""
     c = crowns(t)
     side = lambda odd, name: c.filter(F.col("crown") % 2 == odd).withColumnRenamed("crown", name)
-    found = O.overlaps(side(1, "found"), side(0, "truth"), "sheet", "found", "truth", "rings", 4.0).withColumn("iou", F.round("iou", 9))  # equal shapes tie
+    found = O.overlaps(side(1, "found"), side(0, "truth"), "sheet", "found", "truth", "rings", 4.0, 0.3 - 1e-6).withColumn("iou", F.round("iou", 9))  # equal shapes tie
     return K.ordered_match(found, "sheet", "found", "truth", "iou", 0.3).withColumn("iou", F.round("iou", 6))
 
 
