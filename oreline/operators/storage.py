@@ -57,6 +57,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def dealt(rows: DataFrame, key: str, rows_a_task: int) -> DataFrame:
+    """``rows`` dealt by ``key`` to tasks of about ``rows_a_task``, and to all cores: for long work on short rows, which come in few files."""
+    spark = rows.sparkSession
+    return rows.repartition(max(spark.sparkContext.defaultParallelism, -(-rows.count() // rows_a_task)), key)
+
+
 def drop(*tables: DataFrame) -> None:
     """Deletes tables that ``written`` wrote and that no later plan reads."""
     for df in tables:

@@ -13,7 +13,7 @@ from ..operators import logs as Q
 from ..operators import polygons as O
 from ..operators import sampling as P
 from ..operators import stats as T
-from ..operators.storage import written
+from ..operators.storage import dealt, written
 from ..streaming import streams as S
 from .base import Tables, query
 
@@ -159,6 +159,11 @@ def crown_matches(t: Tables) -> DataFrame:
 _TILE = 48
 
 
+def _suppliers(t: Tables) -> DataFrame:
+    """The keys, dealt out before tiles are drawn: the file of keys is one task, its tiles are work for many."""
+    return dealt(t.supplier.select("s_suppkey"), "s_suppkey", 500)
+
+
 def _tile(t: Tables, value) -> DataFrame:
     """A tile a supplier: ``value(x, y)`` of each pixel, row by row."""
     at = F.sequence(F.lit(0), F.lit(_TILE * _TILE - 1))
@@ -170,7 +175,7 @@ def planted_shifts(t: Tables) -> DataFrame:
     """A tile of hashed values against itself moved around: the move is found again."""
     k = F.col("s_suppkey")
     noise = lambda x, y: F.pmod(F.xxhash64(k, F.pmod(x, F.lit(_TILE)).cast("int"), F.pmod(y, F.lit(_TILE)).cast("int")), F.lit(256))
-    tiles = t.supplier.select("s_suppkey", _tile(t, lambda x, y: noise(x - (k % 5 - 2), y - (k % 7 - 3))).alias("a"), _tile(t, noise).alias("b"))
+    tiles = _suppliers(t).select("s_suppkey", _tile(t, lambda x, y: noise(x - (k % 5 - 2), y - (k % 7 - 3))).alias("a"), _tile(t, noise).alias("b"))
     return I.shifts(tiles, "s_suppkey", "a", "b").select("s_suppkey", F.round("dx").cast("int").alias("dx"), F.round("dy").cast("int").alias("dy"))
 
 
