@@ -186,6 +186,6 @@ def planted_edges(t: Tables) -> DataFrame:
     scale = (5 + k % 4 * 3) / 10.0
     angle = k % 8 * 0.2
     away = lambda x, y: (x - _TILE / 2) * F.cos(angle) + (y - _TILE / 2) * F.sin(angle)
-    tiles = t.supplier.select("s_suppkey", _tile(t, lambda x, y: 50 + 100 / (1 + F.exp(-away(x, y) / scale))).alias("a"))
+    tiles = _suppliers(t).select("s_suppkey", _tile(t, lambda x, y: 50 + 100 / (1 + F.exp(-away(x, y) / scale))).alias("a"))
     found = I.edge_spreads(tiles, "s_suppkey", "a").join(t.supplier.select("s_suppkey", (5 + k % 4 * 3).alias("tenths")), "s_suppkey")
     return found.select("s_suppkey", "tenths", (F.abs(F.col("rise") - 4.394449 * F.col("tenths") / 10) < 1.0).alias("recovered"))
