@@ -48,21 +48,38 @@ def buffered_folds(rows: DataFrame, site: str, key: str, x: str, y: str, n_folds
     """(fold, key, part): each site's rows dealt to ``n_folds`` folds by hash; of each fold its own rows are ``val``, and of the site's
     others those at least ``buffer`` away from all of them, in the larger of both coordinates' distances, are ``train``.
 
-    Cells are as wide as the buffer: of a neighbouring cell only the least and greatest y of each x and fold can matter, so a crowded
-    cell costs its width and not its pairs."""
+    Cells are as wide as the buffer. Of a row of cells only the least and greatest y that a fold holds in the columns nearer than the
+    buffer can matter. Those columns are the own cell, the right one's up to some x and the left one's from some x, so running extremes
+    over columns in order give them: a place costs its columns and not its pairs, however crowded."""
     at = lambda c: F.floor(F.col(c) / buffer)
     ranked = global_rank(rows.select(site, key, x, y, hashed(salt, key).alias("_h")), [F.col(site), F.col("_h"), F.col(key)])
     first = ranked.groupBy(site).agg(F.min("rank").alias("_first"), F.count(F.lit(1)).alias("_n"))
     placed = ranked.join(first, site).withColumn("_own", ((F.col("rank") - F.col("_first")) % n_folds).cast("int")).withColumns({"_i": at(x), "_j": at(y)})
-    placed = written(placed.select(site, key, x, y, "_own", "_i", "_j", "_n"), "folds")
-    edge = placed.groupBy(site, F.col("_own").alias("fold"), F.col("_i").alias("_vi"), F.col("_j").alias("_vj"), F.col(x).alias("_x")).agg(F.min(y).alias("_low"), F.max(y).alias("_high"))
-    around = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)))
-    near = edge.withColumn("_o", F.explode(around)).withColumns({"_i": F.col("_vi") - F.col("_o.i"), "_j": F.col("_vj") - F.col("_o.j")})
-    side = F.col("_o.j")  # where the held rows' cell lies
-    close = F.when(side == 0, True).when(side == 1, F.col("_low") - F.col(y) < buffer).otherwise(F.col(y) - F.col("_high") < buffer)
-    hit = placed.join(near, [site, "_i", "_j"]).filter((F.col("fold") != F.col("_own")) & (F.abs(F.col(x) - F.col("_x")) < buffer) & close).select(key, "fold").distinct()
-    folds = placed.select(key, "_own", F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1))).alias("fold"))
-    return folds.join(hit, [key, "fold"], "left_anti").select("fold", key, F.when(F.col("fold") == F.col("_own"), "val").otherwise("train").alias("part"))
+    placed = written(placed.select(site, key, F.col(x).alias("_x"), F.col(y).alias("_y"), "_own", "_i", "_j"), "folds")
+    held = placed.filter("_i IS NOT NULL AND _j IS NOT NULL").groupBy(site, F.col("_own").alias("fold"), "_i", "_j", "_x").agg(F.min("_y").alias("_low"), F.max("_y").alias("_high"))
+    moved = lambda cells, by, side: held.select(site, "fold", (F.col("_i") + cells).alias("_i"), "_j", (F.col("_x") + by).alias("_at"), F.lit(side).alias("_side"), F.lit(None).cast(kind).alias("_x"), "_low", "_high")
+    kind = dict(placed.dtypes)["_x"]
+    own = held.groupBy(site, "fold", "_i", "_j").agg(F.min("_low").alias("_low"), F.max("_high").alias("_high")).select(site, "fold", "_i", "_j", ((F.col("_i") - 1) * buffer).cast(kind).alias("_at"), F.lit(1).alias("_side"), F.lit(None).cast(kind).alias("_x"), "_low", "_high")
+    places = placed.filter("_i IS NOT NULL AND _j IS NOT NULL").select(site, "_i", "_j", "_x").distinct()
+    beside = F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))
+    folds = F.explode(F.sequence(F.lit(0), F.lit(n_folds - 1)))
+    asked = places.select(site, "_i", "_x", "_j", beside.alias("_d")).select(site, "_i", "_x", (F.col("_j") + F.col("_d")).alias("_j")).distinct()
+    asked = asked.select(site, folds.alias("fold"), "_i", "_j", F.col("_x").alias("_at"), F.lit(0).alias("_side"), "_x", F.lit(None).cast(dict(placed.dtypes)["_y"]).alias("_low"), F.lit(None).cast(dict(placed.dtypes)["_y"]).alias("_high"))
+    merged = moved(-1, -buffer, 1).unionByName(moved(1, buffer, -1)).unionByName(own).unionByName(asked)
+    cells = [site, "fold", "_i", "_j"]
+    up = Window.partitionBy(*cells).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(*cells).orderBy(F.desc("_at"), F.desc("_side")).rowsBetween(Window.unboundedPreceding, 0)
+    of = lambda side, c: F.when(F.col("_side") == side, F.col(c))
+    reach = merged.withColumns({"_l1": F.min(of(1, "_low")).over(up), "_h1": F.max(of(1, "_high")).over(up)}).withColumns({"_l2": F.min(of(-1, "_low")).over(down), "_h2": F.max(of(-1, "_high")).over(down)})
+    reach = reach.filter("_side = 0").select(site, "fold", "_x", "_j", F.least("_l1", "_l2").alias("_low"), F.greatest("_h1", "_h2").alias("_high")).filter("_low IS NOT NULL")
+    seen = reach.withColumn("_d", beside).withColumn("_j", F.col("_j") - F.col("_d"))
+    limits = seen.groupBy(site, "_x", "_j", "fold").agg(F.max(F.col("_d") == 0).alias("_in"), F.min(F.when(F.col("_d") == 1, F.col("_low"))).alias("_above"), F.max(F.when(F.col("_d") == -1, F.col("_high"))).alias("_below"))
+    limits = limits.groupBy(site, "_x", "_j").agg(F.collect_list(F.struct("fold", "_in", "_above", "_below")).alias("_limits"))
+    near = lambda r: r["_in"] | F.coalesce(r["_above"] - F.col("_y") < buffer, F.lit(False)) | F.coalesce(F.col("_y") - r["_below"] < buffer, F.lit(False))
+    hit = F.coalesce(F.transform(F.filter("_limits", near), lambda r: r["fold"]), F.array().cast("array<int>"))
+    out = placed.join(limits, [site, "_x", "_j"], "left").select(key, "_own", hit.alias("_hit")).select(key, "_own", "_hit", folds.alias("fold"))
+    out = out.filter((F.col("fold") == F.col("_own")) | ~F.array_contains("_hit", F.col("fold")))
+    return out.select("fold", key, F.when(F.col("fold") == F.col("_own"), "val").otherwise("train").alias("part"))
 
 
 def stability_sample(rows: DataFrame, key: str, salt: str, share: float) -> DataFrame:
