@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import canonical_newlines, norm_title, tokens, trigrams
-from .storage import written
+from .storage import dealt, written
 
 
 #: What kinds of blocks a search looks into unless asked otherwise, and all there are.
@@ -50,12 +50,13 @@ def query_terms(queries: DataFrame, query_id: str, text: str, stemmed: bool = Fa
     return queries.select(query_id, F.explode(F.array_distinct(words)).alias("token"))
 
 
-def token_index(docs: DataFrame, doc_id: str, text: str, terms: DataFrame | None = None, stemmed: bool = False, most_broadcast: int = 200_000) -> DataFrame:
+def token_index(docs: DataFrame, doc_id: str, text: str, terms: DataFrame | None = None, stemmed: bool = False, most_broadcast: int = 200_000, rows_a_task: int = 1000) -> DataFrame:
     """(token, doc_id, tf): the postings of every document; with ``terms`` only those of its tokens.
 
-    Up to ``most_broadcast`` distinct terms are broadcast, so other tokens never leave the scan; more are joined."""
+    Documents are dealt to tasks of about ``rows_a_task``, as they may come in few files. Up to ``most_broadcast`` distinct terms are
+    broadcast, so other tokens never leave those tasks; more are joined."""
     words = F.transform(tokens(text), stem) if stemmed else tokens(text)
-    each = docs.select(doc_id, F.explode(words).alias("token"))
+    each = dealt(docs.select(doc_id, text), doc_id, rows_a_task).select(doc_id, F.explode(words).alias("token"))
     if terms is not None:
         wanted = terms.select("token").distinct()
         small = wanted.limit(most_broadcast + 1).count() <= most_broadcast
@@ -133,18 +134,19 @@ def _close_passages(asked: list[tuple], floor: float, at_once: int = 1 << 20):
     return run
 
 
-def passage_leg(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, text: str, floor: float = 0.3, least: int = 200, pairs_at_once: int = 200_000) -> DataFrame:
+def passage_leg(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, text: str, floor: float = 0.3, least: int = 200, pairs_at_once: int = 200_000, rows_a_task: int = 1000) -> DataFrame:
     """(query, doc, score): documents with a passage whose trigram set is similar to the query's by ``floor`` or more; the best counts.
 
     Documents are cut to passages of the query's length, ``least`` characters doubled as often as need be, that overlap by half
     and cover the document; only the lengths that queries have are cut. Queries are asked in blocks of about ``pairs_at_once`` pairs of
     query and trigram: a block's trigrams go to the tasks, which compare passages as they read them, so only passages that are close
-    enough leave the scan."""
+    enough leave them. Documents are dealt to tasks of about ``rows_a_task``, as they may come in few files."""
     n = F.length(text)
     size = (F.lit(least) * F.pow(F.lit(2), F.ceil(F.log2(F.greatest(n, F.lit(least)) / F.lit(least))))).cast("int")
     left = written(queries.select(query_id, size.alias("_size"), trigrams(text).alias("g")).filter(F.size("g") > 0).withColumn("_query", F.monotonically_increasing_id()), "passage-queries")
     blocks = -(-(left.agg(F.sum(F.size("g"))).first()[0] or 0) // pairs_at_once)
     kinds = dict(docs.dtypes)
+    docs = dealt(docs.select(doc_id, text), doc_id, rows_a_task)
     out = None
     for b in range(blocks):
         asked = [(r["_query"], r["_size"], r["g"]) for r in left.filter(F.pmod(F.xxhash64("_query"), F.lit(blocks)) == b).collect()]
