@@ -2,8 +2,8 @@
 
 Each node first meets a few of its buckets' nodes; these links are joined to components. A few more rounds take a random pivot of
 each bucket that still holds several components; a bucket whose members are of one component is done and drops out for good.
-What is left in the end, pairs of one bucket in different components, is compared in full: groups of copies cost a few rows a
-node, and no link between different components is passed over.
+What is left in the end, pairs of one bucket in different components, is compared in full, each pair in the first of its common
+buckets: groups of copies cost a few rows a node, and no link between different components is passed over.
 """
 
 from __future__ import annotations
@@ -18,6 +18,21 @@ from .graph import connected_components
 
 Pairs = Callable[[DataFrame], DataFrame]
 Compared = Callable[[str, str], Column]
+HELD = 64  # keys that a row of an open bucket knows of its node
+
+
+def bucket_pairs(rows: DataFrame, info: DataFrame, close: Compared, name: str) -> tuple[DataFrame, DataFrame]:
+    """(written table to discard, pairs (x, y) of different components that share a bucket and are close).
+
+    A row carries those of its node's ``HELD`` least keys that come before its own, and two rows that have one of them in common met
+    there. So a pair is given once, unless its first common key isn't among the least of both: such a pair can come several times.
+    """
+    held = rows.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("key")), 1, HELD).alias("held"))
+    left = rows.select("node", "key", "component").join(info, "node").join(held, "node")
+    left = materialize(left.withColumn("earlier", F.filter("held", lambda k: k < F.col("key"))).drop("held"), f"{name}-left")
+    mates = (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component"))
+    cross = left.alias("a").join(left.alias("b"), mates & close("a", "b") & ~F.arrays_overlap("a.earlier", "b.earlier"))
+    return left, cross.select(F.col("a.node").alias("x"), F.col("b.node").alias("y"))
 
 
 def bucket_components(members: DataFrame, stars: DataFrame, info: DataFrame, close: Compared, differ: Compared, confirmed: Pairs, rounds: int, name: str, pairs_a_row: int = 0) -> DataFrame:
@@ -42,6 +57,17 @@ def bucket_components(members: DataFrame, stars: DataFrame, info: DataFrame, clo
     links = written[0]
     component = connected_components(links)
 
+    # Where a node's likeliest link left it apart from others that it met, all of these are looked at.
+    of = lambda x: component.select(F.col("node").alias(x), F.col("component").alias(f"{x}_component"))
+    apart = first.join(of("x"), "x", "left").join(of("y"), "y", "left").filter(F.coalesce("x_component", "x") != F.coalesce("y_component", "y"))
+    apart = materialize(apart.select("x", "y"), f"{name}-apart")
+    written.append(apart)
+    if apart.limit(1).count():
+        written.append(materialize(confirmed(apart), f"{name}-links"))
+        links = links.unionByName(written[-1])
+        discard(component)
+        component = connected_components(links)
+
     def still_open(rows_left: DataFrame) -> DataFrame:
         placed = rows_left.select("node", "key", "band").join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
         split = placed.groupBy("key").agg(F.min("component").alias("c"), F.max("component").alias("d")).filter("c < d").select("key")
@@ -73,9 +99,8 @@ def bucket_components(members: DataFrame, stars: DataFrame, info: DataFrame, clo
             break
 
     if unsettled():
-        left = materialize(open_rows.drop("band").join(info, "node"), f"{name}-left")
-        cross = left.alias("a").join(left.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & close("a", "b"))
-        rest = materialize(cross.select(F.col("a.node").alias("x"), F.col("b.node").alias("y")).distinct(), f"{name}-rest")
+        left, cross = bucket_pairs(open_rows, info, close, name)
+        rest = materialize(cross.distinct(), f"{name}-rest")
         written += [left, rest, materialize(confirmed(rest), f"{name}-links")]
         discard(component)
         component = connected_components(links.unionByName(written[-1]))

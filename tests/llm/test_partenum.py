@@ -4,7 +4,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from oreline.llm import partenum, queries
+from pyspark.sql import functions as F
+
+from oreline.llm import linking, partenum, queries
 from oreline.llm.neardup import Words, shingle_sets
 
 DOCS = "doc_id long, text string, key string, n int, node long, lo string"  # with columns that operators use as names
@@ -62,6 +64,53 @@ def test_shared_signatures_of_a_stream():
         assert firsts <= {(k, n) for k, n, *_ in got}
 
 
+def met(spark, of_node, n_links, monkeypatch, stars=None):
+    """(component of each node, pairs (x, y) in the order confirmed, rows of each table written) where ids under ``n_links`` link."""
+    members = spark.createDataFrame([(n, k, k % 8) for n, keys in of_node.items() for k in keys], "node long, key long, band int")
+    info, written, asked = spark.createDataFrame([(n, n) for n in of_node], "node long, n long"), {}, []
+
+    def materialize(df, name, *args, real=linking.materialize):
+        if name == "t-rest":  # what the join gives, before repeats are dropped
+            cross = [p for p in made if p.columns == ["x", "y"]][-1]
+            written["met"] = sorted(map(tuple, cross.collect()))
+        out = real(df, name, *args)
+        written[name] = out.count()
+        return out
+
+    def bucket_pairs(*args, real=getattr(linking, "bucket_pairs", None)):
+        made.extend(found := real(*args))
+        return found
+
+    def confirmed(pairs):
+        asked.append(sorted((r["x"], r["y"]) for r in pairs.collect()))
+        return pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).filter(f"a < {n_links} AND b < {n_links}")
+
+    made = []
+    monkeypatch.setattr(linking, "materialize", materialize)
+    monkeypatch.setattr(linking, "bucket_pairs", bucket_pairs)
+    stars = spark.createDataFrame(stars or [], "x long, y long")
+    out = linking.bucket_components(members, stars, info, lambda a, b: F.lit(True), lambda a, b: F.col(f"{a}.n") - F.col(f"{b}.n"), confirmed, 4, "t", pairs_a_row=10**6)
+    return {r["node"]: r["component"] for r in out.collect()}, asked, written
+
+
+def test_a_pair_is_met_in_one_bucket(spark, monkeypatch):
+    """Ten near copies share 60 buckets but two of them alone share the last one; two others meet after more keys than a row knows."""
+    of_node = {n: [*range(60), 1000 + n] for n in range(10)} | {20: [70, *range(2000, 2100), 5000], 21: [70, 5000, 5001], 30: [*range(3000, 3100), 6000], 31: [*range(4000, 4100), 6000]}
+    of_node[8] += [9000]
+    of_node[9] += [9000]
+    component, _, written = met(spark, of_node, 5, monkeypatch)
+    assert component == {n: 0 for n in range(5)}
+    near = [(a, b) for b in range(10) for a in range(b)]
+    assert written["met"] == sorted([*near, (20, 21), (30, 31)])  # each once, and none is missed
+
+
+def test_first_pairs_that_stay_apart_are_all_looked_at(spark, monkeypatch):
+    """Node 2 is likelier to link with 1 than with 0; when it has done so, 0 joins them without buckets being compared in full."""
+    component, asked, written = met(spark, {0: [1], 1: [2], 2: [1, 2]}, 3, monkeypatch, [(2, 0), (2, 1)])
+    assert component == {0: 0, 1: 0, 2: 0}
+    assert [len(x) for x in asked] == [1, 1] and "t-rest" not in written
+
+
 def brute(docs, k, percent):
     words = Words()
     rows = [(d, {int(x) for x in s}) for (d, _), s in zip(docs, shingle_sets([t and t.encode() for _, t in docs], k, words))]
