@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +157,20 @@ def test_chunk_encoder_parity():
     assert [x for i in range(0, 3000, 100) for x in enc.encode(texts[i : i + 100])] == enc._raw(texts)
 
 
+def test_chunk_encoder_joins_white_space():
+    """White space that a single space separates is one word of the tokenizer's pattern; columns are cut like lists, nulls are empty."""
+    from oreline.llm.bpe import ChunkEncoder
+
+    enc = ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    white = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    texts = [f"a{s}{x} {y}{e}" for s in ("", " ", "  ") for x in white for y in white for e in ("", " ", "b", " b", "\n")]
+    texts += ["", " ", " a", "a ", " a ", "a b a b", "b a", "a" * 300 + " " + "a" * 300, "a\n", "a \n", "é é", "a\nb c\td"]
+    assert enc.encode(texts) == enc._raw(texts)
+    column = pa.array([None, *texts[-9:], None, "b c"])
+    assert enc.encode(column) == enc._raw([t or "" for t in column.to_pylist()]) == enc.encode(column.cast(pa.large_string()))
+    assert enc.encode(column[3:7]) == enc._raw(column[3:7].to_pylist()) and enc.encode(column[:0]) == []
+
+
 def brute_spans(rows, k, words):
     seen, out = {}, {}
     for d, t in rows:
