@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..operators import caches as A
 from ..operators import imagery as I
 from ..operators import labels as L
-from ..operators import linkage as K
 from ..operators import logs as Q
 from ..operators import polygons as O
 from ..operators import sampling as P
@@ -152,8 +151,7 @@ def crown_matches(t: Tables) -> DataFrame:
     """Odd crowns matched in order to even ones of their sheet."""
     c = crowns(t)
     side = lambda odd, name: c.filter(F.col("crown") % 2 == odd).withColumnRenamed("crown", name)
-    found = O.overlaps(side(1, "found"), side(0, "truth"), "sheet", "found", "truth", "rings", 4.0, 0.3 - 1e-6).withColumn("iou", F.round("iou", 9))  # equal shapes tie
-    return K.ordered_match(found, "sheet", "found", "truth", "iou", 0.3).withColumn("iou", F.round("iou", 6))
+    return O.ordered_overlaps(side(1, "found"), side(0, "truth"), "sheet", "found", "truth", "rings", 0.3).withColumn("iou", F.round("iou", 6))
 
 
 _TILE = 48
