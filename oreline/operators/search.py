@@ -84,52 +84,93 @@ def trigram_leg(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str,
     return both.select(query_id, doc_id, F.round(F.col("_n") / (F.col("_a") + F.col("_b") - F.col("_n")), 6).alias("score")).filter(F.col("score") >= floor)
 
 
-def _gram_codes(passages: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(code, passage) of the trigrams of normalised passages, each word padded with two blanks before and one behind."""
-    padded = [f"  {p.replace(' ', '   ')} " for p in passages]
-    size = np.array([len(p) for p in padded], np.int64)
-    c = np.frombuffer("".join(padded).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    code = c[:-2] | (c[1:-1] << np.uint64(21)) | (c[2:] << np.uint64(42))
-    owner = np.repeat(np.arange(len(passages)), size)
-    keep = (owner[:-2] == owner[2:]) & ~((c[1:-1] == 32) & (c[2:] == 32))  # none over a passage's end or from word to word
-    return code[keep], owner[:-2][keep]
-
-
-def _close_passages(asked: list[tuple], floor: float, at_once: int = 1 << 20):
-    """A function of batches (doc, _size, norm) that gives (query, doc, score) of passages close enough to a query (number, size, trigrams)."""
-    numbers, sizes = np.array([a[0] for a in asked], np.int64), np.array([a[1] for a in asked], np.int64)
-    code_of = lambda g: ord(g[0]) | ord(g[1]) << 21 | ord(g[2]) << 42
-    sets = [np.array([code_of(g) for g in a[2]], np.uint64) for a in asked]
-    vocabulary = np.unique(np.concatenate(sets))
-    holds = np.zeros((len(vocabulary), len(asked)), np.int32)
-    for q, s in enumerate(sets):
-        holds[np.searchsorted(vocabulary, s), q] = 1
-    lengths = holds.sum(axis=0)
-
-    def compare(docs: pa.Array, size: np.ndarray, norm: list[str]) -> pa.RecordBatch:
-        code, owner = _gram_codes(norm)
-        kinds, number = np.unique(code, return_inverse=True)
-        pairs = np.unique(owner * len(kinds) + number)  # each trigram once a passage
-        owner, number = pairs // max(1, len(kinds)), pairs % max(1, len(kinds))
-        total = np.bincount(owner, minlength=len(norm))
-        at = np.minimum(np.searchsorted(vocabulary, kinds), len(vocabulary) - 1)
-        known = (vocabulary[at] == kinds)[number]
-        owner, at = owner[known], at[number[known]]
-        shared = np.zeros((len(norm), len(asked)), np.int64)
-        if len(owner):
-            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-            for q in range(0, len(asked), 64):
-                shared[owner[starts], q : q + 64] = np.add.reduceat(holds[at, q : q + 64], starts, axis=0)
-        score = shared / np.maximum(1, lengths[None, :] + total[:, None] - shared)
-        passage, q = np.nonzero((shared > 0) & (size[:, None] == sizes[None, :]) & (score >= floor - 1e-6))
-        return pa.RecordBatch.from_arrays([pa.array(numbers[q]), docs.take(pa.array(passage)), pa.array(score[passage, q])], ["_query", "_doc", "score"])
+def _distinct_grams(passages: list[str]) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """The different trigrams of normalised passages, each word padded with two blanks before and one behind: sorted whole numbers of the
+    passage and the places of three characters among those that occur, these, and the bits of a place; none where 63 bits don't suffice."""
+    padded = [f"{p.replace(' ', '   ')}   " for p in passages]
+    c = np.frombuffer(("  " + "".join(padded)).encode("utf-32-le"), np.uint32)
+    there = np.zeros(int(c.max(initial=32)) + 1, bool)
+    there[c] = there[32] = True
+    characters = np.flatnonzero(there)
+    bits = max(1, int(len(characters) - 1).bit_length())
+    if 3 * bits + len(passages).bit_length() > 63:
+        return None
+    kind = np.int32 if 3 * bits + len(passages).bit_length() < 32 else np.int64
+    place = (np.cumsum(there, dtype=kind) - kind(1))[c]
+    blank = c == 32
+    keep = ~(blank[1:-1] & blank[2:])  # none from word to word, nor over a passage's end, where three blanks stand
+    owner = np.repeat(np.arange(len(passages), dtype=kind) << kind(3 * bits), [len(p) for p in padded])
+    grams = (owner | place[:-2] << kind(2 * bits) | place[1:-1] << kind(bits) | place[2:])[keep]
+    grams.sort()
+    return grams[np.concatenate([[True], grams[1:] != grams[:-1]])] if len(grams) else grams, characters, bits
+
+
+def _close_passages(asked: list[tuple], floor: float, step: int, at_once: int = 1 << 19):
+    """A function of batches (doc, _n, pieces, whole) that gives (query, doc, score) of passages close enough to a query (number, size, trigrams).
+
+    ``pieces`` are ``step`` characters of the text each, normalised, ``_n`` is the length of the text; a passage is as many pieces as
+    fill its size. Where they are null, ``whole`` has the passages of each size. Passages meet only queries of their size. Their
+    trigrams become whole numbers and are sorted, so that each counts once; a trigram that queries hold counts for those."""
+    by_size = {}
+    for size in {a[1] for a in asked}:
+        mine = [a for a in asked if a[1] == size]
+        kinds, which = np.unique([g for a in mine for g in a[2]], return_inverse=True)
+        holder = np.repeat(np.arange(len(mine)), [len(a[2]) for a in mine])[np.argsort(which, kind="stable")]  # the queries of each trigram
+        spelt = np.array([[ord(x) for x in g] for g in kinds.tolist()], np.int64)
+        by_size[size] = (np.array([a[0] for a in mine], np.int64), np.array([len(a[2]) for a in mine], np.int64), spelt, np.bincount(which), holder)
+
+    def compare(docs: pa.Array, size: int, norm: list[str]) -> Iterator[pa.RecordBatch]:
+        made, n = _distinct_grams(norm), len(norm)
+        if made is None and n > 1:
+            yield from compare(docs.slice(0, n // 2), size, norm[: n // 2])
+            yield from compare(docs.slice(n // 2), size, norm[n // 2 :])
+            return
+        (grams, characters, bits), (numbers, lengths, spelt, held, holder) = made, by_size[size]
+        owner, gram = grams >> 3 * bits, grams & ((1 << 3 * bits) - 1)
+        total = np.bincount(owner, minlength=n)
+        place = np.minimum(np.searchsorted(characters, spelt), len(characters) - 1)
+        seen = np.flatnonzero((characters[place] == spelt).all(axis=1))
+        if not len(seen):
+            return
+        wanted = (place[seen, 0] << 2 * bits) + (place[seen, 1] << bits) + place[seen, 2]
+        if bits <= 7:
+            table = np.full(1 << 3 * bits, -1, np.int32)
+            table[wanted] = seen
+            at = table[gram]
+        else:
+            order = np.argsort(wanted)
+            near = np.minimum(np.searchsorted(wanted[order], gram), len(order) - 1)
+            at = np.where(wanted[order][near] == gram, seen[order][near], -1)
+        hits = np.flatnonzero(at >= 0)
+        owner, at = owner[hits], at[hits]
+        count, first = held[at], np.cumsum(held) - held
+        query = holder[np.repeat(first[at] - np.cumsum(count) + count, count) + np.arange(count.sum())]
+        shared = np.bincount(np.repeat(owner, count) * len(numbers) + query, minlength=n * len(numbers)).reshape(n, -1)
+        union = lengths[None, :] + total[:, None] - shared
+        passage, of = np.nonzero((shared > 0) & (shared >= (floor - 1e-6) * union))
+        yield pa.RecordBatch.from_arrays([pa.array(numbers[of]), docs.take(pa.array(passage)), pa.array(shared[passage, of] / union[passage, of])], ["_query", "_doc", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            norm, size = batch["norm"].to_pylist(), batch["_size"].to_numpy()
-            most = max(1, at_once // max(1, sum(map(len, norm)) // max(1, len(norm))))
-            for i in range(0, len(norm), most):
-                yield compare(batch["_doc"].slice(i, most), size[i : i + most], norm[i : i + most])
+            length = batch["_n"].to_numpy()
+            for which, size in enumerate(sorted(by_size)):
+                half, most = size // 2, max(1, at_once // size)
+                ends = np.cumsum(np.maximum(-(-length // half) - 2, 0) + 1)
+                first = 0
+                while first < len(length):  # whole documents, a long one in several parts
+                    last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + most, side="right")))
+                    norm, rows = [], []
+                    for row, pieces, whole in zip(range(first, last), *(batch[c].slice(first, last - first).to_pylist() for c in ("pieces", "whole"))):
+                        n, k = int(ends[row] - (ends[row - 1] if row else 0)), half // step
+                        for i in range(0, n, most):
+                            norm += whole[which][i : i + most] if whole else ["".join(pieces[j * k : j * k + 2 * k]) for j in range(i, min(n, i + most))]
+                            rows += [row] * (len(norm) - len(rows))
+                            if n > most:
+                                yield from compare(batch["_doc"].take(pa.array(rows)), size, norm)
+                                norm, rows = [], []
+                    if norm:
+                        yield from compare(batch["_doc"].take(pa.array(rows)), size, norm)
+                    first = last
 
     return run
 
@@ -138,25 +179,30 @@ def passage_leg(queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str,
     """(query, doc, score): documents with a passage whose trigram set is similar to the query's by ``floor`` or more; the best counts.
 
     Documents are cut to passages of the query's length, ``least`` characters doubled as often as need be, that overlap by half
-    and cover the document; only the lengths that queries have are cut. Queries are asked in blocks of about ``pairs_at_once`` pairs of
-    query and trigram: a block's trigrams go to the tasks, which compare passages as they read them, so only passages that are close
-    enough leave them. Documents are dealt to tasks of about ``rows_a_task``, as they may come in few files."""
+    and cover the document; only the lengths that queries have are cut. A text is normalised once, in pieces of half of ``least`` that
+    passages of any length are made of; where a letter's small form or a tag could reach over a piece's end, passage by passage. Queries
+    are asked in blocks of about ``pairs_at_once`` pairs of query and trigram: a block's trigrams go to the tasks, which compare passages
+    as they read them, so only passages that are close enough leave them. Documents are dealt to tasks of about ``rows_a_task``, as they
+    may come in few files."""
+    if least < 2 or least % 2:
+        raise ValueError("passages are of an even number of characters")
     n = F.length(text)
     size = (F.lit(least) * F.pow(F.lit(2), F.ceil(F.log2(F.greatest(n, F.lit(least)) / F.lit(least))))).cast("int")
     left = written(queries.select(query_id, size.alias("_size"), trigrams(text).alias("g")).filter(F.size("g") > 0).withColumn("_query", F.monotonically_increasing_id()), "passage-queries")
     blocks = -(-(left.agg(F.sum(F.size("g"))).first()[0] or 0) // pairs_at_once)
     kinds = dict(docs.dtypes)
-    docs = dealt(docs.select(doc_id, text), doc_id, rows_a_task)
+    docs, schema = dealt(docs.select(doc_id, text), doc_id, rows_a_task), f"_query long, _doc {kinds[doc_id]}, score double"
     out = None
     for b in range(blocks):
         asked = [(r["_query"], r["_size"], r["g"]) for r in left.filter(F.pmod(F.xxhash64("_query"), F.lit(blocks)) == b).collect()]
         if not asked:
             continue
-        cut = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("_doc"), text, F.explode(F.array(*(F.lit(int(s)) for s in sorted({a[1] for a in asked})))).alias("_size"))
-        half = (F.col("_size") / 2).cast("int")
-        cut = cut.select("_doc", "_size", text, F.posexplode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(n / half).cast("int") - 2))).alias("_pos", "_no"))
-        parts = cut.select("_doc", "_size", norm_title(F.col(text).substr(F.col("_no") * half + 1, F.col("_size"))).alias("norm"))
-        found = parts.mapInArrow(_close_passages(asked, floor), f"_query long, _doc {kinds[doc_id]}, score double")
+        bare = lambda c: F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " ")
+        pieces = F.transform(F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{least // 2}}}"), F.lit(0)), bare)
+        cut = lambda s: F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(n / (s // 2)).cast("int") - 2)), lambda i: norm_title(F.col(text).substr(i * (s // 2) + 1, F.lit(s))))
+        sizes, reaching = sorted({a[1] for a in asked}), F.col(text).rlike("[<\u03a3]")
+        given = docs.filter(F.col(text).isNotNull()).select(F.col(doc_id).alias("_doc"), n.alias("_n"), F.when(~reaching, pieces).alias("pieces"), F.when(reaching, F.array(*map(cut, sizes))).alias("whole"))
+        found = given.mapInArrow(_close_passages(asked, floor, least // 2), schema)
         out = found if out is None else out.unionByName(found)
     if out is None:
         return queries.select(query_id, F.lit(None).cast(kinds[doc_id]).alias(doc_id), F.lit(0.0).alias("score")).limit(0)
